@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets
+from . import ann, mixing, secrets, urlfilter, warc
+from .store import new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = warc.revisits(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    warc.write_archives(pages, path := new_path(spark, "warc"))
+    read = warc.read_archives(spark, path, payload=False)
+    return read.select(warc.urn_key(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.urn_key(F.col("refers_to")).alias("refers_to"), "target_uri", "error")
+
+
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda key: key % 20 == 0, k=20)
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"] != "random")
@@ -58,11 +70,55 @@ SELECT doc_id, size, source_size, target,
 FROM rated
 """
 
+#: Fixed rules.
+RULES = (
+    urlfilter.Rule("allow", "org", "/"),
+    urlfilter.Rule("block", "example.org", "/es/"),
+    urlfilter.Rule("block", "example.org", "/en/1"),
+    urlfilter.Rule("allow", "com", "/fr/"),
+    urlfilter.Rule("block", "com", "/de/"),
+)
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judged(pages, RULES, urlfilter.GLOBS).select("page_id", "host", "path", "rule", "verdict")
+
+
+_URLS_SQL = r"""
+WITH split AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), fitted AS (
+  SELECT page_id, host, path, CASE
+    WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/en/1%' THEN 'example.org/en/1'
+    WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/es/%' THEN 'example.org/es/'
+    WHEN ('.' || host) LIKE '%.com' AND path LIKE '/fr/%' THEN 'com/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND path LIKE '/de/%' THEN 'com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND path LIKE '/%' THEN 'org/' END AS rule,
+    '.' || host || path AS whole
+  FROM split
+)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN regexp_matches(('.' || host), '\.doubleclick\.|\.(adult-|cheap-|casino)[^/]*\.') AND path LIKE '/%' THEN 'block'
+  WHEN regexp_matches(whole, '^[^/]*\.(adult-|cheap-|casino)[^/]*\.') THEN 'block'
+  WHEN regexp_matches(whole, '/ads/|/adserver/|/tracking/|/wp-login\.php|/cgi-bin/|^[^/]*\.onion/|\.exe$|\.zip$') THEN 'block'
+  ELSE 'allow' END AS verdict
+FROM fitted
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op2_nearest": op2_nearest,
     "op4_secrets": op4_secrets,
     "op7_mixing": op7_mixing,
+    "op8_urls": op8_urls,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_mixing": _MIXING_SQL,
+    "op8_urls": _URLS_SQL,
 }

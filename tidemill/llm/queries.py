@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, mixing, secrets, urlfilter, warc
+from . import ann, mixing, ngram_join, secrets, urlfilter, warc
 from .store import new_path
 
 
@@ -110,12 +110,17 @@ SELECT page_id, host, path, rule, CASE
 FROM fitted
 """
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_nearest": op2_nearest,
     "op4_secrets": op4_secrets,
     "op7_mixing": op7_mixing,
     "op8_urls": op8_urls,
+    "op9_ngram_join": op9_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {

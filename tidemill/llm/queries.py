@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, mixing, ngram_join, secrets, urlfilter, warc
-from .store import new_path
+from . import ann, chat, decontam, mixing, ngram_join, quality, secrets, toxicity, urlfilter, warc
+from .store import new_path, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), lambda key: key % 20 == 0, k=20)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"] != "random")
@@ -38,6 +42,17 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    nodes = written(chat.threads(rows.union(more)), "threads")
+    chosen = chat.paths(nodes.withColumn("score", F.lit(1.0)))
+    turns = chosen.join(nodes.select("node", "role", "text"), "node")
+    chats = chat.formatted(turns).join(nodes.select(F.col("node").alias("leaf"), "conv_id"), "leaf")
+    return chat.read_back(written(chats, "chats"), "conv_id")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixed_copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -119,14 +134,23 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.classified(docs, trusted).select("doc_id", "lang", "perplexity", "threshold", "accepted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_nearest": op2_nearest,
+    "op3_toxicity": op3_toxicity,
     "op4_secrets": op4_secrets,
     "op5_decontamination": op5_decontamination,
+    "op6_chat": op6_chat,
     "op7_mixing": op7_mixing,
     "op8_urls": op8_urls,
     "op9_ngram_join": op9_ngram_join,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {

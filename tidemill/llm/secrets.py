@@ -123,7 +123,7 @@ def discovered(tested: DataFrame, rate: float = 0.01, level: float = 0.01, usual
 
 
 def secret_spans(docs: DataFrame, text: str = "text", rate: float = 0.01) -> DataFrame:
-    """``docs`` with ``spans``, an array of ``(start, end, kind)`` by start, then kind.
+    """``docs`` without ``text``, with ``spans``, an array of ``(start, end, kind)`` by start, then kind.
 
     Positions are code points, end exclusive. Kinds assign, access and hex are
     matches of ``PATTERNS`` with at least ``LEAST`` characters; kind random are
@@ -133,7 +133,7 @@ def secret_spans(docs: DataFrame, text: str = "text", rate: float = 0.01) -> Dat
     texts take part in false-discovery control.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    rest = [c for c in docs.columns if c not in ("__row", "spans")]
+    rest = [c for c in docs.columns if c not in (text, "__row", "spans")]
     cells = F.concat(*[_labelled(_found(body, k), k) for k in (*KINDS, "token")])
     scanned = written(docs.select(*rest).withColumn("__row", F.monotonically_increasing_id()).withColumn("__cells", cells), "secrets")
     each = scanned.where(F.size("__cells") > 0).select("__row", F.explode("__cells").alias("c")).select("__row", "c.*")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 
@@ -39,3 +40,12 @@ def dropped(*tables: DataFrame) -> None:
         for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: Tables of at most so many rows of a key and little else are broadcast; larger ones are joined by shuffle, with the same result.
+SMALL_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, a table that is cheap to count, marked for broadcast if its size, counted here, allows."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df

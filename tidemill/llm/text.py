@@ -49,12 +49,18 @@ def _powers(n: int) -> list[np.ndarray]:
 
 
 class Words(NamedTuple):
-    """Words of ``len(first) - 1`` texts: byte spans, hashes, and each text's first word."""
+    """Words of ``len(first) - 1`` texts: byte spans, hashes, each text's first word, and running sums that hashes come from."""
 
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray
+    sums: np.ndarray
+
+    def prefixes(self, size: int) -> np.ndarray:
+        """Hash of each word's first ``size`` bytes; of the whole word where it is shorter."""
+        end = np.minimum(self.end, self.start + size)
+        return mixed((self.sums[end] - self.sums[self.start]) * _powers(len(self.sums))[1][self.start])
 
 
 def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -90,7 +96,7 @@ def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray) -> Words:
     up, down = _powers(n + 1)
     sums = np.zeros(n + 1, U)
     np.cumsum(_BYTE[low] * up[:n], out=sums[1:])
-    return Words(start, end, mixed((sums[end] - sums[start]) * down[start]), np.searchsorted(start, bounds))
+    return Words(start, end, mixed((sums[end] - sums[start]) * down[start]), np.searchsorted(start, bounds), sums)
 
 
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:

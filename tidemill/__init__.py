@@ -1,0 +1 @@
+"""Tidemill: landing, accounting for and reading time series with Spark."""

@@ -130,10 +130,15 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def possible(n: tuple[str, str], at: tuple[str, str], percent: int) -> Column:
-    """Length and positional filters for two sets that share the tokens at ``at`` of their orders."""
+    """Length and positional filters for two sets that share the token at places ``at`` of their orders.
+
+    Were it their first common token, the overlap would be at most what is
+    left of either set. A pair that links passes at its first common token, so
+    no link is lost where another common token does not pass.
+    """
     (a, b), (i, j) = map(F.col, n), map(F.col, at)
     length = F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
-    most = F.least(i, j) + 1 + F.least(a - i, b - j) - 1
+    most = F.least(a - i, b - j)
     return length & (F.lit(100 + percent) * most >= F.lit(percent) * (a + b))
 
 
@@ -171,7 +176,9 @@ class Join:
         left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
         same = F.size(F.array_intersect("set_a", "set_b")).cast("long")
         both = near.join(left, "a").join(right, "b").withColumn("same", same)
-        return both.where(F.lit(100) * F.col("same") >= F.lit(self.percent) * (F.col("na") + F.col("nb") - F.col("same"))).select("a", "b")
+        links = written(both.where(F.lit(100) * F.col("same") >= F.lit(self.percent) * (F.col("na") + F.col("nb") - F.col("same"))).select("a", "b"), "links")
+        dropped(near, wanted, sets)
+        return links
 
     def sets(self, wanted: DataFrame) -> DataFrame:
         """``row, set`` of the rows in ``wanted``, from their texts."""
@@ -204,7 +211,7 @@ class Join:
             pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         self.tried = pairs if self.tried is None else self.tried.union(pairs)
-        links = written(self.verified(pairs), "links")
+        links = self.verified(pairs)
         if self.labels is None:
             self.labels = written(connected(links), "labels")
             return

@@ -135,7 +135,7 @@ def secret_spans(docs: DataFrame, text: str = "text", rate: float = 0.01) -> Dat
     body = F.coalesce(F.col(text), F.lit(""))
     rest = [c for c in docs.columns if c not in (text, "__row", "spans")]
     cells = F.concat(*[_labelled(_found(body, k), k) for k in (*KINDS, "token")])
-    scanned = written(docs.select(*rest).withColumn("__row", F.monotonically_increasing_id()).withColumn("__cells", cells), "secrets")
+    scanned = written(docs.select(*rest, F.monotonically_increasing_id().alias("__row"), cells.alias("__cells")), "secrets")
     each = scanned.where(F.size("__cells") > 0).select("__row", F.explode("__cells").alias("c")).select("__row", "c.*")
     end = F.sum(F.col("gap") + F.col("len")).over(Window.partitionBy("__row", "kind").orderBy("at")).cast("long")
     placed = each.withColumn("end", end).withColumn("start", F.col("end") - F.col("len"))

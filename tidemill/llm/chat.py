@@ -57,7 +57,7 @@ def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
     chosen = written(leaves.select(F.col("node").alias("leaf"), "rank", F.col("total").alias("path_score")), "leaves")
     on_path = chosen.select("leaf", F.col("leaf").alias("node"))
     for jump in jumps:
-        on_path = on_path.union(on_path.join(jump, "node").select("leaf", F.col("far").alias("node")))
+        on_path = written(on_path.union(on_path.join(jump, "node").select("leaf", F.col("far").alias("node"))), "paths")
     return on_path.join(settled.select("node", "depth"), "node").join(chosen, "leaf").select("leaf", "node", "depth", "rank", "path_score")
 
 

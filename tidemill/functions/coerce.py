@@ -37,7 +37,7 @@ def integral(x: Column, source: S.DataType, low: int, high: int) -> Column | Non
     double need not be the number that was meant.
     """
     if isinstance(source, INTEGRAL):
-        return x.cast("decimal(20,0)").between(F.lit(low).cast("decimal(20,0)"), F.lit(high).cast("decimal(20,0)"))
+        return x.cast("decimal(20,0)").between(F.expr(f"{low}BD"), F.expr(f"{high}BD"))
     if isinstance(source, S.DecimalType):
         return (x == F.floor(x)) & (x >= F.expr(f"{low}BD")) & (x <= F.expr(f"{high}BD"))
     if isinstance(source, FLOATING):

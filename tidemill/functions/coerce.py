@@ -51,7 +51,8 @@ def epoch(x: Column, unit: int) -> Column:
     if unit > 10**6:
         return F.try_multiply(micros, F.lit(unit // 10**6))
     by = F.lit(10**6 // unit)
-    return micros if unit == 10**6 else F.floor(F.abs(micros) / by).cast("long") * F.signum(micros).cast("long")
+    size = F.abs(micros)
+    return micros if unit == 10**6 else F.round((size - size % by) / by).cast("long") * F.signum(micros).cast("long")
 
 
 def coerced(x: Column, source: S.DataType, target: str, profile: str = "row") -> tuple[Column, Column]:

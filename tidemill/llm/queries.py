@@ -140,6 +140,65 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(docs, trusted).select("doc_id", "lang", "perplexity", "threshold", "accepted")
 
 
+_WARC_SQL = """
+WITH hashed AS (
+  SELECT page_id, url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), coded AS (
+  SELECT page_id, url, payload_bytes, array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1) FOR i IN range(32)
+  ], '') AS payload_digest FROM hashed
+), kept AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS largest FROM coded
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT FROM largest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to, url AS target_uri, NULL::VARCHAR AS error
+FROM kept
+"""
+
+_CUT = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_DECONTAMINATION_SQL = f"""
+WITH dw AS (
+  SELECT row_number() OVER () AS r, doc_id, {_CUT} AS w FROM documents
+), iw AS (
+  SELECT item_id, {_CUT} AS w FROM benchmark WHERE item_id IS NOT NULL
+), win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[k:k + 12], ' ') AS t
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM iw WHERE len(w) > 0)
+), places AS (
+  SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS t
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM dw, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)
+), found AS (
+  SELECT r, k, n, item_id FROM places JOIN win USING (n, t)
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM found) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM found) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
+
+def _escaped_sql(text: str) -> str:
+    out = f"replace({text}, '\\', '\\\\')"
+    for c in chat.CONTROL:
+        out = f"replace({out}, '{c}', '{c[0]}\\-{c[1:]}')"
+    return out
+
+
+_CHAT_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum({len(chat.CONTROL[0]) + len(chat.CONTROL[1]) + 2} + length(replace({_escaped_sql('role')}, chr(10), '\\n')) + length({_escaped_sql('text')}))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_nearest": op2_nearest,
@@ -154,6 +213,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": _WARC_SQL,
+    "op5_decontamination": _DECONTAMINATION_SQL,
+    "op6_chat": _CHAT_SQL,
     "op7_mixing": _MIXING_SQL,
     "op8_urls": _URLS_SQL,
 }

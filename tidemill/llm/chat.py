@@ -33,22 +33,22 @@ def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
     ``nodes`` has unique ``node``, ``parent`` and ``score``. A node whose
     parent is null or absent is a root; nodes on a cycle, and below one, are on
     no path. Self-joins double the reach of every node's pointer, so a tree of
-    depth d takes log2(d) of them; the same tables then spread each chosen leaf
-    to its ancestors. Paths of a root are ranked by the sum of their scores,
+    depth d takes log2(d) of them, of the nodes that have not met their root;
+    the same tables then spread each chosen leaf to its ancestors. Paths of a root are ranked by the sum of their scores,
     ties to the smaller leaf; ``top`` keeps the first ones, None all.
     """
     known = nodes.select(F.col("node").alias("parent")).distinct()
     linked = nodes.where("parent is not null").join(known, "parent", "left_semi").select("node", "parent")
     state = nodes.select("node", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("total")).join(linked, "node", "left")
     state = written(state.select("node", F.col("parent").alias("far"), F.coalesce("parent", "node").alias("root"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"), "total"), "reach")
-    jumps, limit = [], state.count()
-    while state.where("far is not null").limit(1).count():
-        jumps.append(state.where("far is not null").select("node", "far"))
-        if 2 ** (len(jumps) - 1) > limit:
-            break
-        up = state.toDF("far", "far2", "root2", "depth2", "total2")
-        state = written(state.join(up, "far", "left").select("node", F.col("far2").alias("far"), F.coalesce("root2", "root").alias("root"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total")), "reach")
-    settled = state.where("far is null")
+    columns, jumps, limit = state.columns, [], state.count()
+    settled, moving = state.where("far is null"), state.where("far is not null")
+    while not moving.isEmpty() and 2 ** len(jumps) <= 2 * limit:
+        jumps.append(moving.select("node", "far"))
+        up = settled.union(moving).toDF("far", "far2", "root2", "depth2", "total2")
+        reach = moving.join(up, "far").select("node", F.col("far2").alias("far"), F.col("root2").alias("root"), (F.col("depth") + F.col("depth2")).alias("depth"), (F.col("total") + F.col("total2")).alias("total"))
+        reach = written(reach.select(*columns), "reach")
+        settled, moving = settled.union(reach.where("far is null")), reach.where("far is not null")
     leaves = settled.join(linked.select(F.col("parent").alias("node")).distinct(), "node", "left_anti")
     rank = F.row_number().over(Window.partitionBy("root").orderBy(F.desc("total"), "node"))
     leaves = leaves.withColumn("rank", rank)

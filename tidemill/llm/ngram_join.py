@@ -156,7 +156,7 @@ class Join:
         """Prefix tokens that two classes or more have, with the place of each and the token's first pivot."""
         mine = self.rows.join(self.classes.select("row"), "row", "left_semi")
         every = mine.select("row", "n", F.posexplode("prefix").alias("at", "token"))
-        pivot = F.min(F.struct("n", "row", "at")).alias("pivot")
+        pivot = F.min(F.struct("at", "n", "row")).alias("pivot")  # where it comes earliest, fewest rare tokens precede it: the row nearest to all others
         shared = every.groupBy("token").agg(F.count("*").alias("docs"), pivot).where("docs > 1")
         return every.join(shared, "token")
 
@@ -234,7 +234,7 @@ class Join:
         fits = possible(("n", "pivot.n"), ("at", "pivot.at"), self.percent)
         self.compared(postings.where((F.col("row") != F.col("pivot.row")) & fits).select(F.col("row").alias("a"), F.col("pivot.row").alias("b")))
         left = written(self.apart(postings.where("docs > 2").select("token", "row", "n", "at")), "apart")
-        several = left.groupBy("token", F.pmod(F.xxhash64("row"), F.lit(pivots)).alias("s")).agg(F.min(F.struct("n", "row", "at", "label")).alias("p")).select("token", "p")
+        several = left.groupBy("token", F.pmod(F.xxhash64("row"), F.lit(pivots)).alias("s")).agg(F.min(F.struct("at", "n", "row", "label")).alias("p")).select("token", "p")
         fits = possible(("n", "p.n"), ("at", "p.at"), self.percent)
         self.compared(left.join(several, "token").where((F.col("label") != F.col("p.label")) & fits).select(F.col("row").alias("a"), F.col("p.row").alias("b")))
         left = written(self.apart(left.select("token", "row", "n", "at")), "apart")

@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -189,6 +190,51 @@ def test_quality_keeps_prose_and_drops_junk(spark):
     assert all(x["accepted"] and x["perplexity"] is None for x in quality.classified(docs, trusted.limit(0)).collect())
 
 
+def test_quality_drops_shuffled_words(spark):
+    r = random.Random(5)
+    vocabulary = [f"{a}{b}" for a in ("ta", "ro", "mi", "ne", "su", "la") for b in ("do", "ki", "ran", "sel", "po", "vi")]
+    after = {w: r.sample(vocabulary, 2) for w in vocabulary}
+
+    def chain(n):
+        w = [r.choice(vocabulary)]
+        while len(w) < n:
+            w.append(r.choice(after[w[-1]]))
+        return w
+
+    good = [(i, " ".join(chain(120)), "en") for i in range(120)]
+    bad = [(200 + i, " ".join(r.sample(w := chain(120), len(w))), "en") for i in range(15)]
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string, lang string")
+    by = {x["doc_id"]: x["accepted"] for x in quality.classified(docs, docs.where("doc_id < 80").select("doc_id")).collect()}
+    assert sum(by[i] for i in range(80, 120)) >= 38 and not any(by[200 + i] for i in range(15))
+
+
+def test_word_probabilities_equal_a_loop(spark):
+    good = ["a b a c b a", "b a b c", "c a b", "a a b d"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*good, "a b z", " c a", "zz"])], "doc_id long, text string, lang string")
+    trusted = docs.where(F.col("doc_id") < len(good))
+    got = {x["doc_id"]: x["perplexity"] for x in quality.classified(docs, trusted.select("doc_id")).collect()}
+    table = quality.trained(trusted)[0][quality.ALL].astype(float)
+    pairs = Counter(p for t in good for p in itertools.pairwise([None, *t.split()]))
+    tails = Counter(c for _, c in pairs)
+
+    def log2_letters(t):
+        return table[quality.codes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))]
+
+    d2, d1 = (quality.discounts(np.array(list(x.values()))) for x in (pairs, tails))
+
+    def single(c):
+        back = sum(d1[min(k, 3)] for k in tails.values()) / tails.total()
+        return max(tails[c] - d1[min(tails[c], 3)], 0) / tails.total() + back * 2 ** log2_letters(c).sum()
+
+    for i, t in enumerate([*good, "a b z", " c a", "zz"]):
+        bits = log2_letters(t)[[x == " " for x in t]].sum()
+        for b, c in itertools.pairwise([None, *t.split()]):
+            follow = [n for (x, _), n in pairs.items() if x == b]
+            n = pairs[b, c]
+            bits += math.log2((max(n - d2[min(n, 3)], 0) + sum(d2[min(k, 3)] for k in follow) * single(c)) / sum(follow) if follow else single(c))
+        assert math.isclose(got[i], 2 ** (-bits / len(t)), rel_tol=1e-4), (i, t)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").union(edge_docs(spark).withColumn("n_chars", F.length("text").cast("long")))
     names = [n for n, _ in corpus_pipeline.STAGES]

@@ -1,13 +1,16 @@
-"""Quality classifier: interpolated modified Kneser-Ney n-grams of trusted text, and perplexity quantiles by language.
-
-The model's units are characters, folded to 64 symbols, so a language's table
-of probabilities has 64^3 entries whatever the size of the corpus. Counts come
-from all trusted text: each task counts its rows, and the sums are sharded by
-language and n-gram.
+"""Quality classifier: interpolated modified Kneser-Ney word bigrams of trusted text, and perplexity quantiles by language.
+
+Words and bigrams of all trusted text are counted by hash, and so is what
+follows and precedes each word; nothing of these tables is dropped, and they
+grow with the text. A document's distinct words and bigrams are joined to them
+on Spark. Under the words lies a model of letters: a trigram over characters
+folded to 64 symbols, of fixed size, which spells words that trusted text
+lacks and the blanks between words.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,9 +23,11 @@ from .store import small, written
 
 ORDER, SYMBOLS = 3, 64
 CELLS = SYMBOLS**ORDER
-#: Languages with a model of their own at most, and the trusted characters one needs; all others share the model of all trusted text.
+#: Languages with letters of their own at most (words have no such limit), and the trusted characters one needs; all others share the model of all trusted text.
 MODELS, LEAST_CHARS = 32, 20_000
 ALL = "*"
+#: One in so many trusted texts is left out of the counts that set thresholds, and is measured with them.
+FOLDS = 5
 
 #: Symbol of each byte. Letters 0-25, capitals 26, digits 27, blank, line end, other controls, then marks; bytes of other characters fold to 50-63.
 SYMBOL = np.full(256, 30, np.uint8)
@@ -79,8 +84,12 @@ def counted(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def discounts(counts: np.ndarray) -> np.ndarray:
-    """Modified Kneser-Ney discounts of counts 0, 1, 2, and 3 or more; Y, 2Y... of n1-n4, or a half per count where those are 0."""
-    n1, n2, n3, n4 = (float((counts == k).sum()) for k in (1, 2, 3, 4))
+    """Modified Kneser-Ney discounts of counts 0, 1, 2, and 3 or more."""
+    return discounts_of(*(float((counts == k).sum()) for k in (1, 2, 3, 4)))
+
+
+def discounts_of(n1: float, n2: float, n3: float, n4: float) -> np.ndarray:
+    """Y, 2Y... of n1-n4, the numbers of n-grams counted once to four times, or a half per count where those are 0."""
     if min(n1, n2, n3) == 0:
         return np.array([0, 0.5, 0.75, 1.0])
     y = n1 / (n1 + 2 * n2)
@@ -100,11 +109,12 @@ def kneser_ney(counts: np.ndarray) -> np.ndarray:
     return np.log2(lower)
 
 
-def trained(trusted: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
-    """A table per language, at most ``MODELS`` of 1 MB each, and that of all trusted text under ``ALL``."""
+def trained(trusted: DataFrame, text: str = "text", lang: str = "lang") -> tuple[dict[str, np.ndarray], list[str]]:
+    """Tables of letters, at most ``MODELS`` of 1 MB each, that of all trusted text under ``ALL``; and the languages with words of their own."""
     counts = written(counted(trusted, text, lang), "counts")
     sizes = counts.where(F.col("lang") != ALL).groupBy("lang").agg(F.sum("n").alias("chars")).where(F.col("chars") >= LEAST_CHARS)
-    own = sizes.orderBy(F.desc("chars"), "lang").limit(MODELS - 1).select("lang")
+    names = [r["lang"] for r in sizes.orderBy(F.desc("chars"), "lang").collect()]
+    own = trusted.sparkSession.createDataFrame([(x,) for x in names[: MODELS - 1]], "lang string")
     pooled = counts.groupBy("code").agg(F.sum("n").alias("n")).select(F.lit(ALL).alias("lang"), "code", "n")
     every = counts.join(F.broadcast(own), "lang").select("lang", "code", "n").union(pooled)
 
@@ -114,33 +124,174 @@ def trained(trusted: DataFrame, text: str = "text", lang: str = "lang") -> dict[
         return pa.table({"lang": group["lang"][:1], "log2p": [kneser_ney(dense.reshape((SYMBOLS,) * ORDER)).astype(np.float32).tobytes()]})
 
     found = every.groupBy("lang").applyInArrow(table, "lang string, log2p binary").collect()
-    return {r["lang"]: np.frombuffer(r["log2p"], np.float32) for r in found}
+    return {r["lang"]: np.frombuffer(r["log2p"], np.float32) for r in found}, names
+
+
+def _salt(name: str) -> int:
+    return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little")
+
+
+def bigrams(found: T.Words, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, bigram, word before, word) of each word, as hashes that differ by the text's name; a text's first word follows a mark."""
+    n = np.diff(found.first)
+    of = np.repeat(np.arange(len(n)), n)
+    known = {x: _salt(x) for x in set(names)}
+    salts = np.array([known[x] for x in names], T.U)
+    word = T.mixed(found.hash ^ salts[of])
+    before = np.roll(word, 1)
+    begin = found.first[:-1][n > 0]
+    before[begin] = T.mixed(~salts[n > 0])
+    return of, T.mixed((before * T.U(0x9FB21C651E98DF25)) ^ word), before, word
+
+
+def letters(data: np.ndarray, bounds: np.ndarray, names: list[str], tables: dict[str, np.ndarray]) -> np.ndarray:
+    """log2 of each text's probability by the letters of its language."""
+    sizes = np.diff(bounds)
+    found, sums = codes(data, bounds), np.zeros(len(sizes))
+    here = np.array([x if x in tables else ALL for x in names])
+    for name in set(here.tolist()):
+        mine = here == name
+        some = mine & (sizes > 0)
+        if some.any():
+            bits = tables[name][found[np.repeat(mine, sizes)]]
+            sums[some] = np.add.reduceat(bits, np.concatenate([[0], np.cumsum(sizes[some])[:-1]]), dtype=np.float64)
+    return sums
+
+
+def spelled(data: np.ndarray, found: T.Words, of: np.ndarray, names: list[str], tables: dict[str, np.ndarray]) -> np.ndarray:
+    """log2 of the probability of each word's letters, in lower case and apart from its neighbours."""
+    low = T.LOWER[data]
+    bounds = np.concatenate([[0], np.cumsum(found.end - found.start)]).astype(np.int64)
+    return letters(low[~T.SPACES[low]], bounds, [names[i] for i in of.tolist()], tables)
+
 
+def _added(keys: tuple[np.ndarray, ...], *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(place of one row of each distinct ``keys``, sums of ``values`` over its rows)."""
+    order = np.lexsort(keys)
+    if not len(order):
+        return order, list(values)
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
+    first = np.flatnonzero(new)
+    return order[first], [np.add.reduceat(v[order], first, dtype=v.dtype) for v in values]
 
-def scored(docs: DataFrame, models: dict[str, np.ndarray], text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` with ``perplexity`` per character; null for a null or empty text, or without a model."""
-    docs = docs.drop("perplexity") if "perplexity" in docs.columns else docs
-    shared = docs.sparkSession.sparkContext.broadcast(models)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = shared.value
+def word_counts(trusted: DataFrame, tables, pooled: bool) -> DataFrame:
+    """``key, name, b, c, bits, n, t`` per bigram of ``trusted`` (name, text, held): how often it occurs, and how often in texts not held out."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every, held = batch["name"].to_pylist(), np.asarray(batch["held"].cast(pa.int8()))
+            for at, data, bounds in T.chunks(batch["text"]):
+                found, n = T.words(data, bounds, T.SPACES), len(bounds) - 1
+                names = every[at : at + n]
+                of, key, b, c = bigrams(found, names)
+                bits = spelled(data, found, of, names, tables.value)
+                one, (total, train) = _added((key,), np.ones(len(key), np.int64), 1 - held[at : at + n][of].astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(key[one].view(np.int64)), pa.array(np.array(names, object)[of[one]], pa.string()), pa.array(b[one].view(np.int64)), pa.array(c[one].view(np.int64)), pa.array(bits[one].astype(np.float32)), pa.array(total), pa.array(train)], names=["key", "name", "b", "c", "bits", "n", "t"])
+
+    if pooled:
+        trusted = trusted.where(F.col("name") != ALL).union(trusted.withColumn("name", F.lit(ALL)))
+    rows = trusted.select("name", "text", "held").mapInArrow(count, "key long, name string, b long, c long, bits float, n long, t long")
+    return rows.groupBy("key").agg(F.min("name").alias("name"), F.min("b").alias("b"), F.min("c").alias("c"), F.min("bits").alias("bits"), F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+
+def _cuts(table: DataFrame, of: dict[str, str]) -> DataFrame:
+    """Per ``name`` and column v of ``of`` its discounts ``{x}1_v`` to ``{x}3_v``, total ``{x}s_v`` and what is taken off ``{x}o_v``; a row per language."""
+    tally = [F.count_if(F.col(v) == k).alias(f"{v}{k}") for v in of for k in (1, 2, 3, 4)] + [F.count_if(F.col(v) >= 3).alias(f"{v}m") for v in of] + [F.sum(v).alias(f"{v}s") for v in of]
+    out = []
+    for r in table.groupBy("name").agg(*tally).collect():
+        line = [r["name"]]
+        for v in of:
+            d = discounts_of(*(float(r[f"{v}{k}"]) for k in (1, 2, 3, 4)))
+            line += [*map(float, d[1:]), float(r[f"{v}s"] or 0), float(d[1] * r[f"{v}1"] + d[2] * r[f"{v}2"] + d[3] * r[f"{v}m"])]
+        out.append(tuple(line))
+    return F.broadcast(table.sparkSession.createDataFrame(out, "name string, " + ", ".join(f"{x}{k}_{v} double" for v, x in of.items() for k in "123so")))
+
+
+def _less(v: str, cut: str) -> str:
+    """A count less its discount, not below 0."""
+    which = cut.split("_")
+    return f"greatest({v} - case when {v} >= 3 then {which[0]}3_{which[1]} when {v} = 2 then {which[0]}2_{which[1]} else {which[0]}1_{which[1]} end, 0D)"
+
+
+def word_model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, d_n, d_t, g_n, g_t`` of words and bigrams, and ``name, z_n, z_t`` of languages; n of all trusted text, t without held-out texts.
+
+    A word that trusted text lacks has the probability of its letters times
+    2^z. Known words add ``d`` where they occur and ``g``, the weight of their
+    context, where they come before another; known bigrams add ``d`` to that.
+    So only what trusted text has needs to be joined, and the sum is the log2
+    of the interpolated probability.
+    """
+    both = _cuts(counts, {"n": "p", "t": "p"})
+    none = F.lit(None).cast("float")
+    ends = counts.select(F.col("b").alias("w"), "name", none.alias("bits"), "n", "t", F.lit(0).alias("e")).union(counts.select("c", "name", "bits", "n", "t", F.lit(1)))
+    before = [x for v in "nt" for x in (F.sum(F.when(F.col("e") == 0, F.col(v))).alias(f"sum_{v}"), *(F.count_if((F.col("e") == 0) & (F.col(v) == k)).alias(f"f{k}_{v}") for k in (1, 2)), F.count_if((F.col("e") == 0) & (F.col(v) >= 3)).alias(f"f3_{v}"))]
+    after = [F.count_if((F.col("e") == 1) & (F.col(v) > 0)).alias(f"k_{v}") for v in "nt"]
+    words = written(ends.groupBy("w").agg(F.min("name").alias("name"), F.min("bits").alias("bits"), *before, *after), "words")
+    single = _cuts(words.select("name", F.col("k_n").alias("n"), F.col("k_t").alias("t")), {"n": "q", "t": "q"})
+    rows = words.join(both, "name").join(single, "name")
+    for v in "nt":
+        rows = rows.withColumn(f"g_{v}", F.expr(f"if(sum_{v} > 0, log2((p1_{v} * f1_{v} + p2_{v} * f2_{v} + p3_{v} * f3_{v}) / sum_{v}), 0D)"))
+        rows = rows.withColumn(f"z_{v}", F.expr(f"if(qs_{v} > 0, log2(qo_{v} / qs_{v}), 0D)"))
+        rows = rows.withColumn(f"one_{v}", F.expr(f"if(k_{v} > 0, log2({_less(f'k_{v}', f'q_{v}')} / qs_{v} + pow(2D, z_{v} + bits)), coalesce(z_{v} + bits, 0D))"))
+        rows = rows.withColumn(f"d_{v}", F.expr(f"coalesce(one_{v} - z_{v} - bits, 0D)"))
+    kept = [F.col(f"{x}_{v}").cast("float").alias(f"{x}_{v}") for x in ("d", "g", "one") for v in "nt"]
+    rows = written(rows.select("w", *kept, *(F.col(f"sum_{v}") for v in "nt")), "weights")
+    left = rows.select(F.col("w").alias("b"), "g_n", "g_t", "sum_n", "sum_t")
+    pairs = counts.select("key", "name", "b", "c", "n", "t").join(left, "b").join(rows.select(F.col("w").alias("c"), "one_n", "one_t"), "c").join(both, "name")
+    gain = [F.expr(f"cast(if({v} > 0, log2({_less(v, f'p_{v}')} / sum_{v} + pow(2D, g_{v} + one_{v})) - g_{v} - one_{v}, 0D) as float) as d_{v}") for v in "nt"]
+    zero = F.lit(0).cast("float")
+    model = rows.select(F.col("w").alias("key"), "d_n", "d_t", "g_n", "g_t").union(pairs.select("key", *gain, zero.alias("g_n"), zero.alias("g_t")))
+    return model, single.select("name", *(F.expr(f"if(qs_{v} > 0, log2(qo_{v} / qs_{v}), 0D) as z_{v}") for v in "nt"))
+
+
+def asked(docs: DataFrame) -> DataFrame:
+    """``id, key, m, f`` per row of ``docs`` (id, name, text) and distinct word or bigram: how often it occurs, and how often a word comes before another."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every, ids = batch["name"].to_pylist(), np.asarray(batch["id"])
+            for at, data, bounds in T.chunks(batch["text"]):
+                of, key, b, c = bigrams(T.words(data, bounds, T.SPACES), every[at : at + len(bounds) - 1])
+                one, zero = np.ones(len(of), np.int32), np.zeros(len(of), np.int32)
+                keys, texts = np.concatenate([key, c, b]), np.tile(of, 3)
+                place, (m, f) = _added((keys, texts), np.concatenate([one, one, zero]), np.concatenate([zero, zero, one]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + len(bounds) - 1][texts[place]]), pa.array(keys[place].view(np.int64)), pa.array(m), pa.array(f)], names=["id", "key", "m", "f"])
+
+    return docs.select("id", "name", "text").mapInArrow(ask, "id long, key long, m int, f int")
+
+
+def spelling(docs: DataFrame, tables) -> DataFrame:
+    """``id, name, bytes, words, bits`` per row of ``docs``: log2 of its probability were all its words unknown, less the weight of unknown words."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch[lang].cast(pa.string()).to_pylist()
-            for at, data, bounds in T.chunks(batch[text]):
-                sizes = np.diff(bounds)
-                found, sums = codes(data, bounds), np.zeros(len(sizes))
-                here = [x if x in tables else ALL for x in langs[at : at + len(sizes)]]
-                for name in set(here) & tables.keys():
-                    mine = np.array([x == name for x in here])
-                    bits = tables[name][found[np.repeat(mine, sizes)]]
-                    some = mine & (sizes > 0)
-                    if some.any():
-                        sums[some] = np.add.reduceat(bits, np.concatenate([[0], np.cumsum(sizes[some])[:-1]]), dtype=np.float64)
-                known = (sizes > 0) & np.array([x in tables for x in here], bool)
-                part = batch.slice(at, len(sizes))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(2.0 ** (-sums / np.maximum(sizes, 1)), pa.float64(), mask=~known)], names=[*part.schema.names, "perplexity"])
-
-    return docs.mapInArrow(score, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", perplexity double")
+            every = batch["name"].to_pylist()
+            for at, data, bounds in T.chunks(batch["text"]):
+                n = len(bounds) - 1
+                found, names = T.words(data, bounds, T.SPACES), every[at : at + n]
+                of = np.repeat(np.arange(n), np.diff(found.first))
+                bits = np.bincount(of, spelled(data, found, of, names, tables.value), minlength=n)
+                blank, where = T.SPACES[data], np.repeat(np.arange(n), np.diff(bounds))
+                for name in set(names):
+                    mine = blank & np.array([x == name for x in names])[where]
+                    table = tables.value.get(name, tables.value[ALL])
+                    bits += np.bincount(where[mine], table[codes(data, bounds)[mine]], minlength=n)
+                yield pa.RecordBatch.from_arrays([batch["id"].slice(at, n), batch["name"].slice(at, n), pa.array(np.diff(bounds)), pa.array(np.diff(found.first)), pa.array(bits)], names=["id", "name", "bytes", "words", "bits"])
+
+    return docs.select("id", "name", "text").mapInArrow(spell, "id long, name string, bytes long, words long, bits double")
+
+
+def perplexities(docs: DataFrame, trusted: DataFrame, tables: dict[str, np.ndarray], pooled: bool) -> DataFrame:
+    """``id, p_n, p_t``: perplexity per character by all trusted text, and by that not held out. Rows of one id are equal in name and text, and so are averages over them."""
+    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    model, unknown = word_model(written(word_counts(trusted, shared, pooled), "bigrams"))
+    sums = asked(docs).join(model, "key").groupBy("id").agg(*(F.sum(F.col("m") * F.col(f"d_{v}").cast("double") + F.col("f") * F.col(f"g_{v}").cast("double")).alias(f"sum_{v}") for v in "nt"))
+    base = spelling(docs, shared).where("bytes > 0").groupBy("id").agg(F.min("name").alias("name"), *(F.sum(x).alias(x) for x in ("bytes", "words", "bits")))
+    every = base.join(unknown, "name", "left").join(sums, "id", "left")
+    return every.select("id", *(F.expr(f"pow(2D, -(bits + words * coalesce(z_{v}, 0D) + coalesce(sum_{v}, 0D)) / bytes) as p_{v}") for v in "nt"))
 
 
 def thresholds(trusted: DataFrame, share: float, slack: float, lang: str = "lang") -> DataFrame:
@@ -165,16 +316,32 @@ def classified(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: s
     ``trusted`` holds keys of trusted rows; the model is trained on all their
     text. A row is rejected if its perplexity exceeds its language's threshold:
     ``slack`` times the ``share`` quantile of that language's trusted rows, or
-    of all trusted rows where the language has none. Null or empty texts have
-    no perplexity and are accepted, as are all rows without trusted text. Rows
-    that repeat are scored each; columns named as a new one are replaced.
+    of all trusted rows where the language has none. For thresholds, one
+    trusted text in ``FOLDS`` (picked by its hash, so that copies go together)
+    is measured by the counts of the others, since a text that is counted
+    itself looks too good; where that leaves none, trusted rows are measured by
+    all counts. Null or empty texts have no perplexity and are accepted, as are
+    all rows without trusted text. Rows that repeat are scored each; columns
+    named as a new one are replaced.
     """
     docs = docs.drop(*(c for c in ("perplexity", "threshold", "accepted") if c in docs.columns))
-    models = trained(trusted_rows(docs, trusted, key), text, lang)
-    score = scored(docs, models, text, lang)
-    known = scored(trusted_rows(docs.select(key, text, lang), trusted, key), models, text, lang)
-    cuts = written(thresholds(known.select(lang, "perplexity"), share, slack, lang), "cuts")
-    everywhere = cuts.where(F.col("__lang") == ALL).first()
+    tables, names = trained(trusted_rows(docs, trusted, key), text, lang)
+    if not tables:
+        return docs.withColumns({"perplexity": F.lit(None).cast("double"), "threshold": F.lit(None).cast("double"), "accepted": F.lit(True)})
+    own = F.broadcast(docs.sparkSession.createDataFrame([(x, x) for x in names], "__lang string, __own string"))
+    named = docs.join(own, F.col(lang).cast("string") == F.col("__lang"), "left").withColumn("__name", F.coalesce("__own", F.lit(ALL))).drop("__lang", "__own")
+    named = named.withColumn("__id", F.xxhash64("__name", F.col(text)))
+    rows = named.select(F.col("__id").alias("id"), F.col("__name").alias("name"), F.col(text).alias("text"), F.col(key).alias("__key"), F.col(lang).cast("string").alias("__lang"))
+    good = trusted_rows(rows, trusted.select(F.col(key).alias("__key")), "__key").withColumn("held", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(FOLDS)) == 0)
+    pooled = not rows.where(F.col("name") == ALL).isEmpty()
+    found = written(perplexities(rows, good, tables, pooled), "perplexities")
+    known = written(good.select("id", F.col("__lang"), "held").join(found, "id"), "known")
+    within = written(thresholds(known.where("held").select("__lang", F.col("p_t").alias("perplexity")), share, slack, "__lang"), "cuts")
+    everywhere = within.where(F.col("__lang") == ALL).first()
+    if everywhere is None or everywhere["threshold"] is None or known.where("not held").isEmpty():
+        within = written(thresholds(known.select("__lang", F.col("p_n").alias("perplexity")), share, slack, "__lang"), "cuts")
+        everywhere = within.where(F.col("__lang") == ALL).first()
     limit = F.lit(everywhere["threshold"] if everywhere else None).cast("double")
-    out = score.join(cuts.where(F.col("__lang") != ALL), F.col(lang).cast("string") == F.col("__lang"), "left").drop("__lang").withColumn("threshold", F.coalesce("threshold", limit))
+    out = named.join(found.select(F.col("id").alias("__id"), F.col("p_n").alias("perplexity")), "__id", "left").drop("__id", "__name")
+    out = out.join(F.broadcast(within.where(F.col("__lang") != ALL)), F.col(lang).cast("string") == F.col("__lang"), "left").drop("__lang").withColumn("threshold", F.coalesce("threshold", limit))
     return out.withColumn("accepted", ~F.coalesce(F.col("perplexity") > F.col("threshold"), F.lit(False)))

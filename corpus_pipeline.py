@@ -37,9 +37,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component stays, that with the least ``row_key``; of rows equal in id and text, one."""
+    """One row of each component stays, that with the least ``row_key``; of rows equal in id and text, one. Links are of five-word shingles, at a similarity of 0.8."""
     keyed = docs.select(row_key().alias("key"), "text")
-    found = written(ngram_join.components(keyed, "key", "text"), "components")
+    found = written(ngram_join.components(keyed, "key", "text", k=5, percent=80), "components")
     kept = _without(docs, found.where("key != component_id").select("key").distinct())
     repeated = written(found.groupBy("key").count().where("count > 1").select("key"), "repeated")
     if repeated.isEmpty():

@@ -80,6 +80,28 @@ def test_components_equal_brute_force(spark):
     assert ngram_join.components(empty_docs(spark)).count() == 0
 
 
+def test_near_copy_stage_equals_brute_force(spark):
+    base = prose(200, 71).split()
+    texts = [" ".join(base)] + [" ".join(base[:60] + [f"new{n}x{j}" for j in range(n)] + base[60:]) for n in (27, 38, 60)] + [" ".join(f"odd{i}" if i % 45 == 20 else w for i, w in enumerate(base))]
+    texts += near_copies(30, 72, 3, 120) + [prose(60, 80 + i) for i in range(10)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    sets = [shingle_set(t, 5) for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    alike = lambda a, b: (same := len(sets[a] & sets[b])) / (len(sets[a]) + len(sets[b]) - same)
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if alike(a, b) >= 0.8:
+            parent[max(find(a), find(b))] = min(find(a), find(b))
+    assert any(0.8 <= alike(a, b) < 0.85 for a, b in itertools.combinations(range(5), 2))
+    got = {r["doc_id"] for r in corpus_pipeline.ngram_jaccard_join(spark, docs, SF).collect()}
+    assert got == {find(i) for i in range(len(texts))}
+
+
 def test_contamination_equals_brute_force(spark):
     item = prose(40, 9)
     words = item.split()

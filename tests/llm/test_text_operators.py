@@ -156,6 +156,26 @@ def test_nearest(spark):
     assert ann.nearest(df.limit(0), lambda key: key % 20 == 0).count() == 0
 
 
+def test_underestimated_copies_stay():
+    r = np.random.default_rng(2)
+    v = r.standard_normal((900, 16)).astype(np.float32)
+    v[300:600] = v[300] * 3
+    ids, query, wide = r.permutation(900).astype(np.int64), v[300], np.full(900, 0.1, np.float32)
+    guess = (v @ query).astype(np.float32)
+    guess[300:600] -= 1
+    found, scores = ann.best_in_block(query, int(ids[300]), guess, wide, ids, v, 20)
+    assert found.tolist() == np.sort(ids[301:600])[:20].tolist() and np.allclose(scores, float(query @ query), rtol=1e-5)
+
+
+def test_nearest_among_copies(spark):
+    r = np.random.default_rng(4)
+    v = r.standard_normal((1200, 32)).astype(np.float32)
+    v[200:600] = v[200] + np.float32(0.2) * v[1]
+    df = spark.createDataFrame([(i, [float(x) for x in v[i]]) for i in range(1200)], "vec_id long, embedding array<float>")
+    got = Counter(x["query_id"] for x in ann.nearest(df, lambda key: key % 20 == 0, k=20, block=600, queries_block=30).collect())
+    assert got == {q: 20 for q in range(0, 1200, 20)}
+
+
 def test_model_learns_a_pair(spark):
     r = np.random.default_rng(1)
     rows, labels = [], []

@@ -5,6 +5,7 @@ from tests.conftest import SF
 from tidemill.functions.types import SchemaError
 from tidemill.operators import failures, ledger, mutate, nested, timeseries
 from tidemill.operators.spec import TableSpec, field, tag, timestamp
+from tidemill.plans import coercions
 from tidemill.sources import generate
 from tidemill.sources.store import TableStore, WriteError, scratch_folder
 from tidemill.streaming import jobs
@@ -135,3 +136,9 @@ def test_stream_replay_leaves_counts(spark):
     for _ in range(2):
         rows, counted = jobs.append_stream(stream(), spec, root)
         assert rows.count() == n == counted.agg(F.sum("affected_rows")).first()[0]
+
+
+def test_conform_strict_keeps_large_part_keys(spark, tmp_path):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    lines.limit(3).withColumn("l_partkey", F.lit(200_000).cast(lines.schema["l_partkey"].dataType)).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert [r["part"] for r in coercions.conform_strict(spark, str(tmp_path)).collect()] == [200_000] * 3

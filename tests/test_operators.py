@@ -5,7 +5,7 @@ from tests.conftest import SF
 from tidemill.functions.types import SchemaError
 from tidemill.operators import failures, ledger, mutate, nested, timeseries
 from tidemill.operators.spec import TableSpec, field, tag, timestamp
-from tidemill.plans import coercions
+from tidemill.plans import coercions, streams
 from tidemill.sources import generate
 from tidemill.sources.store import TableStore, WriteError, scratch_folder
 from tidemill.streaming import jobs
@@ -142,3 +142,20 @@ def test_conform_strict_keeps_large_part_keys(spark, tmp_path):
     lines = spark.read.parquet(f"{SF}/lineitem.parquet")
     lines.limit(3).withColumn("l_partkey", F.lit(200_000).cast(lines.schema["l_partkey"].dataType)).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
     assert [r["part"] for r in coercions.conform_strict(spark, str(tmp_path)).collect()] == [200_000] * 3
+
+
+def test_reconciled_stream_of_files_in_mixed_order(spark, tmp_path):
+    for day in (29, 3, 17, 0):
+        rows = spark.range(10).selectExpr(f"id + {day * 10} as request_id", f"timestamp'2024-01-01' + make_interval(0, 0, 0, {day}, 0, 0, id) as sent_at")
+        rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/sent")
+    sent = jobs.file_stream(spark, f"{tmp_path}/sent", files_per_batch=1)
+    acks = jobs.file_stream(spark, f"{tmp_path}/sent", files_per_batch=1).where("request_id % 5 <> 0").selectExpr("request_id", "sent_at + interval 30 seconds as acked_at")
+    got = jobs.reconciled_stream(sent, acks, "5 minutes").where("acked_at is not null").select("request_id").collect()
+    requests = spark.read.parquet(f"{tmp_path}/sent")
+    batch = ledger.pending(requests, requests.where("request_id % 5 <> 0"))
+    assert sorted(r[0] for r in got) == sorted({r[0] for r in requests.select("request_id").collect()} - {r[0] for r in batch.select("request_id").collect()})
+
+
+def test_ack_reconcile_stream_has_every_request(spark):
+    got = {r["request_id"]: r["acked_at"] for r in streams.ack_reconcile_stream(spark, SF).collect()}
+    assert len(got) == spark.read.parquet(f"{SF}/events.parquet").count() and all((at is None) == (i % 17 == 0) for i, at in got.items())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.spec import TableSpec, field, tag, timestamp
 from ..streaming import jobs
 from .landing import POINT
-from .registry import query
+from .registry import query, table
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str, time: str) -> DataFrame:
@@ -53,4 +53,7 @@ def ack_reconcile_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _stream(spark, sf_dir, "events", "ts")
     sent = events.select(F.col("event_id").alias("request_id"), F.col("ts").alias("sent_at"))
     acks = events.where("event_id % 17 <> 0").select(F.col("event_id").alias("request_id"), (F.col("ts") + F.expr("interval 30 seconds")).alias("acked_at"), "value")
-    return jobs.reconciled_stream(sent, acks, "5 minutes")
+    found = jobs.reconciled_stream(sent, acks, "5 minutes")
+    every = table(spark, sf_dir, "events").select(F.col("event_id").alias("request_id"), F.col("ts").alias("sent_at"))
+    pending = every.join(found.select("request_id"), "request_id", "left_anti")
+    return found.unionByName(pending, allowMissingColumns=True)

@@ -91,12 +91,14 @@ def flow(stream: DataFrame, ts: str, by: list[str], expire_after: str, window: s
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*measures), "batch").alias("m")).select(*keys, "m.*")
 
 
-def reconciled_stream(requests: DataFrame, acks: DataFrame, timeout: str, late: str = "1 day") -> DataFrame:
+def reconciled_stream(requests: DataFrame, acks: DataFrame, timeout: str, late: str = "31 days") -> DataFrame:
     """Requests with the acks that came within ``timeout``; unanswered ones once the watermark has passed them.
 
-    Both sides have ``request_id``; ``sent_at`` and ``acked_at`` are their event times. The newest
-    unanswered requests stay in state when the stream ends, so a batch
-    ``pending`` is the authority.
+    Both sides have ``request_id``; ``sent_at`` and ``acked_at`` are their event times. ``late`` has to
+    cover the span of the input, as files need not come in the order of their
+    times. Unanswered requests sent less than ``late`` and ``timeout`` before
+    the newest event stay in state when the stream ends, so a batch ``pending``
+    is the authority.
     """
     spark = requests.sparkSession
     root = scratch_folder(spark, "acks")

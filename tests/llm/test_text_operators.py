@@ -35,6 +35,11 @@ def test_words_equal_regular_expressions(texts, kind, limit):
             assert len(words) == len(hashes)
             for w, h in zip(words, hashes, strict=True):
                 assert seen.setdefault(w, h) == h
+            plain, begin, end = found.joined()
+            mine = slice(found.first[k], found.first[k + 1])
+            assert [plain[b:e].tobytes().decode() for b, e in zip(begin[mine], end[mine], strict=True)] == words
+            assert not words or plain[begin[mine][0] : end[mine][-1]].tobytes().decode() == " ".join(words)
+            assert dict(zip((w.encode()[:4] for w in words), found.prefixes(4)[mine].tolist(), strict=True)).keys() == {w.encode()[:4] for w in words}
     assert len(set(seen.values())) == len(seen)
 
 
@@ -53,8 +58,14 @@ def near_copies(n, base, seed, words):
     return out
 
 
+def thue_morse(n, first):
+    """A word on which sums of powers of any odd base agree, modulo 2^64, with those of its complement."""
+    return "".join("ab"[(i.bit_count() + first) % 2] for i in range(n))
+
+
 def test_components_equal_brute_force(spark):
     texts = near_copies(60, 1, 1, 120) + near_copies(40, 2, 2, 60) + [prose(80, 50 + i) for i in range(20)] + ["same words here"] * 5 + ["Same  WORDS here"]
+    texts += [" ".join([*prose(40, 90).split(), thue_morse(2048, k), *prose(40, 91).split()]) for k in (0, 1)] + [thue_morse(1024, k) for k in (0, 1)]
     rows = [(1000 - i, t, None, None, None) for i, t in enumerate(texts)]
     docs = edge_docs(spark).union(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
     docs = docs.withColumns({"row": F.lit(1), "token": F.lit(2), "n": F.lit(3), "label": F.lit(4)})
@@ -105,15 +116,15 @@ def test_near_copy_stage_equals_brute_force(spark):
 def test_contamination_equals_brute_force(spark):
     item = prose(40, 9)
     words = item.split()
-    items = [(1, item), (2, "  two Words, "), (3, None), (4, "..."), (5, item), (10, " ".join(words[20:33])), (None, prose(20, 4)), (6, prose(14, 77))]
-    docs = [(1, f"start {item} end"), (2, " ".join(words[:12])), (3, " ".join(words[5:18]).upper() + " tail" * 300), (4, "x two words y two-words"), (5, None), (6, ""), (7, " ".join(words[3:30] + words[10:25])), (7, item), (None, item), (8, prose(20_000, 6) + " " + item)]
+    items = [(1, item), (2, "  two Words, "), (3, None), (4, "..."), (5, item), (10, " ".join(words[20:33])), (None, prose(20, 4)), (6, prose(14, 77)), (9, thue_morse(2048, 0)), (11, "a " + thue_morse(1024, 1) + " b")]
+    docs = [(20, thue_morse(2048, 1)), (21, f"x {thue_morse(2048, 0)} y"), (22, f"a {thue_morse(1024, 0)} b"), (23, prose(20, 4)), (1, f"start {item} end"), (2, " ".join(words[:12])), (3, " ".join(words[5:18]).upper() + " tail" * 300), (4, "x two words y two-words"), (5, None), (6, ""), (7, " ".join(words[3:30] + words[10:25])), (7, item), (None, item), (8, prose(20_000, 6) + " " + item)]
     d = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"row": F.lit(0), "items": F.lit(1), "words": F.lit(2)})
     i = spark.createDataFrame(items, "item_id long, text string").withColumns({"parts": F.lit(1)})
     windows = {}
     for k, t in items:
         w = MARKED.findall((t or "").translate(LOWER))
-        for at in range(max(1, len(w) - 12) if w and k is not None else 0):
-            windows.setdefault(tuple(w[at : at + 13]), set()).add(str(k))
+        for at in range(max(1, len(w) - 12) if w else 0):
+            windows.setdefault(tuple(w[at : at + 13]), set()).update([] if k is None else [str(k)])
     expected = Counter()
     for k, t in docs:
         w, hit, mine = MARKED.findall((t or "").translate(LOWER)), set(), set()

@@ -5,7 +5,9 @@ document as a whole. A window's shingles are ordered by how often they occur
 in the corpus and the rarest is its prefix: a document that contains the
 window contains that shingle, so the join is on it alone. Where it occurs
 gives the only place at which the window can stand, which is checked against
-the document's bounds (length and position) and then word by word.
+the document's bounds (length and position) and then word by word, on the
+words themselves. The words around a shingle leave the scan with it, so no
+document is read or joined again.
 """
 
 from __future__ import annotations
@@ -18,82 +20,88 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .store import written
+from .store import dropped, written
 
-#: Bits of the filter that keeps shingles which no item has from leaving their task. It is of this size whatever the number of items.
-FILTER_BITS = 1 << 24
-
-
-def _bit(hashes: np.ndarray, mask: int) -> np.ndarray:
-    return (hashes & T.U(mask)).astype(np.int64)
+#: The filter that keeps shingles which no item has from leaving their task has so many bits a shingle, of these sizes at least and at most. A fuller one lets more through, with the same result.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 26
 
 
 def item_windows(items: DataFrame, key: str, text: str, window: int, shingle: int) -> DataFrame:
-    """Distinct windows: ``words`` (hashes), ``parts`` (hash of each shingle, by place), ``size``, and the items that have them."""
+    """A row per item and place: ``item, words`` (joined by spaces), ``size`` and ``parts`` (hash of each shingle, by place)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, data, bounds in T.chunks(batch["__text"]):
                 found = T.words(data, bounds, T.MARKS)
+                plain, begin, end = found.joined()
                 sizes = np.diff(found.first)
                 of = np.repeat(np.arange(len(sizes)), np.where(sizes > 0, np.maximum(sizes - window + 1, 1), 0))
-                begin = found.first[of] + np.arange(len(of)) - np.searchsorted(of, of)
+                first = found.first[of] + np.arange(len(of)) - np.searchsorted(of, of)
                 wide = np.minimum(sizes[of], window)
                 narrow = np.minimum(wide, shingle)
-                runs = {int(n): T.runs(found.hash, int(n)) for n in np.unique(narrow)}
-                words = [found.hash[b : b + w].view(np.int64) for b, w in zip(begin, wide, strict=True)]
-                parts = [runs[int(s)][b : b + w - s + 1].view(np.int64) for b, w, s in zip(begin, wide, narrow, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch["__key"].slice(at, len(sizes)).take(pa.array(of)), pa.array(words, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int64()))], names=["item", "words", "parts"])
+                runs = {int(n): T.runs(found.hash, int(n)).view(np.int64) for n in np.unique(narrow)}
+                words = [plain[begin[b] : end[b + w - 1]].tobytes() for b, w in zip(first, wide, strict=True)]
+                parts = [runs[int(s)][b : b + w - s + 1] for b, w, s in zip(first, wide, narrow, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch["__key"].slice(at, len(sizes)).take(pa.array(of)), pa.array(words, pa.binary()).cast(pa.string()), pa.array(wide.astype(np.int32)), pa.array(parts, pa.list_(pa.int64()))], names=["item", "words", "size", "parts"])
 
     kind = items.schema[key].dataType.simpleString()
-    rows = items.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.col(text).alias("__text"))
-    cuts = rows.mapInArrow(cut, f"item {kind}, words array<long>, parts array<long>")
-    return cuts.groupBy("words").agg(F.first("parts").alias("parts"), F.collect_set("item").alias("items")).withColumn("size", F.size("words"))
+    rows = items.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
+    return rows.mapInArrow(cut, f"item {kind}, words string, size int, parts array<long>")
 
 
-def _filter(windows: DataFrame) -> bytes:
-    """``FILTER_BITS`` bits, set at each shingle's hash; made up of pieces, so that the driver gets as many bytes at most."""
-    bits = np.zeros(FILTER_BITS, bool)
-    at = F.expr(f"part & {FILTER_BITS - 1}")
-    pieces = windows.select(F.explode("parts").alias("part")).select(at.alias("bit")).distinct().groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("mask"))
+def _filter(windows: DataFrame) -> np.ndarray:
+    """A bit at each shingle's hash; made up of 64-bit pieces, so that the driver gets as many bytes at most."""
+    parts = windows.select(F.explode("parts").alias("part"))
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * parts.count()).bit_length()))
+    pieces = parts.select(F.expr(f"part & {bits - 1}").alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("mask"))
+    out = np.zeros(bits // 64, np.int64)
     for row in pieces.collect():
-        bits[row["word"] * 64 : row["word"] * 64 + 64] = np.unpackbits(np.array([row["mask"]], np.int64).view(np.uint8), bitorder="little").astype(bool)
-    return np.packbits(bits).tobytes()
+        out[row["word"]] = row["mask"]
+    return out.view(np.uint8)
+
 
+def scanned(docs: DataFrame, key: str, text: str, windows: DataFrame, window: int, shingle: int) -> DataFrame:
+    """A row per document, ``row, id, n_words``, and one per place where a shingle may be an item's.
 
-def scanned(docs: DataFrame, key: str, text: str, windows: DataFrame, shingle: int) -> DataFrame:
-    """Per row: ``row, id, n_words``; where one of its shingles may be an item's, ``words`` and the places and hashes of those."""
+    The latter have no id but ``place, part`` (its hash), and ``around``, the
+    words that a window over it may have, of which ``before`` precede it.
+    """
     lengths = sorted(r[0] for r in windows.select(F.least("size", F.lit(shingle))).distinct().collect())
     known = docs.sparkSession.sparkContext.broadcast(_filter(windows))
+    kind = docs.schema[key].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(known.value, np.uint8)).astype(bool)
+        bits = known.value
+        mask = T.U(8 * len(bits) - 1)
         for batch in batches:
             for at, data, bounds in T.chunks(batch["__text"]):
                 found = T.words(data, bounds, T.MARKS)
-                sizes, n = np.diff(found.first), len(bounds) - 1
-                of_word = np.repeat(np.arange(n), sizes)
-                rows, places, parts = [], [], []
+                n, part = len(bounds) - 1, batch.slice(at, len(bounds) - 1)
+                sizes = pa.array(np.diff(found.first).astype(np.int64))
+                blank = [pa.nulls(n, t) for t in (pa.int32(), pa.int64(), pa.int32(), pa.string())]
+                yield pa.RecordBatch.from_arrays([part["__row"], part["__key"], sizes, *blank], names=["row", "id", "n_words", "place", "part", "before", "around"])
+                of = np.repeat(np.arange(n), np.diff(found.first))
+                places, parts = [np.zeros(0, np.int64)], [np.zeros(0, T.U)]
                 for length in lengths:
                     runs = T.runs(found.hash, length)
-                    hit = np.flatnonzero(bits[_bit(runs, FILTER_BITS - 1)])
-                    hit = hit[of_word[hit] == of_word[hit + length - 1]] if len(hit) else hit
-                    rows.append(of_word[hit])
-                    places.append(hit - found.first[of_word[hit]])
-                    parts.append(runs[hit].view(np.int64))
-                rows, places, parts = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, places, parts))
-                order = np.argsort(rows, kind="stable")
-                count = np.bincount(rows.astype(np.int64), minlength=n)
-                kept = np.where(count > 0, sizes, 0)
-                part = batch.slice(at, n)
+                    spot = (runs & mask).astype(np.int64)
+                    hit = np.flatnonzero(bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1)
+                    hit = hit[of[hit] == of[hit + length - 1]]
+                    places.append(hit)
+                    parts.append(runs[hit])
+                place, runs = np.concatenate(places), np.concatenate(parts)
+                if not len(place):
+                    continue
+                plain, begin, end = found.joined()
+                low, high = np.maximum(found.first[of[place]], place - window + 1), np.minimum(found.first[of[place] + 1], place + window)
+                around = pa.array([plain[b:e].tobytes() for b, e in zip(begin[low], end[high - 1], strict=True)], pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [part["__row"], part["__key"], pa.array(sizes.astype(np.int64)), T.lists(found.hash[(count > 0)[of_word]].view(np.int64) if len(of_word) else np.zeros(0, np.int64), kept), T.lists(places[order].astype(np.int32), count), T.lists(parts[order], count)],
-                    names=["row", "id", "n_words", "words", "places", "parts"],
+                    [part["__row"].take(pa.array(of[place])), pa.nulls(len(place), part["__key"].type), pa.nulls(len(place), pa.int64()), pa.array((place - found.first[of[place]]).astype(np.int32)), pa.array(runs.view(np.int64)), pa.array((place - low).astype(np.int32)), around],
+                    names=["row", "id", "n_words", "place", "part", "before", "around"],
                 )
 
-    kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"), F.monotonically_increasing_id().alias("__row"))
-    return rows.mapInArrow(scan, f"row long, id {kind}, n_words long, words array<long>, places array<int>, parts array<long>")
+    return rows.mapInArrow(scan, f"row long, id {kind}, n_words long, place int, part long, before int, around string")
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = 13, shingle: int = 5, percent: int = 5) -> DataFrame:
@@ -104,25 +112,29 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     item of fewer words than ``window`` is one window, one without words none.
     ``contaminated``: n_hit > 0 and 100 n_hit >= percent n_words. ``items`` are
     the keys, sorted as strings, of items with an occurring window. A null or
-    empty text has no words; items with a null key take no part; equal items
-    and repeated rows count each under their keys; without items nothing is
-    hit. Only places that may begin an item's shingle leave the scan.
+    empty text has no words; windows of items with a null key hit words but
+    are not listed; equal items and repeated rows count each under their keys;
+    without items nothing is hit. Only places that may begin an item's shingle
+    leave the scan.
     """
-    windows = written(item_windows(items, item_key, item_text, window, shingle), "windows")
-    rows = written(scanned(docs, key, text, windows, shingle), "scanned")
-    marked = rows.where(F.size("parts") > 0)
-    spots = marked.select("row", F.explode(F.arrays_zip("places", "parts")).alias("x")).select("row", F.col("x.places").alias("place"), F.col("x.parts").alias("part"))
-    counts = spots.groupBy("part").agg(F.count("*").alias("docs"))
-    rarity = windows.select("words", "items", F.posexplode("parts").alias("at", "part")).join(counts, "part", "left")
-    prefix = rarity.groupBy("words", "items").agg(F.min(F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "at", "part")).alias("rare"))
-    prefix = written(prefix.where("rare.docs > 0").select(F.col("rare.part").alias("part"), F.col("rare.at").alias("at"), "words", "items", F.size("words").alias("size")), "prefix")
-    starts = spots.join(prefix, "part").withColumn("start", F.col("place") - F.col("at")).where("start >= 0")
-    starts = starts.select("row", "start", "size", F.col("words").alias("window"), "items")
-    of = marked.select("row", "n_words", "words")
-    placed = starts.join(of, "row").where((F.col("start") + F.col("size") <= F.col("n_words")) & (F.slice("words", F.col("start") + 1, F.col("size")) == F.col("window")))
-    per = placed.groupBy("row").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end"))).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    cuts = written(item_windows(items, item_key, item_text, window, shingle), "cuts")
+    windows = written(cuts.groupBy("words").agg(F.first("size").alias("size"), F.first("parts").alias("parts")).withColumn("window", F.monotonically_increasing_id()), "windows")
+    rows = written(scanned(docs, key, text, windows, window, shingle), "scanned")
+    spots = rows.where("part is not null").select("row", "place", "part", "before", "around")
+    counts = spots.groupBy("part").agg(F.count("*").alias("places"))
+    rarity = windows.select("window", F.posexplode("parts").alias("at", "part")).join(counts, "part", "left")
+    rarest = rarity.groupBy("window").agg(F.min(F.struct(F.coalesce("places", F.lit(0)).alias("places"), "at", "part")).alias("rare")).where("rare.places > 0")
+    prefix = written(rarest.select("window", F.col("rare.part").alias("part"), F.col("rare.at").alias("at")).join(windows.select("window", "words", "size"), "window"), "prefix")
+    starts = spots.join(prefix, "part").where("before >= at")
+    same = F.array_join(F.slice(F.split("around", " "), F.col("before") - F.col("at") + 1, F.col("size")), " ") == F.col("words")
+    start = F.col("place") - F.col("at")
+    placed = written(starts.where(same).select("row", "window", start.alias("start"), (start + F.col("size")).alias("end")), "placed")
+    spans = placed.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     covered = F.expr("aggregate(array_sort(spans), struct(0L as n, 0 as until), (s, x) -> struct(s.n + greatest(0, x.end - greatest(x.start, s.until)) as n, greatest(s.until, x.end) as until), s -> s.n)")
-    per = per.select("row", covered.cast("long").alias("n_hit"), F.array_sort(F.transform("items", lambda x: x.cast("string"))).alias("items"))
-    out = rows.select("row", "id", "n_words").join(per, "row", "left")
+    owners = cuts.where("item is not null").select("item", "words").distinct().join(windows.select("words", "window"), "words").select("window", F.col("item").cast("string").alias("item"))
+    listed = placed.select("row", "window").distinct().join(owners, "window").groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    per = written(spans.select("row", covered.cast("long").alias("n_hit")).join(listed, "row", "left"), "hits")
+    dropped(placed, prefix)
+    out = rows.where("part is null").select("row", "id", "n_words").join(per, "row", "left")
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select(F.col("id").alias(key), "n_words", hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((hit > 0) & (100 * hit >= percent * F.col("n_words"))).alias("contaminated"))

@@ -160,7 +160,7 @@ _DECONTAMINATION_SQL = f"""
 WITH dw AS (
   SELECT row_number() OVER () AS r, doc_id, {_CUT} AS w FROM documents
 ), iw AS (
-  SELECT item_id, {_CUT} AS w FROM benchmark WHERE item_id IS NOT NULL
+  SELECT item_id, {_CUT} AS w FROM benchmark
 ), win AS (
   SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[k:k + 12], ' ') AS t
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM iw WHERE len(w) > 0)
@@ -172,7 +172,7 @@ WITH dw AS (
 ), hit AS (
   SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM found) GROUP BY r
 ), items AS (
-  SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM found) GROUP BY r
+  SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM found WHERE item_id IS NOT NULL) GROUP BY r
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

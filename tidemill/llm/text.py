@@ -2,13 +2,15 @@
 
 Spark hands a task Arrow batches; these helpers turn the UTF-8 bytes of a
 bounded slice of a batch into word hashes without a Python loop over words.
-Two sequences of words are taken as equal when their hashes are: within one
-document of a million words, a chance collision has odds of about 1 in 10^7.
+Hashes find candidates: two given words that differ have the same one with a
+chance of about 2^-64. Where an operator claims that texts share words, it
+compares the words themselves (``joined`` gives them).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -33,34 +35,57 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_BASE = 0x9E3779B97F4A7C15
-_BACK = pow(_BASE, -1, 1 << 64)
-_BYTE = mixed(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
-_POWERS: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
+_LENGTHS, _BLOCKS = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
+#: By length, which bytes of a block of eight belong to a word.
+_INSIDE = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
+#: Longer words, in bytes, are hashed one by one.
+_LONG = 256
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, _BACK)):
-            steps = np.full(max(n, CHUNK_BYTES), base, U)
-            steps[0] = 1
-            _POWERS[k] = np.multiply.accumulate(steps)
-    return _POWERS
+def _blocks(low: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of ``low``, which has eight more at its end, as one number."""
+    return np.lib.stride_tricks.as_strided(low[:8].view("<u8"), (len(low) - 7,), (1,))
+
+
+def word_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each word: its length, then its blocks of eight bytes in turn, each mixed in before the next."""
+    size, blocks = end - start, _blocks(low)
+    out = mixed(size.astype(U) * _LENGTHS)
+    some = np.arange(len(size)) if (size <= _LONG).all() else np.flatnonzero(size <= _LONG)
+    at = 0
+    while len(some):
+        left = size[some] - at
+        out[some] = mixed(out[some] ^ ((blocks[start[some] + at] & _INSIDE[np.minimum(left, 8)]) * _BLOCKS))
+        at += 8
+        some = some[left > 8]
+    for k in np.flatnonzero(size > _LONG):
+        out[k] = int.from_bytes(blake2b(low[start[k] : end[k]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 class Words(NamedTuple):
-    """Words of ``len(first) - 1`` texts: byte spans, hashes, each text's first word, and running sums that hashes come from."""
+    """Words of ``len(first) - 1`` texts: byte spans, hashes, each text's first word, and the bytes in lower case (eight more at the end)."""
 
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray
-    sums: np.ndarray
+    low: np.ndarray
 
     def prefixes(self, size: int) -> np.ndarray:
-        """Hash of each word's first ``size`` bytes; of the whole word where it is shorter."""
-        end = np.minimum(self.end, self.start + size)
-        return mixed((self.sums[end] - self.sums[self.start]) * _powers(len(self.sums))[1][self.start])
+        """Hash of each word's first ``size`` bytes (8 at most); of the whole word where it is shorter."""
+        return word_hashes(self.low, self.start, np.minimum(self.end, self.start + size))
+
+    def joined(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes, begin and end of each word in them): words in lower case, one space after each but the last of a text."""
+        last = np.zeros(len(self.start), bool)
+        last[self.first[1:][np.diff(self.first) > 0] - 1] = True
+        size = self.end - self.start + ~last
+        end = np.cumsum(size)
+        begin = end - size
+        out = self.low[np.repeat(self.start - begin, size) + np.arange(int(end[-1]) if len(end) else 0)]
+        out[end[~last] - 1] = 0x20
+        return out, begin, end - ~last
 
 
 def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -84,8 +109,9 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.
 def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray) -> Words:
     """Words are runs of bytes not in ``between``; A-Z count as a-z."""
     n = len(data)
-    low = LOWER[data]
-    inside = ~between[low]
+    low = np.zeros(n + 8, np.uint8)
+    low[:n] = LOWER[data]
+    inside = ~between[low[:n]]
     edge = np.zeros(n + 1, bool)
     edge[bounds] = True
     begins, ends = inside.copy(), inside.copy()
@@ -93,10 +119,7 @@ def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray) -> Words:
         begins[1:] &= ~inside[:-1] | edge[1:n]
         ends[:-1] &= ~inside[1:] | edge[1:n]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, U)
-    np.cumsum(_BYTE[low] * up[:n], out=sums[1:])
-    return Words(start, end, mixed((sums[end] - sums[start]) * down[start]), np.searchsorted(start, bounds), sums)
+    return Words(start, end, word_hashes(low, start, end), np.searchsorted(start, bounds), low)
 
 
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:

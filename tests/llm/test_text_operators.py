@@ -91,6 +91,21 @@ def test_components_equal_brute_force(spark):
     assert ngram_join.components(empty_docs(spark)).count() == 0
 
 
+def test_parts_lose_no_link(spark):
+    texts = [t for base in range(4) for t in near_copies(25, base, base + 1, 60 + 30 * base)] + [prose(n, 300 + n) for n in range(1, 30)] + [prose(n, 1) for n in range(55, 75)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    join = ngram_join.Join(docs, "doc_id", "text", 4, 85)
+    rows = join.rows.where("n > 0").select("row", "n", F.col("row").alias("label"), F.lit(0).alias("at"), F.lit(7).cast("long").alias("token"))
+    number = {x["row"]: x["id"] for x in join.rows.collect()}
+    met = {tuple(sorted((number[x["a"]], number[x["b"]]))) for x in join.alike_in_part(rows).collect()}
+    sets = [shingle_set(t) for t in texts]
+    links = {(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if 100 * (same := len(sets[a] & sets[b])) >= 85 * (len(sets[a]) + len(sets[b]) - same)}
+    assert len(links) > 200 and links <= met and len(met) < len(texts) ** 2 / 4
+    a, b = zip(*sorted(met), strict=True)
+    got = ngram_join.shared_words(pa.array([" ".join(SPACED.findall(texts[i].lower())).encode() for i in a]), pa.array([" ".join(SPACED.findall(texts[i].lower())).encode() for i in b]), 4, 85)
+    assert {p for p, linked in zip(sorted(met), got.tolist(), strict=True) if linked} == links
+
+
 def test_near_copy_stage_equals_brute_force(spark):
     base = prose(200, 71).split()
     texts = [" ".join(base)] + [" ".join(base[:60] + [f"new{n}x{j}" for j in range(n)] + base[60:]) for n in (27, 38, 60)] + [" ".join(f"odd{i}" if i % 45 == 20 else w for i, w in enumerate(base))]

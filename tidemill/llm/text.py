@@ -133,19 +133,18 @@ def runs(hashes: np.ndarray, k: int) -> np.ndarray:
     return mixed(total)
 
 
-def shingles(found: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, hash) of every ``k``-word shingle; a shorter text with words is one shingle as a whole."""
+def shingles(found: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, hash, first word) of every ``k``-word shingle; a shorter text with words is one shingle as a whole."""
     n = np.diff(found.first)
-    of = np.repeat(np.arange(len(n)), np.maximum(n - k + 1, 0))
-    begin = np.repeat(found.first[:-1], np.maximum(n - k + 1, 0))
-    step = np.arange(len(of)) - np.repeat(np.concatenate([[0], np.cumsum(np.maximum(n - k + 1, 0))[:-1]]).astype(np.int64), np.maximum(n - k + 1, 0))
-    every = runs(found.hash, k)
-    out = every[begin + step] if len(of) else np.zeros(0, U)
+    many = np.maximum(n - k + 1, 0)
+    of = np.repeat(np.arange(len(n)), many)
+    begin = found.first[:-1][of] + np.arange(len(of)) - (np.cumsum(many) - many)[of]
+    out = runs(found.hash, k)[begin] if len(of) else np.zeros(0, U)
     for m in range(1, k):
         if len(short := np.flatnonzero(n == m)):
-            part = runs(found.hash, m)[found.first[short]]
-            of, out = np.concatenate([of, short]), np.concatenate([out, part])
-    return of, out
+            at = found.first[short]
+            of, out, begin = np.concatenate([of, short]), np.concatenate([out, runs(found.hash, m)[at]]), np.concatenate([begin, at])
+    return of, out, begin
 
 
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:

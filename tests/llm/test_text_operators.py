@@ -255,7 +255,7 @@ def test_quality_keeps_prose_and_drops_junk(spark):
     by = {x["doc_id"]: x["accepted"] for x in got}
     assert not any(by[100 + i] for i in range(10)) and sum(by[i] for i in range(10, 90)) >= 78 and by[3] and by[4]
     assert quality.classified(empty_docs(spark), trusted).count() == 0
-    assert all(x["accepted"] and x["perplexity"] is None for x in quality.classified(docs, trusted.limit(0)).collect())
+    assert all(x["accepted"] and x["threshold"] is None for x in quality.classified(docs, trusted.limit(0)).collect())
 
 
 def test_quality_drops_shuffled_words(spark):
@@ -280,8 +280,8 @@ def test_word_probabilities_equal_a_loop(spark):
     good = ["a b a c b a", "b a b c", "c a b", "a a b d"]
     docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*good, "a b z", " c a", "zz"])], "doc_id long, text string, lang string")
     trusted = docs.where(F.col("doc_id") < len(good))
-    got = {x["doc_id"]: x["perplexity"] for x in quality.classified(docs, trusted.select("doc_id")).collect()}
-    table = quality.trained(trusted)[0][quality.ALL].astype(float)
+    got = {x["doc_id"]: x["perplexity"] for x in quality.classified(docs, trusted.select("doc_id"), shards=3).collect()}
+    table = quality.letter_table(trusted).astype(float)
     pairs = Counter(p for t in good for p in itertools.pairwise([None, *t.split()]))
     tails = Counter(c for _, c in pairs)
 

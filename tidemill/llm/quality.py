@@ -2,10 +2,11 @@
 
 Words and bigrams of all trusted text are counted by hash, and so is what
 follows and precedes each word; nothing of these tables is dropped, and they
-grow with the text. A document's distinct words and bigrams are joined to them
-on Spark. Under the words lies a model of letters: a trigram over characters
-folded to 64 symbols, of fixed size, which spells words that trusted text
-lacks and the blanks between words.
+grow with the text. Documents' distinct words and bigrams are joined to them
+on Spark, a shard of the hash range after another, which bounds the disk that
+a join takes. Under the words lies a model of letters: a trigram over
+characters folded to 64 symbols, of fixed size, which spells words that
+trusted text lacks and the blanks between words.
 """
 
 from __future__ import annotations
@@ -19,15 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .store import small, written
+from .store import SMALL_ROWS, dropped, small, written
 
 ORDER, SYMBOLS = 3, 64
 CELLS = SYMBOLS**ORDER
-#: Languages with letters of their own at most (words have no such limit), and the trusted characters one needs; all others share the model of all trusted text.
-MODELS, LEAST_CHARS = 32, 20_000
-ALL = "*"
 #: One in so many trusted texts is left out of the counts that set thresholds, and is measured with them.
 FOLDS = 5
+#: Bytes of text whose distinct n-grams leave a task together.
+SLICE = 1 << 23
+#: Shards at most, and words for one; words of one part of a shard, and n-grams of texts that meet it in one task.
+SHARDS, SHARD_WORDS, PART_WORDS, TASK_PAIRS = 8, 4_000_000, 8_000_000, 4_000_000
 
 #: Symbol of each byte. Letters 0-25, capitals 26, digits 27, blank, line end, other controls, then marks; bytes of other characters fold to 50-63.
 SYMBOL = np.full(256, 30, np.uint8)
@@ -55,41 +57,9 @@ def codes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def counted(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """``lang, code, n``: how often each trigram occurs in each language's text."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for name, total in held.items():
-                seen = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(seen), pa.string()), pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["lang", "code", "n"])
-            held.clear()
-
-        for batch in batches:
-            names = batch["lang"].to_pylist()
-            for at, data, bounds in T.chunks(batch["text"]):
-                found, sizes = codes(data, bounds), np.diff(bounds)
-                here = names[at : at + len(sizes)]
-                for name in sorted(set(here)):
-                    mine = np.repeat(np.array([x == name for x in here]), sizes)
-                    if name not in held and len(held) >= MODELS:
-                        yield from flush()
-                    held[name] = held.get(name, 0) + np.bincount(found[mine], minlength=CELLS)
-        yield from flush()
-
-    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(ALL)).alias("lang"), F.col(text).alias("text"))
-    return rows.mapInArrow(count, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-
-
 def discounts(counts: np.ndarray) -> np.ndarray:
-    """Modified Kneser-Ney discounts of counts 0, 1, 2, and 3 or more."""
-    return discounts_of(*(float((counts == k).sum()) for k in (1, 2, 3, 4)))
-
-
-def discounts_of(n1: float, n2: float, n3: float, n4: float) -> np.ndarray:
-    """Y, 2Y... of n1-n4, the numbers of n-grams counted once to four times, or a half per count where those are 0."""
+    """Modified Kneser-Ney discounts of counts 0, 1, 2, and 3 or more; half of that where too few counts are low."""
+    n1, n2, n3, n4 = (float((counts == k).sum()) for k in (1, 2, 3, 4))
     if min(n1, n2, n3) == 0:
         return np.array([0, 0.5, 0.75, 1.0])
     y = n1 / (n1 + 2 * n2)
@@ -109,239 +79,345 @@ def kneser_ney(counts: np.ndarray) -> np.ndarray:
     return np.log2(lower)
 
 
-def trained(trusted: DataFrame, text: str = "text", lang: str = "lang") -> tuple[dict[str, np.ndarray], list[str]]:
-    """Tables of letters, at most ``MODELS`` of 1 MB each, that of all trusted text under ``ALL``; and the languages with words of their own."""
-    counts = written(counted(trusted, text, lang), "counts")
-    sizes = counts.where(F.col("lang") != ALL).groupBy("lang").agg(F.sum("n").alias("chars")).where(F.col("chars") >= LEAST_CHARS)
-    names = [r["lang"] for r in sizes.orderBy(F.desc("chars"), "lang").collect()]
-    own = trusted.sparkSession.createDataFrame([(x,) for x in names[: MODELS - 1]], "lang string")
-    pooled = counts.groupBy("code").agg(F.sum("n").alias("n")).select(F.lit(ALL).alias("lang"), "code", "n")
-    every = counts.join(F.broadcast(own), "lang").select("lang", "code", "n").union(pooled)
+def letter_table(trusted: DataFrame) -> np.ndarray:
+    """log2 probabilities of letters, of fixed size, from all of ``trusted`` (text)."""
 
-    def table(group: pa.Table) -> pa.Table:
-        dense = np.zeros(CELLS, np.int64)
-        dense[np.asarray(group["code"])] = np.asarray(group["n"])
-        return pa.table({"lang": group["lang"][:1], "log2p": [kneser_ney(dense.reshape((SYMBOLS,) * ORDER)).astype(np.float32).tobytes()]})
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for _, data, bounds in T.chunks(batch["text"]):
+                total += np.bincount(codes(data, bounds), minlength=CELLS)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["code", "n"])
 
-    found = every.groupBy("lang").applyInArrow(table, "lang string, log2p binary").collect()
-    return {r["lang"]: np.frombuffer(r["log2p"], np.float32) for r in found}, names
+    dense = np.zeros(CELLS, np.int64)
+    for row in trusted.select("text").mapInArrow(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).collect():
+        dense[row["code"]] = row["n"]
+    return kneser_ney(dense.reshape((SYMBOLS,) * ORDER)).astype(np.float32).reshape(-1)
 
 
-def _salt(name: str) -> int:
-    return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little")
+def _salts(names: list[str]) -> np.ndarray:
+    known = {x: int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in set(names)}
+    return np.array([known[x] for x in names], T.U)
 
 
 def bigrams(found: T.Words, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text number, bigram, word before, word) of each word, as hashes that differ by the text's name; a text's first word follows a mark."""
-    n = np.diff(found.first)
+    n, salts = np.diff(found.first), _salts(names)
     of = np.repeat(np.arange(len(n)), n)
-    known = {x: _salt(x) for x in set(names)}
-    salts = np.array([known[x] for x in names], T.U)
     word = T.mixed(found.hash ^ salts[of])
     before = np.roll(word, 1)
-    begin = found.first[:-1][n > 0]
-    before[begin] = T.mixed(~salts[n > 0])
+    before[found.first[:-1][n > 0]] = T.mixed(~salts[n > 0])
     return of, T.mixed((before * T.U(0x9FB21C651E98DF25)) ^ word), before, word
 
 
-def letters(data: np.ndarray, bounds: np.ndarray, names: list[str], tables: dict[str, np.ndarray]) -> np.ndarray:
-    """log2 of each text's probability by the letters of its language."""
-    sizes = np.diff(bounds)
-    found, sums = codes(data, bounds), np.zeros(len(sizes))
-    here = np.array([x if x in tables else ALL for x in names])
-    for name in set(here.tolist()):
-        mine = here == name
-        some = mine & (sizes > 0)
-        if some.any():
-            bits = tables[name][found[np.repeat(mine, sizes)]]
-            sums[some] = np.add.reduceat(bits, np.concatenate([[0], np.cumsum(sizes[some])[:-1]]), dtype=np.float64)
-    return sums
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    return (keys >> T.U(48)) * T.U(shards) >> T.U(16)
 
 
-def spelled(data: np.ndarray, found: T.Words, of: np.ndarray, names: list[str], tables: dict[str, np.ndarray]) -> np.ndarray:
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return ((keys & T.U(0xFFFFFFFF)) * T.U(parts) >> T.U(32)).astype(np.int64)
+
+
+def word_bits(found: T.Words, table: np.ndarray) -> np.ndarray:
     """log2 of the probability of each word's letters, in lower case and apart from its neighbours."""
-    low = T.LOWER[data]
+    low = found.low[:-8]
     bounds = np.concatenate([[0], np.cumsum(found.end - found.start)]).astype(np.int64)
-    return letters(low[~T.SPACES[low]], bounds, [names[i] for i in of.tolist()], tables)
+    sums = np.concatenate([[0], np.cumsum(table[codes(low[~T.SPACES[low]], bounds)], dtype=np.float64)])
+    return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
-def _added(keys: tuple[np.ndarray, ...], *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(place of one row of each distinct ``keys``, sums of ``values`` over its rows)."""
+def _runs(keys: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(order of rows, where a run of equal ``keys`` begins in it)."""
     order = np.lexsort(keys)
-    if not len(order):
-        return order, list(values)
     new = np.ones(len(order), bool)
     new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
-    first = np.flatnonzero(new)
-    return order[first], [np.add.reduceat(v[order], first, dtype=v.dtype) for v in values]
+    return order, np.flatnonzero(new)
+
+
+def _added(values: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values[order], first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+
+
+def lexicon(trusted: DataFrame, letters) -> DataFrame:
+    """``w, name, bits`` of each language's words, and of the mark before its texts."""
 
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = batch["name"].to_pylist()
+            for at, data, bounds in T.chunks(batch["text"], SLICE):
+                found = T.words(data, bounds, T.SPACES)
+                names = every[at : at + len(bounds) - 1]
+                of, _, _, word = bigrams(found, names)
+                order, first = _runs((word,))
+                one = order[first]
+                marks = sorted(set(names))
+                keys = np.concatenate([word[one], T.mixed(~_salts(marks))]).view(np.int64)
+                bits = np.concatenate([word_bits(found, letters.value)[one], np.zeros(len(marks))]).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([names[i] for i in of[one].tolist()] + marks, pa.string()), pa.array(bits)], names=["w", "name", "bits"])
+
+    rows = trusted.select("name", "text").mapInArrow(listed, "w long, name string, bits float")
+    return rows.groupBy("w").agg(F.min("name").alias("name"), F.min("bits").alias("bits"))
 
-def word_counts(trusted: DataFrame, tables, pooled: bool) -> DataFrame:
-    """``key, name, b, c, bits, n, t`` per bigram of ``trusted`` (name, text, held): how often it occurs, and how often in texts not held out."""
+
+def bigram_counts(trusted: DataFrame, shard: int, shards: int) -> DataFrame:
+    """``key, b, c, n, t`` per bigram in a shard of ``trusted`` (name, text, held): how often it occurs, and how often in texts not held out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every, held = batch["name"].to_pylist(), np.asarray(batch["held"].cast(pa.int8()))
-            for at, data, bounds in T.chunks(batch["text"]):
-                found, n = T.words(data, bounds, T.SPACES), len(bounds) - 1
-                names = every[at : at + n]
-                of, key, b, c = bigrams(found, names)
-                bits = spelled(data, found, of, names, tables.value)
-                one, (total, train) = _added((key,), np.ones(len(key), np.int64), 1 - held[at : at + n][of].astype(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(key[one].view(np.int64)), pa.array(np.array(names, object)[of[one]], pa.string()), pa.array(b[one].view(np.int64)), pa.array(c[one].view(np.int64)), pa.array(bits[one].astype(np.float32)), pa.array(total), pa.array(train)], names=["key", "name", "b", "c", "bits", "n", "t"])
-
-    if pooled:
-        trusted = trusted.where(F.col("name") != ALL).union(trusted.withColumn("name", F.lit(ALL)))
-    rows = trusted.select("name", "text", "held").mapInArrow(count, "key long, name string, b long, c long, bits float, n long, t long")
-    return rows.groupBy("key").agg(F.min("name").alias("name"), F.min("b").alias("b"), F.min("c").alias("c"), F.min("bits").alias("bits"), F.sum("n").alias("n"), F.sum("t").alias("t"))
-
-
-def _cuts(table: DataFrame, of: dict[str, str]) -> DataFrame:
-    """Per ``name`` and column v of ``of`` its discounts ``{x}1_v`` to ``{x}3_v``, total ``{x}s_v`` and what is taken off ``{x}o_v``; a row per language."""
-    tally = [F.count_if(F.col(v) == k).alias(f"{v}{k}") for v in of for k in (1, 2, 3, 4)] + [F.count_if(F.col(v) >= 3).alias(f"{v}m") for v in of] + [F.sum(v).alias(f"{v}s") for v in of]
-    out = []
-    for r in table.groupBy("name").agg(*tally).collect():
-        line = [r["name"]]
-        for v in of:
-            d = discounts_of(*(float(r[f"{v}{k}"]) for k in (1, 2, 3, 4)))
-            line += [*map(float, d[1:]), float(r[f"{v}s"] or 0), float(d[1] * r[f"{v}1"] + d[2] * r[f"{v}2"] + d[3] * r[f"{v}m"])]
-        out.append(tuple(line))
-    return F.broadcast(table.sparkSession.createDataFrame(out, "name string, " + ", ".join(f"{x}{k}_{v} double" for v, x in of.items() for k in "123so")))
-
-
-def _less(v: str, cut: str) -> str:
+            every, held = batch["name"].to_pylist(), np.asarray(batch["held"].cast(pa.int8()), np.int64)
+            for at, data, bounds in T.chunks(batch["text"], SLICE):
+                n = len(bounds) - 1
+                of, key, b, c = bigrams(T.words(data, bounds, T.SPACES), every[at : at + n])
+                mine = np.flatnonzero(shard_of(key, shards) == T.U(shard))
+                of, key, b, c = of[mine], key[mine], b[mine], c[mine]
+                order, first = _runs((key,))
+                one, free = order[first], 1 - held[at : at + n][of]
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[one].view(np.int64)) for x in (key, b, c)), pa.array(_added(np.ones(len(key), np.int64), order, first)), pa.array(_added(free, order, first))], names=["key", "b", "c", "n", "t"])
+
+    rows = trusted.select("name", "text", "held").mapInArrow(count, "key long, b long, c long, n long, t long")
+    return rows.groupBy("b", "c").agg(F.min("key").alias("key"), F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+
+def word_counts(trusted: DataFrame, shards: int) -> DataFrame:
+    """Per word ``w`` and v of n (all trusted text) and t (without held-out texts): what follows it and precedes it.
+
+    ``s_v`` words follow it, ``a_v`` distinct ones, ``f1_v`` to ``f4_v`` of
+    these so many times; ``k_v`` distinct words precede it.
+    """
+    pieces = []
+    for shard in range(shards):
+        counts = bigram_counts(trusted, shard, shards)
+        ends = counts.select(F.col("b").alias("w"), "n", "t", F.lit(True).alias("e")).union(counts.select("c", "n", "t", F.lit(False)))
+        ways = [x for v in "nt" for x in (F.coalesce(F.sum(F.when(F.col("e"), F.col(v))), F.lit(0)).alias(f"s_{v}"), F.count_if(F.col("e") & (F.col(v) > 0)).alias(f"a_{v}"), *(F.count_if(F.col("e") & (F.col(v) == k)).alias(f"f{k}_{v}") for k in (1, 2, 3, 4)), F.count_if(~F.col("e") & (F.col(v) > 0)).alias(f"k_{v}"))]
+        pieces.append(written(ends.groupBy("w").agg(*ways), "ends"))
+    every = pieces[0]
+    for piece in pieces[1:]:
+        every = every.union(piece)
+    total = written(every.groupBy("w").agg(*(F.sum(c).alias(c) for c in every.columns[1:])), "words")
+    dropped(*pieces)
+    return total
+
+
+def _cuts(n: list[str], total: str, to: str) -> list[str]:
+    """Modified Kneser-Ney discounts ``{to}1`` to ``{to}3`` from the columns of numbers of n-grams counted once to four times, or a half per count where those are 0."""
+    n1, n2, n3, n4 = n
+    y = f"({n1} / ({n1} + 2 * {n2}))"
+    some = f"least({n1}, {n2}, {n3}) > 0"
+    raw = (f"1 - 2 * {y} * {n2} / {n1}", f"2 - 3 * {y} * {n3} / {n2}", f"3 - 4 * {y} * {n4} / {n3}")
+    return [f"if({some}, greatest(0.1D, least({k}D, {x})), {0.25 + 0.25 * k if k > 1 else 0.5}D) as {to}{k}" for k, x in enumerate(raw, 1)] + [f"cast({total} as double) as {to}s"]
+
+
+def _less(v: str, cut: str, which: str) -> str:
     """A count less its discount, not below 0."""
-    which = cut.split("_")
-    return f"greatest({v} - case when {v} >= 3 then {which[0]}3_{which[1]} when {v} = 2 then {which[0]}2_{which[1]} else {which[0]}1_{which[1]} end, 0D)"
+    return f"greatest({v} - case when {v} >= 3 then {cut}3_{which} when {v} = 2 then {cut}2_{which} else {cut}1_{which} end, 0D)"
+
+
+def _taken(one: str, two: str, more: str, cut: str, which: str) -> str:
+    """What discounts take off so many counts of one, two and more."""
+    return f"({cut}1_{which} * {one} + {cut}2_{which} * {two} + {cut}3_{which} * {more})"
 
 
-def word_model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``key, d_n, d_t, g_n, g_t`` of words and bigrams, and ``name, z_n, z_t`` of languages; n of all trusted text, t without held-out texts.
+def word_model(words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``w, name, s_v, d_v, g_v, one_v`` of each word, and ``name, z_v`` and discounts of each language, for v of n and t.
 
     A word that trusted text lacks has the probability of its letters times
     2^z. Known words add ``d`` where they occur and ``g``, the weight of their
-    context, where they come before another; known bigrams add ``d`` to that.
-    So only what trusted text has needs to be joined, and the sum is the log2
-    of the interpolated probability.
+    context, where they come before another; known bigrams add to that what
+    ``bigram_gains`` gives. So only what trusted text has needs to be joined,
+    and the sum is the log2 of the interpolated probability.
     """
-    both = _cuts(counts, {"n": "p", "t": "p"})
-    none = F.lit(None).cast("float")
-    ends = counts.select(F.col("b").alias("w"), "name", none.alias("bits"), "n", "t", F.lit(0).alias("e")).union(counts.select("c", "name", "bits", "n", "t", F.lit(1)))
-    before = [x for v in "nt" for x in (F.sum(F.when(F.col("e") == 0, F.col(v))).alias(f"sum_{v}"), *(F.count_if((F.col("e") == 0) & (F.col(v) == k)).alias(f"f{k}_{v}") for k in (1, 2)), F.count_if((F.col("e") == 0) & (F.col(v) >= 3)).alias(f"f3_{v}"))]
-    after = [F.count_if((F.col("e") == 1) & (F.col(v) > 0)).alias(f"k_{v}") for v in "nt"]
-    words = written(ends.groupBy("w").agg(F.min("name").alias("name"), F.min("bits").alias("bits"), *before, *after), "words")
-    single = _cuts(words.select("name", F.col("k_n").alias("n"), F.col("k_t").alias("t")), {"n": "q", "t": "q"})
-    rows = words.join(both, "name").join(single, "name")
+    tally = [x for v in "nt" for x in (F.sum(f"s_{v}").alias(f"s_{v}"), *(F.sum(f"f{k}_{v}").alias(f"f{k}_{v}") for k in (1, 2, 3, 4)), F.sum(f"k_{v}").alias(f"k_{v}"), *(F.count_if(F.col(f"k_{v}") == k).alias(f"k{k}_{v}") for k in (1, 2, 3, 4)), F.count_if(F.col(f"k_{v}") > 2).alias(f"m_{v}"))]
+    cuts = words.groupBy("name").agg(*tally)
     for v in "nt":
-        rows = rows.withColumn(f"g_{v}", F.expr(f"if(sum_{v} > 0, log2((p1_{v} * f1_{v} + p2_{v} * f2_{v} + p3_{v} * f3_{v}) / sum_{v}), 0D)"))
-        rows = rows.withColumn(f"z_{v}", F.expr(f"if(qs_{v} > 0, log2(qo_{v} / qs_{v}), 0D)"))
-        rows = rows.withColumn(f"one_{v}", F.expr(f"if(k_{v} > 0, log2({_less(f'k_{v}', f'q_{v}')} / qs_{v} + pow(2D, z_{v} + bits)), coalesce(z_{v} + bits, 0D))"))
-        rows = rows.withColumn(f"d_{v}", F.expr(f"coalesce(one_{v} - z_{v} - bits, 0D)"))
-    kept = [F.col(f"{x}_{v}").cast("float").alias(f"{x}_{v}") for x in ("d", "g", "one") for v in "nt"]
-    rows = written(rows.select("w", *kept, *(F.col(f"sum_{v}") for v in "nt")), "weights")
-    left = rows.select(F.col("w").alias("b"), "g_n", "g_t", "sum_n", "sum_t")
-    pairs = counts.select("key", "name", "b", "c", "n", "t").join(left, "b").join(rows.select(F.col("w").alias("c"), "one_n", "one_t"), "c").join(both, "name")
-    gain = [F.expr(f"cast(if({v} > 0, log2({_less(v, f'p_{v}')} / sum_{v} + pow(2D, g_{v} + one_{v})) - g_{v} - one_{v}, 0D) as float) as d_{v}") for v in "nt"]
-    zero = F.lit(0).cast("float")
-    model = rows.select(F.col("w").alias("key"), "d_n", "d_t", "g_n", "g_t").union(pairs.select("key", *gain, zero.alias("g_n"), zero.alias("g_t")))
-    return model, single.select("name", *(F.expr(f"if(qs_{v} > 0, log2(qo_{v} / qs_{v}), 0D) as z_{v}") for v in "nt"))
-
-
-def asked(docs: DataFrame) -> DataFrame:
-    """``id, key, m, f`` per row of ``docs`` (id, name, text) and distinct word or bigram: how often it occurs, and how often a word comes before another."""
+        both = [x + f"_{v}" for x in _cuts([f"f{k}_{v}" for k in (1, 2, 3, 4)], f"s_{v}", "p") + _cuts([f"k{k}_{v}" for k in (1, 2, 3, 4)], f"k_{v}", "q")]
+        cuts = cuts.selectExpr("*", *both).selectExpr("*", f"if(qs_{v} > 0, log2({_taken(f'k1_{v}', f'k2_{v}', f'm_{v}', 'q', v)} / qs_{v}), 0D) as z_{v}")
+    cuts = written(cuts.select("name", *(f"{x}_{v}" for x in ("z", "qs", "q1", "q2", "q3", "p1", "p2", "p3") for v in "nt")), "languages")
+    rows = words.join(small(cuts), "name")
+    for v in "nt":
+        rows = rows.withColumn(f"g_{v}", F.expr(f"if(s_{v} > 0, log2({_taken(f'f1_{v}', f'f2_{v}', f'(a_{v} - f1_{v} - f2_{v})', 'p', v)} / s_{v}), 0D)"))
+        rows = rows.withColumn(f"one_{v}", F.expr(f"if(k_{v} > 0, log2({_less(f'k_{v}', 'q', v)} / qs_{v} + pow(2D, z_{v} + bits)), z_{v} + bits)"))
+        rows = rows.withColumn(f"d_{v}", F.expr(f"one_{v} - z_{v} - bits"))
+    numbers = [F.col(f"{x}_{v}").cast("float").alias(f"{x}_{v}") for x in ("d", "g", "one") for v in "nt"]
+    return written(rows.select("w", "name", "s_n", "s_t", *numbers), "weights"), cuts
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            every, ids = batch["name"].to_pylist(), np.asarray(batch["id"])
-            for at, data, bounds in T.chunks(batch["text"]):
-                of, key, b, c = bigrams(T.words(data, bounds, T.SPACES), every[at : at + len(bounds) - 1])
-                one, zero = np.ones(len(of), np.int32), np.zeros(len(of), np.int32)
-                keys, texts = np.concatenate([key, c, b]), np.tile(of, 3)
-                place, (m, f) = _added((keys, texts), np.concatenate([one, one, zero]), np.concatenate([zero, zero, one]))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + len(bounds) - 1][texts[place]]), pa.array(keys[place].view(np.int64)), pa.array(m), pa.array(f)], names=["id", "key", "m", "f"])
 
-    return docs.select("id", "name", "text").mapInArrow(ask, "id long, key long, m int, f int")
+def bigram_gains(counts: DataFrame, weights: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``key, d_n, d_t`` per known bigram."""
+    left = weights.select(F.col("w").alias("b"), "name", "g_n", "g_t", "s_n", "s_t")
+    rows = counts.join(left, "b").join(weights.select(F.col("w").alias("c"), "one_n", "one_t"), "c").join(small(cuts), "name")
+    gain = [F.expr(f"cast(if({v} > 0, log2({_less(v, 'p', v)} / s_{v} + pow(2D, g_{v} + one_{v})) - g_{v} - one_{v}, 0D) as float) as d_{v}") for v in "nt"]
+    return rows.select("key", *gain)
+
 
+def asked(docs: DataFrame, shard: int, shards: int, parts: int) -> DataFrame:
+    """The distinct words and bigrams in a shard of ``docs`` (id, name, text), packed: a row per slice of text and part of the shard.
 
-def spelling(docs: DataFrame, tables) -> DataFrame:
+    ``keys`` stand in order, ``rows`` says how many texts have each, ``place``
+    which ones (numbers in ``ids``), ``m`` how often, and ``f`` how often a
+    word comes before another.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(at, 1 << 15) for whole in batches for at in range(0, whole.num_rows, 1 << 15)):
+            every, ids = batch["name"].to_pylist(), np.asarray(batch["id"])
+            for at, data, bounds in T.chunks(batch["text"], SLICE):
+                n = len(bounds) - 1
+                of, key, b, c = bigrams(T.words(data, bounds, T.SPACES), every[at : at + n])
+                mine = [np.flatnonzero(shard_of(x, shards) == T.U(shard)) for x in (key, c, b)]
+                keys, texts = (np.concatenate([x[i] for x, i in zip(y, mine, strict=True)]) for y in ((key, c, b), (of, of, of)))
+                word = np.repeat([1, 1, 0], [len(i) for i in mine])
+                order, first = _runs((texts, keys))
+                m, f = _added(word, order, first), _added(1 - word, order, first)
+                keys, texts = keys[order[first]], texts[order[first]]
+                part = part_of(keys, parts)
+                new = np.ones(len(keys), bool)
+                new[1:] = keys[1:] != keys[:-1]
+                out = []
+                for p in range(parts) if parts < 1000 else np.unique(part).tolist():
+                    here = np.flatnonzero(part == p)
+                    if len(here):
+                        begins = np.flatnonzero(new[here])
+                        known, place = np.unique(texts[here], return_inverse=True)
+                        arrays = (keys[here][begins], np.diff(np.append(begins, len(here))).astype(np.uint16), ids[at : at + n][known], place.astype(np.uint16), m[here].astype(np.uint32), f[here].astype(np.uint32))
+                        out.append((p, len(here), *(x.tobytes() for x in arrays)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), *[pa.binary()] * 6), strict=True)], names=["part", "pairs", "keys", "rows", "ids", "place", "m", "f"])
+
+    return docs.select("id", "name", "text").mapInArrow(ask, "part int, pairs long, keys binary, rows binary, ids binary, place binary, m binary, f binary")
+
+
+def packed(model: DataFrame, parts: int) -> DataFrame:
+    """``part, keys, values`` from ``model`` (key, d_n, d_t, g_n, g_t): keys in order, four numbers each."""
+
+    def pack(key: tuple, group: pa.Table) -> pa.Table:
+        keys = np.asarray(group["key"]).view(T.U)
+        order = np.argsort(keys)
+        values = np.stack([np.asarray(group[c], np.float32)[order] for c in ("d_n", "d_t", "g_n", "g_t")])
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "known": [keys[order].tobytes()], "values": [values.tobytes()]})
+
+    part = F.expr(f"cast(shiftright((key & 4294967295L) * {parts}L, 32) as int)")
+    return model.withColumn("part", part).groupBy("part").applyInArrow(pack, "part int, known binary, values binary")
+
+
+def joined_sums(questions: DataFrame, model: DataFrame) -> DataFrame:
+    """``id, sum_n, sum_t``: what the known words and bigrams of each text add.
+
+    A part of the model meets the questions to it in one task, or, if those
+    are many, a copy of the part in each of several tasks.
+    """
+    sizes = questions.groupBy("part").agg(F.sum("pairs").alias("pairs"))
+    tasks = written(sizes.select("part", F.ceil(F.col("pairs") / TASK_PAIRS).cast("int").alias("tasks")), "tasks")
+    left = questions.join(small(tasks), "part").withColumn("task", F.pmod(F.xxhash64("keys"), F.col("tasks")).cast("int")).drop("tasks", "pairs")
+    right = model.join(small(tasks), "part").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))).drop("tasks")
+
+    def look(asked_: pa.Table, model_: pa.Table) -> pa.Table:
+        ids, sums = [np.zeros(0, np.int64)], [np.zeros((2, 0))]
+        if model_.num_rows and asked_.num_rows:
+            raw = lambda c, row, kind: np.frombuffer(c[row].as_buffer(), kind)
+            known = raw(model_["known"], 0, T.U)
+            values = raw(model_["values"], 0, np.float32).reshape(4, -1)
+            for r in range(asked_.num_rows):
+                keys, rows, name, place, m, f = (raw(asked_[c], r, k) for c, k in (("keys", T.U), ("rows", np.uint16), ("ids", np.int64), ("place", np.uint16), ("m", np.uint32), ("f", np.uint32)))
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = np.repeat(known[at] == keys, rows)
+                at, place, m, f = np.repeat(at, rows)[hit], place[hit], m[hit], f[hit]
+                ids.append(name)
+                sums.append(np.stack([np.bincount(place, m * values[v, at].astype(np.float64) + f * values[v + 2, at].astype(np.float64), len(name)) for v in (0, 1)]))
+        total = np.concatenate(sums, axis=1)
+        return pa.table({"id": np.concatenate(ids), "sum_n": total[0], "sum_t": total[1]})
+
+    met = left.groupBy("part", "task").cogroup(right.groupBy("part", "task")).applyInArrow(look, "id long, sum_n double, sum_t double")
+    return met.groupBy("id").agg(F.sum("sum_n").alias("sum_n"), F.sum("sum_t").alias("sum_t"))
+
+
+def spelling(docs: DataFrame, letters) -> DataFrame:
     """``id, name, bytes, words, bits`` per row of ``docs``: log2 of its probability were all its words unknown, less the weight of unknown words."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = batch["name"].to_pylist()
             for at, data, bounds in T.chunks(batch["text"]):
-                n = len(bounds) - 1
-                found, names = T.words(data, bounds, T.SPACES), every[at : at + n]
+                n, table = len(bounds) - 1, letters.value
+                found = T.words(data, bounds, T.SPACES)
                 of = np.repeat(np.arange(n), np.diff(found.first))
-                bits = np.bincount(of, spelled(data, found, of, names, tables.value), minlength=n)
                 blank, where = T.SPACES[data], np.repeat(np.arange(n), np.diff(bounds))
-                for name in set(names):
-                    mine = blank & np.array([x == name for x in names])[where]
-                    table = tables.value.get(name, tables.value[ALL])
-                    bits += np.bincount(where[mine], table[codes(data, bounds)[mine]], minlength=n)
+                bits = np.bincount(of, word_bits(found, table), minlength=n) + np.bincount(where[blank], table[codes(data, bounds)[blank]], minlength=n)
                 yield pa.RecordBatch.from_arrays([batch["id"].slice(at, n), batch["name"].slice(at, n), pa.array(np.diff(bounds)), pa.array(np.diff(found.first)), pa.array(bits)], names=["id", "name", "bytes", "words", "bits"])
 
     return docs.select("id", "name", "text").mapInArrow(spell, "id long, name string, bytes long, words long, bits double")
 
 
-def perplexities(docs: DataFrame, trusted: DataFrame, tables: dict[str, np.ndarray], pooled: bool) -> DataFrame:
-    """``id, p_n, p_t``: perplexity per character by all trusted text, and by that not held out. Rows of one id are equal in name and text, and so are averages over them."""
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
-    model, unknown = word_model(written(word_counts(trusted, shared, pooled), "bigrams"))
-    sums = asked(docs).join(model, "key").groupBy("id").agg(*(F.sum(F.col("m") * F.col(f"d_{v}").cast("double") + F.col("f") * F.col(f"g_{v}").cast("double")).alias(f"sum_{v}") for v in "nt"))
-    base = spelling(docs, shared).where("bytes > 0").groupBy("id").agg(F.min("name").alias("name"), *(F.sum(x).alias(x) for x in ("bytes", "words", "bits")))
-    every = base.join(unknown, "name", "left").join(sums, "id", "left")
+def perplexities(docs: DataFrame, trusted: DataFrame, shards: int | None = None) -> DataFrame:
+    """``id, p_n, p_t``: perplexity per character by all of ``trusted``, and by that not held out.
+
+    Rows of one id are equal in name and text, and so are averages over them.
+    """
+    letters = docs.sparkSession.sparkContext.broadcast(letter_table(trusted))
+    base = spelling(docs, letters).where("bytes > 0").groupBy("id").agg(F.min("name").alias("name"), *(F.sum(x).alias(x) for x in ("bytes", "words", "bits")))
+    base = written(base, "spelled")
+    total = base.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    shards = shards or min(SHARDS, max(1, -(-total // SHARD_WORDS)))
+    parts = max(1, -(-total // (shards * PART_WORDS)))
+    counted = word_counts(trusted, shards)
+    words = written(counted.join(lexicon(trusted, letters), "w"), "lexicon")
+    dropped(counted)
+    weights, cuts = word_model(words)
+    dropped(words)
+    found = []
+    for shard in range(shards):
+        gains = bigram_gains(bigram_counts(trusted, shard, shards), weights, cuts)
+        none = F.lit(0).cast("float")
+        mine = F.expr(f"shiftright(shiftrightunsigned(w, 48) * {shards}L, 16) = {shard}")
+        model = weights.where(mine).select(F.col("w").alias("key"), "d_n", "d_t", "g_n", "g_t").union(gains.select("key", "d_n", "d_t", none, none))
+        model = written(packed(model, parts), "model")
+        questions = written(asked(docs, shard, shards, parts), "asked")
+        found.append(written(joined_sums(questions, model), "sums"))
+        dropped(model, questions)
+    sums = found[0]
+    for piece in found[1:]:
+        sums = sums.union(piece)
+    sums = sums.groupBy("id").agg(F.sum("sum_n").alias("sum_n"), F.sum("sum_t").alias("sum_t"))
+    every = base.join(small(cuts.select("name", "z_n", "z_t")), "name", "left").join(sums, "id", "left")
     return every.select("id", *(F.expr(f"pow(2D, -(bits + words * coalesce(z_{v}, 0D) + coalesce(sum_{v}, 0D)) / bytes) as p_{v}") for v in "nt"))
 
 
-def thresholds(trusted: DataFrame, share: float, slack: float, lang: str = "lang") -> DataFrame:
-    """``lang, threshold``: the ``share`` quantile of trusted perplexities, times ``slack``; that of all under ``ALL``.
+def thresholds(known: DataFrame, share: float, slack: float) -> DataFrame:
+    """``name, threshold``: ``slack`` times the ``share`` quantile of a language's held-out perplexities.
 
-    ``trusted`` has ``lang, perplexity``.
+    ``known`` has ``name, held, p_n, p_t`` of trusted rows. A language without
+    held-out rows, or with nothing else, has the quantile of all its rows by
+    all counts.
     """
-    cut = (F.percentile_approx("perplexity", share, 10000) * slack).alias("threshold")
-    by_lang = trusted.where(F.col(lang).isNotNull()).groupBy(F.col(lang).cast("string").alias("__lang")).agg(cut)
-    return by_lang.union(trusted.agg(cut).select(F.lit(ALL), "threshold"))
-
-
-def trusted_rows(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of ``docs`` whose key is in ``keys``, which is broadcast if its size, counted here, allows."""
-    keys = keys.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
-    return docs.join(small(keys), key, "left_semi")
+    out = F.percentile_approx(F.when(F.col("held"), F.col("p_t")), share, 10000)
+    every = F.percentile_approx("p_n", share, 10000)
+    cut = F.when(F.count_if(~F.col("held")) > 0, F.coalesce(out, every)).otherwise(every)
+    return known.groupBy("name").agg((cut * slack).alias("threshold"))
 
 
-def classified(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", share: float = 0.95, slack: float = 1.2) -> DataFrame:
+def classified(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", share: float = 0.95, slack: float = 1.2, shards: int | None = None) -> DataFrame:
     """``docs`` with ``perplexity, threshold, accepted``.
 
-    ``trusted`` holds keys of trusted rows; the model is trained on all their
-    text. A row is rejected if its perplexity exceeds its language's threshold:
-    ``slack`` times the ``share`` quantile of that language's trusted rows, or
-    of all trusted rows where the language has none. For thresholds, one
-    trusted text in ``FOLDS`` (picked by its hash, so that copies go together)
-    is measured by the counts of the others, since a text that is counted
-    itself looks too good; where that leaves none, trusted rows are measured by
-    all counts. Null or empty texts have no perplexity and are accepted, as are
-    all rows without trusted text. Rows that repeat are scored each; columns
-    named as a new one are replaced.
+    ``trusted`` holds keys of trusted rows; the models, one per language
+    however small, are trained on all their text, and a null language is one
+    of its own. A row is rejected if its perplexity exceeds its language's
+    threshold: ``slack`` times the ``share`` quantile of that language's
+    trusted rows. For thresholds, one trusted text in ``FOLDS`` (picked by its
+    hash, so that copies go together) is measured by the counts of the others,
+    since a text that is counted itself looks too good. Null or empty texts
+    have no perplexity and are accepted. A language without trusted text has no
+    threshold, and its rows are accepted. Rows that repeat are scored each;
+    columns named as a new one are replaced.
     """
     docs = docs.drop(*(c for c in ("perplexity", "threshold", "accepted") if c in docs.columns))
-    tables, names = trained(trusted_rows(docs, trusted, key), text, lang)
-    if not tables:
-        return docs.withColumns({"perplexity": F.lit(None).cast("double"), "threshold": F.lit(None).cast("double"), "accepted": F.lit(True)})
-    own = F.broadcast(docs.sparkSession.createDataFrame([(x, x) for x in names], "__lang string, __own string"))
-    named = docs.join(own, F.col(lang).cast("string") == F.col("__lang"), "left").withColumn("__name", F.coalesce("__own", F.lit(ALL))).drop("__lang", "__own")
-    named = named.withColumn("__id", F.xxhash64("__name", F.col(text)))
-    rows = named.select(F.col("__id").alias("id"), F.col("__name").alias("name"), F.col(text).alias("text"), F.col(key).alias("__key"), F.col(lang).cast("string").alias("__lang"))
-    good = trusted_rows(rows, trusted.select(F.col(key).alias("__key")), "__key").withColumn("held", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(FOLDS)) == 0)
-    pooled = not rows.where(F.col("name") == ALL).isEmpty()
-    found = written(perplexities(rows, good, tables, pooled), "perplexities")
-    known = written(good.select("id", F.col("__lang"), "held").join(found, "id"), "known")
-    within = written(thresholds(known.where("held").select("__lang", F.col("p_t").alias("perplexity")), share, slack, "__lang"), "cuts")
-    everywhere = within.where(F.col("__lang") == ALL).first()
-    if everywhere is None or everywhere["threshold"] is None or known.where("not held").isEmpty():
-        within = written(thresholds(known.select("__lang", F.col("p_n").alias("perplexity")), share, slack, "__lang"), "cuts")
-        everywhere = within.where(F.col("__lang") == ALL).first()
-    limit = F.lit(everywhere["threshold"] if everywhere else None).cast("double")
-    out = named.join(found.select(F.col("id").alias("__id"), F.col("p_n").alias("perplexity")), "__id", "left").drop("__id", "__name")
-    out = out.join(F.broadcast(within.where(F.col("__lang") != ALL)), F.col(lang).cast("string") == F.col("__lang"), "left").drop("__lang").withColumn("threshold", F.coalesce("threshold", limit))
+    name = F.coalesce(F.concat(F.lit("="), F.col(lang).cast("string")), F.lit("-"))
+    named = docs.withColumn("__name", name).withColumn("__id", F.xxhash64("__name", F.col(text)))
+    rows = named.select(F.col("__id").alias("id"), F.col("__name").alias("name"), F.col(text).alias("text"), F.col(key).alias("__key"))
+    keys = trusted.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
+    many = keys.count() > SMALL_ROWS
+    good = rows.join(keys if many else F.broadcast(keys), "__key", "left_semi").drop("__key").withColumn("held", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(FOLDS)) == 0)
+    good = written(good, "trusted") if many else good
+    found = written(perplexities(rows, good, shards), "perplexities")
+    within = written(thresholds(good.select("id", "name", "held").join(found, "id"), share, slack), "cuts")
+    out = named.join(found.select(F.col("id").alias("__id"), F.col("p_n").alias("perplexity")), "__id", "left")
+    out = out.join(small(within.withColumnRenamed("name", "__name")), "__name", "left").drop("__id", "__name")
     return out.withColumn("accepted", ~F.coalesce(F.col("perplexity") > F.col("threshold"), F.lit(False)))

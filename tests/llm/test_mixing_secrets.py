@@ -90,6 +90,15 @@ def test_mixing_comes_near_targets(spark):
     assert all(abs(r["taken"] - r["target"]) < 0.1 * r["target"] for r in per)
 
 
+def test_equal_and_null_keys_draw_apart(spark):
+    docs = spark.range(60000, numPartitions=5).selectExpr("if(id < 20000, null, 7) as doc_id", "if(id < 20000, concat('w ', id), if(id < 40000, 'one two three', concat('x ', id % 50))) as text", "concat('s', id % 3) as source", "id as other")
+    got = mixing.mixed_copies(docs)
+    per = got.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target")).collect()
+    assert all(abs(r["taken"] - r["target"]) < 0.05 * r["target"] for r in per) and got.count() == 60000
+    count = lambda df: sorted(map(tuple, df.groupBy("doc_id", "text", "source").agg(F.sum("copies")).collect()), key=repr)
+    assert count(got) == count(mixing.mixed_copies(docs.repartition(3)))
+
+
 def test_edge_rows(spark):
     docs = edge_docs(spark)
     assert mixing.mixed_copies(docs).count() == docs.count() == secrets.secret_spans(docs).count()

@@ -77,7 +77,7 @@ def as_regex(glob):
 @given(st.lists(st.text(alphabet="abexcomqz.orgds/?*", max_size=40), min_size=1, max_size=20))
 def test_automaton_equals_regular_expressions(urls):
     urls = [u.encode() for u in urls] + [b".ex.com/", b".www.ex.com/ads/1.zip", b".abc.org/xyz", b".q", b"", b"/" + b"ab" * 40]
-    got = urlfilter.Automaton(GLOBS).matches(urls)
+    got = urlfilter.Automaton([urlfilter.glob_pieces(g) for g in GLOBS]).matches(urls)
     for k, glob in enumerate(GLOBS):
         assert got[:, k].tolist() == [bool(as_regex(glob).match(u.decode())) for u in urls], glob
 
@@ -98,6 +98,15 @@ def test_url_rules(spark):
     assert urlfilter.judged(df.limit(0), queries.RULES, urlfilter.GLOBS).count() == 0
 
 
+def test_rules_are_literal(spark):
+    rules = [urlfilter.Rule("block", "é.com", "/ü"), urlfilter.Rule("block", "a.org", "/x*y"), urlfilter.Rule("allow", "a.org", "/?"), urlfilter.Rule("block", "b.org", "/[1] 2")]
+    cases = {"h://www.é.com/üx": "é.com/ü", "h://é.com/u": None, "h://a.org/x*y1": "a.org/x*y", "h://a.org/xzy": None, "h://a.org/q": None, "h://b.org/[1] 23": "b.org/[1] 2"}
+    df = spark.createDataFrame(list(enumerate(cases)), "page_id long, url string")
+    for r in urlfilter.judged(df, rules, ["*/ü*"]).collect():
+        assert r["rule"] == cases[r["url"]], r["url"]
+        assert r["globs_hit"] == ("ü" in r["url"])
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a\nb", "\\n", "[INST]"]), st.text(alphabet="<>|/[]INSTs\\n-im_end a\n", max_size=40) | st.sampled_from(chat.CONTROL)), max_size=6))
 def test_escape_is_reversible(turns):

@@ -54,13 +54,16 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mixed_copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    docs = mixing.sized(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = mixing.copied(written(docs.drop("text"), "sized"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 _MIXING_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(text, '')) AS digest,
+    row_number() OVER (PARTITION BY doc_id, source, coalesce(text, '')) AS place
+  FROM documents
 ), per AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
 ), weighed AS (
@@ -82,7 +85,7 @@ WITH sized AS (
   FROM weighed
 ), rated AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END::DOUBLE AS rate,
-    ('0x' || left(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
+    ('0x' || left(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || digest || ':' || place), 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,

@@ -7,6 +7,7 @@ times the number of mask words, whatever the number of rules per word.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -33,39 +34,60 @@ class Rule(NamedTuple):
         return self.host + self.path
 
 
-def canonical(host: str, path: str) -> bytes:
-    """``.host/path`` in ASCII: other characters, spaces and controls as percent codes of their UTF-8."""
-    text = f".{host}{path}"
+def coded(text: str) -> bytes:
+    """``text`` in ASCII: other characters, spaces and controls as percent codes of their UTF-8."""
     if text.isascii() and text.isprintable() and " " not in text:
         return text.encode()
     return b"".join(b"%c" % b if 0x20 < b < 0x7F else b"%%%02X" % b for b in text.encode("utf-8", "surrogatepass"))
 
 
+def canonical(host: str, path: str) -> bytes:
+    """``.host/path`` as ``coded`` writes it."""
+    return coded(f".{host}{path}")
+
+
+class Star(NamedTuple):
+    """Any run of characters, without ``/`` if ``inside`` one part."""
+
+    inside: bool
+
+
+#: What a pattern is made of: runs, single bytes, and None for any one character.
+Piece = Star | int | None
+
+
+def glob_pieces(glob: str) -> list[Piece]:
+    """``*`` any run, ``**`` any run without ``/``, ``?`` any character; others stand for themselves, in the form of canonical URLs."""
+    out: list[Piece] = []
+    for part in re.findall(r"\*\*|\*|\?|[^*?]+", glob, re.S):
+        out += {"**": [Star(True)], "*": [Star(False)], "?": [None]}.get(part) or list(coded(part))
+    return out
+
+
+def rule_pieces(rule: Rule) -> list[Piece]:
+    """The host and its subdomains, then what starts with the path; every character of a rule stands for itself."""
+    return [Star(True), *canonical(rule.host, rule.path), Star(False)]
+
+
 class Automaton:
-    """Globs over canonical URLs: ``*`` any run, ``**`` any run without ``/``, ``?`` any character; the whole URL must fit."""
+    """All of ``patterns`` over canonical URLs; the whole URL must fit."""
 
-    def __init__(self, globs: Sequence[str]):
+    def __init__(self, patterns: Sequence[Sequence[Piece]]):
         states: list[set[int] | None] = []  # what the step into a state reads; None: a pattern's first state
         loops: list[set[int]] = []
         ends: list[int] = []
         begins: list[int] = []
         every = set(range(256))
-        for glob in globs:
+        for pattern in patterns:
             begins.append(len(states))
             states.append(None)
             loops.append(set())
-            at = 0
-            while at < len(glob):
-                if glob.startswith("**", at):
-                    loops[-1] = every - {ord("/")}
-                    at += 2
-                elif glob[at] == "*":
-                    loops[-1] = every
-                    at += 1
+            for piece in pattern:
+                if isinstance(piece, Star):
+                    loops[-1] = every - {ord("/")} if piece.inside else every
                 else:
-                    states.append(every if glob[at] == "?" else {ord(glob[at])})
+                    states.append(every if piece is None else {piece})
                     loops.append(set())
-                    at += 1
             ends.append(len(states) - 1)
         self.words = (len(states) + 63) // 64 or 1
         self.step, self.stay = np.zeros((256, self.words), U), np.zeros((256, self.words), U)
@@ -97,10 +119,6 @@ class Automaton:
         return out
 
 
-def rule_glob(rule: Rule) -> str:
-    return f"**.{rule.host}{rule.path}*"
-
-
 def judged(pages: DataFrame, rules: Sequence[Rule], globs: Sequence[str], url: str = "url") -> DataFrame:
     """``pages`` with ``host, path, rule, verdict, globs_hit``.
 
@@ -115,7 +133,7 @@ def judged(pages: DataFrame, rules: Sequence[Rule], globs: Sequence[str], url: s
     new = ("host", "path", "rule", "verdict", "globs_hit")
     rest = [c for c in pages.columns if c not in new]
     ranked = sorted(rules, key=lambda r: (-len(r.name), r.verdict != "block"))
-    patterns = [rule_glob(r) for r in ranked] + list(globs)
+    patterns = [rule_pieces(r) for r in ranked] + [glob_pieces(g) for g in globs]
     text = F.coalesce(F.col(url), F.lit(""))
     lower = F.translate(F.regexp_extract(text, HOST, 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     split = pages.select(*rest, lower.alias("host"), F.regexp_extract(text, PATH, 1).alias("path"))

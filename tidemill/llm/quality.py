@@ -29,7 +29,7 @@ FOLDS = 5
 #: Bytes of text whose distinct n-grams leave a task together.
 SLICE = 1 << 23
 #: Shards at most, and words for one; words of one part of a shard, and n-grams of texts that meet it in one task.
-SHARDS, SHARD_WORDS, PART_WORDS, TASK_PAIRS = 8, 4_000_000, 8_000_000, 4_000_000
+SHARDS, SHARD_WORDS, PART_WORDS, TASK_PAIRS = 8, 8_000_000, 8_000_000, 4_000_000
 
 #: Symbol of each byte. Letters 0-25, capitals 26, digits 27, blank, line end, other controls, then marks; bytes of other characters fold to 50-63.
 SYMBOL = np.full(256, 30, np.uint8)

@@ -97,7 +97,7 @@ def test_parts_lose_no_link(spark):
     join = ngram_join.Join(docs, "doc_id", "text", 4, 85)
     rows = join.rows.where("n > 0").select("row", "n", F.col("row").alias("label"), F.lit(0).alias("at"), F.lit(7).cast("long").alias("token"))
     number = {x["row"]: x["id"] for x in join.rows.collect()}
-    met = {tuple(sorted((number[x["a"]], number[x["b"]]))) for x in join.alike_in_part(rows).collect()}
+    met = {tuple(sorted((number[x["a"]], number[x["b"]]))) for x in join.met(join.alike_in_part(rows), ["token", "sum"]).collect()}
     sets = [shingle_set(t) for t in texts]
     links = {(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if 100 * (same := len(sets[a] & sets[b])) >= 85 * (len(sets[a]) + len(sets[b]) - same)}
     assert len(links) > 200 and links <= met and len(met) < len(texts) ** 2 / 4
@@ -106,6 +106,17 @@ def test_parts_lose_no_link(spark):
     assert {p for p, linked in zip(sorted(met), got.tolist(), strict=True) if linked} == links
 
 
+def test_common_tokens_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FEW", 3)
+    shared = prose(30, 5)
+    texts = [shared + " " + t for base in range(8) for t in near_copies(6, base, base + 1, 40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    few = {r["doc_id"]: r["component_id"] for r in ngram_join.components(docs, percent=60).collect()}
+    monkeypatch.setattr(ngram_join, "FEW", 10_000)
+    assert few == {r["doc_id"]: r["component_id"] for r in ngram_join.components(docs, percent=60).collect()}
+    assert 1 < len(set(few.values())) < len(texts)
+
+
 def test_near_copy_stage_equals_brute_force(spark):
     base = prose(200, 71).split()
     texts = [" ".join(base)] + [" ".join(base[:60] + [f"new{n}x{j}" for j in range(n)] + base[60:]) for n in (27, 38, 60)] + [" ".join(f"odd{i}" if i % 45 == 20 else w for i, w in enumerate(base))]

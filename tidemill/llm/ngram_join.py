@@ -5,7 +5,8 @@ threshold share a token in their prefixes, whatever total order the tokens
 are in; the order here is by how often a token's bucket occurs in the corpus,
 so prefixes hold rare tokens. Equal sets are one class from the start. Within
 the documents that share a prefix token, pairs are never listed all: each is
-compared with one pivot, then with several. What is still apart after that is
+compared with one pivot, then with several. Of what is still apart after that,
+the documents of a rare token meet each other, and those of a common one are
 cut once more: two sets that reach the threshold differ in few tokens, so of
 slightly more parts of the hash range one at least holds the same tokens in
 both, and only documents that agree in such a part meet.
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .store import dropped, written
+from .store import ARROW_BYTES, dropped, written
 
 #: Buckets of the frequency table: four a document between these bounds, so that its broadcast has 16 MB at most. Pieces bound what one task adds up.
 LEAST_BUCKETS, MOST_BUCKETS, PIECES = 1 << 20, 1 << 24, 64
@@ -30,6 +31,8 @@ LEAST_BUCKETS, MOST_BUCKETS, PIECES = 1 << 20, 1 << 24, 64
 RANGES = 64
 #: Tables of at most so many rows of two numbers are broadcast.
 SMALL_ROWS = 500_000
+#: Documents of a token, still apart, that may meet each other directly.
+FEW = 256
 
 
 def _distinct(found: T.Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,24 +195,21 @@ def shared_words(a: pa.Array, b: pa.Array, k: int, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, bool)
 
 
-def part_sums(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sum, whether it is of no tokens) for each part of the hash range, for the set's length class and the next.
+def part_sums(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """A sum for each part of the hash range, for the set's length class and the next.
 
     Two sets that reach the threshold are of one class or of neighbours, and
     differ in fewer tokens than the higher class has parts, so a sum of that
     class is the same for both.
     """
-    sums, empty = [], []
-    ratio = 100.1 / percent
+    sums, ratio = [], 100.1 / percent
     own = int(np.floor(np.log(len(tokens)) / np.log(ratio)))
     for c in (own, own + 1):
         parts = int((100 - percent) * 2 * ratio ** (c + 1) / (100 + percent)) + 1
-        of = (tokens % T.U(parts)).astype(np.int64)
         total, number = np.zeros(parts, T.U), np.arange(parts, dtype=T.U)
-        np.add.at(total, of, T.mixed(tokens))
+        np.add.at(total, (tokens % T.U(parts)).astype(np.int64), T.mixed(tokens))
         sums.append(T.mixed(total ^ T.mixed(number * T.U(0x9FB21C651E98DF25) + T.U(c + 1))))
-        empty.append(np.bincount(of, minlength=parts) == 0)
-    return np.concatenate(sums), np.concatenate(empty)
+    return np.concatenate(sums)
 
 
 class Join:
@@ -281,7 +281,7 @@ class Join:
                 yield batch.select(["a", "b"]).filter(pa.array(shared_words(batch["words_a"], batch["words_b"], k, percent)))
 
         both = near.join(texts.toDF("a", "words_a"), "a").join(texts.toDF("b", "words_b"), "b")
-        links = written(both.select("a", "b", "words_a", "words_b").mapInArrow(compare, "a long, b long"), "links")
+        links = written(both.select("a", "b", "words_a", "words_b").mapInArrow(compare, "a long, b long"), "links", {ARROW_BYTES: str(1 << 23)})
         dropped(near, wanted, texts)
         return links
 
@@ -312,32 +312,27 @@ class Join:
         return written(named.join(open_tokens, "token", "left_semi"), "apart")
 
     def alike_in_part(self, left: DataFrame) -> DataFrame:
-        """Pairs (a, b) of rows of ``left``, of two components and near in length, that agree in a part of the hash range.
-
-        Parts without tokens say little, so rows agree in one only where they
-        share a prefix token as well.
-        """
+        """``left`` with ``sum``, a row for each part of a document's hash range in which one of another component that shares the token holds the same tokens."""
         percent = self.percent
 
         def cut(found: T.Words, sizes: np.ndarray, tokens: np.ndarray) -> list[pa.Array]:
-            each = [part_sums(x, percent) for x in np.split(tokens, np.cumsum(sizes)[:-1]) if len(x)]
-            many = np.zeros(len(sizes), np.int64)
-            many[sizes > 0] = [len(x) for x, _ in each]
-            sums, empty = (np.concatenate([x[i] for x in each]) if each else np.zeros(0, t) for i, t in ((0, T.U), (1, bool)))
-            return [T.lists(sums.view(np.int64), many), T.lists(empty, many)]
+            ends = np.cumsum(sizes)
+            each = [part_sums(tokens[e - n : e], percent) if n else np.zeros(0, T.U) for e, n in zip(ends, sizes, strict=True)]
+            return [T.lists(np.concatenate(each).view(np.int64), np.array([len(x) for x in each]))]
 
         wanted = self.wanted(left)
-        sums = self.again(wanted, cut, "sums array<long>, empty array<boolean>").select("row", F.explode(F.arrays_zip("sums", "empty")).alias("x"))
-        sums = written(sums.select("row", F.col("x.sums").alias("sum"), F.col("x.empty").alias("empty")), "sums")
-        of = left.select("row", "n", "label").distinct()
-        with_token = sums.where("empty").join(left.select("row", "token"), "row").select("row", F.xxhash64("sum", "token").alias("sum"))
-        named = written(sums.where("not empty").select("row", "sum").union(with_token).join(of, "row"), "parts")
-        dropped(sums, wanted)
-        open_sums = named.groupBy("sum").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("sum")
-        named = written(named.join(open_sums, "sum", "left_semi"), "parts")
-        other = named.select("sum", *(F.col(c).alias(f"o_{c}") for c in ("row", "n", "label")))
-        length = F.lit(100) * F.least("n", "o_n") >= F.lit(percent) * F.greatest("n", "o_n")
-        return named.join(other, "sum").where((F.col("row") < F.col("o_row")) & (F.col("label") != F.col("o_label")) & length).select(F.col("row").alias("a"), F.col("o_row").alias("b"))
+        sums = written(self.again(wanted, cut, "sums array<long>"), "sums")
+        named = written(left.join(sums, "row").withColumn("sum", F.explode("sums")).drop("sums"), "parts")
+        open_sums = named.groupBy("token", "sum").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("token", "sum")
+        out = written(named.join(open_sums, ["token", "sum"], "left_semi"), "parts")
+        dropped(wanted, sums, named)
+        return out
+
+    def met(self, left: DataFrame, on: list[str]) -> DataFrame:
+        """Pairs (a, b) of rows of ``left`` that are equal in ``on``, of two components, and pass the length and positional filters."""
+        other = left.toDF(*(c if c in on else f"o_{c}" for c in left.columns))
+        fits = possible(("n", "o_n"), ("at", "o_at"), self.percent)
+        return left.join(other, on).where((F.col("row") < F.col("o_row")) & (F.col("label") != F.col("o_label")) & fits).select(F.col("row").alias("a"), F.col("o_row").alias("b"))
 
     def link(self, pivots: int = 8) -> None:
         """Compare pairs until every two rows that link have one label."""
@@ -353,8 +348,13 @@ class Join:
         self.compared(left.join(several, "token").where((F.col("label") != F.col("p.label")) & fits).select(F.col("row").alias("a"), F.col("p.row").alias("b")))
         before, left = left, self.apart(left.select("token", "row", "n", "at"))
         dropped(before)
-        if not left.isEmpty():
-            self.compared(self.alike_in_part(left))
+        if left.isEmpty():
+            return
+        common = written(left.groupBy("token").count().where(F.col("count") > FEW).select("token"), "common")
+        pairs = self.met(left.join(common, "token", "left_anti"), ["token"])
+        if not common.isEmpty():
+            pairs = pairs.union(self.met(self.alike_in_part(left.join(common, "token", "left_semi")), ["token", "sum"]))
+        self.compared(pairs)
 
     def run(self) -> DataFrame:
         self.link()

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of an Arrow batch, where rows are long.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,19 +31,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemill/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, which survives lost executors.
+def written(df: DataFrame, name: str, conf: dict[str, str] | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, which survives lost executors; settings in ``conf`` hold for its job.
 
     Once the table stands, nothing reads its shuffle files again; they are
     deleted then, not when the driver next collects its garbage.
     """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    conf = {CLEANUP: "true"} | (conf or {})
+    before = {k: spark.conf.get(k, None) for k in conf}
     try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

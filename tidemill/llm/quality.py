@@ -27,7 +27,7 @@ CELLS = SYMBOLS**ORDER
 #: One in so many trusted texts is left out of the counts that set thresholds, and is measured with them.
 FOLDS = 5
 #: Bytes of text whose distinct n-grams leave a task together.
-SLICE = 1 << 23
+SLICE = 1 << 22
 #: Shards at most, and words for one; words of one part of a shard, and n-grams of texts that meet it in one task.
 SHARDS, SHARD_WORDS, PART_WORDS, TASK_PAIRS = 8, 8_000_000, 8_000_000, 4_000_000
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,9 +33,15 @@ def test_ledger_counts_and_verdicts(spark):
     batches = ledger.batch_rollup(ledger.reconciled(requests, heard))
     assert {r["batch_id"]: (r["status"], r["affected_rows"]) for r in batches.collect()} == {10: ("ok", 9), 11: ("failed", 0), 12: ("pending", 0)}
     assert [r["request_id"] for r in ledger.pending(requests, heard).collect()] == [4]
-    assert tuple(ledger.verdict(batches).first()) == (3, 1, 1, "pending", 12)
-    assert tuple(ledger.verdict(batches.where("status = 'ok'")).first()) == (1, 0, 0, "complete", None)
-    assert tuple(ledger.summary(requests, acks).first()) == (3, 10, 25)
+    found, refused = ledger.reconciled(requests, heard), spark.createDataFrame([(20, "bad cell"), (14, "worse")], "batch_id long, error string")
+    assert tuple(ledger.verdict(found).first()) == (3, 1, 0, 1, "pending", 4, "no ack")
+    answered = found.where("request_id <> 4")
+    assert tuple(ledger.verdict(answered, refused).first()) == (2, 0, 2, 1, "rejected", 14, "worse")
+    assert tuple(ledger.verdict(answered).first()) == (2, 0, 0, 1, "failed", 11, "frame failed")
+    assert tuple(ledger.verdict(found.where("batch_id = 10"), refused.limit(0)).first()) == (1, 0, 0, 0, "complete", None, None)
+    mixed = ledger.reconciled(spark.createDataFrame([(1, 1), (2, 1)], "request_id long, batch_id long"), spark.createDataFrame([(1, 1, 0, False)], "seq long, request_id long, affected_rows long, ok boolean"))
+    assert tuple(ledger.verdict(mixed).first()) == (1, 1, 0, 1, "pending", 2, "no ack") and ledger.batch_rollup(mixed).first()["status"] == "pending"
+    assert ledger.summary(requests, acks).first().asDict() == {"total_requests": 3, "distinct_affected_rows": 10, "total_affected_rows": 25}
 
 
 def test_newest_and_last_write(spark):
@@ -116,7 +124,45 @@ def test_series_reads(spark):
     assert got == {("a", 0): (1.0, 1), ("a", 10): (2.0, 2), ("a", 20): (2.0, 1), ("a", 30): (9.0, 1), ("b", 10): (7.0, 1)}
     up = spark.createDataFrame([(0, True), (10, True), (20, False), (30, True)], "s long, up boolean").withColumn("ts", F.timestamp_seconds("s")).withColumn("k", F.lit(1))
     alerts = timeseries.alerts(up, ["k"], "ts", F.col("up"), 5_000_000, 15_000_000).orderBy("started").collect()
-    assert [(r["started"], r["state"]) for r in alerts] == [(0, "firing"), (30_000_000, "pending")]
+    assert [tuple(r)[1:] for r in alerts] == [(0, 10_000_000, 5_000_000, 25_000_000, "firing"), (30_000_000, 30_000_000, None, None, "pending")]
+
+
+def episodes(samples, for_us, keep_us):
+    """Alert states, one sample after another."""
+    out, now = [], None
+    for us, on in sorted(samples):
+        if now and now["broken"] and us > now["last_true"] + keep_us:
+            out.append(now | {"ended_at": now["last_true"] + keep_us})
+            now = None
+        if on and not now:
+            now = {"started": us, "last_true": us, "fired_at": None, "ended_at": None, "broken": False}
+        elif on:
+            now |= {"last_true": us, "broken": False}
+        elif now and now["fired_at"] is None:
+            out.append(now | {"ended_at": us})
+            now = None
+        elif now:
+            now["broken"] = True
+        if now and on and now["last_true"] - now["started"] >= for_us and now["fired_at"] is None:
+            now["fired_at"] = now["started"] + for_us
+    if now:
+        out.append(now | ({"ended_at": now["last_true"] + keep_us} if now["fired_at"] is not None else {}))
+    return out
+
+
+def test_alerts_equal_a_state_machine(spark):
+    r = random.Random(4)
+    rows = [(k, us, r.random() < 0.7) for k in ("a", "b", None) for us in r.sample(range(3000), 400)]
+    df = spark.createDataFrame(rows, "k string, us long, up boolean").withColumn("ts", F.timestamp_micros("us"))
+    for for_us, keep_us in ((30, 12), (0, 0), (15, 100), (60, 3)):
+        got = timeseries.alerts(df, ["k"], "ts", F.col("up"), for_us, keep_us, slice_us=70).collect()
+        assert all((x["state"] == "firing") == (x["fired_at"] is not None) for x in got)
+        mine = {k: sorted(((x["started"], x["last_true"], x["fired_at"], x["ended_at"]) for x in got if x["k"] == k)) for k in ("a", "b", None)}
+        for k in mine:
+            want = [tuple(e[c] for c in ("started", "last_true", "fired_at", "ended_at")) for e in episodes([(us, up) for key, us, up in rows if key == k], for_us, keep_us)]
+            assert mine[k] == want
+    pending = spark.createDataFrame([(0, True), (10, False), (12, True)], "s long, up boolean").selectExpr("timestamp_seconds(s) as ts", "up", "1 as k")
+    assert [tuple(x)[1:] for x in timeseries.alerts(pending, ["k"], "ts", F.col("up"), 30_000_000, 50_000_000).orderBy("started").collect()] == [(0, 0, None, 10_000_000, "pending"), (12_000_000, 12_000_000, None, None, "pending")]
 
 
 def test_generators(spark):

@@ -41,31 +41,46 @@ def pending(requests: DataFrame, acks: DataFrame) -> DataFrame:
 
 
 def batch_rollup(reconciled_rows: DataFrame) -> DataFrame:
-    """Per batch: frames, acked and failed frames, rows, and status: failed if any frame is, else pending until all are acked."""
+    """Per batch: frames, acked and failed frames, rows, and status: pending until all frames are acked, then failed if any is."""
     per = reconciled_rows.groupBy("batch_id").agg(
         F.count("*").alias("frames"), F.count("acked_at").alias("acked"), F.count_if(F.col("acked_at").isNotNull() & ~F.col("ok")).alias("failed"),
         F.coalesce(F.sum(F.when(F.col("ok"), F.col("affected_rows"))), F.lit(0)).cast("long").alias("affected_rows"),
     )
-    return per.withColumn("status", F.when(F.col("failed") > 0, "failed").when(F.col("acked") < F.col("frames"), "pending").otherwise("ok"))
+    return per.withColumn("status", F.when(F.col("acked") < F.col("frames"), "pending").when(F.col("failed") > 0, "failed").otherwise("ok"))
 
 
 def summary(requests: DataFrame, acks: DataFrame) -> DataFrame:
-    """One row: batches with a frame, the sum of every well-formed ack before the first malformed one, and the sum of first acks of known requests."""
+    """One row: batches with a frame; the rows of every well-formed ack before the first malformed one, whatever it answers; and those of first acks of known requests only."""
     broken = acks.where("not well_formed").agg(F.min("seq").alias("stop"))
     heard = acks.join(F.broadcast(broken), F.col("stop").isNull() | (F.col("seq") < F.col("stop")), "inner").where("well_formed")
-    raw = heard.agg(F.coalesce(F.sum("affected_rows"), F.lit(0)).cast("long").alias("acknowledged_rows"))
-    once = reconciled(requests, heard).agg(F.countDistinct("batch_id").alias("total_requests"), F.coalesce(F.sum("affected_rows"), F.lit(0)).cast("long").alias("total_affected_rows"))
+    raw = heard.agg(F.coalesce(F.sum("affected_rows"), F.lit(0)).cast("long").alias("total_affected_rows"))
+    once = reconciled(requests, heard).agg(F.countDistinct("batch_id").alias("total_requests"), F.coalesce(F.sum("affected_rows"), F.lit(0)).cast("long").alias("distinct_affected_rows"))
     return once.join(F.broadcast(raw), F.lit(True))
 
 
-def verdict(batches: DataFrame) -> DataFrame:
-    """One row: whether the load is whole. Pending batches are named before failed ones; ``first_batch`` is the least of that kind."""
-    per = batches.agg(
-        F.count("*").alias("batches"), F.count_if(F.col("status") == "pending").alias("pending"), F.count_if(F.col("status") == "failed").alias("failed"),
-        F.min(F.when(F.col("status") == "pending", F.col("batch_id"))).alias("__p"), F.min(F.when(F.col("status") == "failed", F.col("batch_id"))).alias("__f"),
-    )
-    status = F.when(F.col("pending") > 0, "pending").when(F.col("failed") > 0, "failed").otherwise("complete")
-    return per.select("batches", "pending", "failed", status.alias("verdict"), F.coalesce("__p", "__f").alias("first_batch"))
+def verdict(reconciled_rows: DataFrame, rejected: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Whether a load is whole, a row for each load (``by``; without it, all rows are one).
+
+    ``rejected`` has ``batch_id, error`` (and ``by``) of batches that were
+    refused before they were sent. A load with unanswered requests is
+    ``pending``, else with refused batches ``rejected``, else with a batch of
+    which any frame failed ``failed``, else ``complete``. ``first_id`` is the
+    least request or batch of that kind and ``first_error`` what is known of
+    it; ``pending`` lists all unanswered requests.
+    """
+    unanswered = F.when(F.col("acked_at").isNull(), F.col("request_id"))
+    bad = F.when(F.col("acked_at").isNotNull() & ~F.coalesce(F.col("ok"), F.lit(True)), F.col("batch_id"))
+    per = reconciled_rows.groupBy(*by).agg(F.count_distinct("batch_id").alias("batches"), F.count(unanswered).alias("pending"), F.min(unanswered).alias("__p"), F.count_distinct(bad).alias("failed"), F.min(bad).alias("__f"))
+    if rejected is None:
+        per = per.withColumns({"rejected": F.lit(0).cast("long"), "__r": F.lit(None).cast("struct<batch_id:bigint,error:string>")})
+    else:
+        refused = rejected.groupBy(*by).agg(F.count_distinct("batch_id").alias("rejected"), F.min(F.struct(F.col("batch_id").cast("long").alias("batch_id"), "error")).alias("__r"))
+        per = per.join(refused, list(by), "full") if by else per.crossJoin(F.broadcast(refused))
+        per = per.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in ("batches", "pending", "failed", "rejected")})
+    kind = F.when(F.col("pending") > 0, "pending").when(F.col("rejected") > 0, "rejected").when(F.col("failed") > 0, "failed").otherwise("complete")
+    first = F.when(F.col("pending") > 0, F.col("__p")).when(F.col("rejected") > 0, F.col("__r.batch_id")).otherwise(F.col("__f"))
+    error = F.when(kind == "pending", "no ack").when(kind == "rejected", F.col("__r.error")).when(kind == "failed", "frame failed")
+    return per.select(*by, "batches", "pending", "rejected", "failed", kind.alias("verdict"), first.alias("first_id"), error.alias("first_error"))
 
 
 def newest(ledger: DataFrame, n: int, order: str = "settled_seq") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,20 +48,50 @@ def rates(df: DataFrame, tags: list[str], ts: str, value: str, start_us: int, en
     return ends.select(*tags, "step", ((F.col("b.v") - F.col("a.v")) / ((F.col("b.t") - F.col("a.t")) / 1e6)).alias("rate"))
 
 
-def alerts(df: DataFrame, tags: list[str], ts: str, holds: Column, for_us: int, keep_us: int) -> DataFrame:
+def _samples(df: DataFrame, tags: list[str], ts: str, holds: Column) -> DataFrame:
+    at = df.select(*tags, micros(F.col(ts)).alias("us"), F.coalesce(holds, F.lit(False)).alias("on"))
+    return at.where("us is not null").groupBy(*tags, "us").agg(F.bool_or("on").alias("on"))
+
+
+def condition_runs(samples: DataFrame, tags: list[str], slice_us: int) -> DataFrame:
+    """Runs of true samples (``us, on``) with no false one between: ``started, last_true``, and ``false_at``, the sample that ended it.
+
+    A series is cut into slices of time that are numbered apart, and runs are
+    joined where they touch over a slice's edge, so a long series is not one
+    task's.
+    """
+    cut = samples.withColumn("slice", F.floor(F.col("us") / slice_us))
+    inside = Window.partitionBy(*tags, "slice").orderBy("us")
+    new = F.col("on") & ~F.coalesce(F.lag("on").over(inside), F.lit(False))
+    marked = cut.withColumns({"next_us": F.lead("us").over(inside), "first": F.row_number().over(inside) == 1, "run": F.sum(new.cast("int")).over(inside)})
+    edges = cut.groupBy(*tags, "slice").agg(F.min(F.struct("us", "on")).alias("a"), F.max(F.struct("us", "on")).alias("z"))
+    along = Window.partitionBy(*tags).orderBy("slice")
+    edges = edges.select(*tags, "slice", F.coalesce(F.lag("z.on").over(along), F.lit(False)).alias("on_before"), F.lead(F.when(~F.col("a.on"), F.col("a.us"))).over(along).alias("false_next"))
+    runs = marked.where("on").groupBy(*tags, "slice", "run").agg(F.min("us").alias("started"), F.max("us").alias("last_true"), F.max_by("next_us", "us").alias("false_in"), F.bool_or("first").alias("first"))
+    same = reduce(lambda x, y: x & y, [runs[c].eqNullSafe(edges[c]) for c in (*tags, "slice")])
+    runs = runs.join(edges, same).select(*(runs[c] for c in (*tags, "started", "last_true")), (F.col("first") & F.col("on_before")).alias("more"), F.coalesce("false_in", "false_next").alias("false_at"))
+    whole = runs.withColumn("run", F.sum((~F.col("more")).cast("int")).over(Window.partitionBy(*tags).orderBy("started")))
+    return whole.groupBy(*tags, "run").agg(F.min("started").alias("started"), F.max("last_true").alias("last_true"), F.max_by("false_at", "started").alias("false_at")).drop("run")
+
+
+def alerts(df: DataFrame, tags: list[str], ts: str, holds: Column, for_us: int, keep_us: int, slice_us: int = 86_400_000_000) -> DataFrame:
     """Alert episodes per series: ``started, last_true, fired_at, ended_at, state``.
 
-    Samples where ``holds`` is true form an episode as long as no false sample
-    lies between them and gaps stay within ``keep_us``. It fires once it has
-    lasted ``for_us``, and ends ``keep_us`` after its last true sample; state
-    is firing or pending.
+    The condition holds from a true sample until the next false one. An episode
+    is pending from its first true sample and fires once the condition has held
+    for ``for_us``. A pending one ends at the first false
+    sample (null while none has come). A firing one goes on for ``keep_us``
+    after its last true sample; true samples within that time belong to it,
+    false ones between them or not. Samples without a time are left out.
     """
-    w = Window.partitionBy(*tags).orderBy("__us")
-    at = df.select(*tags, micros(F.col(ts)).alias("__us"), F.coalesce(holds, F.lit(False)).alias("__on"))
-    at = at.groupBy(*tags, "__us").agg(F.bool_or("__on").alias("__on"))
-    before = F.lag("__us").over(w)
-    new = ~F.coalesce(F.lag("__on").over(w), F.lit(False)) | (F.col("__us") - before > keep_us)
-    marked = at.withColumn("__new", (F.col("__on") & new).cast("int")).withColumn("__run", F.sum("__new").over(w))
-    runs = marked.where("__on").groupBy(*tags, "__run").agg(F.min("__us").alias("started"), F.max("__us").alias("last_true"))
-    fired = F.when(F.col("last_true") - F.col("started") >= for_us, F.col("started") + for_us)
-    return runs.select(*tags, "started", "last_true", fired.alias("fired_at"), (F.col("last_true") + keep_us).alias("ended_at"), F.when(fired.isNotNull(), "firing").otherwise("pending").alias("state"))
+    runs = condition_runs(_samples(df, tags, ts, holds), tags, slice_us)
+    order = Window.partitionBy(*tags).orderBy("started")
+    apart = F.coalesce(F.col("started") - F.lag("last_true").over(order) > keep_us, F.lit(True))
+    fires = F.col("last_true") - F.col("started") >= for_us
+    chained = runs.withColumn("chain", F.sum(apart.cast("int")).over(order)).withColumn("fires", fires)
+    chained = chained.withColumn("firing", F.max("fires").over(Window.partitionBy(*tags, "chain").orderBy("started")))
+    own = F.when(F.col("firing"), F.lit(None)).otherwise(F.col("started"))
+    per = chained.groupBy(*tags, "chain", own.alias("own"), "firing").agg(F.min("started").alias("started"), F.max("last_true").alias("last_true"), F.max("false_at").alias("false_at"))
+    fired = F.when(F.col("firing"), F.col("started") + for_us)
+    ended = F.when(F.col("firing"), F.col("last_true") + keep_us).otherwise(F.col("false_at"))
+    return per.select(*tags, "started", "last_true", fired.alias("fired_at"), ended.alias("ended_at"), F.when(F.col("firing"), "firing").otherwise("pending").alias("state"))

@@ -20,7 +20,7 @@ joined AS (SELECT f.request_id, batch_id, acked_at, affected_rows, ok FROM frame
 """
 _ROLLUP_SQL = """
 rolled AS (
-  SELECT batch_id, frames, acked, failed, affected_rows, CASE WHEN failed > 0 THEN 'failed' WHEN acked < frames THEN 'pending' ELSE 'ok' END AS status FROM (
+  SELECT batch_id, frames, acked, failed, affected_rows, CASE WHEN acked < frames THEN 'pending' WHEN failed > 0 THEN 'failed' ELSE 'ok' END AS status FROM (
     SELECT batch_id, count(*) AS frames, count(acked_at) AS acked, count(*) FILTER (WHERE NOT ok) AS failed, coalesce(sum(affected_rows) FILTER (WHERE ok), 0)::BIGINT AS affected_rows FROM joined GROUP BY batch_id)
 )
 """
@@ -58,21 +58,28 @@ def ack_group_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.batch_rollup(_reconciled(spark, sf_dir))
 
 
-@query(f"""WITH {_FRAMES_SQL}, {_ROLLUP_SQL}
-SELECT count(*) AS batches, count(*) FILTER (WHERE status = 'pending') AS pending, count(*) FILTER (WHERE status = 'failed') AS failed,
-  CASE WHEN bool_or(status = 'pending') THEN 'pending' WHEN bool_or(status = 'failed') THEN 'failed' ELSE 'complete' END AS verdict,
-  coalesce(min(batch_id) FILTER (WHERE status = 'pending'), min(batch_id) FILTER (WHERE status = 'failed')) AS first_batch
-FROM rolled""")
+@query(f"""WITH {_FRAMES_SQL},
+refused AS (SELECT o_orderkey // 4 AS load, o_orderkey AS batch_id, 'row ' || o_custkey AS error FROM orders WHERE o_orderkey % 13 = 0),
+per AS (SELECT batch_id // 4 AS load, count(DISTINCT batch_id) AS batches, count(*) FILTER (WHERE acked_at IS NULL) AS pending, min(request_id) FILTER (WHERE acked_at IS NULL) AS p,
+  count(DISTINCT batch_id) FILTER (WHERE NOT ok) AS failed, min(batch_id) FILTER (WHERE NOT ok) AS f FROM joined GROUP BY ALL),
+bad AS (SELECT load, count(*) AS rejected, min(batch_id) AS r, arg_min(error, batch_id) AS e FROM refused GROUP BY load),
+both AS (SELECT load, coalesce(batches, 0) AS batches, coalesce(pending, 0) AS pending, coalesce(rejected, 0) AS rejected, coalesce(failed, 0) AS failed, p, r, f, e FROM per FULL JOIN bad USING (load))
+SELECT load, batches, pending, rejected, failed,
+  CASE WHEN pending > 0 THEN 'pending' WHEN rejected > 0 THEN 'rejected' WHEN failed > 0 THEN 'failed' ELSE 'complete' END AS verdict,
+  CASE WHEN pending > 0 THEN p WHEN rejected > 0 THEN r ELSE f END AS first_id, CASE WHEN pending > 0 THEN 'no ack' WHEN rejected > 0 THEN e WHEN failed > 0 THEN 'frame failed' END AS first_error
+FROM both""")
 def bulk_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.verdict(ledger.batch_rollup(_reconciled(spark, sf_dir)))
+    found = _reconciled(spark, sf_dir).withColumn("load", F.expr("batch_id div 4"))
+    refused = table(spark, sf_dir, "orders").where("o_orderkey % 13 = 0").selectExpr("o_orderkey div 4 as load", "o_orderkey as batch_id", "'row ' || o_custkey as error")
+    return ledger.verdict(found, refused, ("load",))
 
 
 @query(f"""WITH {_FRAMES_SQL}, stop AS (SELECT min(seq) AS seq FROM acks WHERE request_id % 20011 = 20010),
 heard AS (SELECT a.* FROM acks a, stop WHERE stop.seq IS NULL OR a.seq < stop.seq),
 once AS (SELECT request_id, arg_min(affected_rows, seq) AS affected_rows FROM heard GROUP BY request_id)
 SELECT (SELECT count(DISTINCT batch_id) FROM frames) AS total_requests,
-  (SELECT coalesce(sum(affected_rows), 0)::BIGINT FROM once SEMI JOIN frames USING (request_id)) AS total_affected_rows,
-  (SELECT coalesce(sum(affected_rows), 0)::BIGINT FROM heard) AS acknowledged_rows""")
+  (SELECT coalesce(sum(affected_rows), 0)::BIGINT FROM once SEMI JOIN frames USING (request_id)) AS distinct_affected_rows,
+  (SELECT coalesce(sum(affected_rows), 0)::BIGINT FROM heard) AS total_affected_rows""")
 def bulk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = _frames(spark, sf_dir)
     acks = _acks(frames).withColumn("well_formed", F.col("request_id") % 20011 != 20010)

@@ -38,11 +38,15 @@ def range_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH placed AS (SELECT event_type, epoch_us(ts) AS us, bool_or(value > 40) AS up FROM events GROUP BY ALL),
-marked AS (SELECT *, CASE WHEN up AND (NOT coalesce(lag(up) OVER w, false) OR us - lag(us) OVER w > {2 * HOUR}) THEN 1 ELSE 0 END AS new FROM placed WINDOW w AS (PARTITION BY event_type ORDER BY us)),
-runs AS (SELECT *, sum(new) OVER (PARTITION BY event_type ORDER BY us) AS run FROM marked)
-SELECT event_type, min(us) AS started, max(us) AS last_true, CASE WHEN max(us) - min(us) >= {HOUR // 2} THEN min(us) + {HOUR // 2} END AS fired_at, max(us) + {2 * HOUR} AS ended_at,
-  CASE WHEN max(us) - min(us) >= {HOUR // 2} THEN 'firing' ELSE 'pending' END AS state
-FROM runs WHERE up GROUP BY event_type, run
+marked AS (SELECT *, CASE WHEN up AND NOT coalesce(lag(up) OVER w, false) THEN 1 ELSE 0 END AS new, lead(us) OVER w AS next_us FROM placed WINDOW w AS (PARTITION BY event_type ORDER BY us)),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY event_type ORDER BY us) AS run FROM marked),
+runs AS (SELECT event_type, min(us) AS started, max(us) AS last_true, arg_max(coalesce(next_us, -1), us) AS false_at FROM numbered WHERE up GROUP BY event_type, run),
+linked AS (SELECT *, CASE WHEN started - lag(last_true) OVER w <= {2 * HOUR} THEN 0 ELSE 1 END AS apart FROM runs WINDOW w AS (PARTITION BY event_type ORDER BY started)),
+chains AS (SELECT *, sum(apart) OVER (PARTITION BY event_type ORDER BY started) AS chain FROM linked),
+states AS (SELECT *, bool_or(last_true - started >= {HOUR // 2}) OVER (PARTITION BY event_type, chain ORDER BY started) AS firing FROM chains)
+SELECT event_type, min(started) AS started, max(last_true) AS last_true, CASE WHEN firing THEN min(started) + {HOUR // 2} END AS fired_at,
+  CASE WHEN firing THEN max(last_true) + {2 * HOUR} ELSE nullif(max(false_at), -1) END AS ended_at, CASE WHEN firing THEN 'firing' ELSE 'pending' END AS state
+FROM states GROUP BY event_type, chain, firing, CASE WHEN NOT firing THEN started END
 """)
 def alert_for_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeseries.alerts(table(spark, sf_dir, "events"), ["event_type"], "ts", F.col("value") > 40, HOUR // 2, 2 * HOUR)

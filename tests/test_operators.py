@@ -100,7 +100,8 @@ def test_mutations(spark):
     assert [r["seq"] for r in mutate.without_keys(df, spark.createDataFrame([(None,), ("b",)], "k string")).collect()] == [2]
     assert [r["seq"] for r in mutate.truncated(df, "ts", [(2000, 3000)]).orderBy("seq").collect()] == [1, 3]
     assert mutate.truncated(df, "ts", []).count() == 0
-    assert [r["seq"] for r in mutate.snapshot(df, (F.col("v") % 2).cast("int"), "seq", {1: 1}).collect()] == [1]
+    bounds = spark.createDataFrame([(1, 1)], "part int, upto long")
+    assert [r["seq"] for r in mutate.snapshot(df.withColumn("part", (F.col("v") % 2).cast("int")), "part", "seq", bounds).collect()] == [1]
     with pytest.raises(SchemaError):
         mutate.evolved(SPEC, [mutate.Change("drop", "host")])
     assert mutate.evolved(SPEC, [mutate.Change("add", "z", field("z", "Int8"), first=True)]).names == ["z", "host", "usage", "ts"]
@@ -110,10 +111,42 @@ def test_nested(spark):
     row = spark.sql("select unhex('2002') as m, array(1D,2D,3D,4D,5D,6D,7D,8D,9D,10D,11D,12D,13D,14D) as v, 16 as n")
     got = row.select(nested.dense("v", "m", "n").alias("d")).first()["d"]
     assert [i for i, x in enumerate(got) if x is None] == [5, 9] and [x for x in got if x is not None] == [float(i) for i in range(1, 15)]
-    wide = spark.createDataFrame([(0, -1), (1, 0), (-1, 5)], "h long, l long").select(nested.decimal_of(F.col("h"), F.col("l"), 0)).collect()
-    assert [int(r[0]) for r in wide] == [2**64 - 1, 2**64, 5 - 2**64]
+    none = spark.sql("select cast(array() as array<string>) as v, unhex('03') as m, 2 as n, 0 as z")
+    assert none.select(nested.dense("v", "m", "n"), nested.dense("v", "m", "z")).first() == ([None, None], [])
+    pairs = [(0, -1), (1, 0), (-1, 5), (2**62, 7), (-(2**62), 0), (2**63 - 1, -1)]
+    wide = spark.createDataFrame(pairs, "h long, l long")
+    got = wide.select(*nested.decimal_of(F.col("h"), F.col("l"), 0), *nested.decimal_of(F.col("h"), F.col("l"), 10)).collect()
+    for (h, low), (a, why, b, _) in zip(pairs, got, strict=True):
+        n = h * 2**64 + low % 2**64
+        assert (a, b, why) == (None, None, "range") if abs(n) >= 10**38 else (int(a), int(f"{b:f}".replace(".", ""))) == (n, n) and why is None
+    assert [r[0] for r in wide.select(nested.decimal_of(F.col("h"), F.col("l"), 0, 20)[1]).collect()][:4] == [None, None, None, "range"]
     texts = spark.createDataFrame([("The quick, fox",), ("quickly",), (None,)], "t string")
     assert [r[0] for r in texts.select(nested.has_terms(F.col("t"), ["Quick", "fox"])).collect()] == [True, False, False]
+    other = spark.createDataFrame([("Żółw, Émile",), ("我喜歡漢字。",), ("Zolw",)], "t string")
+    assert [r[0] for r in other.select(nested.has_terms(F.col("t"), ["émile", "żółw"])).collect()] == [True, False, False]
+    assert [r[0] for r in other.select(nested.has_terms(F.col("t"), ["漢字"], analyzer="chinese")).collect()] == [False, True, False]
+    assert not other.where(nested.has_terms(F.col("t"), ["Émile"], fold=False)).isEmpty() and other.where(nested.has_terms(F.col("t"), ["émile"], fold=False)).isEmpty()
+    keys = spark.createDataFrame([('{"http.method":"GET","a b":1,"it\'s":2,"http":{"method":"x"}}',)], "j string")
+    assert tuple(nested.promoted(keys, "j", {"http.method": "string", "a b": "int", "it's": "int"}).drop("j").first()) == ("GET", 1, 2)
+
+
+def test_nested_conforming(spark):
+    df = spark.sql("select array(1, 2) as good, array(1, 300) as bad, named_struct('a', 1.5D, 'b', array('x')) as s, '[1, {}]' as j, 'x' as nj, 12 as m, 5.25BD as d, array(1.0F, 2.0F) as v")
+
+    def one(name, target):
+        return tuple(df.select(*nested.coerced_nested(F.col(name), df.schema[name].dataType, target)).first())
+
+    assert one("good", nested.ListOf("Uint8")) == ([1, 2], None) and one("bad", nested.ListOf("Uint8")) == (None, "[1]:range") and one("m", nested.ListOf("Int8"))[1] == "type:list"
+    shape = nested.StructOf({"a": "Float64", "b": nested.ListOf("String"), "c": "Int8"})
+    assert one("s", shape) == ((1.5, ["x"], None), None)
+    assert one("s", nested.StructOf({"a": "Int8", "b": nested.ListOf("String")}))[1] == ".a:range" and one("s", nested.StructOf({"a": "Int8"}))[1] == "type:struct"
+    assert one("s", nested.StructOf({"a": "Float64", "b": nested.ListOf("Int8")}))[1] == ".b:[0]:type:string"
+    assert str(one("d", nested.Decimal(4, 2))[0]) == "5.25" and one("d", nested.Decimal(4, 1))[1] == "range" and one("v", nested.Vector(3))[1] == "dimension"
+    assert one("nj", nested.JsonNative())[1] == "json" and one("m", nested.Interval("micros"))[0].microseconds == 12
+    value, _ = nested.coerced_nested(F.col("m"), df.schema["m"].dataType, nested.Interval("months"))
+    assert df.select(value.cast("string")).first()[0] == "INTERVAL '1-0' YEAR TO MONTH"
+    value, _ = nested.coerced_nested(F.col("j"), df.schema["j"].dataType, nested.JsonNative())
+    assert df.select(F.to_json(value)).first()[0] == "[1,{}]"
 
 
 def test_series_reads(spark):

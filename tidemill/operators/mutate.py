@@ -33,10 +33,14 @@ def truncated(df: DataFrame, ts: str, ranges: list[tuple[int, int]], unit: int =
     return df.where(~F.coalesce(hit, F.lit(False)))
 
 
-def snapshot(df: DataFrame, partition: Column, sequence: str, upto: dict[int, int]) -> DataFrame:
-    """Rows whose sequence is within their partition's bound in ``upto``; partitions without one are left out."""
-    bounds = F.create_map(*[F.lit(x) for kv in upto.items() for x in kv])
-    return df.where(F.col(sequence) <= F.try_element_at(bounds, partition))
+def snapshot(df: DataFrame, partition: str, sequence: str, bounds: DataFrame) -> DataFrame:
+    """Rows whose sequence is within their partition's bound in ``bounds`` (its name, ``upto``); partitions without one are left out.
+
+    Bounds are a table, so there may be as many partitions as there are rows;
+    Spark broadcasts it if it is small.
+    """
+    most = bounds.groupBy(partition).agg(F.max("upto").alias("__upto"))
+    return df.join(most, partition).where(F.col(sequence) <= F.col("__upto")).select(*df.columns)
 
 
 @dataclasses.dataclass(frozen=True)

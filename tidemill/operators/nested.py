@@ -2,30 +2,121 @@
 
 from __future__ import annotations
 
+import dataclasses
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
-
-def null_at(mask: Column, i: Column) -> Column:
-    """Whether bit ``i`` of a binary ``mask`` is set, lowest bit of the first byte first."""
-    byte = F.conv(F.hex(F.substring(mask, (F.floor(i / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.call_function("getbit", byte, (i % 8).cast("int")) == 1
+from ..functions.coerce import INTEGRAL, coerced
+from ..functions.types import SchemaError
 
 
 def dense(values: str, mask: str, size: str) -> Column:
-    """The ``size`` rows of a sparse column: ``values`` holds the non-null ones in order, ``mask`` has a bit per row that is null."""
+    """The ``size`` rows of a sparse column: ``values`` holds the non-null ones in order, ``mask`` has a bit per row that is null, lowest bit of the first byte first."""
     bit = f"getbit(cast(conv(hex(substring({mask}, cast(floor(i / 8) as int) + 1, 1)), 16, 10) as int), cast(i % 8 as int))"
-    before = f"size(filter(sequence(0, cast({size} as int) - 1), i -> i < k and {bit} = 0))"
-    bit_k = bit.replace("i / 8", "k / 8").replace("i % 8", "k % 8")
-    return F.expr(f"if({size} = 0, cast(array() as array<double>), transform(sequence(0, cast({size} as int) - 1), k -> if({bit_k} = 1, null, element_at({values}, {before} + 1))))")
-
-
-def decimal_of(high: Column, low: Column, scale: int, precision: int = 38) -> Column:
-    """(high 2^64 + unsigned low) / 10^scale."""
-    low = low.cast("decimal(20,0)")
-    unsigned = F.when(low < 0, low + F.expr("18446744073709551616BD")).otherwise(low)
-    whole = (high.cast("decimal(17,0)") * F.expr("18446744073709551616BD") + unsigned).cast(f"decimal({precision},0)")
-    return whole.cast(f"decimal({precision},{scale})") / F.lit(10**scale) if scale else whole
+    every = f"sequence(0, cast({size} as int) - 1)"
+    held = f"zip_with(filter({every}, i -> {bit} = 0), {values}, (i, v) -> struct(i as i, v as v))"
+    gaps = f"transform(filter({every}, i -> {bit} = 1), i -> struct(i as i, element_at({values}, cast(null as int)) as v))"
+    return F.expr(f"if({size} = 0, slice({values}, 1, 0), transform(array_sort(concat({held}, {gaps})), x -> x.v))")
+
+
+def decimal_of(high: Column, low: Column, scale: int, precision: int = 38) -> tuple[Column, Column]:
+    """((high 2^64 + unsigned low) / 10^scale as an exact decimal, reason): refused as ``range`` beyond ``precision`` digits."""
+    low, step, limb = low.cast("decimal(20,0)"), F.expr("18446744073709551616BD"), 10**9
+    unsigned = F.when(low < 0, low + step).otherwise(low)
+    rest = F.pmod(high, F.lit(limb))
+    upper = F.call_function("div", high - rest, F.lit(limb)).cast("decimal(11,0)")
+    # Spark rounds products to 34 digits, so the last nine are kept apart: upper 2^64 + first is the rest of the number.
+    lower = F.lpad((rest.cast("decimal(9,0)") * step + unsigned).cast("decimal(30,0)").cast("string"), 39, "0")
+    first, last = F.substr(lower, F.lit(1), F.lit(30)).cast("decimal(30,0)"), F.substr(lower, F.lit(31)).cast("long")
+    most = (upper * step + first).cast("decimal(31,0)")
+    borrow = (most < 0) & (last > 0)
+    digits = F.concat(F.lpad(F.abs(most + borrow.cast("int")).cast("decimal(31,0)").cast("string"), 30, "0"), F.lpad(F.when(borrow, limb - last).otherwise(last).cast("string"), 9, "0"))
+    text = F.concat(F.when(most < 0, "-").otherwise(""), F.substr(digits, F.lit(1), F.lit(39 - scale)), F.lit("."), F.substr(digits, F.lit(40 - scale), F.lit(scale)))
+    value = text.try_cast(f"decimal({precision},{scale})")
+    return value, F.when(high.isNotNull() & low.isNotNull() & value.isNull(), F.lit("range"))
+
+
+@dataclasses.dataclass(frozen=True)
+class ListOf:
+    item: object
+
+
+@dataclasses.dataclass(frozen=True)
+class StructOf:
+    fields: dict[str, object]
+
+
+@dataclasses.dataclass(frozen=True)
+class Decimal:
+    precision: int
+    scale: int
+
+
+@dataclasses.dataclass(frozen=True)
+class Vector:
+    size: int
+
+
+@dataclasses.dataclass(frozen=True)
+class Interval:
+    """``unit`` is ``months``, ``micros`` or ``mixed`` (a struct of months, days and nanoseconds)."""
+
+    unit: str
+
+
+@dataclasses.dataclass(frozen=True)
+class JsonNative:
+    pass
+
+
+def coerced_nested(x: Column, source: S.DataType, target: object) -> tuple[Column, Column]:
+    """(value, reason) of ``x`` as a nested ``target``: one of the above, or the name of a declared type at the leaves.
+
+    Lists and structs are refused as a whole for the first cell in them that
+    does not fit, named by its place; a member that the source lacks is null,
+    one that the target lacks is refused.
+    """
+    bad = lambda why: (F.lit(None), F.when(x.isNotNull(), F.lit(why)))
+    if isinstance(target, str):
+        return coerced(x, source, target)
+    if isinstance(target, ListOf):
+        if not isinstance(source, S.ArrayType):
+            return bad("type:list")
+        inner = lambda e: coerced_nested(e, source.elementType, target.item)
+        reasons = F.filter(F.transform(x, lambda e, i: F.when(inner(e)[1].isNotNull(), F.concat(F.lit("["), i.cast("string"), F.lit("]:"), inner(e)[1]))), lambda r: r.isNotNull())
+        reason = F.try_element_at(reasons, F.lit(1))
+        return F.when(reason.isNull(), F.transform(x, lambda e: inner(e)[0])), reason
+    if isinstance(target, StructOf):
+        if not isinstance(source, S.StructType) or set(source.names) - set(target.fields):
+            return bad("type:struct")
+        pairs = {n: coerced_nested(x[n], source[n].dataType, t) if n in source.names else (F.lit(None), F.lit(None)) for n, t in target.fields.items()}
+        reason = F.coalesce(*[F.when(r.isNotNull(), F.concat(F.lit(f".{n}:"), r)) for n, (_, r) in pairs.items()])
+        return F.when(x.isNotNull() & reason.isNull(), F.struct(*[v.alias(n) for n, (v, _) in pairs.items()])), reason
+    if isinstance(target, Decimal):
+        if not isinstance(source, (S.DecimalType, *INTEGRAL)):
+            return bad("type:decimal")
+        value = x.cast("string").try_cast(f"decimal({target.precision},{target.scale})")
+        fine = value.isNotNull() & (value == x)
+        return F.when(fine, value), F.when(x.isNotNull() & ~F.coalesce(fine, F.lit(False)), F.lit("range"))
+    if isinstance(target, Vector):
+        return vector_of(x, target.size) if isinstance(source, S.ArrayType) else bad("type:vector")
+    if isinstance(target, Interval):
+        return _interval(x, source, target.unit)
+    value = F.try_parse_json(x) if isinstance(source, S.StringType) else F.to_variant_object(x)
+    return value, F.when(x.isNotNull() & value.isNull(), F.lit("json"))
+
+
+def _interval(x: Column, source: S.DataType, unit: str) -> tuple[Column, Column]:
+    if unit == "mixed":
+        return coerced_nested(x, source, StructOf({"months": "Int32", "days": "Int32", "nanoseconds": "Int64"}))
+    if isinstance(source, S.YearMonthIntervalType if unit == "months" else S.DayTimeIntervalType):
+        return x, F.lit(None).cast("string")
+    whole, reason = coerced(x, source, "Int32" if unit == "months" else "Int64")
+    made = F.make_ym_interval(F.lit(0), whole) if unit == "months" else whole * F.expr("interval '0.000001' second")
+    return made, reason
 
 
 def vector_of(values: Column, size: int) -> tuple[Column, Column]:
@@ -34,22 +125,38 @@ def vector_of(values: Column, size: int) -> tuple[Column, Column]:
     return F.when(fine, values.cast("array<float>")), F.when(values.isNotNull() & ~fine, F.lit("dimension"))
 
 
-def terms(text: Column, fold: bool = True) -> Column:
-    """The words of a text: runs of letters, digits and underscores, lower-cased if ``fold``."""
-    return F.split(F.lower(text) if fold else text, "[^A-Za-z0-9_]+")
+#: What stands between words, and a character that is a word of its own.
+BETWEEN, HAN = r"[^\p{L}\p{M}\p{N}_]+", r"(\p{IsHan})"
+
 
+def terms(text: Column, fold: bool = True, analyzer: str = "english") -> Column:
+    """The words of a text: runs of letters, marks, digits and underscores of any script, lower-cased if ``fold``; the ``chinese`` analyzer takes each Han character as a word."""
+    if analyzer not in ("english", "chinese"):
+        raise ValueError(f"unknown analyzer {analyzer!r}")
+    text = F.regexp_replace(text, HAN, " $1 ") if analyzer == "chinese" else text
+    return F.split(F.lower(text) if fold else text, BETWEEN)
 
-def has_terms(text: Column, wanted: list[str], fold: bool = True) -> Column:
-    """Whether a text has all ``wanted`` terms as whole words."""
-    words = terms(text, fold)
-    wanted = [w.lower() for w in wanted] if fold else wanted
-    return F.coalesce(F.forall(F.array(*map(F.lit, wanted)), lambda w: F.array_contains(words, w)), F.lit(False))
+
+def has_terms(text: Column, wanted: list[str], fold: bool = True, analyzer: str = "english") -> Column:
+    """Whether a text has all ``wanted`` terms as whole words; a term of several words, or Han characters, has to stand in one piece."""
+    joined = lambda x: F.concat(F.lit(" "), F.trim(F.array_join(terms(x, fold, analyzer), " ")), F.lit(" "))
+    here = joined(text)
+    return F.coalesce(reduce(lambda a, b: a & b, [F.contains(here, joined(F.lit(w))) for w in wanted], F.lit(True)), F.lit(False))
 
 
 def promoted(df: DataFrame, attributes: str, keys: dict[str, str], prefix: str = "") -> DataFrame:
-    """``df`` with a typed column for each of ``keys`` of a JSON ``attributes`` column; values that do not fit are null."""
+    """``df`` with a typed column for each of ``keys`` of a JSON ``attributes`` column; values that do not fit are null.
+
+    A key is one name, whatever dots, spaces or quotes it holds (not both kinds of quotes).
+    """
     v = F.try_parse_json(F.col(attributes))
-    return df.withColumns({prefix + k: F.try_variant_get(v, f"$.{k}", kind) for k, kind in keys.items()})
+
+    def path(key: str) -> str:
+        if "'" in key and '"' in key:
+            raise SchemaError(f"{key!r} has both kinds of quotes")
+        return f'$["{key}"]' if "'" in key else f"$['{key}']"
+
+    return df.withColumns({prefix + k: F.try_variant_get(v, path(k), kind) for k, kind in keys.items()})
 
 
 def attribute_keys(df: DataFrame, attributes: str) -> DataFrame:

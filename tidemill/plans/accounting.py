@@ -59,19 +59,19 @@ def ack_group_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_FRAMES_SQL},
-refused AS (SELECT o_orderkey // 4 AS load, o_orderkey AS batch_id, 'row ' || o_custkey AS error FROM orders WHERE o_orderkey % 13 = 0),
-per AS (SELECT batch_id // 4 AS load, count(DISTINCT batch_id) AS batches, count(*) FILTER (WHERE acked_at IS NULL) AS pending, min(request_id) FILTER (WHERE acked_at IS NULL) AS p,
+refused AS (SELECT o_orderkey // 4 AS load_id, o_orderkey AS batch_id, 'row ' || o_custkey AS error FROM orders WHERE o_orderkey % 13 = 0),
+per AS (SELECT batch_id // 4 AS load_id, count(DISTINCT batch_id) AS batches, count(*) FILTER (WHERE acked_at IS NULL) AS pending, min(request_id) FILTER (WHERE acked_at IS NULL) AS p,
   count(DISTINCT batch_id) FILTER (WHERE NOT ok) AS failed, min(batch_id) FILTER (WHERE NOT ok) AS f FROM joined GROUP BY ALL),
-bad AS (SELECT load, count(*) AS rejected, min(batch_id) AS r, arg_min(error, batch_id) AS e FROM refused GROUP BY load),
-both AS (SELECT load, coalesce(batches, 0) AS batches, coalesce(pending, 0) AS pending, coalesce(rejected, 0) AS rejected, coalesce(failed, 0) AS failed, p, r, f, e FROM per FULL JOIN bad USING (load))
-SELECT load, batches, pending, rejected, failed,
+bad AS (SELECT load_id, count(*) AS rejected, min(batch_id) AS r, arg_min(error, batch_id) AS e FROM refused GROUP BY load_id),
+joined_up AS (SELECT load_id, coalesce(batches, 0) AS batches, coalesce(pending, 0) AS pending, coalesce(rejected, 0) AS rejected, coalesce(failed, 0) AS failed, p, r, f, e FROM per FULL JOIN bad USING (load_id))
+SELECT load_id, batches, pending, rejected, failed,
   CASE WHEN pending > 0 THEN 'pending' WHEN rejected > 0 THEN 'rejected' WHEN failed > 0 THEN 'failed' ELSE 'complete' END AS verdict,
   CASE WHEN pending > 0 THEN p WHEN rejected > 0 THEN r ELSE f END AS first_id, CASE WHEN pending > 0 THEN 'no ack' WHEN rejected > 0 THEN e WHEN failed > 0 THEN 'frame failed' END AS first_error
-FROM both""")
+FROM joined_up""")
 def bulk_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _reconciled(spark, sf_dir).withColumn("load", F.expr("batch_id div 4"))
-    refused = table(spark, sf_dir, "orders").where("o_orderkey % 13 = 0").selectExpr("o_orderkey div 4 as load", "o_orderkey as batch_id", "'row ' || o_custkey as error")
-    return ledger.verdict(found, refused, ("load",))
+    found = _reconciled(spark, sf_dir).withColumn("load_id", F.expr("batch_id div 4"))
+    refused = table(spark, sf_dir, "orders").where("o_orderkey % 13 = 0").selectExpr("o_orderkey div 4 as load_id", "o_orderkey as batch_id", "'row ' || o_custkey as error")
+    return ledger.verdict(found, refused, ("load_id",))
 
 
 @query(f"""WITH {_FRAMES_SQL}, stop AS (SELECT min(seq) AS seq FROM acks WHERE request_id % 20011 = 20010),

@@ -65,10 +65,11 @@ def truncate_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mutate.truncated(table(spark, sf_dir, "events").select("event_id", "ts"), "ts", [(first + 2 * day, first + 4 * day), (first + 9 * day, first + 10 * day)])
 
 
-@query("SELECT event_id, user_id % 4 AS part, value FROM events WHERE event_id <= CASE user_id % 4 WHEN 0 THEN 500 WHEN 1 THEN 2500 WHEN 3 THEN 100000 END")
+@query("WITH rows AS (SELECT event_id, user_id % 4 AS part, value FROM events), bounds AS (SELECT part, (min(event_id) + max(event_id)) // 2 AS upto FROM rows GROUP BY part) SELECT event_id, part, value FROM rows JOIN bounds USING (part) WHERE event_id <= upto")
 def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").selectExpr("event_id", "user_id % 4 as part", "value")
-    return mutate.snapshot(rows, F.col("part").cast("int"), "event_id", {0: 500, 1: 2500, 3: 100_000})
+    bounds = rows.groupBy("part").agg(F.expr("(min(event_id) + max(event_id)) div 2").alias("upto"))
+    return mutate.snapshot(rows, "part", "event_id", bounds)
 
 
 @query("SELECT 'eu' AS site, user_id, value::FLOAT AS value, 'none' AS grade, ts FROM events")
@@ -104,13 +105,30 @@ def null_mask_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, (o_custkey::DECIMAL(38,0) * 18446744073709551616 + CASE WHEN d < 0 THEN d + 18446744073709551616::DECIMAL(38,0) ELSE d END)::VARCHAR AS wide, o_orderkey % 12 AS months, o_orderkey % 31 AS days
-FROM (SELECT *, (o_orderkey - 1000)::DECIMAL(38,0) AS d FROM orders)
+SELECT o_orderkey, wide::VARCHAR AS wide, CASE WHEN wide < 0 THEN '-' ELSE '' END || substr(d, 1, 39 - 4) || '.' || substr(d, 36, 4) AS scaled, CASE WHEN o_orderkey % 7 = 0 THEN 'range' END AS too_wide,
+  CASE WHEN o_orderkey % 5 > 0 THEN [o_orderkey % 5, NULL, 127] END::VARCHAR AS small, CASE WHEN o_orderkey % 5 = 0 THEN '[0]:range' END AS small_error,
+  o_orderkey % 12 AS months, CASE WHEN o_custkey % 3 = 0 THEN '.days:range' END AS every_error, o_custkey * 1000 AS span_us
+FROM (SELECT *, lpad(abs(wide)::VARCHAR, 39, '0') AS d FROM (
+  SELECT *, (o_custkey - 700)::HUGEINT * 1000000000000000 * 18446744073709551616::HUGEINT + CASE WHEN low < 0 THEN low + 18446744073709551616::HUGEINT ELSE low END AS wide FROM (SELECT *, (o_orderkey - 1000)::HUGEINT AS low FROM orders)))
 """)
 def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").withColumn("every", F.struct((F.col("o_orderkey") % 12).alias("months"), (F.col("o_orderkey") % 31).alias("days")))
-    wide = nested.decimal_of(F.col("o_custkey"), F.col("o_orderkey") - 1000, 0)
-    return rows.select("o_orderkey", wide.cast("string").alias("wide"), "every.months", "every.days")
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "(o_custkey - 700) * 1000000000000000L as high", "o_orderkey - 1000 as low", "array(if(o_orderkey % 5 = 0, 300, o_orderkey % 5), null, 127) as small",
+        "named_struct('months', o_orderkey % 12, 'days', if(o_custkey % 3 = 0, 5000000000, 3L)) as every", "o_custkey * 1000 as span",
+    )
+    wide, _ = nested.decimal_of(F.col("high"), F.col("low"), 0)
+    scaled, _ = nested.decimal_of(F.col("high"), F.col("low"), 4)
+    _, narrow = nested.decimal_of(F.when(F.col("o_orderkey") % 7 == 0, F.lit(5)).otherwise(F.lit(0)), F.lit(1), 0, 19)
+    of = {n: rows.schema[n].dataType for n in ("small", "every", "span")}
+    small, small_error = nested.coerced_nested(F.col("small"), of["small"], nested.ListOf("Int8"))
+    every, every_error = nested.coerced_nested(F.col("every"), of["every"], nested.Interval("mixed"))
+    span, _ = nested.coerced_nested(F.col("span"), of["span"], nested.Interval("micros"))
+    padded = F.lpad(F.regexp_replace(scaled.cast("string"), "^-", ""), 40, "0")
+    return rows.select(
+        "o_orderkey", wide.cast("string").alias("wide"), F.concat(F.when(scaled < 0, "-").otherwise(""), padded).alias("scaled"), narrow.alias("too_wide"),
+        F.concat(F.lit("["), F.array_join(small, ", ", "NULL"), F.lit("]")).alias("small"), small_error.alias("small_error"),
+        F.coalesce(every["months"], F.col("every.months").cast("int")).cast("long").alias("months"), every_error.alias("every_error"), F.expr("0L").alias("x"), span.alias("span"),
+    ).withColumn("span_us", F.expr("cast(extract(DAY from span) as bigint) * 86400000000 + cast(extract(HOUR from span) as bigint) * 3600000000 + cast(extract(MINUTE from span) as bigint) * 60000000 + cast(extract(SECOND from span) * 1000000 as bigint)")).drop("x", "span")
 
 
 @query("SELECT vec_id, len(embedding) = 64 AND vec_id % 10 <> 0 AS accepted, CASE WHEN vec_id % 10 = 0 THEN 'dimension' END AS reason FROM embeddings")
@@ -120,15 +138,16 @@ def vector_dim_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", value.isNotNull().alias("accepted"), reason.alias("reason"))
 
 
-@query(r"SELECT doc_id FROM documents WHERE list_contains(string_split_regex(lower(text), '[^A-Za-z0-9_]+'), 'licensed') AND list_contains(string_split_regex(lower(text), '[^A-Za-z0-9_]+'), 'apache')")
+@query(r"SELECT doc_id FROM documents WHERE list_contains(string_split_regex(lower(text), '[^\p{L}\p{M}\p{N}_]+'), 'licensed') AND list_contains(string_split_regex(lower(text), '[^\p{L}\p{M}\p{N}_]+'), 'apache')")
 def text_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where(nested.has_terms(F.col("text"), ["Licensed", "Apache"])).select("doc_id")
 
 
-@query("""SELECT event_id, (props::JSON ->> '$.k')::BIGINT AS k, NULL::VARCHAR AS missing FROM events""")
+@query("""SELECT event_id, (props::JSON ->> '$.k')::BIGINT AS k, event_type AS "http.method", value AS "a b", NULL::VARCHAR AS missing FROM events""")
 def promote_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "props")
-    return nested.promoted(rows, "props", {"k": "bigint", "missing": "string"}).drop("props")
+    both = F.expr("""concat(substr(props, 1, length(props) - 1), ', "http.method": "', event_type, '", "a b": ', value, '}')""")
+    rows = table(spark, sf_dir, "events").select("event_id", both.alias("attributes"))
+    return nested.promoted(rows, "attributes", {"k": "bigint", "http.method": "string", "a b": "double", "missing": "string"}).drop("attributes")
 
 
 @query("SELECT DISTINCT unnest(json_keys(props::JSON)) AS key FROM events")

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from tidemill.operators import failures, ledger, mutate, nested, timeseries
 from tidemill.operators.spec import TableSpec, field, tag, timestamp
 from tidemill.plans import coercions, streams
 from tidemill.sources import generate
-from tidemill.sources.store import TableStore, WriteError, scratch_folder
+from tidemill.sources.store import StateError, StreamWriter, TableStore, WriteError, scratch_folder
 from tidemill.streaming import jobs
 
 SPEC = TableSpec("metrics", (tag("host"), field("usage", "Float64"), timestamp("ts")))
@@ -78,10 +79,61 @@ def test_store_writes_and_refuses(spark):
     with pytest.raises(SchemaError):
         store.write([(TableSpec("metrics", (tag("host"), timestamp("ts"))), points(spark).drop("usage"))])
     assert store.schema("metrics")["host"].metadata["semantic"] == "tag"
+    narrow = TableSpec("fresh", (tag("host"), timestamp("ts")))
+    with pytest.raises(SchemaError):
+        store.write([(TableSpec("fresh", SPEC.columns), points(spark)), (narrow, points(spark).drop("usage"))])
+    assert not store.exists("fresh")
     store.drop("metrics")
     assert not store.exists("metrics")
 
 
+def test_writer_states(spark):
+    store = TableStore(spark, scratch_folder(spark, "w"))
+    writer = StreamWriter(store)
+    writer.write([(SPEC, points(spark))])
+    writer.write([(SPEC, points(spark, 5)), (TableSpec("other", SPEC.columns), points(spark, 2))])
+    assert writer.finish() == 17 and store.read("metrics").count() == 15
+    for call in (writer.finish, lambda: writer.write([(SPEC, points(spark))])):
+        with pytest.raises(StateError):
+            call()
+    writer = StreamWriter(store)
+    writer.cancel()
+    with pytest.raises(StateError):
+        writer.write([(SPEC, points(spark))])
+    writer = StreamWriter(store)
+    with pytest.raises(Exception, match="not a Float64"):
+        writer.write([(SPEC, points(spark, usage=F.lit("x")))])
+    with pytest.raises(StateError):
+        writer.finish()
+
+
+def test_kinds_need_a_declaration(spark):
+    store = TableStore(spark, scratch_folder(spark, "k"))
+    rows = points(spark, kind=F.when(F.col("usage") < 5, "a").otherwise("b"))
+    specs = {"a": SPEC, "b": TableSpec("few", (timestamp("at", source="ts"), field("none", "Int8")))}
+    with pytest.raises(SchemaError, match="'b'"):
+        store.write_kinds(rows, "kind", {"a": SPEC})
+    with pytest.raises(SchemaError, match="null"):
+        store.write_kinds(rows.withColumn("kind", F.lit(None).cast("string")), "kind", specs)
+    assert not store.exists("metrics")
+    assert store.write_kinds(rows, "kind", specs) == {"metrics": 5, "few": 5}
+    assert store.read("few").columns == ["at", "none"] and store.read("few").where("none is null").count() == 5
+
+
+def test_flow_ignores_what_is_expired(spark, tmp_path):
+    for k, hours in enumerate(([100, 101], [99], [2])):
+        rows = spark.createDataFrame([(h, 1) for h in hours], "h long, v long").selectExpr("timestamp'2024-01-01' + make_interval(0, 0, 0, 0, h, 0, 0) as ts", "v")
+        rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        for f in (tmp_path / "in").glob("part-*.parquet"):
+            if f.name[5] not in "x":
+                f.rename(f.with_name(f"part-x{k}{f.name[5:]}"))
+                os.utime(f.with_name(f"part-x{k}{f.name[5:]}"), (1_700_000_000 + k, 1_700_000_000 + k))
+    for every in (None, "1 seconds"):
+        stream = jobs.file_stream(spark, f"{tmp_path}/in", files_per_batch=1)
+        got = jobs.flow(stream, "ts", [], "24 hours", "1 hours", None, {"n": F.count("*")}, every).collect()
+        assert sorted((r["window_start"].day, r["window_start"].hour) for r in got) == [(5, 3), (5, 4), (5, 5)]
+
+
 def test_bulk_load(spark):
     store = TableStore(spark, scratch_folder(spark, "b"))
     rows = points(spark, 100, batch=F.floor(F.col("ts") / 25_000))

@@ -53,14 +53,23 @@ def conformed(df: DataFrame, spec: TableSpec, by: str = "name", profile: str = "
     return df.select(*columns, *keep)
 
 
+def errors(df: DataFrame, spec: TableSpec, by: str = "name", profile: str = "row") -> Column:
+    """What is wrong with a row of ``df``: an array of (column, reason, raw)."""
+    found = [F.when(error.isNotNull(), F.struct(F.lit(c.name).alias("column"), error.alias("reason"), x.cast("string").alias("raw"))) for c, _, error, x in _pairs(df, spec, by, profile) if x is not None]
+    return F.array_compact(F.array(*found)).cast(ERRORS)
+
+
 def judged(df: DataFrame, spec: TableSpec, by: str = "name", profile: str = "row") -> DataFrame:
     """As ``conformed``, but rejected cells are null and listed in ``_errors`` (column, reason, raw)."""
-    columns, errors = [], []
-    for c, value, error, x in _pairs(df, spec, by, profile):
-        columns.append(_filled(c, value))
-        if x is not None:
-            errors.append(F.when(error.isNotNull(), F.struct(F.lit(c.name).alias("column"), error.alias("reason"), x.cast("string").alias("raw"))))
-    return df.select(*columns, F.array_compact(F.array(*errors)).cast(ERRORS).alias("_errors"))
+    columns = [_filled(c, value) for c, value, _, _ in _pairs(df, spec, by, profile)]
+    return df.select(*columns, errors(df, spec, by, profile).alias("_errors"))
+
+
+def refusal(df: DataFrame, spec: TableSpec, by: str = "name", profile: str = "row") -> DataFrame:
+    """One row: whether ``conformed`` would refuse ``df``, for how many rows, and the least column and reason; every declared column is judged."""
+    each = df.select(errors(df, spec, by, profile).alias("e")).where(F.size("e") > 0)
+    per = each.agg(F.count("*").alias("bad_rows"), F.min(F.array_min(F.transform("e", lambda x: F.struct(x["column"], x["reason"])))).alias("first"))
+    return per.select(F.lit(spec.name).alias("table_name"), (F.col("bad_rows") > 0).alias("refused"), "bad_rows", F.col("first.column").alias("first_column"), F.col("first.reason").alias("first_reason"))
 
 
 def accepted(judged_rows: DataFrame) -> DataFrame:

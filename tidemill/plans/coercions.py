@@ -130,17 +130,26 @@ LINE = TableSpec("line", (tag("order_key", "Uint32", "l_orderkey"), tag("line",
 _LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_partkey", "l_shipdate"]
 
 
-@query("SELECT l_orderkey AS order_key, l_linenumber::TINYINT AS line, l_quantity::SMALLINT AS quantity, l_extendedprice AS price, l_partkey::INTEGER AS part, date_trunc('second', l_shipdate) AS ts FROM lineitem WHERE l_partkey <= 65535")
+@query("SELECT l_orderkey AS order_key, l_linenumber::TINYINT AS line, l_quantity::SMALLINT AS quantity, l_extendedprice AS price, l_partkey::INTEGER AS part, date_trunc('second', l_shipdate) AS ts FROM lineitem")
 def conform_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.conformed(table(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS), LINE)
 
 
+@query("SELECT t AS table_name, bad > 0 AS refused, bad AS bad_rows, c AS first_column, r AS first_reason FROM (SELECT 'line' AS t, 0::BIGINT AS bad, NULL::VARCHAR AS c, NULL::VARCHAR AS r UNION ALL SELECT 'priced', count(*) FILTER (WHERE NOT l_partkey BETWEEN 0 AND 255 OR l_extendedprice <> trunc(l_extendedprice) OR l_linenumber = 7), CASE WHEN bool_or(l_linenumber = 7) THEN 'flag' WHEN bool_or(NOT l_partkey BETWEEN 0 AND 255) THEN 'part' ELSE 'price' END, CASE WHEN bool_or(l_linenumber = 7) THEN 'type:string' ELSE 'range' END FROM lineitem)")
+def strict_refusal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fine = conform.refusal(table(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS), LINE)
+    return fine.union(conform.refusal(_priced_rows(spark, sf_dir), PRICED))
+
+
 PRICED = TableSpec("priced", (tag("part", "Uint8", "l_partkey"), tag("line", "Int8", "l_linenumber"), field("price", "Int32", "l_extendedprice"), field("flag", "Bool", "l_returnflag"), timestamp("ts", "second", "l_shipdate")))
 
 
+def _priced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").selectExpr("l_partkey", "l_linenumber", "l_extendedprice", "if(l_linenumber = 7, l_returnflag, null) as l_returnflag", "l_shipdate")
+
+
 def _priced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").selectExpr("l_partkey", "l_linenumber", "l_extendedprice", "if(l_linenumber = 7, l_returnflag, null) as l_returnflag", "l_shipdate")
-    return conform.judged(rows, PRICED)
+    return conform.judged(_priced_rows(spark, sf_dir), PRICED)
 
 
 @query("""
@@ -150,11 +159,9 @@ SELECT bad, count(*) AS n, count(part) AS parts, coalesce(sum(price), 0)::BIGINT
 ) GROUP BY bad
 """)
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = _priced(spark, sf_dir)
-    good, bad = conform.accepted(both), conform.quarantined(both)
+    both = _priced(spark, sf_dir).withColumn("bad", F.size("_errors") > 0)
     counts = [F.count("*").alias("n"), F.count("part").alias("parts"), F.coalesce(F.sum("price"), F.lit(0)).cast("long").alias("price")]
-    rows = bad.groupBy(F.lit(True).alias("bad")).agg(*counts, F.sum(F.size("_errors")).cast("long").alias("errors"))
-    return good.groupBy(F.lit(False).alias("bad")).agg(*counts, F.lit(0).cast("long").alias("errors")).union(rows)
+    return both.groupBy("bad").agg(*counts, F.sum(F.size("_errors")).cast("long").alias("errors"))
 
 
 @query("""
@@ -176,11 +183,8 @@ SELECT column_name, row_rejected, bulk_rejected FROM (
 def profile_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = TableSpec("parity", (field("ms", "TimeMillisecond"), field("small", "Uint8"), timestamp("ts")))
     rows = table(spark, sf_dir, "lineitem").selectExpr("l_partkey * 2000000 as ms", "l_partkey as small", "l_shipdate as ts")
-    counts = None
-    for profile in ("row", "bulk"):
-        bad = F.expr("array('ms', 'small')")
-        each = conform.judged(rows, spec, profile=profile).select(F.explode(bad).alias("column_name"), "_errors")
-        n = F.count_if(F.exists("_errors", lambda e: e["column"] == F.col("column_name"))).alias(f"{profile}_rejected")
-        one = each.groupBy("column_name").agg(n)
-        counts = one if counts is None else counts.join(one, "column_name")
-    return counts
+    names = ("ms", "small")
+    wrong = rows.select(*(F.transform(conform.errors(rows, spec, profile=p), lambda e: e["column"]).alias(p) for p in ("row", "bulk")))
+    counts = wrong.agg(*(F.count_if(F.array_contains(p, n)).alias(f"{p}_{n}") for p in ("row", "bulk") for n in names))
+    each = F.array(*(F.struct(F.lit(n).alias("column_name"), F.col(f"row_{n}").alias("row_rejected"), F.col(f"bulk_{n}").alias("bulk_rejected")) for n in names))
+    return counts.select(F.explode(each).alias("x")).select("x.*")

@@ -75,37 +75,68 @@ def auto_create_control(spark: SparkSession, sf_dir: str) -> DataFrame:
 KINDS = {
     "click": TableSpec("clicks", (tag("user", "Int64", "user_id"), field("amount", "Float64", "value"), timestamp("ts"))),
     "purchase": TableSpec("purchases", (tag("user", "Int64", "user_id"), field("amount", "Float64", "value"), field("props", "Json"), timestamp("ts"))),
+    "view": TableSpec("view", (tag("user", "Int64", "user_id"), timestamp("ts"), field("missing", "String"))),
+    "error": TableSpec("errors", (field("props", "Json"), timestamp("ts"), tag("user", "Int64", "user_id"))),
+    "signup": TableSpec("signups", (tag("user", "Int64", "user_id"), timestamp("ts"), field("amount", "Float32", "value"))),
 }
 
 
 @query("""
-SELECT CASE event_type WHEN 'click' THEN 'clicks' ELSE 'purchases' END AS table_name, user_id AS "user", value AS amount, CASE event_type WHEN 'purchase' THEN props END AS props, date_trunc('milliseconds', ts) AS ts
-FROM events WHERE event_type IN ('click', 'purchase')
+SELECT CASE event_type WHEN 'view' THEN 'view' ELSE event_type || 's' END AS table_name, user_id AS "user", CASE WHEN event_type IN ('click', 'purchase') THEN value WHEN event_type = 'signup' THEN value::FLOAT::DOUBLE END AS amount,
+  CASE WHEN event_type IN ('purchase', 'error') THEN props END AS props, date_trunc('milliseconds', ts) AS ts
+FROM events
 """)
 def route_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store, rows = TableStore(spark, scratch_folder(spark, "kinds")), table(spark, sf_dir, "events")
-    store.write([(spec, rows.where(F.col("event_type") == kind).select(*[c.source or c.name for c in spec.columns])) for kind, spec in KINDS.items()])
-    parts = [store.read(s.name).select(F.lit(s.name).alias("table_name"), "user", "amount", "props" if "props" in s.names else F.lit(None).cast("string").alias("props"), "ts") for s in KINDS.values()]
-    return parts[0].union(parts[1])
+    store = TableStore(spark, scratch_folder(spark, "kinds"))
+    store.write_kinds(table(spark, sf_dir, "events"), "event_type", KINDS)
+    out = None
+    for spec in KINDS.values():
+        held = store.read(spec.name)
+        pick = [F.col(c).cast(t).alias(c) if c in held.columns else F.lit(None).cast(t).alias(c) for c, t in (("user", "long"), ("amount", "double"), ("props", "string"), ("ts", "timestamp"))]
+        one = held.select(F.lit(spec.name).alias("table_name"), *pick)
+        out = one if out is None else out.union(one)
+    return out
 
 
-@query("""
+def _hex_sql(salt: int, place: int, width: int) -> str:
+    return f"('0x' || substr(md5('{salt}:' || i), {place * width + 1}, {width}))::BIGINT"
+
+
+_NUMBERS_SQL = "(SELECT l_orderkey * 8 + l_linenumber AS i FROM lineitem)"
+
+
+@query(f"""
 SELECT 'host-' || (s % 3) AS host, 'region-' || (s // 3 % 5) AS region, 'dc-' || (s // 15 % 10) AS datacenter, 'svc-' || lpad((s // 150 % 20)::VARCHAR, 2, '0') AS service,
+  {", ".join(f"{_hex_sql(1, k, 6)} / 16777216.0::DOUBLE * {size} AS {n}" for k, (n, size) in enumerate((("cpu", 100), ("memory", 100), ("disk_util", 100), ("net_in", 1000000000), ("net_out", 1000000000))))},
   make_timestamp((1704067200000 + i) * 1000) AS ts
-FROM (SELECT i, i % 3000 AS s FROM (SELECT unnest(range((SELECT count(*) FROM lineitem))) AS i))
+FROM (SELECT i, i % 3000 AS s FROM {_NUMBERS_SQL})
 """)
 def gen_cpu_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "lineitem").count()
-    return generate.cpu_rows(spark.range(n), hosts=3).select("host", "region", "datacenter", "service", "ts")
+    return generate.cpu_rows(table(spark, sf_dir, "lineitem").selectExpr("l_orderkey * 8 + l_linenumber as id"), hosts=3)
+
+
+def _pick_sql(k: int, values: tuple[str, ...]) -> str:
+    return f"[{', '.join(repr(v) for v in values)}][{_log_sql(k)} % {len(values)} + 1]"
 
 
-@query()
+def _log_sql(k: int) -> str:
+    return _hex_sql(2 + k // 8, k % 8, 4)
+
+
+@query(f"""
+SELECT {_pick_sql(0, generate.LOG_SERVICES)} AS service, 'host-' || {_log_sql(1)} % 32 AS host, {_pick_sql(2, generate.LOG_REGIONS)} AS region, {_pick_sql(3, generate.LOG_ENVS)} AS env, 'pod-' || {_log_sql(4)} % 64 AS pod,
+  {_pick_sql(5, generate.LOG_LEVELS)} AS log_level, 'request ' || i || ' handled' AS message, md5('2:' || i) AS trace_id, substr(md5('3:' || i), 1, 16) AS span_id, {_pick_sql(6, generate.METHODS)} AS http_method,
+  '/api/v1/items/' || i % 1000 AS http_path, {_pick_sql(7, generate.CLASSES)} AS http_status_class, {_pick_sql(8, generate.AGENTS)} AS user_agent, '10.0.' || i % 256 || '.' || i // 256 % 256 AS client_ip,
+  'caller-' || {_log_sql(9)} % 16 AS caller, {_log_sql(10)} / 65536.0::DOUBLE * 200 AS latency_ms, {_log_sql(11)} % 10000 AS bytes_in, {_log_sql(12)} AS bytes_out, {_log_sql(5)} % 4 = 3 AS error_flag, {_log_sql(13)} < 3277 AS retry_flag,
+  make_timestamp((1704067200000 + i) * 1000) AS log_ts, 1704067200000 + i AS ingest_ts
+FROM (SELECT event_id AS i FROM events)
+""")
 def gen_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generate.log_rows(table(spark, sf_dir, "events").select(F.col("event_id").alias("id")))
+    return conform.conformed(generate.log_rows(table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))), generate.LOG)
 
 
-@query("SELECT user_id, event_type, value, ts FROM events WHERE event_id % 2 = 0 UNION ALL SELECT user_id, event_type, value, ts FROM events WHERE event_id % 3 = 0")
+@query("SELECT user_id, event_type, value, ts FROM events UNION ALL SELECT user_id, event_type, value, ts FROM events WHERE event_id % 3 = 0")
 def union_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events")
     pick = ["user_id", "event_type", "value", "ts"]
-    return conform.merged(rows.where("event_id % 2 = 0").select(*pick), rows.where("event_id % 3 = 0").select(*pick))
+    return conform.merged(*(rows.where(x).select(*pick) for x in ("event_id % 2 = 0", "event_id % 2 <> 0", "event_id % 3 = 0")))

@@ -30,10 +30,10 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("event_type", F.coalesce("accepted", F.lit(0)).cast("long").alias("accepted"), F.coalesce("dead", F.lit(0)).cast("long").alias("dead"))
 
 
-@query()
+@query("SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _stream(spark, sf_dir, "events", "ts").withColumn("hour", F.date_trunc("hour", "ts")).select("user_id", "event_type", "hour", "ts")
-    return jobs.dedup_stream(rows, "ts", ["user_id", "event_type", "hour"], "31 days")
+    return jobs.dedup_stream(rows, "ts", ["user_id", "event_type", "hour"], "31 days").drop("ts")
 
 
 @query("SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start, event_type, count(*) AS events, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY ALL")
@@ -48,7 +48,7 @@ def flow_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.flow(_stream(spark, sf_dir, "events", "ts"), "ts", ["event_type"], "31 days", "12 hours", "6 hours", {"events": F.count("*")})
 
 
-@query()
+@query("SELECT event_id AS request_id, ts AS sent_at, CASE WHEN event_id % 17 <> 0 THEN ts + INTERVAL 30 SECOND END AS acked_at, CASE WHEN event_id % 17 <> 0 THEN value END AS value FROM events")
 def ack_reconcile_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _stream(spark, sf_dir, "events", "ts")
     sent = events.select(F.col("event_id").alias("request_id"), F.col("ts").alias("sent_at"))

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.types import SchemaError
 from ..operators.conform import conformed
@@ -22,9 +23,15 @@ class WriteError(RuntimeError):
     """A write that was refused or did not account for all its rows."""
 
 
+class StateError(RuntimeError):
+    """A call that the state of a writer does not allow."""
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors share; a temporary one where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """A new folder below ``spark.checkpoint.dir``, which all executors share; a temporary one where that is unset in local mode."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not base:
         app = spark.sparkContext.applicationId
         if app not in _LOCAL:
@@ -44,9 +51,10 @@ def checked_hints(hints: dict[str, str] | None) -> dict[str, str]:
 class TableStore:
     """Named tables below one folder of any file system that Spark reaches.
 
-    A table is a folder of Parquet files with its schema beside them. A write
-    of several tables first writes them all to a staging folder and only then
-    moves files into place, so a bad cell in one table leaves all as they were.
+    A table is a folder with a folder of Parquet files for each write, and its
+    schema beside them. A write of several tables first writes them all to a
+    staging folder and only then moves each into place by one rename, so a bad
+    cell in one table leaves all as they were.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -72,15 +80,13 @@ class TableStore:
         out.close()
 
     def schema(self, table: str):
-        from pyspark.sql.types import StructType
-
         if not self.exists(table):
             raise WriteError(f"no table {table}")
         text = self.spark.read.text("/".join((self.root, table, "schema.json")), wholetext=True).first()[0]
         return StructType.fromJson(json.loads(text))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(self.schema(table)).parquet(f"{self.root}/{table}/data")
+        return self.spark.read.schema(self.schema(table)).option("recursiveFileLookup", True).parquet(f"{self.root}/{table}/data")
 
     def drop(self, table: str) -> None:
         self._files().delete(self._path(table), True)
@@ -92,10 +98,8 @@ class TableStore:
         return int(seen.get["rows"])
 
     def _publish(self, at: str, table: str) -> None:
-        for status in self._files().listStatus(self._path(at, table)):
-            name = status.getPath().getName()
-            if not name.startswith(("_", ".")):
-                self._files().rename(status.getPath(), self._path(table, "data", name))
+        if not self._files().rename(self._path(at), self._path(table, "data", uuid.uuid4().hex)):
+            raise WriteError(f"{table}: cannot move {at} into place")
 
     def write(self, tables: list[tuple[TableSpec, DataFrame]], by: str = "name", hints: dict[str, str] | None = None, codec: str = "zstd") -> dict[str, int]:
         """Append to one or many tables; rows written per table.
@@ -105,7 +109,10 @@ class TableStore:
         created; otherwise the first write creates it.
         """
         create = checked_hints(hints).get("auto_create_table", "true") != "false"
+        declared = {}
         for spec, _ in tables:
+            if declared.setdefault(spec.name, spec.schema()) != spec.schema():
+                raise SchemaError(f"{spec.name}: two schemas in one call")
             if not self.exists(spec.name) and not create:
                 raise WriteError(f"no table {spec.name}")
             if self.exists(spec.name) and self.schema(spec.name) != spec.schema():
@@ -116,14 +123,42 @@ class TableStore:
                 counts[spec.name] = counts.get(spec.name, 0) + self._staged(conformed(df, spec, by), spec, f"{at}/{k}", codec)
             for k, (spec, _) in enumerate(tables):
                 self.create(spec)
-                self._publish(f"{at}/{k}", spec.name)
+                self._publish(f"{at}/{k}/{spec.name}", spec.name)
         finally:
             self._files().delete(self._path(at), True)
         return counts
 
-    def bulk_load(self, df: DataFrame, spec: TableSpec, batch: str, parallelism: int = 8, codec: str = "none", rows_per_file: int = 0) -> DataFrame:
+    def write_kinds(self, df: DataFrame, kind: str, specs: dict[str, TableSpec], codec: str = "zstd") -> dict[str, int]:
+        """Append each row to the table that ``specs`` declares for its ``kind``; rows written per table.
+
+        The input is read once and staged by kind, and each kind's rows are
+        then conformed: columns in declared order, renamed by their source,
+        missing ones null. A row of a kind without a declaration, null among
+        them, is a SchemaError, and nothing is written.
+        """
+        known = F.col(kind).isin(*specs) if specs else F.lit(False)
+        stray = ~F.coalesce(known, F.lit(False))
+        seen, at = Observation(), f"_staging/{uuid.uuid4().hex}"
+        try:
+            rows = df.withColumn("__kind", F.col(kind)).observe(seen, F.count_if(stray).alias("stray"), F.min(F.when(stray, F.coalesce(F.col(kind), F.lit("null")))).alias("first"))
+            rows.write.option("compression", codec).partitionBy("__kind").parquet(f"{self.root}/{at}")
+            if seen.get["stray"]:
+                raise SchemaError(f"{seen.get['stray']} rows of kinds without columns, such as {seen.get['first']!r}")
+            staged = self.spark.read.schema(StructType([*df.schema, StructField("__kind", StringType())])).parquet(f"{self.root}/{at}")
+            tables = []
+            for name, spec in specs.items():
+                wanted = [c for c in df.columns if c in {x.source or x.name for x in spec.columns}]
+                tables.append((spec, staged.where(F.col("__kind") == name).select(*wanted)))
+            return self.write(tables, codec=codec)
+        finally:
+            self._files().delete(self._path(at), True)
+
+    def bulk_load(self, df: DataFrame, spec: TableSpec, batch: str, parallelism: int | None = None, codec: str = "none", rows_per_file: int = 0) -> DataFrame:
         """Load ``df`` into an existing table of exactly this schema; the ledger: rows per value of its column ``batch``.
 
+        Files follow the partitions of ``df``, so a load has as many tasks as
+        its input has; ``parallelism`` deals rows over so many tasks instead.
+
         The batch number goes into the files beside the declared columns, which
         is all that reads of the table see, so the ledger counts what was
         committed. ``batch`` need not be a declared column.
@@ -137,14 +172,45 @@ class TableStore:
         at = f"_staging/{uuid.uuid4().hex}"
         rest = df.columns if batch in spec.names else [c for c in df.columns if c != batch]
         whole = conformed(df.select(*rest, F.col(batch).alias("_batch")), spec, profile="bulk", keep=("_batch",))
-        whole.repartition(parallelism).write.option("compression", codec).option("maxRecordsPerFile", rows_per_file).parquet(f"{self.root}/{at}")
+        whole = whole.repartition(parallelism) if parallelism else whole
+        whole.write.option("compression", codec).option("maxRecordsPerFile", rows_per_file).parquet(f"{self.root}/{at}")
         staged = self.spark.read.schema(whole.schema).parquet(f"{self.root}/{at}")
         ledger = staged.groupBy(F.col("_batch").alias("batch_id")).agg(F.count("*").alias("affected_rows"))
         held = f"{self.root}/_ledger/{uuid.uuid4().hex}"
         ledger.write.parquet(held)
-        for status in self._files().listStatus(self._path(at)):
-            name = status.getPath().getName()
-            if not name.startswith(("_", ".")):
-                self._files().rename(status.getPath(), self._path(spec.name, "data", name))
-        self._files().delete(self._path(at), True)
+        self._publish(at, spec.name)
         return self.spark.read.schema(ledger.schema).parquet(held)
+
+
+class StreamWriter:
+    """Many writes and one total: ``open`` until ``finish`` or ``cancel``, or ``errored`` once a write fails.
+
+    Each write appends to one or many tables at once; tables may differ from
+    write to write. Nothing is retried. What was written before ``cancel`` or
+    an error stays.
+    """
+
+    def __init__(self, store: TableStore, hints: dict[str, str] | None = None):
+        self.store, self.hints, self.state, self.total = store, checked_hints(hints), "open", 0
+
+    def write(self, tables: list[tuple[TableSpec, DataFrame]]) -> None:
+        self._must_be_open("write")
+        try:
+            self.total += sum(self.store.write(tables, hints=self.hints).values())
+        except Exception:
+            self.state = "errored"
+            raise
+
+    def finish(self) -> int:
+        """Rows of all writes."""
+        self._must_be_open("finish")
+        self.state = "closed"
+        return self.total
+
+    def cancel(self) -> None:
+        if self.state == "open":
+            self.state = "cancelled"
+
+    def _must_be_open(self, call: str) -> None:
+        if self.state != "open":
+            raise StateError(f"{call}: the writer is {self.state}")

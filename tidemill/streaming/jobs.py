@@ -33,8 +33,17 @@ def _is_file(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile()
 
 
-def run(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
-    stream.writeStream.foreachBatch(batch).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def run(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", every: str | None = None) -> None:
+    """Process all input there is and stop; with ``every``, in micro-batches that begin so far apart."""
+    writer = stream.writeStream.foreachBatch(batch).outputMode(mode).option("checkpointLocation", checkpoint)
+    if every is None:
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return
+    running = writer.trigger(processingTime=every).start()
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
 
 
 def append_stream(stream: DataFrame, spec: TableSpec, root: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -75,17 +84,23 @@ def dedup_stream(stream: DataFrame, ts: str, keys: list[str], late: str) -> Data
     root = scratch_folder(spark, "dedup")
     once = stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
     run(once, lambda rows, n: rows.write.mode("overwrite").parquet(f"{root}/data/batch={n}"), f"{root}/checkpoint")
-    return spark.read.schema(once.schema).parquet(f"{root}/data")
+    return spark.read.schema(once.schema).parquet(f"{root}/data").select(*once.columns)
 
 
-def flow(stream: DataFrame, ts: str, by: list[str], expire_after: str, window: str, slide: str | None, measures: dict[str, Column]) -> DataFrame:
-    """A continuous aggregate: ``measures`` per window and ``by``; the last version of each window, from updates filed by micro-batch."""
+def flow(stream: DataFrame, ts: str, by: list[str], expire_after: str, window: str, slide: str | None, measures: dict[str, Column], every: str | None = None) -> DataFrame:
+    """A continuous aggregate: ``measures`` per window and ``by``; the last version of each window, from updates filed by micro-batch.
+
+    Rows of windows that ended more than ``expire_after`` before the newest
+    time seen two micro-batches ago or earlier are ignored, as Spark drops late
+    rows; ``every`` is the interval at
+    which the flow is evaluated.
+    """
     spark = stream.sparkSession
     root = scratch_folder(spark, "flow")
     at = F.window(ts, window, slide) if slide else F.window(ts, window)
     totals = stream.withWatermark(ts, expire_after).groupBy(at.alias("w"), *by).agg(*[c.alias(n) for n, c in measures.items()])
     flat = totals.select(F.col("w.start").alias("window_start"), *by, *measures)
-    run(flat, lambda rows, n: rows.write.mode("overwrite").parquet(f"{root}/data/batch={n}"), f"{root}/checkpoint", "update")
+    run(flat, lambda rows, n: rows.write.mode("overwrite").parquet(f"{root}/data/batch={n}"), f"{root}/checkpoint", "update", every)
     rows = spark.read.schema(StructType([*flat.schema]).add("batch", LongType())).parquet(f"{root}/data")
     keys = ["window_start", *by]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*measures), "batch").alias("m")).select(*keys, "m.*")
@@ -107,4 +122,4 @@ def reconciled_stream(requests: DataFrame, acks: DataFrame, timeout: str, late:
     on = (F.col("request_id") == F.col("ack_id")) & F.expr(f"acked_at >= sent_at and acked_at <= sent_at + interval {timeout}")
     joined = left.join(right, on, "leftOuter").drop("ack_id")
     run(joined, lambda rows, n: rows.write.mode("overwrite").parquet(f"{root}/data/batch={n}"), f"{root}/checkpoint")
-    return spark.read.schema(joined.schema).parquet(f"{root}/data")
+    return spark.read.schema(joined.schema).parquet(f"{root}/data").select(*joined.columns)

@@ -200,10 +200,33 @@ def test_underestimated_copies_stay():
     ids, query, wide = r.permutation(900).astype(np.int64), v[300], np.full(900, 0.1, np.float32)
     guess = (v @ query).astype(np.float32)
     guess[300:600] -= 1
-    found, scores = ann.best_in_block(query, int(ids[300]), guess, wide, ids, v, 20)
+    found, scores, _ = ann.best_in_block(query, int(ids[300]), guess, wide, ids, v, *ann.units(v), 20)
     assert found.tolist() == np.sort(ids[301:600])[:20].tolist() and np.allclose(scores, float(query @ query), rtol=1e-5)
 
 
+def test_nearest_of_given_vectors(spark):
+    got = queries.op2_nearest(spark, SF.replace("0.001", "0.1")).collect()
+    table = spark.read.parquet(SF.replace("0.001", "0.1") + "/embeddings.parquet").where("embedding is not null").collect()
+    ids, v = np.array([x["vec_id"] for x in table]), np.array([x["embedding"] for x in table], np.float64)
+    hits = asked = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        scores = (v * v[q]).sum(axis=1)
+        best = set(ids[[i for i in np.lexsort((ids, -scores)) if i != q][:20]].tolist())
+        hits += len(best & {x["vec_id"] for x in got if x["query_id"] == ids[q]})
+        asked += 20
+    assert hits >= 0.98 * asked and np.mean([x["looked"] for x in got]) < 0.1
+
+
+def test_nearest_of_very_large_and_exact_numbers(spark):
+    r = np.random.default_rng(5)
+    for size, kind in ((1e20, "float"), (1e-20, "float"), (1e120, "double"), (1 / 3, "double")):
+        v = (r.standard_normal((200, 8)) * size).astype(np.float32 if kind == "float" else np.float64).astype(np.float64)
+        df = spark.createDataFrame([(i, [float(x) for x in v[i]]) for i in range(200)], f"vec_id long, embedding array<{kind}>")
+        got = ann.nearest(df, lambda key: key % 20 == 0, k=20, block=70).collect()
+        assert Counter(x["query_id"] for x in got) == {q: 20 for q in range(0, 200, 20)}
+        assert all(math.isclose(x["score"], float((v[x["query_id"]] * v[x["vec_id"]]).sum()), rel_tol=1e-12) for x in got)
+
+
 def test_nearest_among_copies(spark):
     r = np.random.default_rng(4)
     v = r.standard_normal((1200, 32)).astype(np.float32)

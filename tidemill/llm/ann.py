@@ -18,33 +18,50 @@ from pyspark.sql import functions as F
 
 from .store import written
 
-#: Half-width of error bounds in standard deviations; one estimate in about 30,000 falls below its bound.
-EPSILON = 4.0
+#: Bits of a code for each number of a vector: it is padded with zeros before the rotation, and errors shrink as the root of this.
+EXPAND = 4
+#: Half-width of error bounds in standard deviations.
+EPSILON = 2.0
 #: Single-precision scores of unit vectors are off by less than this.
 ROUNDING = 1e-4
+#: Signs of the eight bits of each byte, the highest bit first.
+SIGNS = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32) * 2 - 1).T
 
 
 def rotation(dim: int, seed: int = 7) -> np.ndarray:
-    """A random rotation of ``dim`` dimensions, the same in every task."""
-    q, r = np.linalg.qr(np.random.default_rng([seed, dim]).standard_normal((dim, dim)))
-    return (q * np.sign(np.diag(r))).astype(np.float32)
+    """A random rotation of ``EXPAND dim`` dimensions, up to a multiple of 8, cut to vectors of ``dim``; the same in every task."""
+    wide = -(-EXPAND * dim // 8) * 8
+    q, r = np.linalg.qr(np.random.default_rng([seed, dim]).standard_normal((wide, wide)))
+    return (q * np.sign(np.diag(r)))[:dim].astype(np.float32)
 
 
-def encoded(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(packed bits, norms, inner product of each unit vector with its code of length 1)."""
-    norms = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
-    turned = (vectors / norms[:, None]).astype(np.float32) @ turn
-    bits = turned > 0
-    return np.packbits(bits, axis=1), norms.astype(np.float32), (np.abs(turned).sum(axis=1) / np.sqrt(vectors.shape[1])).astype(np.float32)
+def units(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(vectors of length 1 in single precision, lengths in double), however large or small the numbers are."""
+    scale = np.abs(vectors).max(axis=1, keepdims=True).astype(np.float64)
+    scaled = vectors / scale
+    length = np.sqrt((scaled**2).sum(axis=1))
+    return (scaled / length[:, None]).astype(np.float32), length * scale[:, 0]
 
 
-def estimates(queries: np.ndarray, turn: np.ndarray, bits: np.ndarray, norms: np.ndarray, fit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products, a row per query, and the bound on their error."""
-    dim = queries.shape[1]
-    signs = np.unpackbits(bits, axis=1, count=dim).astype(np.float32) * np.float32(2 / np.sqrt(dim)) - np.float32(1 / np.sqrt(dim))
-    guess = ((queries.astype(np.float32) @ turn) @ signs.T) * (norms / fit)
-    wide = np.sqrt(np.maximum(1 - fit**2, 0)) / fit * norms * np.float32(EPSILON / np.sqrt(max(dim - 1, 1)))
-    return guess, np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1)).astype(np.float32)[:, None] * wide
+def encoded(unit: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(packed signs of rotated unit vectors, inner product of each with its code of length 1)."""
+    turned = unit @ turn
+    return np.packbits(turned > 0, axis=1), (np.abs(turned).sum(axis=1) / np.sqrt(turn.shape[1])).astype(np.float32)
+
+
+def estimates(unit: np.ndarray, turn: np.ndarray, bits: np.ndarray, fit: np.ndarray) -> np.ndarray:
+    """Estimated inner products of unit queries with unit vectors, a row per query: for each byte of the packed codes one sum is looked up."""
+    wide = turn.shape[1]
+    tables = (unit @ turn).reshape(len(unit), wide // 8, 8) @ SIGNS / np.float32(np.sqrt(wide))
+    out = np.zeros((len(unit), len(bits)), np.float32)
+    for k in range(wide // 8):
+        out += tables[:, k, :][:, bits[:, k]]
+    return out / fit
+
+
+def errors(fit: np.ndarray, wide: int) -> np.ndarray:
+    """Half-width of the error bound of each unit vector's estimates."""
+    return np.sqrt(np.maximum(1 - fit**2, 0)) / fit * np.float32(EPSILON / np.sqrt(max(wide - 1, 1)))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -56,26 +73,28 @@ def exact(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return (vectors.astype(np.float64) * query.astype(np.float64)).sum(axis=1)
 
 
-def best_in_block(query: np.ndarray, own: int, guess: np.ndarray, wide: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``k`` nearest of a block: rerank all whose upper bound reaches the k-th best score among the best estimates, and these.
+def best_in_block(query: np.ndarray, own: int, guess: np.ndarray, wide: np.ndarray, ids: np.ndarray, vectors: np.ndarray, unit: np.ndarray, norms: np.ndarray, k: int, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray, int]:
+    """The ``k`` nearest of a block, and how many were looked at again: all whose upper bound reaches the k-th best score known, and the best estimates.
 
-    Equal vectors have equal estimates, so a group of copies that is
-    underestimated stays in by its estimates alone. Reranking is by single precision first; those within its rounding of the
-    k-th score are scored in double precision, ties among them.
+    ``guess`` and ``wide`` are of inner products, and ``floor`` is a k-th best
+    score from elsewhere. Equal vectors have equal estimates, so a group of
+    copies that is underestimated stays in by its estimates alone. Reranking is
+    by single precision first; those within its rounding of the k-th score are
+    scored in double precision, ties among them.
     """
-    most = guess + wide
-    most[ids == own] = -np.inf
-    near = np.flatnonzero(most > -np.inf)
-    if len(ids) > 4 * k:
+    near = np.flatnonzero(ids != own)
+    asked, length = (x[0] for x in units(query[None]))
+    if len(near) > 4 * k:
         first = near[np.argpartition(-guess[near], 2 * k)[: 2 * k]]
-        near = np.flatnonzero(((most >= np.partition(vectors[first] @ query, -k)[-k]) | (guess >= guess[first].min())) & (most > -np.inf))
+        known = max(floor, np.partition((unit[first] @ asked) * norms[first] * length, -k)[-k] - ROUNDING * norms[first].max() * length)
+        near = np.flatnonzero(((guess + wide >= known) | (guess >= guess[first].min())) & (ids != own))
+    looked = len(near)
     if len(near) > k:
-        rough = vectors[near] @ query
-        slack = ROUNDING * np.sqrt(float(query @ query)) * np.sqrt((vectors[near] ** 2).sum(axis=1).max())
-        near = near[rough >= np.partition(rough, -k)[-k] - slack]
+        rough = (unit[near] @ asked) * norms[near] * length
+        near = near[rough >= np.partition(rough, -k)[-k] - 2 * ROUNDING * length * norms[near].max()]
     scores = exact(query, vectors[near])
     order = np.lexsort((ids[near], -scores))[:k]
-    return ids[near][order], scores[order]
+    return ids[near][order], scores[order], looked
 
 
 def usable(table: DataFrame, key: str, vector: str) -> DataFrame:
@@ -91,47 +110,73 @@ def nearest(table: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector
     Codes and vectors are packed into blocks of about ``block`` rows, queries
     into blocks of about ``queries_block``; each pair of blocks is one unit of
     work, which gives ``k`` rows a query at most, and those are merged per
-    query. Memory is bounded by the two block sizes. Null keys, and vectors
-    that are null, zero, or hold null or non-finite numbers, take no part;
-    rows of one key count once; vectors are compared with those of their own
-    length. Score ties go to the smaller key; an empty table gives no rows.
+    query. Each query is scored against one block first, and its k-th best
+    score there is a threshold in all others. Memory is bounded by the two
+    block sizes. Null keys, and vectors that are null, zero, or hold null or
+    non-finite numbers, take no part; keys are taken as unique, so rows of one
+    key count once; vectors are compared with those of their own length, in
+    the precision that they have. Score ties go to the smaller key; an empty
+    table gives no rows.
     """
     vectors = written(usable(table, key, vector), "vectors")
+    kind = np.float64 if "double" in vectors.schema["vec"].dataType.simpleString() else np.float32
     rows, asked = vectors.agg(F.count("*"), F.count_if(is_query(F.col("vec_id")))).first()
     parts, asks = max(1, -(-rows // block)), max(1, -(-asked // queries_block))
 
     def pack(keys: tuple, group: pa.Table) -> pa.Table:
-        v = np.ascontiguousarray(_matrix(group["vec"].combine_chunks()), np.float32)
-        bits, norms, fit = encoded(v, rotation(v.shape[1]))
-        ids = np.asarray(group["vec_id"], np.int64)
-        return pa.table({"dim": pa.array([v.shape[1]], pa.int32()), "part": pa.array([keys[1].as_py()], pa.int32()), "ids": [ids.tobytes()], "vecs": [v.tobytes()], "bits": [bits.tobytes()], "norms": [norms.tobytes()], "fit": [fit.tobytes()]})
+        v = np.ascontiguousarray(_matrix(group["vec"].combine_chunks()), kind)
+        bits, fit = encoded(units(v)[0], rotation(v.shape[1]))
+        return pa.table({"dim": pa.array([v.shape[1]], pa.int32()), "part": pa.array([keys[1].as_py()], pa.int32()), "ids": [np.asarray(group["vec_id"], np.int64).tobytes()], "vecs": [v.tobytes()], "bits": [bits.tobytes()], "fit": [fit.tobytes()]})
 
     def pack_queries(keys: tuple, group: pa.Table) -> pa.Table:
-        v = np.ascontiguousarray(_matrix(group["vec"].combine_chunks()), np.float32)
+        v = np.ascontiguousarray(_matrix(group["vec"].combine_chunks()), kind)
         return pa.table({"dim": pa.array([v.shape[1]], pa.int32()), "ask": pa.array([keys[1].as_py()], pa.int32()), "qids": [np.asarray(group["vec_id"], np.int64).tobytes()], "qvecs": [v.tobytes()]})
 
     def numbered(n: int):
         return F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
 
-    blocks = vectors.withColumn("part", numbered(parts)).groupBy("dim", "part").applyInArrow(pack, "dim int, part int, ids binary, vecs binary, bits binary, norms binary, fit binary")
+    def unpacked(batch: pa.RecordBatch, row: int):
+        of = lambda c, t: np.frombuffer(batch[c][row].as_buffer(), t)
+        dim = batch["dim"][row].as_py()
+        return of, of("ids", np.int64), of("vecs", kind).reshape(-1, dim), of("qids", np.int64), of("qvecs", kind).reshape(-1, dim)
+
+    blocks = vectors.withColumn("part", numbered(parts)).groupBy("dim", "part").applyInArrow(pack, "dim int, part int, ids binary, vecs binary, bits binary, fit binary")
     blocks = written(blocks, "codes")
     questions = vectors.where(is_query(F.col("vec_id"))).withColumn("ask", numbered(asks)).groupBy("dim", "ask").applyInArrow(pack_queries, "dim int, ask int, qids binary, qvecs binary")
-    to_each = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    pairs = written(questions, "queries").withColumn("part", to_each).join(blocks, ["dim", "part"])
+    questions = written(questions, "queries")
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                _, ids, vecs, qids, qvecs = unpacked(batch, row)
+                (unit, norms), (asked_, length) = units(vecs), units(qvecs)
+                floors = np.full(len(qids), -np.inf)
+                for q in range(len(qids)):
+                    others = ids != qids[q]
+                    if others.sum() >= k:
+                        floors[q] = np.partition((unit[others] @ asked_[q]) * norms[others] * length[q], -k)[-k] - ROUNDING * norms.max() * length[q]
+                yield pa.RecordBatch.from_arrays([batch["dim"].slice(row, 1), batch["ask"].slice(row, 1), pa.array([floors.tobytes()])], names=["dim", "ask", "floors"])
+
+    if parts > 1:
+        floors = questions.join(blocks.where("part = 0"), "dim").select("dim", "ask", "ids", "vecs", "qids", "qvecs").mapInArrow(begin, "dim int, ask int, floors binary")
+        questions = questions.join(written(floors, "floors"), ["dim", "ask"], "left")
+    else:
+        questions = questions.withColumn("floors", F.lit(None).cast("binary"))
+    pairs = questions.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(blocks, ["dim", "part"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                dim, of = batch["dim"][row].as_py(), lambda c, kind: np.frombuffer(batch[c][row].as_buffer(), kind)  # noqa: B023
-                ids, vecs = of("ids", np.int64), of("vecs", np.float32).reshape(-1, dim)
-                qids, qvecs = of("qids", np.int64), of("qvecs", np.float32).reshape(-1, dim)
-                turn, bits = rotation(dim), of("bits", np.uint8).reshape(len(ids), -1)
+                of, ids, vecs, qids, qvecs = unpacked(batch, row)
+                turn, bits, fit = rotation(vecs.shape[1]), of("bits", np.uint8).reshape(len(ids), -1), of("fit", np.float32)
+                (unit, norms), (asked_, length), wide = units(vecs), units(qvecs), errors(fit, turn.shape[1])
+                floors = of("floors", np.float64) if batch["floors"][row].is_valid else np.full(len(qids), -np.inf)
                 for at in range(0, len(qids), 64):
-                    guess, wide = estimates(qvecs[at : at + 64], turn, bits, of("norms", np.float32), of("fit", np.float32))
-                    found = [(q, *best_in_block(v, q, g, w, ids, vecs, k)) for q, v, g, w in zip(qids[at : at + 64], qvecs[at : at + 64], guess, wide, strict=True)]
+                    guess = estimates(asked_[at : at + 64], turn, bits, fit)
+                    found = [(qids[q], *best_in_block(qvecs[q], qids[q], guess[q - at] * norms * length[q], wide * norms * length[q], ids, vecs, unit, norms, k, floors[q])) for q in range(at, min(at + 64, len(qids)))]
                     n = [len(x[1]) for x in found]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat([x[0] for x in found], n).astype(np.int64)), pa.array(np.concatenate([x[1] for x in found])), pa.array(np.concatenate([x[2] for x in found]))], names=["query_id", "vec_id", "score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat([x[0] for x in found], n).astype(np.int64)), pa.array(np.concatenate([x[1] for x in found])), pa.array(np.concatenate([x[2] for x in found])), pa.array(np.repeat([x[3] / max(1, len(ids)) for x in found], n))], names=["query_id", "vec_id", "score", "looked"])
 
-    near = pairs.select("dim", "ids", "vecs", "bits", "norms", "fit", "qids", "qvecs").mapInArrow(search, "query_id long, vec_id long, score double")
+    near = pairs.select("dim", "ids", "vecs", "bits", "fit", "qids", "qvecs", "floors").mapInArrow(search, "query_id long, vec_id long, score double, looked double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "looked")

@@ -56,6 +56,48 @@ def test_warc_reader_names_damage(spark, tmp_path):
     assert sum(r["error"] is None for r in got) == 3 and len(got) == 7
 
 
+def test_warc_reads_other_writers(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nSet-Cookie: b=2\r\nX-Long: one\r\n two\r\n\r\nbody"
+    digest = base64.b32encode(hashlib.sha1(b"body").digest()).decode()
+
+    def record(kind, block, *more):
+        return "\r\n".join(["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{kind}>", "WARC-Date: 2020-01-01T00:00:00Z", *more, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+
+    web = "Content-Type: application/http;msgtype=response"
+    records = [
+        record("warcinfo", b"software: x\r\n", "Content-Type: application/warc-fields"), record("request", b"GET / HTTP/1.1\r\n\r\n", "Content-Type: application/http;msgtype=request"),
+        record("response", http, web, "WARC-Target-URI: <http://a/%20b>", f"WARC-Payload-Digest: sha1:{digest}"), record("metadata", b""), record("resource", b"\x00\xff", "WARC-Payload-Digest: md5:zz"),
+        record("revisit", b"", "WARC-Refers-To: <urn:uuid:response>"), record("response", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nContent-Length: 9\r\n\r\n4\r\nbody\r\n0\r\n\r\n", web, f"WARC-Payload-Digest: sha1:{digest}"),
+        record("response", http, web, "WARC-Block-Digest: sha1:" + hashlib.sha1(http).hexdigest()), record("response", http, web, "WARC-Payload-Digest: sha1:AAAA"),
+    ]
+    shared = zstandard.train_dictionary(1 << 12, [x + bytes(f"{k}", "ascii") * 40 for k in range(200) for x in records[:3]])
+    held = zstandard.ZstdCompressor().compress(shared.as_bytes())
+    lead = struct.pack("<II", warc.DICTIONARY, len(held)) + held
+    frames = []
+    for k, x in enumerate(records):
+        coder = zstandard.ZstdCompressor(dict_data=shared, write_content_size=k % 2 == 0)
+        stream = coder.compressobj()
+        frames.append(coder.compress(x) if k % 2 == 0 else stream.compress(x) + stream.flush())
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.warc.zst").write_bytes(lead + b"".join(frames))
+    got = warc.read_archives(spark, f"file://{tmp_path}/w").collect()
+    assert [r["error"] for r in got] == [None] * 8 + ["payload digest differs"]
+    assert [r["record_type"] for r in got[:8]] == ["warcinfo", "request", "response", "metadata", "resource", "revisit", "response", "response"]
+    assert (got[2]["target_uri"], bytes(got[2]["payload"]), got[2]["payload_bytes"]) == ("http://a/%20b", b"body", 4) and bytes(got[4]["payload"]) == b"\x00\xff"
+    assert got[5]["payload_bytes"] is None and got[5]["refers_to"] == "<urn:uuid:response>"
+
+
+def test_warc_archives_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    monkeypatch.setattr(warc, "SAMPLE_BYTES", 5_000)
+    df = spark.range(300, numPartitions=1).selectExpr("id as page_id", "concat('u', id) as url", "concat_ws(' ', transform(sequence(1, 60), k -> md5(concat(id, ':', k)))) as html")
+    warc.write_archives(warc.revisits(df), path := new_path(spark, "t"))
+    sizes = [r["length"] for r in spark.read.format("binaryFile").load(path).collect()]
+    assert len(sizes) > 10 and max(sizes) < 45_000
+    got = warc.read_archives(spark, path).collect()
+    assert len(got) == 300 and not any(r["error"] for r in got)
+
+
 def test_warc_empty_and_query(spark):
     path = new_path(spark, "t")
     empty = spark.createDataFrame([], PAGES)

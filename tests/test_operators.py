@@ -9,7 +9,7 @@ from tidemill.functions.types import SchemaError
 from tidemill.operators import failures, ledger, mutate, nested, timeseries
 from tidemill.operators.spec import TableSpec, field, tag, timestamp
 from tidemill.plans import coercions, streams
-from tidemill.sources import generate
+from tidemill.sources import catalog, generate
 from tidemill.sources.store import StateError, StreamWriter, TableStore, WriteError, scratch_folder
 from tidemill.streaming import jobs
 
@@ -290,3 +290,34 @@ def test_reconciled_stream_of_files_in_mixed_order(spark, tmp_path):
 def test_ack_reconcile_stream_has_every_request(spark):
     got = {r["request_id"]: r["acked_at"] for r in streams.ack_reconcile_stream(spark, SF).collect()}
     assert len(got) == spark.read.parquet(f"{SF}/events.parquet").count() and all((at is None) == (i % 17 == 0) for i, at in got.items())
+
+
+def test_catalog_calls(spark):
+    base = f"t_{os.getpid()}"
+    catalog.create_database(spark, base, location=scratch_folder(spark, "db"), options={"a": "it's"})
+    catalog.create_database(spark, base)
+    spec = TableSpec("m", (tag("host"), field("usage", "Float64", default=1.5), timestamp("ts")))
+    catalog.create_table(spark, f"{base}.m", spec, options={"x.y": "1"}, comment="first")
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        catalog.create_table(spark, f"{base}.m", spec, if_not_exists=False)
+    with pytest.raises(SchemaError):
+        catalog.create_table(spark, f"{base}.n", spec, comments={"zz": "?"})
+    catalog.insert(spark, f"{base}.m", spec, points(spark).drop("usage"))
+    assert spark.table(f"{base}.m").where("usage = 1.5").count() == 10 == catalog.total_rows(spark, f"{base}.m")
+    catalog.comment_on(spark, f"{base}.m", "second")
+    catalog.comment_on(spark, f"{base}.m", "a host", "host")
+    catalog.set_options(spark, f"{base}.m", {"x.y": None, "z.z": "2"})
+    assert catalog.options_of(spark, f"{base}.m").get("z.z") == "2" and "x.y" not in catalog.options_of(spark, f"{base}.m")
+    assert [tuple(r) for r in catalog.described(spark, f"{base}.m").collect()][0] == ("host", "string", "tag", "String", "a host")
+    catalog.create_view(spark, f"{base}.v", f"SELECT host FROM {base}.m")
+    catalog.create_view(spark, f"{base}.v", f"SELECT host, usage FROM {base}.m", replace=True)
+    assert spark.table(f"{base}.v").columns == ["host", "usage"]
+    with pytest.raises(Exception, match="Int8"):
+        catalog.evolve_table(spark, f"{base}.m", spec, [mutate.Change("retype", "usage", type="Int8")])
+    assert catalog.total_rows(spark, f"{base}.m") == 10 and not spark.catalog.tableExists(f"{base}.m__new")
+    catalog.drop(spark, "view", f"{base}.v")
+    catalog.drop(spark, "table", f"{base}.m")
+    catalog.drop(spark, "table", f"{base}.m", if_exists=True)
+    catalog.drop(spark, "database", base, cascade=True)
+    with pytest.raises(ValueError):
+        catalog.drop(spark, "index", "x")

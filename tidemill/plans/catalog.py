@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.mutate import Change
 from ..operators.spec import TableSpec, field, tag, timestamp
+from ..sources import catalog
 from ..sources.store import TableStore, scratch_folder
 from .registry import query, table
 
@@ -38,22 +40,49 @@ def insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("daily")
 
 
+def _database(spark: SparkSession) -> str:
+    name = f"tidemill_{uuid.uuid4().hex}"
+    catalog.create_database(spark, name, location=scratch_folder(spark, "db"), options={"purpose": "query"})
+    return name
+
+
+READING = TableSpec("reading", (tag("user_id", "Int64"), field("event_type", "String"), field("value", "Float64"), timestamp("ts", "microsecond")))
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(database, table) with the rows of ``events`` as readings."""
+    base = _database(spark)
+    catalog.create_table(spark, f"{base}.reading", READING, options={"ttl.days": "30"}, comment="what was read", comments={"value": "as measured"})
+    catalog.insert(spark, f"{base}.reading", READING, table(spark, sf_dir, "events").select(*READING.names))
+    return base, f"{base}.reading"
+
+
 @query("SELECT event_type, count(*) AS events, max(value) AS most FROM events WHERE value > 50 GROUP BY event_type")
 def view_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = f"v_{uuid.uuid4().hex}"
-    table(spark, sf_dir, "events").where("value > 50").createOrReplaceTempView(name)
-    rows = spark.sql(f"SELECT event_type, count(*) AS events, max(value) AS most FROM {name} GROUP BY event_type")
-    spark.catalog.dropTempView(name)
-    return rows
+    base, name = _stored(spark, sf_dir)
+    catalog.create_view(spark, f"{base}.high", f"SELECT * FROM {name} WHERE value > 50")
+    return spark.sql(f"SELECT event_type, count(*) AS events, max(value) AS most FROM {base}.high GROUP BY event_type")
 
 
-@query("SELECT 'point' AS table_name, column_name, semantic, type, (SELECT count(*) FROM events) AS rows FROM (VALUES ('user_id','tag','Int64'), ('event_type','tag','String'), ('value','field','Float64'), ('ts','timestamp','TimestampMicrosecond')) AS t(column_name, semantic, type)")
+@query("""
+SELECT column_name, spark_type, semantic, type, comment, '30' AS ttl, (SELECT count(*) FROM events) AS rows FROM (VALUES
+  ('user_id', 'bigint', 'tag', 'Int64', NULL), ('event_type', 'string', 'field', 'String', NULL), ('value', 'double', 'field', 'Float64', 'in units'), ('ts', 'timestamp', 'timestamp', 'TimestampMicrosecond', NULL)
+) AS t(column_name, spark_type, semantic, type, comment)
+""")
 def create_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .landing import POINT
-
-    store = TableStore(spark, scratch_folder(spark, "describe"))
-    store.create(POINT)
-    store.write([(POINT, table(spark, sf_dir, "events").select(*POINT.names))])
-    rows = store.read("point").agg(F.count("*").alias("rows"))
-    declared = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.metadata["semantic"]).alias("semantic"), F.lit(f.metadata["type"]).alias("type")) for f in store.schema("point")])
-    return rows.select(F.lit("point").alias("table_name"), F.explode(declared).alias("c"), "rows").select("table_name", "c.*", "rows")
+    _, name = _stored(spark, sf_dir)
+    catalog.comment_on(spark, name, "in units", "value")
+    rows = spark.table(name).agg(F.count("*").alias("rows"))
+    return catalog.described(spark, name).withColumn("ttl", F.lit(catalog.options_of(spark, name)["ttl.days"])).join(F.broadcast(rows), F.lit(True))
+
+
+@query("SELECT 'eu' AS site, user_id, value::FLOAT AS value, 'none' AS grade, NULL::BIGINT AS more, ts FROM events")
+def evolve_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, name = _stored(spark, sf_dir)
+    change = Change
+    spec = catalog.evolve_table(spark, name, READING, [change("add", "more", field("more", "Int64"))])
+    spec = catalog.evolve_table(spark, name, spec, [
+        change("add", "site", tag("site"), first=True), change("drop", "event_type"), change("retype", "value", type="Float32"),
+        change("add", "grade", field("grade", "String"), after="value"), change("default", "grade", default="none"), change("default", "site", default="eu"),
+    ], rename=f"{base}.reading_2")
+    return spark.table(f"{base}.reading_2").select("site", "user_id", "value", "grade", "more", "ts")

@@ -1,5 +1,9 @@
 import hashlib
+import itertools
+import math
+import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -36,6 +40,58 @@ def test_secrets_equal_brute_force(spark):
     assert extra[8] == [(0, 32)] and not extra[9]
 
 
+def normal(z):
+    return 0.5 * math.erfc(-z / math.sqrt(2))
+
+
+def plain_battery(token):
+    """The tests of a token, one character after another."""
+    _, _, letters, share = next(x for x in secrets.ALPHABETS if re.match(x[1], token))
+    codes, a, n = [letters.index(c) for c in token], len(letters), len(token)
+    chi = sum((codes.count(c) - n / a) ** 2 / (n / a) for c in range(a))
+    spread = 2 / (9 * (a - 1))
+    p_chi = 1 - normal(((max(chi, 1e-9) / (a - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
+    high = [2 * c >= a for c in codes]
+    h, runs = sum(high), 1 + sum(x != y for x, y in itertools.pairwise(high))
+    mean = 2 * h * (n - h) / n + 1
+    p_runs = 2.0 ** (1 - n) if h in (0, n) else 2 * (1 - normal(abs(runs - mean) / math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-9))))
+    mid = sum(codes) / n
+    var, lag = sum((c - mid) ** 2 for c in codes), sum((x - mid) * (y - mid) for x, y in itertools.pairwise(codes))
+    p_serial = 2 * (1 - normal(abs(lag / var + 1 / n) * math.sqrt(n))) if var else 0.0
+    prose = n * max(a * secrets.PROSE - 1, 0.01)
+    p_prose = normal((chi - (a - 1) - prose) / math.sqrt(2 * (a - 1) + 4 * prose)) * share**n
+    return p_chi, p_runs, p_serial, min(1.0, 3 * min(p_chi, p_runs, p_serial)), p_prose
+
+
+def tokens_of_all_kinds():
+    r = random.Random(8)
+    made = ["".join(r.choice(letters) for _ in range(r.randrange(20, 90))) for _, _, letters, _ in secrets.ALPHABETS for _ in range(12)]
+    return made + ["a" * 30, "ab" * 20, "thequickbrownfoxjumpsoverthelazydog", "AAAAAAAAAAAAAAAAAAAAZ", "0123456789" * 3] + ["".join(r.choice("etaoinshrdlu") for _ in range(40)) for _ in range(40)]
+
+
+def test_battery_equals_a_plain_version(spark):
+    tokens = tokens_of_all_kinds()
+    names = ("p_chi", "p_runs", "p_serial", "p_random", "p_prose")
+    for row in secrets.battery(spark.createDataFrame([(t,) for t in tokens], "token string")).collect():
+        assert row["n"] == len(row["token"]) and row["encoding"] == next(x[0] for x in secrets.ALPHABETS if re.match(x[1], row["token"]))
+        for name, want in zip(names, plain_battery(row["token"]), strict=True):
+            assert abs(row[name] - want) < 2e-3, (row["token"], name)
+
+
+def test_discoveries_equal_a_plain_step_up(spark):
+    tested = secrets.battery(spark.createDataFrame([(t,) for t in tokens_of_all_kinds()], "token string"))
+    for rate, level in ((0.01, 0.01), (0.2, 0.0), (1e-9, 0.05)):
+        rows = [(x["token"], x["p_prose"], x["p_random"], max(0.5, min(2.0, x["n"] / 32))) for x in tested.collect()]
+        places = [min(639, max(0, math.floor(-40 * math.log10(max(p / w, 1e-16))))) for _, p, _, w in rows]
+        total, least = sum(w for *_, w in rows), None
+        for b in sorted(set(places)):
+            if 10 ** (-b / 40) <= rate * sum(x >= b for x in places) / total:
+                least = b
+                break
+        want = sorted(t for (t, _, q, _), b in zip(rows, places, strict=True) if least is not None and b >= least and q >= level)
+        assert sorted(x["token"] for x in secrets.discovered(tested, rate, level).collect()) == want
+
+
 def test_secret_query_and_redaction(spark):
     sf = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in sf.collect()}
@@ -99,6 +155,24 @@ def test_equal_and_null_keys_draw_apart(spark):
     assert count(got) == count(mixing.mixed_copies(docs.repartition(3)))
 
 
+def test_copies_equal_brute_force(spark):
+    rows = [(i % 90 if i % 7 else None, prose(3 + i % 5, i % 60), "abc"[i % 3]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    targets, want, seen = expected_targets(sizes), Counter(), Counter()
+    for k, t, s in rows:
+        seen[k, t, s] += 1
+        digest, rate = hashlib.md5(t.encode()).hexdigest(), targets[s] / sizes[s]
+        draw = int(hashlib.md5(f"mix:{'' if k is None else k}:{digest}:{seen[k, t, s]}".encode()).hexdigest()[:13], 16) / 2**52
+        want[k, t, s] += int(rate) + (draw < rate - int(rate))
+    got = Counter()
+    for r in mixing.emitted(mixing.mixed_copies(docs)).collect():
+        got[r["doc_id"], r["text"], r["source"]] += 1
+    assert got == Counter({k: v for k, v in want.items() if v})
+
+
 def test_edge_rows(spark):
     docs = edge_docs(spark)
     assert mixing.mixed_copies(docs).count() == docs.count() == secrets.secret_spans(docs).count()

@@ -252,6 +252,48 @@ def test_model_learns_a_pair(spark):
     assert all(0 <= x["score"] <= 1 and x["predicted"] == int(x["score"] >= 0.5) for x in got)
 
 
+def test_margins_equal_a_double_loop():
+    r = np.random.default_rng(6)
+    model = toxicity.Model(0.3, r.standard_normal(toxicity.BUCKETS).astype(np.float32), r.standard_normal((toxicity.BUCKETS, toxicity.FACTORS)).astype(np.float32))
+    sizes = np.array([0, 1, 7, 30])
+    buckets, values = r.integers(0, toxicity.BUCKETS, sizes.sum()), r.random(sizes.sum()).astype(np.float32)
+    got, at = toxicity.margins(model, sizes, buckets, values), 0
+    for n, z in zip(sizes, got, strict=True):
+        mine = range(at, at + n)
+        want = 0.3 + sum(float(model.weight[buckets[i]]) * values[i] for i in mine) + sum(float(model.factor[buckets[i]].astype(float) @ model.factor[buckets[j]]) * values[i] * values[j] for i, j in itertools.combinations(mine, 2))
+        assert math.isclose(z, want, rel_tol=1e-4, abs_tol=1e-4)
+        at += n
+
+
+def test_one_step_equals_finite_differences():
+    r = np.random.default_rng(7)
+    sizes = np.full(20, 6)
+    buckets, values, label = r.integers(0, 9, 120), r.random(120), r.integers(0, 2, 20).astype(float)
+    rate, shrink = 0.1, 2e-3
+    got = toxicity.fitted(sizes, buckets, values, label, epochs=1, rate=rate, shrink=shrink, least=1, seed=3)
+    factor = np.random.default_rng(3).normal(0, 0.01, (toxicity.BUCKETS, toxicity.FACTORS)) * (np.bincount(buckets, minlength=toxicity.BUCKETS) >= 1)[:, None]
+    bias, weight = float(np.log(label.mean() / (1 - label.mean()))), np.zeros(toxicity.BUCKETS)
+
+    def loss():
+        z = toxicity.margins(toxicity.Model(bias, weight, factor), sizes, buckets, values)
+        return float(np.mean(np.log1p(np.exp(z)) - label * z))
+
+    def slope(array, at):
+        array[at] += 1e-5
+        up = loss()
+        array[at] -= 2e-5
+        down = loss()
+        array[at] += 1e-5
+        return (up - down) / 2e-5
+
+    for b in range(9):
+        g = slope(weight, b)
+        assert math.isclose(got.weight[b], -rate * g / math.sqrt(1e-2 + g * g), rel_tol=1e-3, abs_tol=1e-6)
+        for k in range(toxicity.FACTORS):
+            g = slope(factor, (b, k)) + shrink * factor[b, k] / len(label)
+            assert math.isclose(got.factor[b, k], factor[b, k] - 0.2 * rate * g / math.sqrt(1e-2 + g * g), rel_tol=1e-3, abs_tol=1e-6)
+
+
 def test_toxicity_edges(spark):
     docs, labels = edge_docs(spark), spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (8, 0)], "doc_id long, toxic int")
     got = toxicity.toxicity(docs, labels).collect()
@@ -310,31 +352,64 @@ def test_quality_drops_shuffled_words(spark):
     assert sum(by[i] for i in range(80, 120)) >= 38 and not any(by[200 + i] for i in range(15))
 
 
-def test_word_probabilities_equal_a_loop(spark):
-    good = ["a b a c b a", "b a b c", "c a b", "a a b d"]
-    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*good, "a b z", " c a", "zz"])], "doc_id long, text string, lang string")
-    trusted = docs.where(F.col("doc_id") < len(good))
-    got = {x["doc_id"]: x["perplexity"] for x in quality.classified(docs, trusted.select("doc_id"), shards=3).collect()}
-    table = quality.letter_table(trusted).astype(float)
-    pairs = Counter(p for t in good for p in itertools.pairwise([None, *t.split()]))
-    tails = Counter(c for _, c in pairs)
+def loop_perplexity(counted, table):
+    """Perplexity per character by interpolated modified Kneser-Ney bigrams of the texts ``counted``, one word after another."""
 
     def log2_letters(t):
-        return table[quality.codes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))]
+        data = np.frombuffer(t.encode(), np.uint8)
+        return table[quality.codes(data, np.array([0, len(data)]))]
 
-    d2, d1 = (quality.discounts(np.array(list(x.values()))) for x in (pairs, tails))
+    pairs = Counter(p for t in counted for p in itertools.pairwise([None, *t.split()]))
+    tails = Counter(c for _, c in pairs)
+    d2, d1 = (quality.discounts(np.array(list(x.values()) or [0])) for x in (pairs, tails))
 
     def single(c):
+        letters = 2 ** log2_letters(c).sum()
+        if not tails:
+            return letters
         back = sum(d1[min(k, 3)] for k in tails.values()) / tails.total()
-        return max(tails[c] - d1[min(tails[c], 3)], 0) / tails.total() + back * 2 ** log2_letters(c).sum()
+        return max(tails[c] - d1[min(tails[c], 3)], 0) / tails.total() + back * letters
 
-    for i, t in enumerate([*good, "a b z", " c a", "zz"]):
+    def of(t):
         bits = log2_letters(t)[[x == " " for x in t]].sum()
         for b, c in itertools.pairwise([None, *t.split()]):
             follow = [n for (x, _), n in pairs.items() if x == b]
             n = pairs[b, c]
             bits += math.log2((max(n - d2[min(n, 3)], 0) + sum(d2[min(k, 3)] for k in follow) * single(c)) / sum(follow) if follow else single(c))
-        assert math.isclose(got[i], 2 ** (-bits / len(t)), rel_tol=1e-4), (i, t)
+        return 2 ** (-bits / len(t))
+
+    return of
+
+
+def test_word_probabilities_equal_a_loop(spark):
+    good = ["a b a c b a", "b a b c", "c a b", "a a b d"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*good, "a b z", " c a", "zz"])], "doc_id long, text string, lang string")
+    trusted = docs.where(F.col("doc_id") < len(good))
+    got = {x["doc_id"]: x["perplexity"] for x in quality.classified(docs, trusted.select("doc_id"), shards=3).collect()}
+    of = loop_perplexity(good, quality.letter_table(trusted).astype(float))
+    for i, t in enumerate([*good, "a b z", " c a", "zz"]):
+        assert math.isclose(got[i], of(t), rel_tol=1e-4), (i, t)
+
+
+def test_thresholds_and_verdicts_equal_a_loop(spark):
+    r = random.Random(9)
+    words = {"en": "the cat sat on a mat and saw one dog run by".split(), "xx": "lo mi ra tu se".split()}
+    rows = [(i, " ".join(r.choice(words["en"]) for _ in range(12)), "en") for i in range(60)] + [(100 + i, " ".join(r.choice(words["xx"]) for _ in range(9)), "xx") for i in range(10)]
+    rows += [(200, "the the the the the the the the", "en"), (201, "qqq zzz vvv", "en"), (202, "xq7 %% zz", "xx"), (203, "lo mi ra", "xx"), (204, "the cat", None), (205, "the cat sat on a mat", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = docs.where("doc_id < 200")
+    got = {x["doc_id"]: x for x in quality.classified(docs, trusted.select("doc_id"), shards=2).collect()}
+    held = {x["doc_id"] for x in trusted.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(quality.FOLDS)) == 0).collect()}
+    table = quality.letter_table(trusted).astype(float)
+    for lang in ("en", "xx"):
+        mine = [(i, t) for i, t, x in rows if x == lang]
+        good = [(i, t) for i, t in mine if i < 200]
+        by_all, by_rest = loop_perplexity([t for _, t in good], table), loop_perplexity([t for i, t in good if i not in held], table)
+        out = sorted(by_rest(t) for i, t in good if i in held) or sorted(by_all(t) for _, t in good)
+        cut = 1.2 * out[math.ceil(0.95 * len(out)) - 1]
+        for i, t in mine:
+            assert math.isclose(got[i]["perplexity"], by_all(t), rel_tol=1e-4) and math.isclose(got[i]["threshold"], cut, rel_tol=1e-4) and got[i]["accepted"] == (by_all(t) <= cut), (i, t)
+    assert not got[201]["accepted"] and not got[202]["accepted"] and got[204]["accepted"] and got[204]["threshold"] is None
 
 
 def test_pipeline_stages(spark):

@@ -12,7 +12,9 @@ trusted text lacks and the blanks between words.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -160,43 +162,104 @@ def lexicon(trusted: DataFrame, letters) -> DataFrame:
     return rows.groupBy("w").agg(F.min("name").alias("name"), F.min("bits").alias("bits"))
 
 
-def bigram_counts(trusted: DataFrame, shard: int, shards: int) -> DataFrame:
-    """``key, b, c, n, t`` per bigram in a shard of ``trusted`` (name, text, held): how often it occurs, and how often in texts not held out."""
+_COUNTED = "part int, b binary, many binary, c binary, n binary, t binary"
+
+
+def _raw(row: dict, kinds: dict[str, type]) -> list[np.ndarray]:
+    return [np.frombuffer(row[c].as_buffer(), t) for c, t in kinds.items()]
+
+
+_KINDS = {"b": T.U, "many": np.uint32, "c": T.U, "n": np.uint64, "t": np.uint64}
+
+
+def _packed_counts(part: int, b: np.ndarray, c: np.ndarray, n: np.ndarray, t: np.ndarray) -> tuple:
+    """Bigrams added up, in order: each word before once, with how many follow it, and those with their counts."""
+    order, first = _runs((c, b))
+    n, t, one = _added(n, order, first), _added(t, order, first), order[first]
+    before, many = np.unique(b[one], return_counts=True)
+    return part, *(x.tobytes() for x in (before, many.astype(np.uint32), c[one], n.astype(np.uint64), t.astype(np.uint64)))
+
+
+def _batch(rows: list[tuple]) -> dict[str, pa.Array]:
+    kinds = (pa.int32(), *[pa.binary()] * 5)
+    return {c: pa.array([r[k] for r in rows], kinds[k]) for k, c in enumerate(("part", *_KINDS))}
+
+
+def bigram_counts(trusted: DataFrame, shard: int, shards: int, parts: int, salts: int) -> DataFrame:
+    """Bigrams of a shard of ``trusted`` (name, text, held), packed, a row per part of the shard: how often each occurs (``n``), and how often in texts not held out (``t``).
+
+    Tasks add up what ``SLICE`` bytes of text have, and parts are added up in
+    two steps if slices are very many, since each may have the same bigrams.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             every, held = batch["name"].to_pylist(), np.asarray(batch["held"].cast(pa.int8()), np.int64)
             for at, data, bounds in T.chunks(batch["text"], SLICE):
-                n = len(bounds) - 1
-                of, key, b, c = bigrams(T.words(data, bounds, T.SPACES), every[at : at + n])
+                size = len(bounds) - 1
+                of, key, b, c = bigrams(T.words(data, bounds, T.SPACES), every[at : at + size])
                 mine = np.flatnonzero(shard_of(key, shards) == T.U(shard))
-                of, key, b, c = of[mine], key[mine], b[mine], c[mine]
-                order, first = _runs((key,))
-                one, free = order[first], 1 - held[at : at + n][of]
-                yield pa.RecordBatch.from_arrays([*(pa.array(x[one].view(np.int64)) for x in (key, b, c)), pa.array(_added(np.ones(len(key), np.int64), order, first)), pa.array(_added(free, order, first))], names=["key", "b", "c", "n", "t"])
+                part, free = part_of(key[mine], parts), 1 - held[at : at + size][of[mine]]
+                rows = [_packed_counts(int(p), b[mine[x]], c[mine[x]], np.ones(len(x), np.int64), free[x]) for p in np.unique(part) for x in [np.flatnonzero(part == p)]]
+                if rows:
+                    yield pa.RecordBatch.from_pydict(_batch(rows))
+
+    def add(group: pa.Table) -> pa.Table:
+        each = [_raw(row, _KINDS) for row in ({c: group[c][k] for c in _KINDS} for k in range(group.num_rows))]
+        b = np.concatenate([np.repeat(x[0], x[1]) for x in each])
+        c, n, t = (np.concatenate([x[k] for x in each]) for k in (2, 3, 4))
+        return pa.table(_batch([_packed_counts(group["part"][0].as_py(), b, c, n.astype(np.int64), t.astype(np.int64))]))
+
+    rows = trusted.select("name", "text", "held").mapInArrow(count, _COUNTED)
+    if salts > 1:
+        rows = rows.withColumn("salt", F.spark_partition_id() % salts).groupBy("part", "salt").applyInArrow(lambda g: add(g.drop_columns(["salt"])), _COUNTED)
+    return written(rows.groupBy("part").applyInArrow(add, _COUNTED), "bigrams")
+
 
-    rows = trusted.select("name", "text", "held").mapInArrow(count, "key long, b long, c long, n long, t long")
-    return rows.groupBy("b", "c").agg(F.min("key").alias("key"), F.sum("n").alias("n"), F.sum("t").alias("t"))
+_STATS = [f"{x}_{v}" for v in "nt" for x in ("s", "a", "f1", "f2", "f3", "f4", "k")]
 
 
-def word_counts(trusted: DataFrame, shards: int) -> DataFrame:
-    """Per word ``w`` and v of n (all trusted text) and t (without held-out texts): what follows it and precedes it.
+def word_counts(pieces: list[DataFrame]) -> DataFrame:
+    """Per word ``w`` of ``bigram_counts`` and v of n (all trusted text) and t (without held-out texts): what follows it and precedes it.
 
     ``s_v`` words follow it, ``a_v`` distinct ones, ``f1_v`` to ``f4_v`` of
     these so many times; ``k_v`` distinct words precede it.
     """
-    pieces = []
-    for shard in range(shards):
-        counts = bigram_counts(trusted, shard, shards)
-        ends = counts.select(F.col("b").alias("w"), "n", "t", F.lit(True).alias("e")).union(counts.select("c", "n", "t", F.lit(False)))
-        ways = [x for v in "nt" for x in (F.coalesce(F.sum(F.when(F.col("e"), F.col(v))), F.lit(0)).alias(f"s_{v}"), F.count_if(F.col("e") & (F.col(v) > 0)).alias(f"a_{v}"), *(F.count_if(F.col("e") & (F.col(v) == k)).alias(f"f{k}_{v}") for k in (1, 2, 3, 4)), F.count_if(~F.col("e") & (F.col(v) > 0)).alias(f"k_{v}"))]
-        pieces.append(written(ends.groupBy("w").agg(*ways), "ends"))
-    every = pieces[0]
-    for piece in pieces[1:]:
-        every = every.union(piece)
-    total = written(every.groupBy("w").agg(*(F.sum(c).alias(c) for c in every.columns[1:])), "words")
-    dropped(*pieces)
-    return total
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                b, many, c, *counts = _raw({x: batch[x][k] for x in _KINDS}, _KINDS)
+                if not len(b):
+                    continue
+                w = np.unique(np.concatenate([b, c]))
+                first, left, right = np.cumsum(many, dtype=np.int64) - many, np.searchsorted(w, b), np.searchsorted(w, c)
+                out = [w.view(np.int64)]
+                for n in counts:
+                    total = np.zeros((7, len(w)), np.int64)
+                    for row, x in enumerate((n.astype(np.int64), n > 0, n == 1, n == 2, n == 3, n == 4)):
+                        total[row, left] = np.add.reduceat(x, first, dtype=np.int64)
+                    total[6] = np.bincount(right[n > 0], minlength=len(w))
+                    out += list(total)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["w", *_STATS])
+
+    every = reduce(DataFrame.union, pieces).drop("part").mapInArrow(tally, "w long, " + ", ".join(f"{c} long" for c in _STATS))
+    return every.groupBy("w").agg(*(F.sum(c).alias(c) for c in _STATS))
+
+
+def bigram_rows(counted: DataFrame) -> DataFrame:
+    """``key, b, c, n, t`` per bigram of ``bigram_counts``."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                b, many, c, n, t = _raw({x: batch[x][k] for x in _KINDS}, _KINDS)
+                b = np.repeat(b, many)
+                key = T.mixed((b * T.U(0x9FB21C651E98DF25)) ^ c)
+                for at in range(0, len(key), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[at : at + (1 << 16)].view(np.int64)) for x in (key, b, c, n, t)], names=["key", "b", "c", "n", "t"])
+
+    return counted.drop("part").mapInArrow(spread, "key long, b long, c long, n long, t long")
 
 
 def _cuts(n: list[str], total: str, to: str) -> list[str]:
@@ -358,18 +421,19 @@ def perplexities(docs: DataFrame, trusted: DataFrame, shards: int | None = None)
     total = base.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     shards = shards or min(SHARDS, max(1, -(-total // SHARD_WORDS)))
     parts = max(1, -(-total // (shards * PART_WORDS)))
-    counted = word_counts(trusted, shards)
-    words = written(counted.join(lexicon(trusted, letters), "w"), "lexicon")
-    dropped(counted)
+    salts = max(1, math.isqrt(total // 4_000_000) // 4)
+    counted = [bigram_counts(trusted, shard, shards, parts, salts) for shard in range(shards)]
+    words = written(word_counts(counted).join(lexicon(trusted, letters), "w"), "lexicon")
     weights, cuts = word_model(words)
     dropped(words)
     found = []
     for shard in range(shards):
-        gains = bigram_gains(bigram_counts(trusted, shard, shards), weights, cuts)
+        gains = bigram_gains(bigram_rows(counted[shard]), weights, cuts)
         none = F.lit(0).cast("float")
         mine = F.expr(f"shiftright(shiftrightunsigned(w, 48) * {shards}L, 16) = {shard}")
         model = weights.where(mine).select(F.col("w").alias("key"), "d_n", "d_t", "g_n", "g_t").union(gains.select("key", "d_n", "d_t", none, none))
         model = written(packed(model, parts), "model")
+        dropped(counted[shard])
         questions = written(asked(docs, shard, shards, parts), "asked")
         found.append(written(joined_sums(questions, model), "sums"))
         dropped(model, questions)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
@@ -63,6 +63,7 @@ def dropped(*tables: DataFrame) -> None:
 SMALL_ROWS = 200_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df``, a table that is cheap to count, marked for broadcast if its size, counted here, allows."""
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+def small(df: DataFrame, weight: Column | None = None) -> DataFrame:
+    """``df``, a table that is cheap to read, marked for broadcast if its size, counted here, allows; ``weight`` says for how many rows one counts."""
+    rows = df.count() if weight is None else df.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    return F.broadcast(df) if rows <= SMALL_ROWS else df

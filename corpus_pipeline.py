@@ -3,7 +3,8 @@
 Stages drop rows (quality, near copies, contamination), redact (secrets) or
 repeat rows (mixing). A stage's decisions are keyed by ``row_key``, so rows
 with null or equal ids are told apart by their texts; only rows that are equal
-in both share a decision. An empty table passes through every stage.
+in both share a decision. An empty table passes through every stage; columns
+beyond those of ``documents`` do not.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def row_key() -> Column:
-    """Sorts by doc_id, null last, and differs where texts do."""
-    number = F.coalesce(F.lpad(F.col("doc_id").cast("string"), 20, "0"), F.lit("null"))
+    """Sorts by doc_id, negative ones first and null last, and differs where texts do."""
+    above = F.col("doc_id").cast("decimal(20,0)") + F.expr("9223372036854775808BD")
+    number = F.coalesce(F.lpad(above.cast("decimal(20,0)").cast("string"), 20, "0"), F.lit("null"))
     return F.concat(number, F.lit(":"), F.coalesce(F.md5("text"), F.lit("null")))
 
 
@@ -37,14 +39,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component stays, that with the least ``row_key``; of rows equal in id and text, one. Links are of five-word shingles, at a similarity of 0.8."""
+    """One row of each component stays, that with the least ``row_key``; of rows equal in id and text, the one whose other columns are least. Links are of five-word shingles, at a similarity of 0.8."""
     keyed = docs.select(row_key().alias("key"), "text")
     found = written(ngram_join.components(keyed, "key", "text", k=5, percent=80), "components")
     kept = _without(docs, found.where("key != component_id").select("key").distinct())
     repeated = written(found.groupBy("key").count().where("count > 1").select("key"), "repeated")
     if repeated.isEmpty():
         return kept.select(*COLUMNS)
-    once = kept.withColumn("__key", row_key()).join(small(repeated.toDF("__key")), "__key", "left_semi").dropDuplicates(["__key"])
+    once = kept.withColumn("__key", row_key()).join(small(repeated.toDF("__key")), "__key", "left_semi")
+    once = once.groupBy("__key").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
     return _without(kept, repeated).select(*COLUMNS).union(once.select(*COLUMNS))
 
 
@@ -59,7 +62,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with what the scan found replaced by a mark; ``n_chars`` follows the text where it changed."""
     found = secrets.secret_spans(docs.select(row_key().alias("key"), "text")).where(F.size("spans") > 0)
     found = written(found.select(F.col("key").alias("__key"), "spans").dropDuplicates(["__key"]), "spans")
-    joined = docs.withColumn("__key", row_key()).join(small(found), "__key", "left")
+    joined = docs.withColumn("__key", row_key()).join(small(found, F.size("spans")), "__key", "left")
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(secrets.redacted(F.col("text"), F.col("spans")))
     chars = F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
     return joined.withColumn("n_chars", chars).withColumn("text", text).select(*COLUMNS)
@@ -78,7 +81,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing sources", source_mix),
 ]
 
-#: Perplexities, components and redaction have no SQL; tests hold each stage against a brute-force version.
+#: Perplexities, components and redaction have no SQL; tests hold the stages and their operators against brute-force versions.
 ORACLE_SQL: str | None = None
 
 

@@ -321,3 +321,23 @@ def test_catalog_calls(spark):
     catalog.drop(spark, "database", base, cascade=True)
     with pytest.raises(ValueError):
         catalog.drop(spark, "index", "x")
+
+
+def test_alert_stream_equals_batch(spark, tmp_path):
+    r = random.Random(12)
+    rows = [(k, s, r.random() < 0.75) for k in ("a", "b") for s in r.sample(range(2000), 300)] + [(k, 4000, False) for k in ("a", "b")]
+    df = spark.createDataFrame(rows, "k string, s long, up boolean").withColumn("ts", F.timestamp_seconds("s"))
+    for k, (low, high) in enumerate(((0, 900), (700, 1500), (1500, 5000))):
+        part = df.where((F.col("s") >= low) & (F.col("s") < high) & (F.col("s") % 2 == k % 2) | (F.col("s") >= low) & (F.col("s") < high) & (F.lit(k) == 2))
+        part.coalesce(1).write.parquet(f"{tmp_path}/in{k}")
+        for f in (tmp_path / f"in{k}").glob("part-*.parquet"):
+            (tmp_path / "in").mkdir(exist_ok=True)
+            f.rename(tmp_path / "in" / f"{k}.parquet")
+            os.utime(tmp_path / "in" / f"{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    stream = jobs.file_stream(spark, f"{tmp_path}/in", files_per_batch=1)
+    every = spark.read.parquet(f"{tmp_path}/in")
+    second = 10**6
+    got = jobs.alert_stream(stream, ["k"], "ts", F.col("up"), 40 * second, 25 * second, "1000 seconds")
+    batch = timeseries.alerts(every, ["k"], "ts", F.col("up"), 40 * second, 25 * second)
+    mine, all_ = ({tuple(x) for x in y.select("k", "started", "last_true", "fired_at", "ended_at", "state").collect()} for y in (got, batch))
+    assert mine <= all_ and {x for x in all_ if x[4] is not None and x[2] < 1990 * second} <= mine and any(x[5] == "firing" for x in mine) and len(mine) > 10

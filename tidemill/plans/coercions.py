@@ -101,6 +101,18 @@ def coerce_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", *[wire(F.col(k), t).alias(k) for k, t in kinds.items()], wire(F.col("e"), "TimestampMicrosecond").alias("from_ms"), "fraction_error")
 
 
+@query("""
+SELECT event_id, CASE WHEN event_id % 5 > 0 THEN epoch_us(date_trunc('second', ts)) END AS at_us, CASE WHEN event_id % 5 = 0 THEN 'invalid_date' END AS at_us_error, value > 50 AS up, NULL::VARCHAR AS up_error,
+  NULL::VARCHAR AS name, CASE WHEN event_id % 3 > 0 THEN 'type:boolean' END AS name_error
+FROM events
+""")
+def coerce_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.col("event_id") % 5 == 0, "2024-13-45 10:00").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    df = table(spark, sf_dir, "events").withColumns({"text": text, "high": F.col("value") > 50, "flag": F.when(F.col("event_id") % 3 > 0, F.col("value") > 1)})
+    out = _each(df, ["event_id"], {"at_us": ("text", "TimestampSecond"), "up": ("high", "Bool"), "name": ("flag", "String")})
+    return out.withColumn("at_us", F.unix_micros("at_us"))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, big AS row_ms, NULL::VARCHAR AS row_ms_error,
   CASE WHEN big BETWEEN -2147483648 AND 2147483647 THEN big END AS bulk_ms, CASE WHEN NOT big BETWEEN -2147483648 AND 2147483647 THEN 'range' END AS bulk_ms_error,

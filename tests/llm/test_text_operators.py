@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF
-from tests.llm.data import edge_docs, empty_docs, prose
+from tests.llm.data import DOCS, edge_docs, empty_docs, prose
 from tidemill.llm import ann, decontam, ngram_join, quality, queries, text, toxicity
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -412,6 +412,16 @@ def test_thresholds_and_verdicts_equal_a_loop(spark):
     assert not got[201]["accepted"] and not got[202]["accepted"] and got[204]["accepted"] and got[204]["threshold"] is None
 
 
+def test_pipeline_keys_and_repeats(spark):
+    rows = [(5, "b"), (-3, "a"), (-5, "a"), (None, "z"), (40, None), (2**63 - 1, "c"), (-(2**63), "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = [r["doc_id"] for r in docs.orderBy(corpus_pipeline.row_key()).collect()]
+    assert order == [-(2**63), -5, -3, 5, 40, 2**63 - 1, None]
+    twice = spark.createDataFrame([(1, "one two", "fr", "s", 7), (1, "one two", "de", "t", 7), (2, "three", "en", "s", 5)], DOCS).withColumns({"row": F.lit(1), "component_id": F.lit(0)})
+    got = corpus_pipeline.ngram_jaccard_join(spark, twice, SF)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "one two", "de", "t", 7), (2, "three", "en", "s", 5)]
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").union(edge_docs(spark).withColumn("n_chars", F.length("text").cast("long")))
     names = [n for n, _ in corpus_pipeline.STAGES]

@@ -172,6 +172,17 @@ def test_paths_are_ranked_and_whole(spark):
     assert chat.paths(nodes.limit(0)).count() == 0
 
 
+def test_chat_with_clashing_columns_and_long_texts(spark):
+    long = "<s> [INST] \\ " * 40_000
+    rows = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", long), (2, 0, "assistant", None), (2, 1, "user", "")], "conv_id long, turn long, role string, text string")
+    clash = {c: F.lit(9) for c in ("far", "root", "depth", "total", "rank", "leaf", "path_score", "parent", "start", "head", "body")}
+    nodes = chat.threads(rows.withColumns(clash)).withColumns({"score": F.lit(1.0)})
+    turns = chat.paths(nodes).join(nodes.select("node", "role", "text"), "node").withColumns({c: F.lit(9) for c in ("head", "body", "start", "n_turns")})
+    chats = chat.formatted(turns).join(nodes.select(F.col("node").alias("leaf"), "conv_id"), "leaf").withColumn("loss_chars", F.lit(3))
+    got = {r["conv_id"]: r for r in chat.read_back(chats, "conv_id").collect()}
+    assert (got[1]["n_turns"], got[1]["loss_chars"], got[1]["loss_sha256"]) == (2, len(long), hashlib.sha256(long.encode()).hexdigest()) and (got[2]["n_turns"], got[2]["loss_chars"]) == (2, 0)
+
+
 def test_chat_query(spark):
     rows = spark.read.parquet(f"{SF}/conversations.parquet").collect()
     whole = {-1: [("user", "</s>[INST] ok [/INST]"), ("assistant", "</s>[INST] ok [/INST]")]}

@@ -12,12 +12,14 @@ trusted text lacks and the blanks between words.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -318,14 +320,15 @@ def asked(docs: DataFrame, shard: int, shards: int, parts: int) -> DataFrame:
 
     ``keys`` stand in order, ``rows`` says how many texts have each, ``place``
     which ones (numbers in ``ids``), ``m`` how often, and ``f`` how often a
-    word comes before another.
+    word comes before another; ``slice`` numbers the slices.
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices = itertools.count(TaskContext.get().partitionId() << 32)
         for batch in (whole.slice(at, 1 << 15) for whole in batches for at in range(0, whole.num_rows, 1 << 15)):
             every, ids = batch["name"].to_pylist(), np.asarray(batch["id"])
             for at, data, bounds in T.chunks(batch["text"], SLICE):
-                n = len(bounds) - 1
+                n, number = len(bounds) - 1, next(slices)
                 of, key, b, c = bigrams(T.words(data, bounds, T.SPACES), every[at : at + n])
                 mine = [np.flatnonzero(shard_of(x, shards) == T.U(shard)) for x in (key, c, b)]
                 keys, texts = (np.concatenate([x[i] for x, i in zip(y, mine, strict=True)]) for y in ((key, c, b), (of, of, of)))
@@ -343,11 +346,11 @@ def asked(docs: DataFrame, shard: int, shards: int, parts: int) -> DataFrame:
                         begins = np.flatnonzero(new[here])
                         known, place = np.unique(texts[here], return_inverse=True)
                         arrays = (keys[here][begins], np.diff(np.append(begins, len(here))).astype(np.uint16), ids[at : at + n][known], place.astype(np.uint16), m[here].astype(np.uint32), f[here].astype(np.uint32))
-                        out.append((p, len(here), *(x.tobytes() for x in arrays)))
+                        out.append((number, p, len(here), *(x.tobytes() for x in arrays)))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), *[pa.binary()] * 6), strict=True)], names=["part", "pairs", "keys", "rows", "ids", "place", "m", "f"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 6), strict=True)], names=["slice", "part", "pairs", "keys", "rows", "ids", "place", "m", "f"])
 
-    return docs.select("id", "name", "text").mapInArrow(ask, "part int, pairs long, keys binary, rows binary, ids binary, place binary, m binary, f binary")
+    return docs.select("id", "name", "text").mapInArrow(ask, "slice long, part int, pairs long, keys binary, rows binary, ids binary, place binary, m binary, f binary")
 
 
 def packed(model: DataFrame, parts: int) -> DataFrame:
@@ -364,7 +367,7 @@ def packed(model: DataFrame, parts: int) -> DataFrame:
 
 
 def joined_sums(questions: DataFrame, model: DataFrame) -> DataFrame:
-    """``id, sum_n, sum_t``: what the known words and bigrams of each text add.
+    """``slice, ids, sums``: what the known words and bigrams of a part add to each text of a slice, packed.
 
     A part of the model meets the questions to it in one task, or, if those
     are many, a copy of the part in each of several tasks.
@@ -375,8 +378,8 @@ def joined_sums(questions: DataFrame, model: DataFrame) -> DataFrame:
     right = model.join(small(tasks), "part").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))).drop("tasks")
 
     def look(asked_: pa.Table, model_: pa.Table) -> pa.Table:
-        ids, sums = [np.zeros(0, np.int64)], [np.zeros((2, 0))]
-        if model_.num_rows and asked_.num_rows:
+        found: list[tuple] = []
+        if model_.num_rows:
             raw = lambda c, row, kind: np.frombuffer(c[row].as_buffer(), kind)
             known = raw(model_["known"], 0, T.U)
             values = raw(model_["values"], 0, np.float32).reshape(4, -1)
@@ -385,13 +388,24 @@ def joined_sums(questions: DataFrame, model: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                 hit = np.repeat(known[at] == keys, rows)
                 at, place, m, f = np.repeat(at, rows)[hit], place[hit], m[hit], f[hit]
-                ids.append(name)
-                sums.append(np.stack([np.bincount(place, m * values[v, at].astype(np.float64) + f * values[v + 2, at].astype(np.float64), len(name)) for v in (0, 1)]))
-        total = np.concatenate(sums, axis=1)
-        return pa.table({"id": np.concatenate(ids), "sum_n": total[0], "sum_t": total[1]})
+                sums = np.stack([np.bincount(place, m * values[v, at].astype(np.float64) + f * values[v + 2, at].astype(np.float64), len(name)) for v in (0, 1)])
+                found.append((asked_["slice"][r].as_py(), name.tobytes(), sums.tobytes()))
+        return pa.table({c: pa.array([x[k] for x in found], t) for k, (c, t) in enumerate((("slice", pa.int64()), ("ids", pa.binary()), ("sums", pa.binary())))})
 
-    met = left.groupBy("part", "task").cogroup(right.groupBy("part", "task")).applyInArrow(look, "id long, sum_n double, sum_t double")
-    return met.groupBy("id").agg(F.sum("sum_n").alias("sum_n"), F.sum("sum_t").alias("sum_t"))
+    return left.groupBy("part", "task").cogroup(right.groupBy("part", "task")).applyInArrow(look, "slice long, ids binary, sums binary")
+
+
+def added_sums(pieces: list[DataFrame]) -> DataFrame:
+    """``id, sum_n, sum_t`` of all parts of ``joined_sums``: a slice's rows are added up in one task, and texts of several slices after that."""
+
+    def add(group: pa.Table) -> pa.Table:
+        every = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in group["ids"]])
+        ids, place = np.unique(every, return_inverse=True)
+        sums = np.concatenate([np.frombuffer(x.as_buffer(), np.float64).reshape(2, -1) for x in group["sums"]], axis=1)
+        return pa.table({"id": ids, "sum_n": np.bincount(place, sums[0]), "sum_t": np.bincount(place, sums[1])})
+
+    per = reduce(DataFrame.union, pieces).groupBy("slice").applyInArrow(add, "id long, sum_n double, sum_t double")
+    return per.groupBy("id").agg(F.sum("sum_n").alias("sum_n"), F.sum("sum_t").alias("sum_t"))
 
 
 def spelling(docs: DataFrame, letters) -> DataFrame:
@@ -437,10 +451,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, shards: int | None = None)
         questions = written(asked(docs, shard, shards, parts), "asked")
         found.append(written(joined_sums(questions, model), "sums"))
         dropped(model, questions)
-    sums = found[0]
-    for piece in found[1:]:
-        sums = sums.union(piece)
-    sums = sums.groupBy("id").agg(F.sum("sum_n").alias("sum_n"), F.sum("sum_t").alias("sum_t"))
+    sums = added_sums(found)
     every = base.join(small(cuts.select("name", "z_n", "z_t")), "name", "left").join(sums, "id", "left")
     return every.select("id", *(F.expr(f"pow(2D, -(bits + words * coalesce(z_{v}, 0D) + coalesce(sum_{v}, 0D)) / bytes) as p_{v}") for v in "nt"))
 

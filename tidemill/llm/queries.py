@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, mixing, ngram_join, quality, secrets, toxicity, urlfilter, warc
+from . import align, ann, chat, decontam, langid, lexical, mixing, ngram_join, quality, secrets, toxicity, urlfilter, warc
 from .store import new_path, written
 
 
@@ -143,6 +143,45 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(docs, trusted).select("doc_id", "lang", "perplexity", "threshold", "accepted")
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learns = langid.in_training(F.col("doc_id"))
+    model = langid.trained(docs.where(learns))
+    found = langid.identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(~learns, F.lit(False)).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.aligned(table(spark, sf_dir, "documents"))
+
+
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_SEARCH_SQL = f"""
+WITH dw AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents
+), sized AS (
+  SELECT r, doc_id, len(w)::BIGINT AS n FROM dw WHERE len(w) > 0
+), whole AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM sized
+), tf AS (
+  SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS t FROM dw) GROUP BY r, t
+), weighed AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM tf, whole GROUP BY t, docs
+), asked AS (
+  SELECT i, item_id, t, count(*)::BIGINT AS times FROM (SELECT i, item_id, unnest(w) AS t FROM (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS w FROM benchmark)) GROUP BY i, item_id, t
+), scored AS (
+  SELECT i, item_id, r, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN weighed USING (t) JOIN tf USING (t) JOIN sized USING (r), whole GROUP BY i, item_id, r, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 _WARC_SQL = """
 WITH hashed AS (
   SELECT page_id, url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
@@ -213,6 +252,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_ngram_join": op9_ngram_join,
     "op10_quality": op10_quality,
+    "op11_language": op11_language,
+    "op12_search": op12_search,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -221,4 +263,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_chat": _CHAT_SQL,
     "op7_mixing": _MIXING_SQL,
     "op8_urls": _URLS_SQL,
+    "op12_search": _SEARCH_SQL,
 }

@@ -14,6 +14,8 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
+from itertools import chain
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -28,7 +30,11 @@ from .store import ARROW_BYTES, dropped, written
 #: Where the vocabularies are, and which.
 TOKENIZERS, BYTE_LEVEL, PIECES = "/opt/tokenizers", "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text in a slice, distinct pieces that a worker remembers, and pieces encoded at once.
-SLICE, REMEMBERED, BATCH = 1 << 22, 300_000, 20_000
+SLICE, REMEMBERED, BATCH = 1 << 22, 500_000, 50_000
+#: Fixed value: the pattern that byte-level vocabularies split by.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Pieces of these bytes (printable ASCII, line ends and Latin letters) are split alike by either library that has the merges; the faster one gets them.
+COMMON = re.compile(rb"[\n\x20-\x7E\xC3-\xC8\x80-\xBF]+")
 #: Slices are long rows: few of them in a batch.
 FEW_ROWS = {ARROW_BYTES: str(1 << 23), "spark.sql.parquet.columnarReaderBatchSize": "4"}
 
@@ -41,7 +47,7 @@ def byte_level_decoder() -> dict[str, int]:
 
 
 class Vocabularies(NamedTuple):
-    """Both models as bytes, the bytes of each token (None: stands for none), the pairs that can be linked, and whether texts may be cut at spaces."""
+    """Both models as bytes, the bytes of each token (None: stands for none), the pairs that can be linked, whether texts may be cut at spaces, and whether ids of A follow the order of its merges."""
 
     a_model: bytes
     b_model: bytes
@@ -49,6 +55,7 @@ class Vocabularies(NamedTuple):
     b_bytes: list[bytes | None]
     pairs: np.ndarray
     cut: bool
+    ranked: bool
 
 
 def vocabularies(folder: str = TOKENIZERS, byte_level: str = BYTE_LEVEL, pieces: str = PIECES) -> Vocabularies:
@@ -70,7 +77,10 @@ def vocabularies(folder: str = TOKENIZERS, byte_level: str = BYTE_LEVEL, pieces:
         b_bytes.append(bytes([int(piece[3:5], 16)]) if model.is_byte(i) else None if model.is_control(i) or model.is_unknown(i) else piece.replace("▁", " ").encode())
     before = spec.get("pre_tokenizer") or {}
     regular = spec.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
-    return Vocabularies(a_model, b_model, a_bytes, b_bytes, suffix_pairs(a_bytes, b_bytes), bool(regular) and not any(x and b" " in x.lstrip(b" ") for x in b_bytes))
+    cut = bool(regular) and not any(x and b" " in x.lstrip(b" ") for x in b_bytes)
+    merges = ["".join(x.split(" ") if isinstance(x, str) else x) for x in spec["model"]["merges"]]
+    ranked = bool(regular) and [spec["model"]["vocab"].get(x) for x in merges] == [*range(256, 256 + len(merges))]
+    return Vocabularies(a_model, b_model, a_bytes, b_bytes, suffix_pairs(a_bytes, b_bytes), cut, ranked)
 
 
 def suffix_pairs(a: list[bytes | None], b: list[bytes | None]) -> np.ndarray:
@@ -156,8 +166,15 @@ class Encoder:
         self.a = tokenizers.Tokenizer.from_buffer(known.a_model)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=known.b_model)
+        self.fast = None
+        if known.ranked:
+            import tiktoken
+
+            ranks = {x: i for i, x in enumerate(known.a_bytes) if x}
+            self.fast = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.known, width = known, len(known.a_bytes)
-        self.size_a, self.size_b = (np.array([len(x or b"") for x in words], np.int64) for words in (known.a_bytes, known.b_bytes))
+        self.bytes_a, self.bytes_b = ([x or b"" for x in words] for words in (known.a_bytes, known.b_bytes))
+        self.size_a, self.size_b = (np.array([len(x) for x in words], np.int64) for words in (self.bytes_a, self.bytes_b))
         ids = [*map(str, range(width)), *map(str, range(len(known.b_bytes)))]
         # Each id as it stands within a group, at the end of its side, and at the end of a piece.
         self.said = [x + "," for x in ids] + [x + "|" for x in ids[:width]] + [x + ";" for x in ids[width:]] + [x + "\n" for x in ids]
@@ -173,14 +190,17 @@ class Encoder:
         """Encode pieces not met before."""
         known, width, wide = self.known, len(self.known.a_bytes), len(self.known.a_bytes) + len(self.known.b_bytes)
         plain = [w.decode("utf-8", "replace") for w in words]
-        ids = [[x.ids for x in self.a.encode_batch_fast([" " + w for w in plain], add_special_tokens=False)], self.b.encode(plain, num_threads=1)]
-        right = []
-        for k, bytes_of in enumerate((known.a_bytes, known.b_bytes)):
-            right.append([b"".join([bytes_of[i] or b"" for i in x]) == b" " + w for x, w in zip(ids[k], words, strict=True)])
-        fine = np.array(right, bool).all(axis=0)
-        ids = [[x if ok else [] for x, ok in zip(side, fine, strict=True)] for side in ids]
-        n = np.array([[len(x) for x in side] for side in ids], np.int64).reshape(2, -1)
-        a, b = (np.array([i for x in side for i in x], np.int64) for side in ids)
+        slow = [k for k, w in enumerate(words) if not (self.fast and COMMON.fullmatch(w))]
+        others = dict(zip(slow, (x.ids for x in self.a.encode_batch_fast([" " + plain[k] for k in slow], add_special_tokens=False)), strict=True))
+        ids = [[others[k] if k in others else self.fast(" " + w) for k, w in enumerate(plain)], self.b.encode(plain, num_threads=1)]
+        n = np.array([np.fromiter(map(len, side), np.int64, len(words)) for side in ids])
+        fine, a, b = np.ones(len(words), bool), *(np.fromiter(chain.from_iterable(side), np.int64, int(m)) for side, m in zip(ids, n.sum(axis=1), strict=True))
+        whole = b" " + b" ".join(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        if not all(b"".join(map(each.__getitem__, x.tolist())) == whole and (np.add.reduceat(size[x], np.cumsum(m) - m) == sizes).all() for each, size, x, m in ((self.bytes_a, self.size_a, a, n[0]), (self.bytes_b, self.size_b, b, n[1])) if m.all()) or not n.all():
+            fine = np.array([all(b"".join([each[i] for i in side[k]]) == b" " + w for each, side in zip((self.bytes_a, self.bytes_b), ids, strict=True)) for k, w in enumerate(words)], bool)
+            n[:, ~fine] = 0
+            a, b = (np.array([i for x, ok in zip(side, fine, strict=True) if ok for i in x], np.int64) for side in ids)
         first_a, first_b = (np.concatenate([[0], np.cumsum(x)]) for x in n)
         cut_a, cut_b = shared_cuts(np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), first_a, first_b)
         pair = a[cut_a] * len(known.b_bytes) + b[cut_b]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAFE = 2**53 - 1
@@ -101,12 +103,62 @@ def last_write_wins(df: DataFrame, keys: list[str], sequence: list[str]) -> Data
     return best.select(*keys, "__row.*").select(*df.columns)
 
 
-def throughput(batches: DataFrame, by: list[str], rows: str, latency_ms: str, exact: bool = True) -> DataFrame:
-    """Rows, seconds, rows a second and latency percentiles per ``by``; approximate percentiles where ``exact`` is off."""
-    shares = F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))
-    p = F.percentile(latency_ms, shares) if exact else F.percentile_approx(latency_ms, shares, 1000)
-    per = batches.groupBy(*by).agg(F.sum(rows).alias("rows"), (F.sum(latency_ms) / 1000).alias("seconds"), p.alias("p"))
-    return per.select(*by, "rows", "seconds", (F.col("rows") / F.col("seconds")).alias("rows_per_s"), *[F.col("p")[i].alias(n) for i, n in enumerate(("p50_ms", "p95_ms", "p99_ms"))])
+#: Latencies are kept to three significant digits, as whole milliseconds up to ten minutes.
+DIGITS_BITS, LONGEST_MS = 11, 600_000
+
+
+def latency_bucket(latency_ms: Column) -> Column:
+    """The least whole number of milliseconds that counts as the same latency: up to 2,047 each by itself, then 1,024 steps for each doubling.
+
+    Latencies below 0 count as 0, and those above ten minutes as ten minutes,
+    so there are at most 11,264 buckets.
+    """
+    ms = F.greatest(F.lit(0), F.least(F.lit(LONGEST_MS), F.floor(latency_ms))).cast("long")
+    shift = F.greatest(F.length(F.bin(ms)) - DIGITS_BITS, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", ms, shift), shift)
+
+
+def _bucket_top(bucket: Column) -> Column:
+    """The greatest latency that counts as ``bucket``."""
+    shift = F.greatest(F.length(F.bin(bucket)) - DIGITS_BITS, F.lit(0))
+    return bucket + F.call_function("shiftleft", F.lit(1).cast("long"), shift) - 1
+
+
+def latency_histogram(batches: DataFrame, by: list[str], rows: str, started: str, ended: str) -> DataFrame:
+    """Per ``by`` and latency bucket: ``batches``, their ``rows``, when the first began (``begun_us``) and the last ended (``done_us``).
+
+    Of fixed size for each ``by``, whatever the number of batches; tasks add
+    up their own part before anything is sent. A batch without an end has no
+    latency yet: its rows and bucket are left out.
+    """
+    begun, done = (F.unix_micros(F.col(c).cast("timestamp")) for c in (started, ended))
+    ended_ones = batches.select(*by, F.col(rows).alias("__rows"), begun.alias("__begun"), done.alias("__done")).where("__begun is not null and __done is not null")
+    bucket = latency_bucket((F.col("__done") - F.col("__begun")) / 1000)
+    return ended_ones.groupBy(*by, bucket.alias("bucket_ms")).agg(
+        F.count("*").alias("batches"), F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"), F.min("__begun").alias("begun_us"), F.max("__done").alias("done_us")
+    )
+
+
+def merged_histograms(by: list[str], *parts: DataFrame) -> DataFrame:
+    """Histograms of parts of a load as that of the whole."""
+    every = reduce(DataFrame.unionByName, parts)
+    return every.groupBy(*by, "bucket_ms").agg(F.sum("batches").alias("batches"), F.sum("rows").alias("rows"), F.min("begun_us").alias("begun_us"), F.max("done_us").alias("done_us"))
+
+
+def throughput(histogram: DataFrame, by: list[str], shares: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """Per ``by`` of a latency histogram: ``rows``, ``elapsed_ms``, ``rows_per_s`` and percentiles.
+
+    Elapsed time goes from the first begin to the last end, so batches may
+    overlap. A percentile is the top of the first bucket with which so large a
+    share of the batches is reached: at most 0.1 % above the exact one.
+    """
+    order = Window.partitionBy(*by).orderBy("bucket_ms")  # 11,264 rows at most
+    reached = histogram.withColumns({"__upto": F.sum("batches").over(order), "__all": F.sum("batches").over(Window.partitionBy(*by))})
+    top = F.least(F.lit(LONGEST_MS).cast("long"), _bucket_top(F.col("bucket_ms")))
+    at = [F.min(F.when(F.col("__upto") >= F.greatest(F.lit(1), F.ceil(F.lit(s) * F.col("__all"))), top)).cast("double").alias(f"p{s * 100:g}_ms") for s in shares]
+    per = reached.groupBy(*by).agg(F.sum("rows").alias("rows"), ((F.max("done_us") - F.min("begun_us")) / 1000).alias("elapsed_ms"), *at)
+    rate = F.when(F.col("elapsed_ms") > 0, F.col("rows") / (F.col("elapsed_ms") / 1000))
+    return per.select(*by, "rows", "elapsed_ms", rate.alias("rows_per_s"), *(f"p{s * 100:g}_ms" for s in shares))
 
 
 def series_cardinality(df: DataFrame, tags: list[str], exact: bool = True) -> DataFrame:
@@ -114,3 +166,13 @@ def series_cardinality(df: DataFrame, tags: list[str], exact: bool = True) -> Da
     whole = F.struct(*tags)
     return df.agg((F.count_distinct(whole) if exact else F.approx_count_distinct(whole)).alias("series"))
 
+
+def series_sketches(df: DataFrame, by: list[str], tags: list[str], precision: int = 13) -> DataFrame:
+    """Per ``by``, such as a write: how many ``rows``, and a sketch of its distinct tag tuples, 2^``precision`` registers at most, to be kept beside the ledger."""
+    whole = F.concat_ws("\x1f", *(F.coalesce(F.concat(F.lit("="), F.length(F.col(t).cast("string")).cast("string"), F.lit(":"), F.col(t).cast("string")), F.lit("-")) for t in tags))
+    return df.groupBy(*by).agg(F.count("*").alias("rows"), F.hll_sketch_agg(whole, F.lit(precision)).alias("series"))
+
+
+def sketched_cardinality(sketches: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """About how many series any set of writes has together, by ``by`` or overall, from their sketches alone; within 2 % of the exact number for two writes in a row of standard errors (0.81 % at precision 13)."""
+    return sketches.groupBy(*(by or [])).agg(F.sum("rows").alias("rows"), F.hll_sketch_estimate(F.hll_union_agg("series")).alias("series"))

@@ -126,14 +126,48 @@ def backoff_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", delay.alias("delay_ms"), ((jitter >= 0) & (jitter < delay)).alias("jitter_below"))
 
 
+_BUCKET_SQL = "CASE WHEN {0} < 2048 THEN {0} ELSE ({0} >> (length(bin({0})) - 11)) << (length(bin({0})) - 11) END"
+_LATENCY_SQL = f"""
+WITH timed AS (SELECT l_returnflag AS mode, l_quantity::BIGINT AS rows, epoch_us(l_shipdate::TIMESTAMP) % 86400000000 + l_orderkey % 3000 * 1000 AS begun, (((l_partkey * 7919 % 104729) * l_linenumber / 8.0 + 0.25) * 1000)::BIGINT AS took FROM lineitem),
+placed AS (SELECT *, least(600000, took // 1000)::BIGINT AS ms FROM timed),
+hist AS (SELECT mode, {_BUCKET_SQL.format('ms')} AS bucket_ms, count(*) AS batches, sum(rows)::BIGINT AS rows, min(begun) AS begun_us, max(begun + took) AS done_us FROM placed GROUP BY ALL)
+"""
+
+
+def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as batches that overlap: thousands begin within three seconds and take up to ten minutes."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr("l_returnflag as mode", "cast(l_quantity as bigint) as rows", "unix_micros(cast(l_shipdate as timestamp)) % 86400000000 + l_orderkey % 3000 * 1000 as begun", "cast(((l_partkey * 7919 % 104729) * l_linenumber / 8.0D + 0.25D) * 1000 as bigint) as took")
+    return rows.selectExpr("mode", "rows", "timestamp_micros(begun) as started", "timestamp_micros(begun + took) as ended")
+
+
+@query(_LATENCY_SQL + "SELECT mode, bucket_ms, batches, rows, begun_us, done_us FROM hist")
+def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histograms of two halves of the batches, merged."""
+    rows = _timed(spark, sf_dir)
+    halves = [rows.where(x) for x in ("rows % 2 = 0", "rows % 2 <> 0")]
+    return ledger.merged_histograms(["mode"], *(ledger.latency_histogram(x, ["mode"], "rows", "started", "ended") for x in halves))
+
+
+@query(_LATENCY_SQL + """, run AS (SELECT *, sum(batches) OVER (PARTITION BY mode ORDER BY bucket_ms) AS upto, sum(batches) OVER (PARTITION BY mode) AS total,
+  least(600000, CASE WHEN bucket_ms < 2048 THEN bucket_ms ELSE bucket_ms + (1 << (length(bin(bucket_ms)) - 11)) - 1 END) AS top FROM hist)
+SELECT mode, sum(rows)::BIGINT AS rows, (max(done_us) - min(begun_us)) / 1000 AS elapsed_ms, sum(rows)::BIGINT / ((max(done_us) - min(begun_us)) / 1000 / 1000) AS rows_per_s,
+  (min(top) FILTER (WHERE upto >= ceil(0.5 * total)))::DOUBLE AS p50_ms, (min(top) FILTER (WHERE upto >= ceil(0.95 * total)))::DOUBLE AS p95_ms, (min(top) FILTER (WHERE upto >= ceil(0.99 * total)))::DOUBLE AS p99_ms
+FROM run GROUP BY mode""")
+def throughput_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.throughput(ledger.latency_histogram(_timed(spark, sf_dir), ["mode"], "rows", "started", "ended"), ["mode"])
+
+
 @query("""
-SELECT mode, rows, seconds, rows / seconds AS rows_per_s, p[1] AS p50_ms, p[2] AS p95_ms, p[3] AS p99_ms FROM (
-  SELECT mode, sum(rows)::BIGINT AS rows, sum(ms)::BIGINT / 1000 AS seconds, quantile_cont(ms, [0.5, 0.95, 0.99]) AS p
-  FROM (SELECT l_returnflag AS mode, l_quantity::BIGINT AS rows, (l_partkey % 400 + 1) AS ms FROM lineitem) GROUP BY mode)
+WITH writes AS (SELECT *, l_orderkey // 5000 AS write_id FROM lineitem), exact AS (SELECT l_returnflag AS load, count(*) AS rows, count(DISTINCT (l_partkey, l_suppkey)) AS series FROM writes GROUP BY ALL)
+SELECT load, rows, series AS exact_series, true AS within_2_percent FROM exact
 """)
-def throughput_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = table(spark, sf_dir, "lineitem").selectExpr("l_returnflag as mode", "cast(l_quantity as bigint) as rows", "l_partkey % 400 + 1 as ms")
-    return ledger.throughput(log, ["mode"], "rows", "ms")
+def sketched_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series of each load from its writes' sketches, held against the exact number."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr("l_returnflag as load", "l_orderkey div 5000 as write_id", "l_partkey", "l_suppkey")
+    about = ledger.sketched_cardinality(ledger.series_sketches(rows, ["load", "write_id"], ["l_partkey", "l_suppkey"]), ["load"])
+    exact = rows.groupBy("load").agg(F.count_distinct(F.struct("l_partkey", "l_suppkey")).alias("exact_series"))
+    close = F.abs(F.col("series") - F.col("exact_series")) <= 0.02 * F.col("exact_series")
+    return about.join(exact, "load").select("load", "rows", "exact_series", close.alias("within_2_percent"))
 
 
 @query("SELECT count(*) AS series FROM (SELECT DISTINCT user_id, event_type FROM events)")

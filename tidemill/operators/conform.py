@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DataType
 
 from ..functions.coerce import coerced
 from ..functions.types import SchemaError
@@ -27,15 +28,19 @@ def _pairs(df: DataFrame, spec: TableSpec, by: str, profile: str) -> list[tuple[
     out = []
     for c, name in _sources(df, spec, by):
         if name is None:
-            out.append((c, F.lit(None).cast(c.field().dataType), F.lit(None).cast("string"), None))
+            out.append((c, F.lit(None).cast(_kind(c, profile)), F.lit(None).cast("string"), None))
         else:
             x = F.col(f"`{name}`")
             out.append((c, *coerced(x, df.schema[name].dataType, c.type, profile), x))
     return out
 
 
-def _filled(c: ColumnSpec, value: Column) -> Column:
-    value = value if c.default is None else F.coalesce(value, F.lit(c.default).cast(c.field().dataType))
+def _kind(c: ColumnSpec, profile: str) -> DataType:
+    return BinaryType() if profile == "bulk" and c.type == "Json" else c.field().dataType
+
+
+def _filled(c: ColumnSpec, value: Column, profile: str) -> Column:
+    value = value if c.default is None else F.coalesce(value, F.lit(c.default).cast(_kind(c, profile)))
     return value.alias(c.name, metadata=c.field().metadata)
 
 
@@ -46,11 +51,16 @@ def conformed(df: DataFrame, spec: TableSpec, by: str = "name", profile: str = "
     ``position`` (as many columns as declared). Nulls pass for every type.
     Columns in ``keep`` are passed on as they are.
     """
+    return df.select(*conformed_columns(df.drop(*keep), spec, by, profile), *keep)
+
+
+def conformed_columns(df: DataFrame, spec: TableSpec, by: str = "name", profile: str = "row") -> list[Column]:
+    """The columns of ``conformed``, in declared order, for a frame that has those of ``df``."""
     columns = []
-    for c, value, error, _ in _pairs(df.drop(*keep), spec, by, profile):
-        stop = F.raise_error(F.concat(F.lit(f"{spec.name}.{c.name}: not a {c.type}: "), error)).cast(c.field().dataType)
-        columns.append(_filled(c, F.when(error.isNotNull(), stop).otherwise(value)))
-    return df.select(*columns, *keep)
+    for c, value, error, _ in _pairs(df, spec, by, profile):
+        stop = F.raise_error(F.concat(F.lit(f"{spec.name}.{c.name}: not a {c.type}: "), error)).cast(_kind(c, profile))
+        columns.append(_filled(c, F.when(error.isNotNull(), stop).otherwise(value), profile))
+    return columns
 
 
 def errors(df: DataFrame, spec: TableSpec, by: str = "name", profile: str = "row") -> Column:
@@ -61,7 +71,7 @@ def errors(df: DataFrame, spec: TableSpec, by: str = "name", profile: str = "row
 
 def judged(df: DataFrame, spec: TableSpec, by: str = "name", profile: str = "row") -> DataFrame:
     """As ``conformed``, but rejected cells are null and listed in ``_errors`` (column, reason, raw)."""
-    columns = [_filled(c, value) for c, value, _, _ in _pairs(df, spec, by, profile)]
+    columns = [_filled(c, value, profile) for c, value, _, _ in _pairs(df, spec, by, profile)]
     return df.select(*columns, errors(df, spec, by, profile).alias("_errors"))
 
 

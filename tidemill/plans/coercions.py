@@ -70,13 +70,17 @@ def coerce_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT event_id, props AS verbatim,
   '{"u":' || user_id || ',"t":' || CASE WHEN event_id % 3 = 0 THEN 'null' ELSE '"' || event_type || '"' END || '}' AS packed,
-  '[' || user_id || ',' || event_id || ']' AS listed
+  '[' || user_id || ',' || event_id || ']' AS listed,
+  '{"n":null,"m":{"a":null,"b":' || event_id || '},"w":' || event_id % 100 * 1000000 || ',"h":' || event_id || '.5,"at":"' || strftime(ts - INTERVAL 20000 DAY, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"}' AS odd,
+  '"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"' AS moment
 FROM events
 """)
 def coerce_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("event_id") % 3 != 0, F.col("event_type"))
     df = table(spark, sf_dir, "events").withColumns({"s": F.struct(F.col("user_id").alias("u"), kind.alias("t")), "a": F.array("user_id", "event_id")})
-    return _each(df, ["event_id"], {"verbatim": ("props", "Json"), "packed": ("s", "Json"), "listed": ("a", "Json")}).drop("verbatim_error", "packed_error", "listed_error")
+    odd = F.struct(F.lit(float("nan")).alias("n"), F.create_map(F.lit("a"), F.lit(float("inf")), F.lit("b"), F.col("event_id").cast("double")).alias("m"), (F.col("event_id") % 100 * 1e6).alias("w"), (F.col("event_id") + 0.5).alias("h"), (F.col("ts") - F.expr("interval 20000 days")).alias("at"))
+    made = _each(df.withColumn("odd", odd), ["event_id"], {"verbatim": ("props", "Json"), "packed": ("s", "Json"), "listed": ("a", "Json"), "odd": ("odd", "Json"), "moment": ("ts", "Json")})
+    return made.select("event_id", "verbatim", "packed", "listed", "odd", "moment")
 
 
 @query("""
@@ -188,15 +192,19 @@ def rejection_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT column_name, row_rejected, bulk_rejected FROM (
-  SELECT 'ms' AS column_name, 0::BIGINT AS row_rejected, count(*) FILTER (WHERE NOT big BETWEEN -2147483648 AND 2147483647) AS bulk_rejected FROM (SELECT l_partkey * 2000000 AS big FROM lineitem)
-  UNION ALL SELECT 'small', count(*) FILTER (WHERE NOT l_partkey BETWEEN 0 AND 255), count(*) FILTER (WHERE NOT l_partkey BETWEEN 0 AND 255) FROM lineitem)
+SELECT column_name, row_rejected, bulk_rejected, same_bytes FROM (
+  SELECT 'ms' AS column_name, 0::BIGINT AS row_rejected, count(*) FILTER (WHERE NOT big BETWEEN -2147483648 AND 2147483647) AS bulk_rejected, NULL::BIGINT AS same_bytes FROM (SELECT l_partkey * 2000000 AS big FROM lineitem)
+  UNION ALL SELECT 'small', count(*) FILTER (WHERE NOT l_partkey BETWEEN 0 AND 255), count(*) FILTER (WHERE NOT l_partkey BETWEEN 0 AND 255), NULL FROM lineitem
+  UNION ALL SELECT 'doc', 0, 0, count(*) FROM lineitem)
 """)
 def profile_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = TableSpec("parity", (field("ms", "TimeMillisecond"), field("small", "Uint8"), timestamp("ts")))
-    rows = table(spark, sf_dir, "lineitem").selectExpr("l_partkey * 2000000 as ms", "l_partkey as small", "l_shipdate as ts")
-    names = ("ms", "small")
-    wrong = rows.select(*(F.transform(conform.errors(rows, spec, profile=p), lambda e: e["column"]).alias(p) for p in ("row", "bulk")))
-    counts = wrong.agg(*(F.count_if(F.array_contains(p, n)).alias(f"{p}_{n}") for p in ("row", "bulk") for n in names))
-    each = F.array(*(F.struct(F.lit(n).alias("column_name"), F.col(f"row_{n}").alias("row_rejected"), F.col(f"bulk_{n}").alias("bulk_rejected")) for n in names))
+    """Both profiles over the same cells; JSON is text in one and the bytes of that text in the other."""
+    spec = TableSpec("parity", (field("ms", "TimeMillisecond"), field("small", "Uint8"), field("doc", "Json"), timestamp("ts")))
+    doc = F.struct(F.col("l_returnflag").alias("é"), (F.col("l_quantity") / 0.5).alias("q"), F.lit(float("nan")).alias("n"))
+    rows = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 2000000).alias("ms"), F.col("l_partkey").alias("small"), doc.alias("doc"), F.col("l_shipdate").alias("ts"))
+    names, profiles = ("ms", "small", "doc"), ("row", "bulk")
+    wrong = rows.select(*(F.transform(conform.errors(rows, spec, profile=p), lambda e: e["column"]).alias(p) for p in profiles), *(coerced(F.col("doc"), rows.schema["doc"].dataType, "Json", p)[0].alias(f"doc_{p}") for p in profiles))
+    same = F.count_if(F.encode("doc_row", "UTF-8") == F.col("doc_bulk")).alias("same_bytes")
+    counts = wrong.agg(same, *(F.count_if(F.array_contains(p, n)).alias(f"{p}_{n}") for p in profiles for n in names))
+    each = F.array(*(F.struct(F.lit(n).alias("column_name"), F.col(f"row_{n}").alias("row_rejected"), F.col(f"bulk_{n}").alias("bulk_rejected"), F.when(F.lit(n == "doc"), F.col("same_bytes")).alias("same_bytes")) for n in names))
     return counts.select(F.explode(each).alias("x")).select("x.*")

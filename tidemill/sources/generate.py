@@ -52,7 +52,7 @@ def cpu_rows(numbers: DataFrame, hosts: int, number: str = "id", seed: int = 1)
 
 
 LOG = TableSpec("log", (
-    *(tag(n) for n in ("service", "host", "region", "env", "pod", "log_level")), *(field(n, "String") for n in ("message", "trace_id", "span_id", "http_method", "http_path", "http_status_class", "user_agent", "client_ip", "caller")),
+    *(tag(n) for n in ("service", "host", "region", "env")), *(field(n, "String") for n in ("pod", "log_level", "message", "trace_id", "span_id", "http_method", "http_path", "http_status_class", "user_agent", "client_ip", "caller")),
     field("latency_ms", "Float64"), field("bytes_in", "Int64"), field("bytes_out", "Int64"), field("error_flag", "Bool"), field("retry_flag", "Bool"), timestamp("log_ts"), field("ingest_ts", "Int64"),
 ))
 

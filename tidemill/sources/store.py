@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..functions.types import SchemaError
-from ..operators.conform import conformed
+from ..operators.conform import conformed, conformed_columns
 from ..operators.spec import TableSpec
 
 #: Codecs that a bulk load takes.
@@ -48,6 +49,31 @@ def checked_hints(hints: dict[str, str] | None) -> dict[str, str]:
     return dict(hints or {})
 
 
+def _agreeing(specs: dict[str, TableSpec]) -> list[dict[str, TableSpec]]:
+    """``specs`` in as few groups as come up, each without two columns of one name that differ in case or type."""
+    groups: list[tuple[dict[str, TableSpec], dict[str, tuple]]] = []
+    for name, spec in specs.items():
+        own = {c.name.lower(): (c.name, c.field().dataType) for c in spec.columns}
+        home = next((g for g in groups if all(g[1].get(k, v) == v for k, v in own.items())), None)
+        if home is None:
+            groups.append(home := ({}, {}))
+        home[0][name] = spec
+        home[1].update(own)
+    return [found for found, _ in groups]
+
+
+def _of_kinds(df: DataFrame, kind: str, group: dict[str, TableSpec]) -> DataFrame:
+    """Rows of all kinds in ``group``, each conformed to its own columns, those of others null, with the kind's place in ``__kind``."""
+    cells: dict[str, list[Column]] = {}
+    for name, spec in group.items():
+        known = {c.source or c.name for c in spec.columns}
+        values = conformed_columns(df.select(*(c for c in df.columns if c in known)), spec)
+        for c, value in zip(spec.columns, values, strict=True):
+            cells.setdefault(c.name, []).append(F.when(F.col(kind) == name, value))
+    place = reduce(lambda rest, x: F.when(F.col(kind) == x[1], x[0]).otherwise(rest), enumerate(group), F.lit(None).cast("int"))
+    return df.select(*(F.coalesce(*each).alias(name) for name, each in cells.items()), place.alias("__kind"))
+
+
 class TableStore:
     """Named tables below one folder of any file system that Spark reaches.
 
@@ -91,10 +117,10 @@ class TableStore:
     def drop(self, table: str) -> None:
         self._files().delete(self._path(table), True)
 
-    def _staged(self, df: DataFrame, spec: TableSpec, at: str, codec: str) -> int:
+    def _staged(self, df: DataFrame, spec: TableSpec, at: str, codec: str, options: dict[str, str]) -> int:
         seen = Observation()
         rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        rows.write.option("compression", codec).parquet(f"{self.root}/{at}/{spec.name}")
+        rows.write.options(**options).option("compression", codec).parquet(f"{self.root}/{at}/{spec.name}")
         return int(seen.get["rows"])
 
     def _publish(self, at: str, table: str) -> None:
@@ -106,9 +132,11 @@ class TableStore:
 
         Counts come from the writes themselves. With the hint
         ``auto_create_table=false`` a missing table is an error and is not
-        created; otherwise the first write creates it.
+        created; otherwise the first write creates it. Other hints are options
+        of the Parquet writer.
         """
-        create = checked_hints(hints).get("auto_create_table", "true") != "false"
+        options = checked_hints(hints)
+        create = options.pop("auto_create_table", "true") != "false"
         declared = {}
         for spec, _ in tables:
             if declared.setdefault(spec.name, spec.schema()) != spec.schema():
@@ -120,7 +148,7 @@ class TableStore:
         at, counts = f"_staging/{uuid.uuid4().hex}", {}
         try:
             for k, (spec, df) in enumerate(tables):
-                counts[spec.name] = counts.get(spec.name, 0) + self._staged(conformed(df, spec, by), spec, f"{at}/{k}", codec)
+                counts[spec.name] = counts.get(spec.name, 0) + self._staged(conformed(df, spec, by), spec, f"{at}/{k}", codec, options)
             for k, (spec, _) in enumerate(tables):
                 self.create(spec)
                 self._publish(f"{at}/{k}/{spec.name}", spec.name)
@@ -131,31 +159,45 @@ class TableStore:
     def write_kinds(self, df: DataFrame, kind: str, specs: dict[str, TableSpec], codec: str = "zstd") -> dict[str, int]:
         """Append each row to the table that ``specs`` declares for its ``kind``; rows written per table.
 
-        The input is read once and staged by kind, and each kind's rows are
-        then conformed: columns in declared order, renamed by their source,
-        missing ones null. A row of a kind without a declaration, null among
-        them, is a SchemaError, and nothing is written.
+        Columns come in declared order, renamed by their source, missing ones
+        null. A row of a kind without a declaration, null among them, is a
+        SchemaError, and nothing is written; a pass over the kinds alone finds
+        it first. Kinds whose columns agree in type where they share a name
+        are written by one job, each row once, as folders of one staging
+        table, which are then moved into place.
         """
-        known = F.col(kind).isin(*specs) if specs else F.lit(False)
-        stray = ~F.coalesce(known, F.lit(False))
-        seen, at = Observation(), f"_staging/{uuid.uuid4().hex}"
+        for spec in specs.values():
+            if self.exists(spec.name) and self.schema(spec.name) != spec.schema():
+                raise SchemaError(f"{spec.name}: schema differs from the table's")
+        stray = ~F.coalesce(F.col(kind).isin(*specs) if specs else F.lit(False), F.lit(False))
+        odd = df.where(stray).agg(F.count("*").alias("n"), F.min(F.coalesce(F.col(kind), F.lit("null"))).alias("first")).first()
+        if odd["n"]:
+            raise SchemaError(f"{odd['n']} rows of kinds without columns, such as {odd['first']!r}")
+        at, counts = f"_staging/{uuid.uuid4().hex}", {spec.name: 0 for spec in specs.values()}
         try:
-            rows = df.withColumn("__kind", F.col(kind)).observe(seen, F.count_if(stray).alias("stray"), F.min(F.when(stray, F.coalesce(F.col(kind), F.lit("null")))).alias("first"))
-            rows.write.option("compression", codec).partitionBy("__kind").parquet(f"{self.root}/{at}")
-            if seen.get["stray"]:
-                raise SchemaError(f"{seen.get['stray']} rows of kinds without columns, such as {seen.get['first']!r}")
-            staged = self.spark.read.schema(StructType([*df.schema, StructField("__kind", StringType())])).parquet(f"{self.root}/{at}")
-            tables = []
-            for name, spec in specs.items():
-                wanted = [c for c in df.columns if c in {x.source or x.name for x in spec.columns}]
-                tables.append((spec, staged.where(F.col("__kind") == name).select(*wanted)))
-            return self.write(tables, codec=codec)
+            staged = []
+            for k, group in enumerate(_agreeing(specs)):
+                seen = Observation()
+                rows = _of_kinds(df.where(F.col(kind).isin(*group)), kind, group)
+                tally = [F.count_if(F.col("__kind") == n).alias(f"n{n}") for n in range(len(group))]
+                rows.observe(seen, *tally).write.option("compression", codec).partitionBy("__kind").parquet(f"{self.root}/{at}/{k}")
+                for n, spec in enumerate(group.values()):
+                    counts[spec.name] += seen.get[f"n{n}"]
+                    staged.append((f"{at}/{k}/__kind={n}", spec, seen.get[f"n{n}"]))
+            for folder, spec, rows in staged:
+                self.create(spec)
+                if rows:
+                    self._publish(folder, spec.name)
         finally:
             self._files().delete(self._path(at), True)
+        return counts
 
-    def bulk_load(self, df: DataFrame, spec: TableSpec, batch: str, parallelism: int | None = None, codec: str = "none", rows_per_file: int = 0) -> DataFrame:
+    def bulk_load(self, df: DataFrame, spec: TableSpec, batch: str, parallelism: int | None = None, codec: str = "none", rows_per_file: int = 0, announced: DataFrame | None = None) -> DataFrame:
         """Load ``df`` into an existing table of exactly this schema; the ledger: rows per value of its column ``batch``.
 
+        Batches in ``announced`` (``batch_id``) that have no row are in the
+        ledger with 0.
+
         Files follow the partitions of ``df``, so a load has as many tasks as
         its input has; ``parallelism`` deals rows over so many tasks instead.
 
@@ -172,10 +214,14 @@ class TableStore:
         at = f"_staging/{uuid.uuid4().hex}"
         rest = df.columns if batch in spec.names else [c for c in df.columns if c != batch]
         whole = conformed(df.select(*rest, F.col(batch).alias("_batch")), spec, profile="bulk", keep=("_batch",))
+        whole = whole.withColumns({c.name: F.col(c.name).cast("string").alias(c.name, metadata=c.field().metadata) for c in spec.columns if c.type == "Json"})  # stored as text
         whole = whole.repartition(parallelism) if parallelism else whole
         whole.write.option("compression", codec).option("maxRecordsPerFile", rows_per_file).parquet(f"{self.root}/{at}")
         staged = self.spark.read.schema(whole.schema).parquet(f"{self.root}/{at}")
         ledger = staged.groupBy(F.col("_batch").alias("batch_id")).agg(F.count("*").alias("affected_rows"))
+        if announced is not None:
+            none = announced.select("batch_id").distinct().join(ledger, "batch_id", "left_anti")
+            ledger = ledger.union(none.select(F.col("batch_id").cast(ledger.schema["batch_id"].dataType), F.lit(0).cast("long")))
         held = f"{self.root}/_ledger/{uuid.uuid4().hex}"
         ledger.write.parquet(held)
         self._publish(at, spec.name)

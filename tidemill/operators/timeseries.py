@@ -79,10 +79,11 @@ def alerts(df: DataFrame, tags: list[str], ts: str, holds: Column, for_us: int,
 
     The condition holds from a true sample until the next false one. An episode
     is pending from its first true sample and fires once the condition has held
-    for ``for_us``. A pending one ends at the first false
-    sample (null while none has come). A firing one goes on for ``keep_us``
-    after its last true sample; true samples within that time belong to it,
-    false ones between them or not. Samples without a time are left out.
+    for ``for_us``. A pending one ends at the first false sample. A firing one
+    goes on for ``keep_us`` after its last true sample; true samples within
+    that time belong to it, false ones between them or not. Either is open,
+    with a null ``ended_at``, while the last sample of its series is true.
+    Samples without a time are left out.
     """
     runs = condition_runs(_samples(df, tags, ts, holds), tags, slice_us)
     order = Window.partitionBy(*tags).orderBy("started")
@@ -91,7 +92,7 @@ def alerts(df: DataFrame, tags: list[str], ts: str, holds: Column, for_us: int,
     chained = runs.withColumn("chain", F.sum(apart.cast("int")).over(order)).withColumn("fires", fires)
     chained = chained.withColumn("firing", F.max("fires").over(Window.partitionBy(*tags, "chain").orderBy("started")))
     own = F.when(F.col("firing"), F.lit(None)).otherwise(F.col("started"))
-    per = chained.groupBy(*tags, "chain", own.alias("own"), "firing").agg(F.min("started").alias("started"), F.max("last_true").alias("last_true"), F.max("false_at").alias("false_at"))
+    per = chained.groupBy(*tags, "chain", own.alias("own"), "firing").agg(F.min("started").alias("started"), F.max("last_true").alias("last_true"), F.max_by("false_at", "last_true").alias("false_at"))
     fired = F.when(F.col("firing"), F.col("started") + for_us)
-    ended = F.when(F.col("firing"), F.col("last_true") + keep_us).otherwise(F.col("false_at"))
+    ended = F.when(F.col("firing") & F.col("false_at").isNotNull(), F.col("last_true") + keep_us).when(~F.col("firing"), F.col("false_at"))
     return per.select(*tags, "started", "last_true", fired.alias("fired_at"), ended.alias("ended_at"), F.when(F.col("firing"), "firing").otherwise("pending").alias("state"))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.spec import TableSpec, field, tag, timestamp
-from ..streaming import jobs
+from ..streaming import jobs, timers
 from .landing import POINT
+from .reads import ALERTS_SQL, HOUR
 from .registry import query, table
 
 
@@ -57,3 +58,26 @@ def ack_reconcile_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = table(spark, sf_dir, "events").select(F.col("event_id").alias("request_id"), F.col("ts").alias("sent_at"))
     pending = every.join(found.select("request_id"), "request_id", "left_anti")
     return found.unionByName(pending, allowMissingColumns=True)
+
+
+#: The clock of the streams below stops here: what is due later stays open.
+UNTIL = "2024-01-25 00:00:00"
+
+
+@query(f"""
+SELECT event_id AS request_id, epoch_us(ts) AS sent_us, CASE WHEN answered THEN epoch_us(ts) + took END AS acked_us, CASE WHEN answered THEN 'answered' ELSE 'timed_out' END AS state
+FROM (SELECT *, event_id % 17 <> 0 AND took <= 300000000 AS answered FROM (SELECT *, (event_id % 7 + 1) * 50000000 AS took FROM events))
+WHERE answered OR epoch_us(ts) + 300000000 < epoch_us(TIMESTAMP '{UNTIL}')
+""")
+def ack_timeout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests answered within five minutes, and those whose time ran out before the clock stopped."""
+    events = _stream(spark, sf_dir, "events", "ts")
+    sent = events.select(F.col("event_id").alias("request_id"), F.col("ts").alias("sent_at"))
+    acks = events.where("event_id % 17 <> 0").select(F.col("event_id").alias("request_id"), (F.col("ts") + F.expr("make_dt_interval(0, 0, 0, (event_id % 7 + 1) * 50)")).alias("acked_at"))
+    return timers.answered_stream(sent, acks, 300_000_000, "31 days", F.lit(UNTIL))
+
+
+@query(f"SELECT * FROM ({ALERTS_SQL}) WHERE ended_at IS NOT NULL AND ended_at < epoch_us(TIMESTAMP '2024-03-01')")
+def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ended episodes, from the stream."""
+    return timers.alert_stream(_stream(spark, sf_dir, "events", "ts"), ["event_type"], "ts", F.col("value") > 40, HOUR // 2, 2 * HOUR, "31 days", F.lit("2024-03-01"), 24 * HOUR)

@@ -7,12 +7,10 @@ failure replaces its own earlier output, which is filed under its number.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
 from pyspark.sql.types import IntegerType, LongType, StructType
 
 from ..operators.conform import conformed, judged
@@ -20,10 +18,10 @@ from ..operators.spec import TableSpec
 from ..sources.store import scratch_folder
 
 
-def file_stream(spark: SparkSession, path: str, schema: StructType | None = None, files_per_batch: int = 1000) -> DataFrame:
-    """A stream of the Parquet files at ``path``; ``files_per_batch`` bounds the work in flight."""
+def file_stream(spark: SparkSession, path: str, schema: StructType | None = None, files_per_batch: int = 1000, bytes_per_batch: int | None = None) -> DataFrame:
+    """A stream of the Parquet files at ``path``; ``files_per_batch``, or ``bytes_per_batch`` in its place, bounds the work in flight. A file is never split."""
     schema = schema or spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.schema(schema).option(*(("maxBytesPerTrigger", bytes_per_batch) if bytes_per_batch else ("maxFilesPerTrigger", files_per_batch)))
     if not _is_file(spark, path):
         return reader.parquet(path)
     folder, _, name = path.rstrip("/").rpartition("/")
@@ -142,53 +140,6 @@ class Alert:
         return self.started, self.last_true, self.fired_at, self.broken
 
 
-def alert_stream(stream: DataFrame, tags: list[str], ts: str, holds: Column, for_us: int, keep_us: int, late: str) -> DataFrame:
-    """``timeseries.alerts`` on a stream: each episode once it has ended, as far as the watermark tells.
-
-    A series' samples wait in its state until the watermark has passed them, so
-    they are judged in the order of their times; its state is those and one
-    episode. Samples later than ``late`` are ignored. Episodes that have not
-    ended when the stream does stay in the state.
-    """
-    spark = stream.sparkSession
-    root = scratch_folder(spark, "alerts")
-    rows = stream.withWatermark(ts, late).select(*tags, F.col(ts), F.unix_micros(F.col(ts)).alias("__us"), F.coalesce(holds, F.lit(False)).alias("__on"))
-    names = ["started", "last_true", "fired_at", "ended_at", "state"]
-    kinds = ", ".join(f"`{t}` {rows.schema[t].dataType.simpleString()}" for t in tags)
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting: dict[int, bool] = {}
-        held = None
-        if state.exists:
-            us, on, *held = state.get
-            waiting, held = dict(zip(us, on, strict=True)), tuple(None if x is None else bool(x) if k == 3 else int(x) for k, x in enumerate(held))
-        for frame in frames:
-            for us, on in zip(frame["__us"], frame["__on"], strict=True):
-                waiting[int(us)] = waiting.get(int(us), False) or bool(on)
-        now = state.getCurrentWatermarkMs() * 1000
-        alert, ended = Alert(for_us, keep_us, held), []
-        for us in sorted(x for x in waiting if x <= now):
-            ended += alert.seen(us, waiting.pop(us))
-        ended += alert.passed(now)
-        if not waiting and alert.started is None:
-            state.remove()
-        else:
-            order = sorted(waiting)
-            state.update((order, [waiting[x] for x in order], *alert.held()))
-            due = min([*order[:1], *([alert.last_true + keep_us + 1] if alert.broken else [])], default=None)
-            if due is not None:
-                state.setTimeoutTimestamp(max(due // 1000 + 1, now // 1000 + 1))
-        if ended:
-            made = pd.DataFrame([(*key, *x) for x in ended], columns=[*tags, *names])
-            yield made.astype({c: "Int64" for c in names[:4]})
-
-    out = rows.groupBy(*tags).applyInPandasWithState(
-        step, f"{kinds}, started long, last_true long, fired_at long, ended_at long, state string", "us array<long>, up array<boolean>, started long, last_true long, fired_at long, broken boolean", "append", "EventTimeTimeout"
-    )
-    run(out, lambda found, n: found.write.mode("overwrite").parquet(f"{root}/data/batch={n}"), f"{root}/checkpoint")
-    return spark.read.schema(out.schema).parquet(f"{root}/data").select(*out.columns)
-
-
 def reconciled_stream(requests: DataFrame, acks: DataFrame, timeout: str, late: str = "31 days") -> DataFrame:
     """Requests with the acks that came within ``timeout``; unanswered ones once the watermark has passed them.
 

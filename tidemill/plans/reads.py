@@ -36,7 +36,7 @@ def range_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeseries.rates(table(spark, sf_dir, "events"), TAGS, "ts", "value", BEGIN, END, STEP, BACK)
 
 
-@query(f"""
+ALERTS_SQL = f"""
 WITH placed AS (SELECT event_type, epoch_us(ts) AS us, bool_or(value > 40) AS up FROM events GROUP BY ALL),
 marked AS (SELECT *, CASE WHEN up AND NOT coalesce(lag(up) OVER w, false) THEN 1 ELSE 0 END AS new, lead(us) OVER w AS next_us FROM placed WINDOW w AS (PARTITION BY event_type ORDER BY us)),
 numbered AS (SELECT *, sum(new) OVER (PARTITION BY event_type ORDER BY us) AS run FROM marked),
@@ -45,9 +45,12 @@ linked AS (SELECT *, CASE WHEN started - lag(last_true) OVER w <= {2 * HOUR} THE
 chains AS (SELECT *, sum(apart) OVER (PARTITION BY event_type ORDER BY started) AS chain FROM linked),
 states AS (SELECT *, bool_or(last_true - started >= {HOUR // 2}) OVER (PARTITION BY event_type, chain ORDER BY started) AS firing FROM chains)
 SELECT event_type, min(started) AS started, max(last_true) AS last_true, CASE WHEN firing THEN min(started) + {HOUR // 2} END AS fired_at,
-  CASE WHEN firing THEN max(last_true) + {2 * HOUR} ELSE nullif(max(false_at), -1) END AS ended_at, CASE WHEN firing THEN 'firing' ELSE 'pending' END AS state
+  CASE WHEN arg_max(false_at, last_true) = -1 THEN NULL WHEN firing THEN max(last_true) + {2 * HOUR} ELSE max(false_at) END AS ended_at, CASE WHEN firing THEN 'firing' ELSE 'pending' END AS state
 FROM states GROUP BY event_type, chain, firing, CASE WHEN NOT firing THEN started END
-""")
+"""
+
+
+@query(ALERTS_SQL)
 def alert_for_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeseries.alerts(table(spark, sf_dir, "events"), ["event_type"], "ts", F.col("value") > 40, HOUR // 2, 2 * HOUR)
 
@@ -65,6 +68,16 @@ def truncate_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mutate.truncated(table(spark, sf_dir, "events").select("event_id", "ts"), "ts", [(first + 2 * day, first + 4 * day), (first + 9 * day, first + 10 * day)])
 
 
+@query("""
+WITH ranges AS (SELECT 1704067200000 + o_orderkey * 7919 % 2592000 * 1000 AS a, 1704067200000 + (o_orderkey * 7919 % 2592000 + CASE WHEN o_orderkey % 997 = 0 THEN 7200 ELSE o_custkey % 40 END) * 1000 AS b FROM orders)
+SELECT event_id, ts FROM events WHERE NOT EXISTS (SELECT 1 FROM ranges WHERE epoch_us(ts) >= a * 1000 AND epoch_us(ts) < b * 1000)
+""")
+def truncate_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many ranges of seconds as there are orders, some of hours."""
+    ranges = table(spark, sf_dir, "orders").selectExpr("1704067200000 + o_orderkey * 7919 % 2592000 * 1000 as start", "if(o_orderkey % 997 = 0, 7200, o_custkey % 40) * 1000 as long").selectExpr("start", "start + long as end")
+    return mutate.truncated_by(table(spark, sf_dir, "events").select("event_id", "ts"), "ts", ranges)
+
+
 @query("WITH rows AS (SELECT event_id, user_id % 4 AS part, value FROM events), bounds AS (SELECT part, (min(event_id) + max(event_id)) // 2 AS upto FROM rows GROUP BY part) SELECT event_id, part, value FROM rows JOIN bounds USING (part) WHERE event_id <= upto")
 def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").selectExpr("event_id", "user_id % 4 as part", "value")

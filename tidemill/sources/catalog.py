@@ -100,36 +100,55 @@ def drop(spark: SparkSession, kind: str, name: str, if_exists: bool = False, cas
     spark.sql(f"DROP {kind.upper()} {'IF EXISTS ' if if_exists else ''}{quoted(name)}{' CASCADE' if cascade and kind == 'database' else ''}")
 
 
-def evolve_table(spark: SparkSession, name: str, spec: TableSpec, changes: list[Change], location: str | None = None, rename: str | None = None) -> TableSpec:
-    """Change a stored table; the new declaration.
+#: Options that the catalog keeps for itself.
+OWN_OPTIONS = ("transient_lastDdlTime", "numFiles", "totalSize", "numRows", "rawDataSize", "EXTERNAL", "serialization.format")
+
+
+def _carried(spark: SparkSession, name: str) -> tuple[dict[str, str], str | None, dict[str, str]]:
+    """(options, comment, column comments) that users gave a table."""
+    options = {k: v for k, v in options_of(spark, name).items() if not k.startswith("column.") and k not in OWN_OPTIONS}
+    return options, spark.catalog.getTable(name).description, {c.name: c.description for c in spark.catalog.listColumns(name) if c.description}
 
-    Columns added at the end are new columns of the same files, as are changed
-    defaults; any other change, which Parquet tables cannot take, writes the
-    table anew from its rows, conformed to the new types, and puts it in the
-    old one's place once it stands. Values that a new type does not take stop
-    the change, and the table stays as it was.
+
+def evolve_table(spark: SparkSession, name: str, spec: TableSpec, changes: list[Change], location: str | None = None, rename: str | None = None) -> TableSpec:
+    """Change a stored table; the new declaration. Options, comments and defaults stay as they were but for what ``changes`` says.
+
+    Columns without a default that are added at the end, and changed defaults,
+    are changes of the catalog alone; a changed default is that of later rows.
+    Any other change, which Parquet tables cannot take, writes the table anew
+    from its rows, conformed to the new types, and puts it in the old one's
+    place once it stands; rows from before get the default of an added column
+    there, and keep their nulls elsewhere. Values that a new type does not
+    take stop the change, and the table stays as it was. ``versions`` has
+    tables that change without being written anew.
     """
     new = evolved(spec, changes, rename and rename.rpartition(".")[2])
-    at_end = all(c.kind == "add" and not c.first and c.after is None for c in changes)
-    if at_end:
+    in_place = all(c.kind == "default" or c.kind == "add" and not c.first and c.after is None and c.spec.default is None for c in changes)
+    if in_place and {x.name for x in spec.columns} >= {c.column for c in changes if c.kind == "default"}:
         for c in changes:
-            spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({quoted(c.spec.name)} {c.spec.field().dataType.simpleString()})")
-        set_options(spark, name, {f"column.{c.spec.name}": f"{c.spec.semantic}:{c.spec.type}" for c in changes})
+            if c.kind == "add":
+                spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({quoted(c.spec.name)} {c.spec.field().dataType.simpleString()})")
+            else:
+                spark.sql(f"ALTER TABLE {quoted(name)} ALTER COLUMN {quoted(c.column)} {'DROP DEFAULT' if c.default is None else f'SET DEFAULT {_literal(c.default)}'}")
+        if added := {f"column.{c.spec.name}": f"{c.spec.semantic}:{c.spec.type}" for c in changes if c.kind == "add"}:
+            set_options(spark, name, added)
         if rename:
             spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {quoted(rename)}")
         return new
-    fresh = f"{name}__new"
-    kept = {k: v for k, v in options_of(spark, name).items() if not k.startswith("column.") and "." in k}
-    create_table(spark, fresh, new, if_not_exists=False, options=kept, location=location)
+    fresh, old = f"{name}__new", f"{name}__old"
+    options, comment, comments = _carried(spark, name)
+    create_table(spark, fresh, new, if_not_exists=False, options=options, comment=comment, comments={k: v for k, v in comments.items() if k in new.names}, location=location)
     try:
         rows = spark.table(quoted(name))
-        plain = TableSpec(new.name, tuple(dataclasses.replace(c, source=None) for c in new.columns))
-        insert(spark, fresh, plain, rows.select(*(c for c in rows.columns if c in new.names)))
+        added = {c.spec.name for c in changes if c.kind == "add"}
+        plain = TableSpec(new.name, tuple(dataclasses.replace(c, source=None, default=c.default if c.name in added else None) for c in new.columns))
+        insert(spark, fresh, plain, rows.select(*(c for c in rows.columns if c in new.names and c not in added)))
     except Exception:
         drop(spark, "table", fresh)
         raise
-    drop(spark, "table", name)
+    spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {quoted(old)}")
     spark.sql(f"ALTER TABLE {quoted(fresh)} RENAME TO {quoted(rename or name)}")
+    drop(spark, "table", old)
     return new
 
 

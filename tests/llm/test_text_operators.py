@@ -352,6 +352,31 @@ def test_quality_drops_shuffled_words(spark):
     assert sum(by[i] for i in range(80, 120)) >= 38 and not any(by[200 + i] for i in range(15))
 
 
+def test_quality_drops_shuffled_characters(spark):
+    r = random.Random(6)
+    signs = [chr(0x4E00 + 37 * k) for k in range(60)]
+    after = {c: r.sample(signs, 3) for c in signs}
+
+    def chain(n):
+        c = [r.choice(signs)]
+        while len(c) < n:
+            c.append(r.choice(after[c[-1]]))
+        return c
+
+    good = [(i, "".join(chain(150)) + "。", "zh") for i in range(120)]
+    bad = [(200 + i, "".join(r.sample(c := chain(150), len(c))) + "。", "zh") for i in range(20)]
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string, lang string")
+    by = {x["doc_id"]: x["accepted"] for x in quality.classified(docs, docs.where("doc_id < 80").select("doc_id")).collect()}
+    assert sum(by[i] for i in range(80, 120)) >= 38 and not any(by[200 + i] for i in range(20))
+
+
+def test_characters_of_unspaced_scripts_are_words():
+    at, data, bounds = next(text.chunks(pa.array(["ab漢字c か ไทย", "漢", "", "é 𠀀x"])))
+    found = text.words(data, bounds, text.SPACES, True)
+    raw = data.tobytes()
+    assert [raw[b:e].decode() for b, e in zip(found.start, found.end, strict=True)] == ["ab", "漢", "字", "c", "か", "ไ", "ท", "ย", "漢", "é", "𠀀", "x"] and np.diff(found.first).tolist() == [8, 1, 0, 3]
+
+
 def loop_perplexity(counted, table):
     """Perplexity per character by interpolated modified Kneser-Ney bigrams of the texts ``counted``, one word after another."""
 

@@ -6,7 +6,8 @@ grow with the text. Documents' distinct words and bigrams are joined to them
 on Spark, a shard of the hash range after another, which bounds the disk that
 a join takes. Under the words lies a model of letters: a trigram over
 characters folded to 64 symbols, of fixed size, which spells words that
-trusted text lacks and the blanks between words.
+trusted text lacks and the blanks between words. Characters of scripts that
+put no blanks between words are words each.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ FOLDS = 5
 #: Bytes of text whose distinct n-grams leave a task together.
 SLICE = 1 << 22
 #: Shards at most, and words for one; words of one part of a shard, and n-grams of texts that meet it in one task.
-SHARDS, SHARD_WORDS, PART_WORDS, TASK_PAIRS = 8, 8_000_000, 8_000_000, 4_000_000
+SHARDS, SHARD_WORDS, PART_WORDS, TASK_PAIRS = 8, 8_000_000, 500_000, 4_000_000
 
 #: Symbol of each byte. Letters 0-25, capitals 26, digits 27, blank, line end, other controls, then marks; bytes of other characters fold to 50-63.
 SYMBOL = np.full(256, 30, np.uint8)
@@ -150,7 +151,7 @@ def lexicon(trusted: DataFrame, letters) -> DataFrame:
         for batch in batches:
             every = batch["name"].to_pylist()
             for at, data, bounds in T.chunks(batch["text"], SLICE):
-                found = T.words(data, bounds, T.SPACES)
+                found = T.words(data, bounds, T.SPACES, True)
                 names = every[at : at + len(bounds) - 1]
                 of, _, _, word = bigrams(found, names)
                 order, first = _runs((word,))
@@ -199,7 +200,7 @@ def bigram_counts(trusted: DataFrame, shard: int, shards: int, parts: int, salts
             every, held = batch["name"].to_pylist(), np.asarray(batch["held"].cast(pa.int8()), np.int64)
             for at, data, bounds in T.chunks(batch["text"], SLICE):
                 size = len(bounds) - 1
-                of, key, b, c = bigrams(T.words(data, bounds, T.SPACES), every[at : at + size])
+                of, key, b, c = bigrams(T.words(data, bounds, T.SPACES, True), every[at : at + size])
                 mine = np.flatnonzero(shard_of(key, shards) == T.U(shard))
                 part, free = part_of(key[mine], parts), 1 - held[at : at + size][of[mine]]
                 rows = [_packed_counts(int(p), b[mine[x]], c[mine[x]], np.ones(len(x), np.int64), free[x]) for p in np.unique(part) for x in [np.flatnonzero(part == p)]]
@@ -329,7 +330,7 @@ def asked(docs: DataFrame, shard: int, shards: int, parts: int) -> DataFrame:
             every, ids = batch["name"].to_pylist(), np.asarray(batch["id"])
             for at, data, bounds in T.chunks(batch["text"], SLICE):
                 n, number = len(bounds) - 1, next(slices)
-                of, key, b, c = bigrams(T.words(data, bounds, T.SPACES), every[at : at + n])
+                of, key, b, c = bigrams(T.words(data, bounds, T.SPACES, True), every[at : at + n])
                 mine = [np.flatnonzero(shard_of(x, shards) == T.U(shard)) for x in (key, c, b)]
                 keys, texts = (np.concatenate([x[i] for x, i in zip(y, mine, strict=True)]) for y in ((key, c, b), (of, of, of)))
                 word = np.repeat([1, 1, 0], [len(i) for i in mine])
@@ -415,7 +416,7 @@ def spelling(docs: DataFrame, letters) -> DataFrame:
         for batch in batches:
             for at, data, bounds in T.chunks(batch["text"]):
                 n, table = len(bounds) - 1, letters.value
-                found = T.words(data, bounds, T.SPACES)
+                found = T.words(data, bounds, T.SPACES, True)
                 of = np.repeat(np.arange(n), np.diff(found.first))
                 blank, where = T.SPACES[data], np.repeat(np.arange(n), np.diff(bounds))
                 bits = np.bincount(of, word_bits(found, table), minlength=n) + np.bincount(where[blank], table[codes(data, bounds)[blank]], minlength=n)

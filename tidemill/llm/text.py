@@ -106,8 +106,20 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.
         at = to
 
 
-def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray) -> Words:
-    """Words are runs of bytes not in ``between``; A-Z count as a-z."""
+#: Scripts that put no blanks between words, by the first and last two bytes of their characters, and how many bytes those have.
+UNSPACED = (
+    (0xE0B8, 0xE0BF, 3),  # Thai, Lao, Tibetan
+    (0xE180, 0xE182, 3),  # Myanmar
+    (0xE19E, 0xE19F, 3),  # Khmer
+    (0xE381, 0xE383, 3),  # Kana
+    (0xE390, 0xE9BF, 3),  # Han
+    (0xEFA4, 0xEFAB, 3),
+    (0xF0A0, 0xF0AF, 4),
+)
+
+
+def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray, characters: bool = False) -> Words:
+    """Words are runs of bytes not in ``between``; A-Z count as a-z. With ``characters``, each one of ``UNSPACED`` is a word."""
     n = len(data)
     low = np.zeros(n + 8, np.uint8)
     low[:n] = LOWER[data]
@@ -118,6 +130,15 @@ def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray) -> Words:
     if n:
         begins[1:] &= ~inside[:-1] | edge[1:n]
         ends[:-1] &= ~inside[1:] | edge[1:n]
+    if characters and len(lead := np.flatnonzero(data >= 0xE0)):
+        two = low[lead].astype(np.int32) << 8 | low[lead + 1]
+        for first, last, size in UNSPACED:
+            alone = lead[(two >= first) & (two <= last)]
+            cuts = np.concatenate([alone, alone + size])
+            cuts = cuts[(cuts > 0) & (cuts < n)]
+            cuts = cuts[inside[cuts]]
+            begins[cuts] = True
+            ends[cuts - 1] |= inside[cuts - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     return Words(start, end, word_hashes(low, start, end), np.searchsorted(start, bounds), low)
 

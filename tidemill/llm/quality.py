@@ -34,7 +34,7 @@ FOLDS = 5
 #: Bytes of text whose distinct n-grams leave a task together.
 SLICE = 1 << 22
 #: Shards at most, and words for one; words of one part of a shard, and n-grams of texts that meet it in one task.
-SHARDS, SHARD_WORDS, PART_WORDS, TASK_PAIRS = 8, 8_000_000, 500_000, 4_000_000
+SHARDS, SHARD_WORDS, PART_WORDS, TASK_PAIRS = 8, 8_000_000, 2_000_000, 4_000_000
 
 #: Symbol of each byte. Letters 0-25, capitals 26, digits 27, blank, line end, other controls, then marks; bytes of other characters fold to 50-63.
 SYMBOL = np.full(256, 30, np.uint8)
@@ -396,7 +396,7 @@ def joined_sums(questions: DataFrame, model: DataFrame) -> DataFrame:
     return left.groupBy("part", "task").cogroup(right.groupBy("part", "task")).applyInArrow(look, "slice long, ids binary, sums binary")
 
 
-def added_sums(pieces: list[DataFrame]) -> DataFrame:
+def added_sums(sums: DataFrame) -> DataFrame:
     """``id, sum_n, sum_t`` of all parts of ``joined_sums``: a slice's rows are added up in one task, and texts of several slices after that."""
 
     def add(group: pa.Table) -> pa.Table:
@@ -405,7 +405,7 @@ def added_sums(pieces: list[DataFrame]) -> DataFrame:
         sums = np.concatenate([np.frombuffer(x.as_buffer(), np.float64).reshape(2, -1) for x in group["sums"]], axis=1)
         return pa.table({"id": ids, "sum_n": np.bincount(place, sums[0]), "sum_t": np.bincount(place, sums[1])})
 
-    per = reduce(DataFrame.union, pieces).groupBy("slice").applyInArrow(add, "id long, sum_n double, sum_t double")
+    per = sums.groupBy("slice").applyInArrow(add, "id long, sum_n double, sum_t double")
     return per.groupBy("id").agg(F.sum("sum_n").alias("sum_n"), F.sum("sum_t").alias("sum_t"))
 
 
@@ -450,11 +450,15 @@ def perplexities(docs: DataFrame, trusted: DataFrame, shards: int | None = None)
         model = written(packed(model, parts), "model")
         dropped(counted[shard])
         questions = written(asked(docs, shard, shards, parts), "asked")
-        found.append(written(joined_sums(questions, model), "sums"))
+        parts_of = written(joined_sums(questions, model), "parts")
         dropped(model, questions)
-    sums = added_sums(found)
+        found.append(written(added_sums(parts_of), "sums"))
+        dropped(parts_of)
+    sums = reduce(DataFrame.union, found).groupBy("id").agg(F.sum("sum_n").alias("sum_n"), F.sum("sum_t").alias("sum_t"))
     every = base.join(small(cuts.select("name", "z_n", "z_t")), "name", "left").join(sums, "id", "left")
-    return every.select("id", *(F.expr(f"pow(2D, -(bits + words * coalesce(z_{v}, 0D) + coalesce(sum_{v}, 0D)) / bytes) as p_{v}") for v in "nt"))
+    every = written(every.select("id", *(F.expr(f"pow(2D, -(bits + words * coalesce(z_{v}, 0D) + coalesce(sum_{v}, 0D)) / bytes) as p_{v}") for v in "nt")), "perplexities")
+    dropped(base, weights, cuts, *found)
+    return every
 
 
 def thresholds(known: DataFrame, share: float, slack: float) -> DataFrame:
@@ -492,7 +496,7 @@ def classified(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: s
     many = keys.count() > SMALL_ROWS
     good = rows.join(keys if many else F.broadcast(keys), "__key", "left_semi").drop("__key").withColumn("held", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(FOLDS)) == 0)
     good = written(good, "trusted") if many else good
-    found = written(perplexities(rows, good, shards), "perplexities")
+    found = perplexities(rows, good, shards)
     within = written(thresholds(good.select("id", "name", "held").join(found, "id"), share, slack), "cuts")
     out = named.join(found.select(F.col("id").alias("__id"), F.col("p_n").alias("perplexity")), "__id", "left")
     out = out.join(small(within.withColumnRenamed("name", "__name")), "__name", "left").drop("__id", "__name")

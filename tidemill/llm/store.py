@@ -47,16 +47,16 @@ def written(df: DataFrame, name: str, conf: dict[str, str] | None = None) -> Dat
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
 
 
 def dropped(*tables: DataFrame) -> None:
     """Delete the files of tables made by ``written`` that no later step reads."""
     for df in tables:
-        jvm = df.sparkSession._jvm
-        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 #: Tables of at most so many rows of a key and little else are broadcast; larger ones are joined by shuffle, with the same result.

@@ -1,8 +1,10 @@
+import base64
 import hashlib
 import itertools
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -82,7 +84,7 @@ def test_discoveries_equal_a_plain_step_up(spark):
     tested = secrets.battery(spark.createDataFrame([(t,) for t in tokens_of_all_kinds()], "token string"))
     for rate, level in ((0.01, 0.01), (0.2, 0.0), (1e-9, 0.05)):
         rows = [(x["token"], x["p_prose"], x["p_random"], max(0.5, min(2.0, x["n"] / 32))) for x in tested.collect()]
-        places = [min(639, max(0, math.floor(-40 * math.log10(max(p / w, 1e-16))))) for _, p, _, w in rows]
+        places = [min(639, max(0, math.floor(-40 * math.log10(max(p / max(q, level, 1e-9) / w, 1e-16))))) for _, p, q, w in rows]
         total, least = sum(w for *_, w in rows), None
         for b in sorted(set(places)):
             if 10 ** (-b / 40) <= rate * sum(x >= b for x in places) / total:
@@ -92,6 +94,17 @@ def test_discoveries_equal_a_plain_step_up(spark):
         assert sorted(x["token"] for x in secrets.discovered(tested, rate, level).collect()) == want
 
 
+def test_a_token_of_megabytes_is_tested_in_time(spark):
+    r = random.Random(4)
+    token = base64.b64encode(r.randbytes(2_250_000)).decode().replace("=", "")
+    docs = spark.createDataFrame([(1, "data: " + token + " end"), (2, prose(50, 1))], "doc_id long, text string").repartition(1)
+    secrets.secret_spans(docs.where("doc_id = 2")).collect()
+    began = time.time()
+    got = {x["doc_id"]: x["spans"] for x in secrets.secret_spans(docs).collect()}
+    assert time.time() - began < 15 and not got[2]
+    assert [(s["start"], s["end"]) for s in got[1] if s["kind"] == "random"] == [(6, 6 + len(token))]
+
+
 def test_secret_query_and_redaction(spark):
     sf = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in sf.collect()}

@@ -252,6 +252,41 @@ def test_model_learns_a_pair(spark):
     assert all(0 <= x["score"] <= 1 and x["predicted"] == int(x["score"] >= 0.5) for x in got)
 
 
+def test_repeated_keys_are_learned_from_once(spark):
+    r = random.Random(2)
+    rows = [(i, prose(30, i) + (" vile" if i % 4 == 0 else " kind") * r.randrange(1, 3)) for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    many = once.union(spark.createDataFrame([(8, "zz only noise")], "doc_id long, text string").crossJoin(spark.range(10_000)).select("doc_id", "text"))
+    models = [toxicity.trained(x, labels, "doc_id", "text", "toxic") for x in (once, many.repartition(5))]
+    assert all(np.array_equal(a, b) for a, b in zip(models[0], models[1], strict=True))
+    assert len(models[0].terms) and (models[0].share > 0).all() and (np.diff(models[0].terms.astype(object)) > 0).all()
+
+
+def test_chosen_terms_equal_a_plain_chi_squared(spark):
+    texts = [prose(25, i % 30) + (" vile" if i % 5 == 0 else "") for i in range(150)]
+    marks = [int(i % 5 == 0 or i % 17 == 0) for i in range(150)]
+    rows = spark.createDataFrame(list(zip(texts, marks, strict=True)), "t string, y int").repartition(3)
+    hashes, share = toxicity.telling(rows, "y", "t")
+    each = [set(h.tolist()) for t in texts for _, _, h in toxicity.terms(pa.array([t]))]
+    n, pos = Counter(h for e in each for h in e), Counter(h for e, y in zip(each, marks, strict=True) if y for h in e)
+    often, p = [h for h in n if n[h] >= toxicity.LEAST_ROWS], sum(marks) / len(marks)
+    chance, want = 2 * math.log(len(often)), {}
+    for h in often:
+        chi = (pos[h] - n[h] * p) ** 2 / (n[h] * p * (1 - p) * (1 - n[h] / len(texts)) + 1e-9)
+        if chi > chance:
+            want[h] = 1 - chance / chi
+    assert hashes.tolist() == sorted(want) and want and np.allclose(share, [want[h] for h in sorted(want)])
+    assert len(toxicity.telling(rows.where("y = 1"), "y", "t")[0]) == 0
+
+
+def test_held_out_toxic_texts_are_found(spark):
+    known = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    got = [x for x in queries.op3_toxicity(spark, "/root/testdata/sf0.01").where("held_out").collect() if x["doc_id"] in known]
+    hits = [x["predicted"] for x in got if known[x["doc_id"]]]
+    assert sum(hits) >= 4 and len(hits) == 6 and not any(x["predicted"] for x in got if not known[x["doc_id"]])
+
+
 def test_margins_equal_a_double_loop():
     r = np.random.default_rng(6)
     model = toxicity.Model(0.3, r.standard_normal(toxicity.BUCKETS).astype(np.float32), r.standard_normal((toxicity.BUCKETS, toxicity.FACTORS)).astype(np.float32))

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import re
+import time
 import struct
 
 import pytest
@@ -118,12 +119,20 @@ def as_regex(glob):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="abexcomqz.orgds/?*", max_size=40), min_size=1, max_size=20))
 def test_automaton_equals_regular_expressions(urls):
-    urls = [u.encode() for u in urls] + [b".ex.com/", b".www.ex.com/ads/1.zip", b".abc.org/xyz", b".q", b"", b"/" + b"ab" * 40]
+    urls = [u.encode() for u in urls] + [b".ex.com/", b".www.ex.com/ads/1.zip", b".abc.org/xyz", b".q", b"", b"/" + b"ab" * 40, b".ex.com/" + b"x/ads/" * 300, b".ex.com/" + b"y" * 3000 + b".zip"]
     got = urlfilter.Automaton([urlfilter.glob_pieces(g) for g in GLOBS]).matches(urls)
     for k, glob in enumerate(GLOBS):
         assert got[:, k].tolist() == [bool(as_regex(glob).match(u.decode())) for u in urls], glob
 
 
+def test_a_url_of_megabytes_is_read_in_time():
+    automaton = urlfilter.Automaton([urlfilter.glob_pieces(g) for g in urlfilter.GLOBS])
+    urls = [b".ex.com/" + b"abc/" * 500_000 + b"ads/x", b".ex.com/a"]
+    began = time.time()
+    got = automaton.matches(urls)
+    assert time.time() - began < 3 and got[0].sum() == 1 and not got[1].any()
+
+
 def test_url_rules(spark):
     cases = {
         None: ("", "", None, "allow"), "no scheme org/": ("", "", None, "allow"), "http://EXAMPLE.org": ("example.org", "", None, "allow"), "http://a.example.org/es/x?q": ("a.example.org", "/es/x", "example.org/es/", "block"),

@@ -81,39 +81,46 @@ def battery(tokens: DataFrame, token: str = "token") -> DataFrame:
     encoding = F.coalesce(*[F.when(t.rlike(pattern), F.struct(F.lit(name).alias("name"), F.lit(letters).alias("letters"), F.lit(share).alias("share"))) for name, pattern, letters, share in ALPHABETS])
     df = tokens.withColumn("__as", encoding).withColumns({"encoding": F.col("__as.name"), "__letters": F.col("__as.letters"), "n": F.length(t).cast("long")})
     df = df.withColumn("__codes", F.expr(f"transform(split({token}, ''), c -> cast(instr(__letters, c) - 1 as double))"))
+    df = df.withColumn("__counts", F.expr(f"transform(split(__letters, ''), c -> cast(length({token}) - length(replace({token}, c, '')) as double))"))
     df = df.withColumn("__a", F.length("__letters").cast("double"))
     n, a = F.col("n").cast("double"), F.col("__a")
-    df = df.withColumn("__squares", F.expr("aggregate(array_distinct(__codes), 0D, (s, c) -> s + power(size(filter(__codes, y -> y = c)), 2))"))
-    chi, free = a * F.col("__squares") / n - n, a - 1
+    chi, free = a * F.aggregate("__counts", F.lit(0.0), lambda x, c: x + c * c) / n - n, a - 1
     df = df.withColumn("__chi", chi)
     z_chi = (F.pow(F.greatest(F.col("__chi"), F.lit(1e-9)) / free, F.lit(1 / 3)) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
     df = df.withColumn("p_chi", 1 - phi(z_chi))
-    df = df.withColumn("__high", F.expr("aggregate(__codes, 0D, (s, c) -> s + if(2 * c >= __a, 1D, 0D))"))
-    df = df.withColumn("__runs", F.expr("1D + aggregate(sequence(1, cast(n as int) - 1), 0D, (s, i) -> s + if((2 * __codes[i] >= __a) != (2 * __codes[i - 1] >= __a), 1D, 0D))"))
+    low = "cast(ceil(__a / 2) as int)"
+    df = df.withColumn("__sides", F.expr(f"translate({token}, __letters, concat(repeat('0', {low}), repeat('1', cast(__a as int) - {low})))"))
+    df = df.withColumn("__high", F.expr("cast(n - length(replace(__sides, '1', '')) as double)"))
+    changes = " + ".join(f"(n - length(replace(__sides, '{x}', ''))) / 2" for x in ("01", "10"))
+    df = df.withColumn("__runs", F.expr(f"1D + {changes}"))
     h = F.col("__high")
     mean = 2 * h * (n - h) / n + 1
     var = F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9))
     df = df.withColumn("p_runs", F.when((h == 0) | (h == n), F.pow(F.lit(2.0), 1 - n)).otherwise(2 * (1 - phi(F.abs(F.col("__runs") - mean) / F.sqrt(var)))))
-    df = df.withColumn("__mean", F.expr("aggregate(__codes, 0D, (s, c) -> s + c) / n"))
-    df = df.withColumn("__var", F.expr("aggregate(__codes, 0D, (s, c) -> s + power(c - __mean, 2))"))
+    placed = "sequence(0, size(__counts) - 1)"
+    df = df.withColumn("__mean", F.expr(f"aggregate({placed}, 0D, (s, c) -> s + c * __counts[c]) / n"))
+    df = df.withColumn("__var", F.expr(f"aggregate({placed}, 0D, (s, c) -> s + power(c - __mean, 2) * __counts[c])"))
     df = df.withColumn("__lag", F.expr("aggregate(sequence(1, cast(n as int) - 1), 0D, (s, i) -> s + (__codes[i] - __mean) * (__codes[i - 1] - __mean))"))
     df = df.withColumn("p_serial", F.when(F.col("__var") == 0, F.lit(0.0)).otherwise(2 * (1 - phi(F.abs(F.col("__lag") / F.col("__var") + 1 / n) * F.sqrt(n)))))
     df = df.withColumn("p_random", F.least(F.lit(1.0), 3 * F.least("p_chi", "p_runs", "p_serial")))
     prose = n * F.greatest(a * PROSE - 1, F.lit(0.01))
     df = df.withColumn("p_prose", phi((F.col("__chi") - free - prose) / F.sqrt(2 * free + 4 * prose)) * F.pow(F.col("__as.share"), n))
-    return df.drop("__as", "__letters", "__codes", "__a", "__squares", "__chi", "__high", "__runs", "__mean", "__var", "__lag")
+    return df.drop("__as", "__letters", "__codes", "__a", "__counts", "__sides", "__chi", "__high", "__runs", "__mean", "__var", "__lag")
 
 
 def discovered(tested: DataFrame, rate: float = 0.01, level: float = 0.01, usual: int = 32) -> DataFrame:
     """Rows of ``battery`` that pass for random at ``level`` and are discoveries at false-discovery ``rate``.
 
-    Weighted Benjamini-Hochberg over all tokens: a p-value is divided by the
-    token's length over ``usual`` (0.5 to 2 at most), scaled to mean 1, since
-    longer tokens tell more. The ranks come from a histogram of 640 bins of
+    Weighted Benjamini-Hochberg over all tokens. All three tests are in the
+    value that is ranked: the chance of prose, divided by how well the token
+    fits a random one, so that a token whose runs or neighbours are odd needs
+    the stronger chi-squared. It is divided by the token's length over
+    ``usual`` (0.5 to 2 at most), scaled to mean 1, since longer tokens tell
+    more. The ranks come from a histogram of 640 bins of
     log p, so the table that the threshold is read from is of fixed size.
     """
     weight = F.greatest(F.lit(0.5), F.least(F.lit(2.0), F.col("n") / usual))
-    bin_of = F.least(F.lit(639), F.greatest(F.lit(0), F.floor(-40 * F.log10(F.greatest(F.col("p_prose") / weight, F.lit(1e-16)))))).cast("int")
+    bin_of = F.least(F.lit(639), F.greatest(F.lit(0), F.floor(-40 * F.log10(F.greatest(F.col("p_prose") / F.greatest(F.col("p_random"), F.lit(max(level, 1e-9))) / weight, F.lit(1e-16)))))).cast("int")
     binned = tested.withColumn("__bin", bin_of)
     counts = binned.groupBy("__bin").agg(F.count("*").alias("tokens"), F.sum(weight).alias("weights"))
     all_rows = Window.orderBy(F.desc("__bin"))

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 U = np.uint64
 SLICE = 4096
+#: Longer URLs, in bytes, are read one by one: few would take part in a step of many.
+LONG = 1024
 HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
 
@@ -103,21 +105,34 @@ class Automaton:
     def matches(self, urls: list[bytes]) -> np.ndarray:
         """Boolean, a row per URL and a column per glob."""
         size = np.array([len(u) for u in urls], np.int64)
-        order = np.argsort(-size, kind="stable")
-        first = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)[order] if len(urls) else np.zeros(0, np.int64)
-        data = np.frombuffer(b"".join(urls), np.uint8)
         state = np.tile(self.begin, (len(urls), 1))
-        left = np.searchsorted(-size[order], -np.arange(1, (size.max() if len(urls) else 0) + 1), side="right")
-        for at, n in enumerate(left):
-            read, now = data[first[:n] + at], state[:n]
+        for k in np.flatnonzero(size > LONG):
+            state[k] = self._alone(urls[k])
+        short = np.flatnonzero(size <= LONG)
+        order = short[np.argsort(-size[short], kind="stable")]
+        first = (np.cumsum(size) - size)[order]
+        data = np.frombuffer(b"".join(urls), np.uint8)
+        moving = state[order]
+        for at in range(int(size[order[0]]) if len(order) else 0):
+            n = int(np.searchsorted(-size[order], -at))
+            read, now = data[first[:n] + at], moving[:n]
             moved = now << U(1)
             moved[:, 1:] |= now[:, :-1] >> U(63)
-            state[:n] = (moved & self.step[read]) | (now & self.stay[read])
+            moving[:n] = (moved & self.step[read]) | (now & self.stay[read])
+        state[order] = moving
         out = np.zeros((len(urls), len(self.ends)), bool)
         for k, (word, bit) in enumerate(self.ends):
-            out[order, k] = (state[:, word] & bit) != 0
+            out[:, k] = (state[:, word] & bit) != 0
         return out
 
+    def _alone(self, url: bytes) -> np.ndarray:
+        """The state after one URL, with all words of the masks as one number."""
+        step, stay = ([int.from_bytes(row.tobytes(), "little") for row in table] for table in (self.step, self.stay))
+        state = int.from_bytes(self.begin.tobytes(), "little")
+        for c in url:
+            state = state << 1 & step[c] | state & stay[c]
+        return np.frombuffer(state.to_bytes(8 * self.words, "little"), U)
+
 
 def judged(pages: DataFrame, rules: Sequence[Rule], globs: Sequence[str], url: str = "url") -> DataFrame:
     """``pages`` with ``host, path, rule, verdict, globs_hit``.

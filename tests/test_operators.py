@@ -1,5 +1,6 @@
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -201,6 +202,23 @@ def test_nested_conforming(spark):
     assert df.select(F.to_json(value)).first()[0] == "[1,{}]"
 
 
+def test_deep_nesting_plans_in_linear_time(spark):
+    kind, value, fine, target = "int", "300", "5", "Uint8"
+    for depth in range(8):
+        if depth % 2:
+            kind, value, fine, target = f"struct<a:{kind},b:string>", f"named_struct('a', {value}, 'b', 'x')", f"named_struct('a', {fine}, 'b', 'x')", nested.StructOf({"a": target, "b": "String", "c": "Int8"})
+        else:
+            kind, value, fine, target = f"array<{kind}>", f"array({fine}, {value})", f"array({fine}, {fine})", nested.ListOf(target)
+    df = spark.sql(f"select {value} as bad, {fine} as good, cast(null as {kind}) as none")
+    began = time.time()
+    got = {n: df.select(*nested.coerced_nested(F.col(n), df.schema[n].dataType, target)) for n in df.columns}
+    for x in got.values():
+        x._jdf.queryExecution().executedPlan()
+    assert time.time() - began < 6
+    assert got["bad"].first()[1] == ".a:[1]:.a:[1]:.a:[1]:.a:[1]:range" and got["bad"].first()[0] is None
+    assert got["good"].first()[1] is None and got["good"].first()[0]["a"][0]["a"][0]["a"][0]["a"] == [5, 5] and tuple(got["none"].first()) == (None, None)
+
+
 def test_series_reads(spark):
     df = spark.createDataFrame([("a", 0, 1.0), ("a", 10, 2.0), ("a", 25, 9.0), ("b", 5, 7.0)], "k string, s long, v double").withColumn("ts", F.timestamp_seconds("s"))
     at = F.timestamp_seconds(F.lit(20))

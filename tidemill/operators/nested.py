@@ -72,37 +72,72 @@ class JsonNative:
     pass
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of ``value``, which stands in the plan once however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _pair(value: Column, reason: Column) -> Column:
+    return F.struct(value.alias("v"), reason.alias("r"))
+
+
 def coerced_nested(x: Column, source: S.DataType, target: object) -> tuple[Column, Column]:
     """(value, reason) of ``x`` as a nested ``target``: one of the above, or the name of a declared type at the leaves.
 
     Lists and structs are refused as a whole for the first cell in them that
     does not fit, named by its place; a member that the source lacks is null,
-    one that the target lacks is refused.
+    one that the target lacks is refused. Values go up with their reasons, so
+    a plan grows with the number of members, not with the depth.
     """
-    bad = lambda why: (F.lit(None), F.when(x.isNotNull(), F.lit(why)))
-    if isinstance(target, str):
-        return coerced(x, source, target)
+    if isinstance(target, ListOf | StructOf) or isinstance(target, Interval) and target.unit == "mixed":
+        both = _judged(x, source, target)
+        return both["v"], both["r"]
+    return _leaf(x, source, target)
+
+
+def _judged(x: Column, source: S.DataType, target: object) -> Column:
+    """A struct of the value ``v`` and the reason ``r`` of ``x``."""
+    if isinstance(target, Interval) and target.unit == "mixed":
+        target = StructOf({"months": "Int32", "days": "Int32", "nanoseconds": "Int64"})
     if isinstance(target, ListOf):
         if not isinstance(source, S.ArrayType):
-            return bad("type:list")
-        inner = lambda e: coerced_nested(e, source.elementType, target.item)
-        reasons = F.filter(F.transform(x, lambda e, i: F.when(inner(e)[1].isNotNull(), F.concat(F.lit("["), i.cast("string"), F.lit("]:"), inner(e)[1]))), lambda r: r.isNotNull())
-        reason = F.try_element_at(reasons, F.lit(1))
-        return F.when(reason.isNull(), F.transform(x, lambda e: inner(e)[0])), reason
+            return _pair(*_refused(x, "type:list"))
+        each = F.transform(x, lambda e: _judged(e, source.elementType, target.item))
+
+        def whole(items: Column) -> Column:
+            wrong = F.filter(F.transform(items, lambda e, i: F.when(e["r"].isNotNull(), F.concat(F.lit("["), i.cast("string"), F.lit("]:"), e["r"]))), lambda r: r.isNotNull())
+            values = F.transform(items, lambda e: e["v"])
+            return _pair(F.when(F.size(wrong) == 0, values), F.try_element_at(wrong, F.lit(1)))
+
+        return _bound(each, whole)
     if isinstance(target, StructOf):
         if not isinstance(source, S.StructType) or set(source.names) - set(target.fields):
-            return bad("type:struct")
-        pairs = {n: coerced_nested(x[n], source[n].dataType, t) if n in source.names else (F.lit(None), F.lit(None)) for n, t in target.fields.items()}
-        reason = F.coalesce(*[F.when(r.isNotNull(), F.concat(F.lit(f".{n}:"), r)) for n, (_, r) in pairs.items()])
-        return F.when(x.isNotNull() & reason.isNull(), F.struct(*[v.alias(n) for n, (v, _) in pairs.items()])), reason
+            return _pair(*_refused(x, "type:struct"))
+        members = F.struct(*[(_judged(x[n], source[n].dataType, t) if n in source.names else _pair(F.lit(None), F.lit(None).cast("string"))).alias(n) for n, t in target.fields.items()])
+
+        def whole(m: Column) -> Column:
+            reason = F.coalesce(*[F.when(m[n]["r"].isNotNull(), F.concat(F.lit(f".{n}:"), m[n]["r"])) for n in target.fields])
+            return _pair(F.when(reason.isNull(), F.struct(*[m[n]["v"].alias(n) for n in target.fields])), reason)
+
+        return _bound(F.when(x.isNotNull(), members), lambda m: F.when(m.isNotNull(), whole(m)))
+    return _pair(*_leaf(x, source, target))
+
+
+def _refused(x: Column, why: str) -> tuple[Column, Column]:
+    return F.lit(None), F.when(x.isNotNull(), F.lit(why))
+
+
+def _leaf(x: Column, source: S.DataType, target: object) -> tuple[Column, Column]:
+    if isinstance(target, str):
+        return coerced(x, source, target)
     if isinstance(target, Decimal):
         if not isinstance(source, (S.DecimalType, *INTEGRAL)):
-            return bad("type:decimal")
+            return _refused(x, "type:decimal")
         value = x.cast("string").try_cast(f"decimal({target.precision},{target.scale})")
         fine = value.isNotNull() & (value == x)
         return F.when(fine, value), F.when(x.isNotNull() & ~F.coalesce(fine, F.lit(False)), F.lit("range"))
     if isinstance(target, Vector):
-        return vector_of(x, target.size) if isinstance(source, S.ArrayType) else bad("type:vector")
+        return vector_of(x, target.size) if isinstance(source, S.ArrayType) else _refused(x, "type:vector")
     if isinstance(target, Interval):
         return _interval(x, source, target.unit)
     value = F.try_parse_json(x) if isinstance(source, S.StringType) else F.to_variant_object(x)
@@ -110,8 +145,6 @@ def coerced_nested(x: Column, source: S.DataType, target: object) -> tuple[Colum
 
 
 def _interval(x: Column, source: S.DataType, unit: str) -> tuple[Column, Column]:
-    if unit == "mixed":
-        return coerced_nested(x, source, StructOf({"months": "Int32", "days": "Int32", "nanoseconds": "Int64"}))
     if isinstance(source, S.YearMonthIntervalType if unit == "months" else S.DayTimeIntervalType):
         return x, F.lit(None).cast("string")
     whole, reason = coerced(x, source, "Int32" if unit == "months" else "Int64")

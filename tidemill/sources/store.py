@@ -1,20 +1,23 @@
-"""Tables as folders of Parquet files: batch writes of many tables, bulk loads, create-or-fail."""
+"""Tables that take writes as wholes: batch writes of many tables, bulk loads, mixed kinds, create-or-fail."""
 
 from __future__ import annotations
 
-import json
+import hashlib
 import tempfile
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.types import SchemaError
 from ..operators.conform import conformed, conformed_columns
 from ..operators.spec import TableSpec
+from . import catalog
 
+#: The column that a table's writes are partitions of.
+WRITE = "_write"
 #: Codecs that a bulk load takes.
 CODECS = ("none", "lz4", "zstd")
 _LOCAL: dict[str, str] = {}
@@ -75,57 +78,73 @@ def _of_kinds(df: DataFrame, kind: str, group: dict[str, TableSpec]) -> DataFram
 
 
 class TableStore:
-    """Named tables below one folder of any file system that Spark reaches.
+    """Tables of one database of Spark's catalog, with their files below one folder of any file system that Spark reaches.
 
-    A table is a folder with a folder of Parquet files for each write, and its
-    schema beside them. A write of several tables first writes them all to a
-    staging folder and only then moves each into place by one rename, so a bad
-    cell in one table leaves all as they were.
+    Each write is a folder of Parquet files, and a partition of its table once
+    the catalog says so. Writes go where they will stay and are published by a
+    call to the catalog, so nothing is moved or copied, on object stores
+    neither. A write of several tables first writes them all and only then
+    publishes any, so a bad cell in one table leaves all as they were.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self.database = f"tidemill_{hashlib.md5(self.root.encode()).hexdigest()}"
+        catalog.create_database(spark, self.database, location=self.root)
 
-    def _path(self, *parts: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
+    def name(self, table: str) -> str:
+        """The table's name for SQL."""
+        return catalog.quoted(f"{self.database}.{table}")
 
-    def _files(self):
-        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _deleted(self, path: str) -> None:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
     def exists(self, table: str) -> bool:
-        return self._files().exists(self._path(table, "schema.json"))
+        return self.spark.catalog.tableExists(f"{self.database}.{table}")
 
     def create(self, spec: TableSpec, if_not_exists: bool = True) -> None:
         if self.exists(spec.name):
             if not if_not_exists:
                 raise WriteError(f"{spec.name} exists")
             return
-        self._files().mkdirs(self._path(spec.name, "data"))
-        out = self._files().create(self._path(spec.name, "schema.json"))
-        out.write(bytearray(spec.schema().json().encode()))
-        out.close()
-
-    def schema(self, table: str):
+        if WRITE in spec.names:
+            raise SchemaError(f"{spec.name}: {WRITE!r} is the store's own column")
+        columns = ", ".join(f"{catalog.quoted(c.name)} {c.field().dataType.simpleString()}" for c in spec.columns)
+        held = {f"column.{c.name}": f"{c.semantic}:{c.type}" for c in spec.columns}
+        self.spark.sql(f"CREATE TABLE {self.name(spec.name)} ({columns}, {WRITE} STRING) USING parquet PARTITIONED BY ({WRITE}) LOCATION {catalog._text(f'{self.root}/{spec.name}')} TBLPROPERTIES ({catalog._properties(held)})")
+
+    def schema(self, table: str) -> StructType:
+        """The declared columns, with their semantics and types as metadata."""
         if not self.exists(table):
             raise WriteError(f"no table {table}")
-        text = self.spark.read.text("/".join((self.root, table, "schema.json")), wholetext=True).first()[0]
-        return StructType.fromJson(json.loads(text))
+        held = catalog.options_of(self.spark, f"{self.database}.{table}")
+        told = {f.name: dict(zip(("semantic", "type"), held[f"column.{f.name}"].split(":"), strict=True)) for f in self.spark.table(self.name(table)).schema if f.name != WRITE}
+        return StructType([StructField(f.name, f.dataType, True, told[f.name]) for f in self.spark.table(self.name(table)).schema if f.name != WRITE])
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(self.schema(table)).option("recursiveFileLookup", True).parquet(f"{self.root}/{table}/data")
+        schema = self.schema(table)
+        return self.spark.table(self.name(table)).select(*(F.col(catalog.quoted(f.name)).alias(f.name, metadata=f.metadata) for f in schema))
 
     def drop(self, table: str) -> None:
-        self._files().delete(self._path(table), True)
+        """Drop the table and delete its files."""
+        elsewhere = [v for k, v in catalog.options_of(self.spark, f"{self.database}.{table}").items() if k.startswith("folder.")] if self.exists(table) else []
+        catalog.drop(self.spark, "table", f"{self.database}.{table}", if_exists=True)
+        for path in (f"{self.root}/{table}", *elsewhere):
+            self._deleted(path)
 
-    def _staged(self, df: DataFrame, spec: TableSpec, at: str, codec: str, options: dict[str, str]) -> int:
+    def _staged(self, df: DataFrame, at: str, codec: str, options: dict[str, str]) -> int:
         seen = Observation()
         rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        rows.write.options(**options).option("compression", codec).parquet(f"{self.root}/{at}/{spec.name}")
+        rows.write.options(**options).option("compression", codec).parquet(at)
         return int(seen.get["rows"])
 
-    def _publish(self, at: str, table: str) -> None:
-        if not self._files().rename(self._path(at), self._path(table, "data", uuid.uuid4().hex)):
-            raise WriteError(f"{table}: cannot move {at} into place")
+    def _publish(self, table: str, write: str, folder: str | None = None) -> None:
+        """Make a write a part of its table; ``folder`` is where its files are, if not in the table's own."""
+        where = f" LOCATION {catalog._text(folder)}" if folder else ""
+        if folder:
+            catalog.set_options(self.spark, f"{self.database}.{table}", {f"folder.{write}": folder})
+        self.spark.sql(f"ALTER TABLE {self.name(table)} ADD PARTITION ({WRITE} = {catalog._text(write)}){where}")
 
     def write(self, tables: list[tuple[TableSpec, DataFrame]], by: str = "name", hints: dict[str, str] | None = None, codec: str = "zstd") -> dict[str, int]:
         """Append to one or many tables; rows written per table.
@@ -145,15 +164,17 @@ class TableStore:
                 raise WriteError(f"no table {spec.name}")
             if self.exists(spec.name) and self.schema(spec.name) != spec.schema():
                 raise SchemaError(f"{spec.name}: schema differs from the table's")
-        at, counts = f"_staging/{uuid.uuid4().hex}", {}
+        writes, counts = [uuid.uuid4().hex for _ in tables], {}
         try:
-            for k, (spec, df) in enumerate(tables):
-                counts[spec.name] = counts.get(spec.name, 0) + self._staged(conformed(df, spec, by), spec, f"{at}/{k}", codec, options)
-            for k, (spec, _) in enumerate(tables):
-                self.create(spec)
-                self._publish(f"{at}/{k}/{spec.name}", spec.name)
-        finally:
-            self._files().delete(self._path(at), True)
+            for (spec, df), write in zip(tables, writes, strict=True):
+                counts[spec.name] = counts.get(spec.name, 0) + self._staged(conformed(df, spec, by), f"{self.root}/{spec.name}/{WRITE}={write}", codec, options)
+        except Exception:
+            for (spec, _), write in zip(tables, writes, strict=True):
+                self._deleted(f"{self.root}/{spec.name}" + (f"/{WRITE}={write}" if self.exists(spec.name) else ""))
+            raise
+        for (spec, _), write in zip(tables, writes, strict=True):
+            self.create(spec)
+            self._publish(spec.name, write)
         return counts
 
     def write_kinds(self, df: DataFrame, kind: str, specs: dict[str, TableSpec], codec: str = "zstd") -> dict[str, int]:
@@ -163,8 +184,8 @@ class TableStore:
         null. A row of a kind without a declaration, null among them, is a
         SchemaError, and nothing is written; a pass over the kinds alone finds
         it first. Kinds whose columns agree in type where they share a name
-        are written by one job, each row once, as folders of one staging
-        table, which are then moved into place.
+        are written by one job, each row once, as folders of one table;
+        each folder then becomes a part of its kind's table.
         """
         for spec in specs.values():
             if self.exists(spec.name) and self.schema(spec.name) != spec.schema():
@@ -173,23 +194,23 @@ class TableStore:
         odd = df.where(stray).agg(F.count("*").alias("n"), F.min(F.coalesce(F.col(kind), F.lit("null"))).alias("first")).first()
         if odd["n"]:
             raise SchemaError(f"{odd['n']} rows of kinds without columns, such as {odd['first']!r}")
-        at, counts = f"_staging/{uuid.uuid4().hex}", {spec.name: 0 for spec in specs.values()}
+        at, counts, staged = f"{self.root}/_kinds/{uuid.uuid4().hex}", {spec.name: 0 for spec in specs.values()}, []
         try:
-            staged = []
             for k, group in enumerate(_agreeing(specs)):
                 seen = Observation()
                 rows = _of_kinds(df.where(F.col(kind).isin(*group)), kind, group)
                 tally = [F.count_if(F.col("__kind") == n).alias(f"n{n}") for n in range(len(group))]
-                rows.observe(seen, *tally).write.option("compression", codec).partitionBy("__kind").parquet(f"{self.root}/{at}/{k}")
+                rows.observe(seen, *tally).write.option("compression", codec).partitionBy("__kind").parquet(f"{at}/{k}")
                 for n, spec in enumerate(group.values()):
                     counts[spec.name] += seen.get[f"n{n}"]
                     staged.append((f"{at}/{k}/__kind={n}", spec, seen.get[f"n{n}"]))
-            for folder, spec, rows in staged:
-                self.create(spec)
-                if rows:
-                    self._publish(folder, spec.name)
-        finally:
-            self._files().delete(self._path(at), True)
+        except Exception:
+            self._deleted(at)
+            raise
+        for folder, spec, rows in staged:
+            self.create(spec)
+            if rows:
+                self._publish(spec.name, uuid.uuid4().hex, folder)
         return counts
 
     def bulk_load(self, df: DataFrame, spec: TableSpec, batch: str, parallelism: int | None = None, codec: str = "none", rows_per_file: int = 0, announced: DataFrame | None = None) -> DataFrame:
@@ -211,20 +232,25 @@ class TableStore:
             raise WriteError(f"no table {spec.name}")
         if self.schema(spec.name) != spec.schema():
             raise SchemaError(f"{spec.name}: schema differs from the table's")
-        at = f"_staging/{uuid.uuid4().hex}"
+        write = uuid.uuid4().hex
+        at = f"{self.root}/{spec.name}/{WRITE}={write}"
         rest = df.columns if batch in spec.names else [c for c in df.columns if c != batch]
         whole = conformed(df.select(*rest, F.col(batch).alias("_batch")), spec, profile="bulk", keep=("_batch",))
         whole = whole.withColumns({c.name: F.col(c.name).cast("string").alias(c.name, metadata=c.field().metadata) for c in spec.columns if c.type == "Json"})  # stored as text
         whole = whole.repartition(parallelism) if parallelism else whole
-        whole.write.option("compression", codec).option("maxRecordsPerFile", rows_per_file).parquet(f"{self.root}/{at}")
-        staged = self.spark.read.schema(whole.schema).parquet(f"{self.root}/{at}")
+        try:
+            whole.write.option("compression", codec).option("maxRecordsPerFile", rows_per_file).parquet(at)
+        except Exception:
+            self._deleted(at)
+            raise
+        staged = self.spark.read.schema(whole.schema).parquet(at)
         ledger = staged.groupBy(F.col("_batch").alias("batch_id")).agg(F.count("*").alias("affected_rows"))
         if announced is not None:
             none = announced.select("batch_id").distinct().join(ledger, "batch_id", "left_anti")
             ledger = ledger.union(none.select(F.col("batch_id").cast(ledger.schema["batch_id"].dataType), F.lit(0).cast("long")))
         held = f"{self.root}/_ledger/{uuid.uuid4().hex}"
         ledger.write.parquet(held)
-        self._publish(at, spec.name)
+        self._publish(spec.name, write)
         return self.spark.read.schema(ledger.schema).parquet(held)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,30 +46,34 @@ def rates(df: DataFrame, tags: list[str], ts: str, value: str, start_us: int, en
     return ends.select(*tags, "step", ((F.col("b.v") - F.col("a.v")) / ((F.col("b.t") - F.col("a.t")) / 1e6)).alias("rate"))
 
 
+#: A series: its tags as one value, in which null equals null.
+SERIES = "__series"
+
+
 def _samples(df: DataFrame, tags: list[str], ts: str, holds: Column) -> DataFrame:
-    at = df.select(*tags, micros(F.col(ts)).alias("us"), F.coalesce(holds, F.lit(False)).alias("on"))
-    return at.where("us is not null").groupBy(*tags, "us").agg(F.bool_or("on").alias("on"))
+    at = df.select(F.struct(*tags).alias(SERIES), micros(F.col(ts)).alias("us"), F.coalesce(holds, F.lit(False)).alias("on"))
+    return at.where("us is not null").groupBy(SERIES, "us").agg(F.bool_or("on").alias("on"))
 
 
-def condition_runs(samples: DataFrame, tags: list[str], slice_us: int) -> DataFrame:
-    """Runs of true samples (``us, on``) with no false one between: ``started, last_true``, and ``false_at``, the sample that ended it.
+def condition_runs(samples: DataFrame, slice_us: int) -> DataFrame:
+    """Runs of true samples (``us, on``) of a series with no false one between: ``started, last_true``, and ``false_at``, the sample that ended it.
 
-    A series is cut into slices of time that are numbered apart, and runs are
-    joined where they touch over a slice's edge, so a long series is not one
-    task's.
+    A series is cut into slices of time. Windows over all of a series hold a
+    row per slice; they say for each slice where the run began that is open at
+    its edge, and the parts of a run meet by aggregation. So no task has all
+    samples, or all runs, of a long series.
     """
     cut = samples.withColumn("slice", F.floor(F.col("us") / slice_us))
-    inside = Window.partitionBy(*tags, "slice").orderBy("us")
+    inside, along = Window.partitionBy(SERIES, "slice").orderBy("us"), Window.partitionBy(SERIES).orderBy("slice")
     new = F.col("on") & ~F.coalesce(F.lag("on").over(inside), F.lit(False))
-    marked = cut.withColumns({"next_us": F.lead("us").over(inside), "first": F.row_number().over(inside) == 1, "run": F.sum(new.cast("int")).over(inside)})
-    edges = cut.groupBy(*tags, "slice").agg(F.min(F.struct("us", "on")).alias("a"), F.max(F.struct("us", "on")).alias("z"))
-    along = Window.partitionBy(*tags).orderBy("slice")
-    edges = edges.select(*tags, "slice", F.coalesce(F.lag("z.on").over(along), F.lit(False)).alias("on_before"), F.lead(F.when(~F.col("a.on"), F.col("a.us"))).over(along).alias("false_next"))
-    runs = marked.where("on").groupBy(*tags, "slice", "run").agg(F.min("us").alias("started"), F.max("us").alias("last_true"), F.max_by("next_us", "us").alias("false_in"), F.bool_or("first").alias("first"))
-    same = reduce(lambda x, y: x & y, [runs[c].eqNullSafe(edges[c]) for c in (*tags, "slice")])
-    runs = runs.join(edges, same).select(*(runs[c] for c in (*tags, "started", "last_true")), (F.col("first") & F.col("on_before")).alias("more"), F.coalesce("false_in", "false_next").alias("false_at"))
-    whole = runs.withColumn("run", F.sum((~F.col("more")).cast("int")).over(Window.partitionBy(*tags).orderBy("started")))
-    return whole.groupBy(*tags, "run").agg(F.min("started").alias("started"), F.max("last_true").alias("last_true"), F.max_by("false_at", "started").alias("false_at")).drop("run")
+    marked = cut.withColumns({"new": new, "next_us": F.lead("us").over(inside), "first": F.row_number().over(inside) == 1}).withColumn("run", F.sum(F.col("new").cast("int")).over(inside))
+    edges = marked.groupBy(SERIES, "slice").agg(F.min(F.struct("us", "on")).alias("a"), F.max(F.struct("us", "on")).alias("z"), F.max(F.when(F.col("new"), F.col("us"))).alias("began"))
+    edges = edges.withColumns({"on_before": F.coalesce(F.lag("z.on").over(along), F.lit(False)), "false_next": F.lead(F.when(~F.col("a.on"), F.col("a.us"))).over(along)})
+    own = F.when(F.col("z.on") & ~((F.col("began") == F.col("a.us")) & F.col("on_before")), F.col("began"))
+    edges = edges.select(SERIES, "slice", "on_before", "false_next", F.last(own, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("open_since"))
+    runs = marked.where("on").groupBy(SERIES, "slice", "run").agg(F.min("us").alias("started"), F.max("us").alias("last_true"), F.max_by("next_us", "us").alias("false_in"), F.bool_or("first").alias("first"))
+    parts = runs.join(edges, [SERIES, "slice"]).withColumn("begin", F.when(F.col("first") & F.col("on_before"), F.col("open_since")).otherwise(F.col("started")))
+    return parts.groupBy(SERIES, "begin").agg(F.max("last_true").alias("last_true"), F.max_by(F.coalesce("false_in", "false_next"), "started").alias("false_at")).withColumnRenamed("begin", "started")
 
 
 def alerts(df: DataFrame, tags: list[str], ts: str, holds: Column, for_us: int, keep_us: int, slice_us: int = 86_400_000_000) -> DataFrame:
@@ -84,15 +86,30 @@ def alerts(df: DataFrame, tags: list[str], ts: str, holds: Column, for_us: int,
     that time belong to it, false ones between them or not. Either is open,
     with a null ``ended_at``, while the last sample of its series is true.
     Samples without a time are left out.
+
+    Runs no further apart than ``keep_us`` are a chain, in which every run from
+    the first that fires on is one episode. Chains are followed from slice to
+    slice as runs are: where the last chain began, and whether it has fired.
     """
-    runs = condition_runs(_samples(df, tags, ts, holds), tags, slice_us)
-    order = Window.partitionBy(*tags).orderBy("started")
-    apart = F.coalesce(F.col("started") - F.lag("last_true").over(order) > keep_us, F.lit(True))
-    fires = F.col("last_true") - F.col("started") >= for_us
-    chained = runs.withColumn("chain", F.sum(apart.cast("int")).over(order)).withColumn("fires", fires)
-    chained = chained.withColumn("firing", F.max("fires").over(Window.partitionBy(*tags, "chain").orderBy("started")))
+    runs = condition_runs(_samples(df, tags, ts, holds), slice_us).withColumn("slice", F.floor(F.col("started") / slice_us))
+    inside, along = Window.partitionBy(SERIES, "slice").orderBy("started"), Window.partitionBy(SERIES).orderBy("slice")
+    last = runs.groupBy(SERIES, "slice").agg(F.max("last_true").alias("last")).select(SERIES, "slice", F.lag("last").over(along).alias("last_before"))
+    placed = runs.withColumn("prev", F.lag("last_true").over(inside)).join(last, [SERIES, "slice"])
+    apart = F.coalesce(F.col("started") - F.coalesce("prev", "last_before") > keep_us, F.lit(True))
+    placed = placed.withColumns({"apart": apart, "fires": F.col("last_true") - F.col("started") >= for_us})
+    placed = placed.withColumn("chain", F.last(F.when(F.col("apart"), F.col("started")), ignorenulls=True).over(inside))
+    none = -(1 << 63)
+    ends = placed.groupBy(SERIES, "slice").agg(F.max(F.struct(F.coalesce("chain", F.lit(none)).alias("chain"), F.col("fires"))).alias("end"))
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    begun = F.when(F.col("end.chain") > none, F.col("end.chain"))
+    ends = ends.select(SERIES, "slice", F.col("end.fires").alias("fires"), begun.alias("begun"), F.last(begun, ignorenulls=True).over(before).alias("open_chain"))
+    so_far = F.max("fires").over(Window.partitionBy(SERIES, F.coalesce("begun", "open_chain")).orderBy("slice"))
+    ends = ends.withColumn("so_far", so_far).select(SERIES, "slice", "open_chain", F.lag("so_far").over(along).alias("fired_before"))
+    chained = placed.join(ends, [SERIES, "slice"])
+    fired = F.max("fires").over(Window.partitionBy(SERIES, "slice", "chain").orderBy("started")) | (F.col("chain").isNull() & F.coalesce("fired_before", F.lit(False)))
+    chained = chained.withColumn("firing", fired).withColumn("chain", F.coalesce("chain", "open_chain"))
     own = F.when(F.col("firing"), F.lit(None)).otherwise(F.col("started"))
-    per = chained.groupBy(*tags, "chain", own.alias("own"), "firing").agg(F.min("started").alias("started"), F.max("last_true").alias("last_true"), F.max_by("false_at", "last_true").alias("false_at"))
-    fired = F.when(F.col("firing"), F.col("started") + for_us)
+    per = chained.groupBy(SERIES, "chain", own.alias("own"), "firing").agg(F.min("started").alias("started"), F.max("last_true").alias("last_true"), F.max_by("false_at", "last_true").alias("false_at"))
+    fired_at = F.when(F.col("firing"), F.col("started") + for_us)
     ended = F.when(F.col("firing") & F.col("false_at").isNotNull(), F.col("last_true") + keep_us).when(~F.col("firing"), F.col("false_at"))
-    return per.select(*tags, "started", "last_true", fired.alias("fired_at"), ended.alias("ended_at"), F.when(F.col("firing"), "firing").otherwise("pending").alias("state"))
+    return per.select(*(F.col(f"{SERIES}.`{t}`").alias(t) for t in tags), "started", "last_true", fired_at.alias("fired_at"), ended.alias("ended_at"), F.when(F.col("firing"), "firing").otherwise("pending").alias("state"))

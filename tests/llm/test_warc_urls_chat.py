@@ -1,8 +1,9 @@
 import base64
 import hashlib
+import random
 import re
-import time
 import struct
+import time
 
 import pytest
 import zstandard
@@ -181,6 +182,41 @@ def test_paths_are_ranked_and_whole(spark):
     assert chat.paths(nodes.limit(0)).count() == 0
 
 
+def test_branching_trees_equal_brute_force(spark):
+    r = random.Random(11)
+    parent, score = {0: None, 1: None}, {}
+    for k in range(2, 600):
+        parent[k] = r.choice([0] * 3 + [1] + list(range(max(0, k - 40), k)))
+    for k in parent:
+        score[k] = r.choice([None, 0.0, 0.5, 1.0, 2.0])
+    nodes = spark.createDataFrame([(k, parent[k], score[k]) for k in parent], "node long, parent long, score double").repartition(5)
+    leaves = sorted(set(parent) - set(parent.values()))
+
+    def up(k):
+        return [] if k is None else [*up(parent[k]), k]
+
+    ranks, by_root = {}, {}
+    for leaf in leaves:
+        by_root.setdefault(up(leaf)[0], []).append((-sum(score[x] or 0.0 for x in up(leaf)), leaf))
+    for each in by_root.values():
+        ranks |= {leaf: n for n, (_, leaf) in enumerate(sorted(each), 1)}
+    for top in (None, 3):
+        got = {}
+        for x in chat.paths(nodes, top).collect():
+            got.setdefault((x["leaf"], x["rank"], x["path_score"]), []).append((x["depth"], x["node"]))
+        want = {(leaf, ranks[leaf], sum(score[x] or 0.0 for x in up(leaf))): up(leaf) for leaf in leaves if top is None or ranks[leaf] <= top}
+        assert {k: [n for _, n in sorted(v)] for k, v in got.items()} == want
+
+
+def test_one_conversation_of_very_many_turns(spark):
+    rows = spark.range(100_000, numPartitions=6).selectExpr("if(id % 50 = 0, id % 7, null) as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "concat('t', id) as text")
+    nodes = chat.threads(rows.repartition(6, "text"))
+    linked = nodes.alias("a").join(nodes.alias("b"), F.col("a.parent") == F.col("b.node"))
+    assert nodes.where("parent is null").count() == 8 and linked.count() == 100_000 - 8
+    gaps = linked.where("a.conv_id is null and b.conv_id is null").select((F.col("a.turn") - F.col("b.turn")).alias("gap")).groupBy("gap").count().collect()
+    assert {x["gap"]: x["count"] for x in gaps} == {1: 96_000, 2: 1_999}
+
+
 def test_chat_with_clashing_columns_and_long_texts(spark):
     long = "<s> [INST] \\ " * 40_000
     rows = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", long), (2, 0, "assistant", None), (2, 1, "user", "")], "conv_id long, turn long, role string, text string")

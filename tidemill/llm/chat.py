@@ -27,6 +27,37 @@ def unescaped(text: str) -> str:
     return re.sub(r"\\(.)", lambda m: {"-": "", "n": "\n"}.get(m[1], m[1]), text, flags=re.S)
 
 
+def dealt(rows: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """``rows``, written in ranges of ``by``, with the number of the range in ``__task``."""
+    return written(rows.repartitionByRange(*by).withColumn("__task", F.spark_partition_id()), name)
+
+
+def carried(ends: DataFrame, group: str, what: str, add: bool) -> DataFrame:
+    """``__task, __group, __before`` from ``ends``, a row per range and group: ``what`` of the group's last range before, or of all of them, added up.
+
+    A range goes on with one group of earlier ranges at most, so the result
+    has a row per range at most, and is broadcast.
+    """
+    along = Window.partitionBy(group).orderBy("__task")
+    before = F.sum(what).over(along.rowsBetween(Window.unboundedPreceding, -1)) if add else F.lag(what).over(along)
+    found = ends.select("__task", F.col(group).alias("__group"), before.alias("__before")).where("__before is not null")
+    return F.broadcast(found.withColumnRenamed("__task", "__range"))
+
+
+def _continued(rows: DataFrame, before: DataFrame, group: str) -> DataFrame:
+    same = (F.col("__task") == F.col("__range")) & F.col(group).eqNullSafe(F.col("__group"))
+    return rows.join(before, same, "left").drop("__range", "__group", "__task")
+
+
+def numbered(rows: DataFrame, group: str, order: list[Column], name: str = "ranked") -> DataFrame:
+    """``rows`` with ``rank`` from 1 within ``group``, which may hold most of them: ranges are numbered apart and shifted by the sizes of those before."""
+    parts = dealt(rows, [F.col(group), *order], name)
+    inside = F.row_number().over(Window.partitionBy("__task", group).orderBy(*order))
+    sizes = parts.groupBy("__task", group).agg(F.count("*").alias("__n"))
+    before = carried(sizes, group, "__n", add=True)
+    return _continued(parts.withColumn("rank", inside), before, group).withColumn("rank", F.col("rank") + F.coalesce("__before", F.lit(0)).cast("int")).drop("__before")
+
+
 def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
     """``leaf, node, depth, rank, path_score`` for every node of each chosen root-to-leaf path.
 
@@ -50,8 +81,7 @@ def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
         reach = written(reach.select(*columns), "reach")
         settled, moving = settled.union(reach.where("far is null")), reach.where("far is not null")
     leaves = settled.join(linked.select(F.col("parent").alias("node")).distinct(), "node", "left_anti")
-    rank = F.row_number().over(Window.partitionBy("root").orderBy(F.desc("total"), "node"))
-    leaves = leaves.withColumn("rank", rank)
+    leaves = numbered(leaves, "root", [F.desc("total"), F.col("node")])
     if top is not None:
         leaves = leaves.where(F.col("rank") <= top)
     chosen = written(leaves.select(F.col("node").alias("leaf"), "rank", F.col("total").alias("path_score")), "leaves")
@@ -114,8 +144,14 @@ def threads(rows: DataFrame, tree: str = "conv_id", turn: str = "turn") -> DataF
     """Rows of linear conversations as reply trees: each replies to the one before it by ``turn``, then role and text.
 
     Adds ``node`` and ``parent``. Rows of a null key are a conversation of
-    their own, and repeated rows are turns each.
+    their own, and repeated rows are turns each. Rows are dealt out in ranges,
+    so a conversation that holds most of them is many tasks'; the first row of
+    a range replies to the last one of the range before. Rows of one turn and
+    role whose texts begin alike stay together.
     """
-    numbered = written(rows.withColumn("node", F.monotonically_increasing_id()), "messages")
-    before = F.lag("node").over(Window.partitionBy(tree).orderBy(turn, "role", "text", "node"))
-    return numbered.withColumn("parent", before)
+    order = [F.col(tree), F.col(turn), F.col("role"), F.substring("text", 1, 32)]
+    parts = dealt(rows.withColumn("node", F.monotonically_increasing_id()), order, "messages")
+    inside = F.lag("node").over(Window.partitionBy("__task", tree).orderBy(turn, "role", "text", "node"))
+    last = parts.groupBy("__task", tree).agg(F.max_by("node", F.struct(turn, "role", "text", "node")).alias("__last"))
+    linked = _continued(parts.withColumn("parent", inside), carried(last, tree, "__last", add=False), tree)
+    return linked.withColumn("parent", F.coalesce("parent", "__before")).drop("__before")

@@ -9,14 +9,16 @@ the k-th best exact score are looked at again with the original numbers.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import ARROW_BYTES, written
 
 #: Bits of a code for each number of a vector: it is padded with zeros before the rotation, and errors shrink as the root of this.
 EXPAND = 4
@@ -24,10 +26,13 @@ EXPAND = 4
 EPSILON = 2.0
 #: Single-precision scores of unit vectors are off by less than this.
 ROUNDING = 1e-4
+#: Blocks are long rows: few of them in a batch.
+FEW_ROWS = {ARROW_BYTES: str(1 << 23), "spark.sql.parquet.columnarReaderBatchSize": "4"}
 #: Signs of the eight bits of each byte, the highest bit first.
 SIGNS = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32) * 2 - 1).T
 
 
+@functools.cache
 def rotation(dim: int, seed: int = 7) -> np.ndarray:
     """A random rotation of ``EXPAND dim`` dimensions, up to a multiple of 8, cut to vectors of ``dim``; the same in every task."""
     wide = -(-EXPAND * dim // 8) * 8
@@ -104,79 +109,74 @@ def usable(table: DataFrame, key: str, vector: str) -> DataFrame:
     return table.where(fine).groupBy(F.col(key).cast("long").alias("vec_id")).agg(F.min(v).alias("vec")).withColumn("dim", F.size("vec"))
 
 
-def nearest(table: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: str = "embedding", block: int = 16384, queries_block: int = 1024) -> DataFrame:
+def nearest(table: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: str = "embedding", block: int = 16384, queries_block: int = 16384) -> DataFrame:
     """Per query its ``k`` nearest other rows: ``query_id, rank, vec_id, score``.
 
-    Codes and vectors are packed into blocks of about ``block`` rows, queries
-    into blocks of about ``queries_block``; each pair of blocks is one unit of
-    work, which gives ``k`` rows a query at most, and those are merged per
-    query. Each query is scored against one block first, and its k-th best
-    score there is a threshold in all others. Memory is bounded by the two
-    block sizes. Null keys, and vectors that are null, zero, or hold null or
-    non-finite numbers, take no part; keys are taken as unique, so rows of one
-    key count once; vectors are compared with those of their own length, in
-    the precision that they have. Score ties go to the smaller key; an empty
-    table gives no rows.
+    Codes, norms and vectors are packed into blocks of about ``block`` rows,
+    which stay where they are: queries come to them, about ``queries_block``
+    at a time by broadcast, each time in a pass over all blocks. A task keeps
+    the ``k`` best of each query over its blocks, and the last of them is the
+    threshold for the next block; so it sends ``k`` rows a query, and those of
+    all tasks are merged. Memory is bounded by the two sizes. Null keys, and
+    vectors that are null, zero, or hold null or non-finite numbers, take no
+    part; keys are taken as unique, so rows of one key count once; vectors are
+    compared with those of their own length, in the precision that they have.
+    Score ties go to the smaller key; an empty table gives no rows.
     """
     vectors = written(usable(table, key, vector), "vectors")
     kind = np.float64 if "double" in vectors.schema["vec"].dataType.simpleString() else np.float32
     rows, asked = vectors.agg(F.count("*"), F.count_if(is_query(F.col("vec_id")))).first()
     parts, asks = max(1, -(-rows // block)), max(1, -(-asked // queries_block))
 
-    def pack(keys: tuple, group: pa.Table) -> pa.Table:
-        v = np.ascontiguousarray(_matrix(group["vec"].combine_chunks()), kind)
-        bits, fit = encoded(units(v)[0], rotation(v.shape[1]))
-        return pa.table({"dim": pa.array([v.shape[1]], pa.int32()), "part": pa.array([keys[1].as_py()], pa.int32()), "ids": [np.asarray(group["vec_id"], np.int64).tobytes()], "vecs": [v.tobytes()], "bits": [bits.tobytes()], "fit": [fit.tobytes()]})
-
-    def pack_queries(keys: tuple, group: pa.Table) -> pa.Table:
-        v = np.ascontiguousarray(_matrix(group["vec"].combine_chunks()), kind)
-        return pa.table({"dim": pa.array([v.shape[1]], pa.int32()), "ask": pa.array([keys[1].as_py()], pa.int32()), "qids": [np.asarray(group["vec_id"], np.int64).tobytes()], "qvecs": [v.tobytes()]})
-
     def numbered(n: int):
         return F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
 
-    def unpacked(batch: pa.RecordBatch, row: int):
-        of = lambda c, t: np.frombuffer(batch[c][row].as_buffer(), t)
-        dim = batch["dim"][row].as_py()
-        return of, of("ids", np.int64), of("vecs", kind).reshape(-1, dim), of("qids", np.int64), of("qvecs", kind).reshape(-1, dim)
+    def pack(keys: tuple, group: pa.Table) -> pa.Table:
+        v = np.ascontiguousarray(_matrix(group["vec"].combine_chunks()), kind)
+        unit, norms = units(v)
+        bits, fit = encoded(unit, rotation(v.shape[1]))
+        return pa.table({"dim": pa.array([v.shape[1]], pa.int32()), "ids": [np.asarray(group["vec_id"], np.int64).tobytes()], "vecs": [v.tobytes()], "bits": [bits.tobytes()], "fit": [fit.tobytes()], "norms": [norms.tobytes()]})
 
-    blocks = vectors.withColumn("part", numbered(parts)).groupBy("dim", "part").applyInArrow(pack, "dim int, part int, ids binary, vecs binary, bits binary, fit binary")
+    blocks = vectors.withColumn("part", numbered(parts)).groupBy("dim", "part").applyInArrow(pack, "dim int, ids binary, vecs binary, bits binary, fit binary, norms binary")
     blocks = written(blocks, "codes")
-    questions = vectors.where(is_query(F.col("vec_id"))).withColumn("ask", numbered(asks)).groupBy("dim", "ask").applyInArrow(pack_queries, "dim int, ask int, qids binary, qvecs binary")
-    questions = written(questions, "queries")
-
-    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                _, ids, vecs, qids, qvecs = unpacked(batch, row)
-                (unit, norms), (asked_, length) = units(vecs), units(qvecs)
-                floors = np.full(len(qids), -np.inf)
-                for q in range(len(qids)):
-                    others = ids != qids[q]
-                    if others.sum() >= k:
-                        floors[q] = np.partition((unit[others] @ asked_[q]) * norms[others] * length[q], -k)[-k] - ROUNDING * norms.max() * length[q]
-                yield pa.RecordBatch.from_arrays([batch["dim"].slice(row, 1), batch["ask"].slice(row, 1), pa.array([floors.tobytes()])], names=["dim", "ask", "floors"])
-
-    if parts > 1:
-        floors = questions.join(blocks.where("part = 0"), "dim").select("dim", "ask", "ids", "vecs", "qids", "qvecs").mapInArrow(begin, "dim int, ask int, floors binary")
-        questions = questions.join(written(floors, "floors"), ["dim", "ask"], "left")
-    else:
-        questions = questions.withColumn("floors", F.lit(None).cast("binary"))
-    pairs = questions.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(blocks, ["dim", "part"])
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                of, ids, vecs, qids, qvecs = unpacked(batch, row)
-                turn, bits, fit = rotation(vecs.shape[1]), of("bits", np.uint8).reshape(len(ids), -1), of("fit", np.float32)
-                (unit, norms), (asked_, length), wide = units(vecs), units(qvecs), errors(fit, turn.shape[1])
-                floors = of("floors", np.float64) if batch["floors"][row].is_valid else np.full(len(qids), -np.inf)
-                for at in range(0, len(qids), 64):
-                    guess = estimates(asked_[at : at + 64], turn, bits, fit)
-                    found = [(qids[q], *best_in_block(qvecs[q], qids[q], guess[q - at] * norms * length[q], wide * norms * length[q], ids, vecs, unit, norms, k, floors[q])) for q in range(at, min(at + 64, len(qids)))]
-                    n = [len(x[1]) for x in found]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat([x[0] for x in found], n).astype(np.int64)), pa.array(np.concatenate([x[1] for x in found])), pa.array(np.concatenate([x[2] for x in found])), pa.array(np.repeat([x[3] / max(1, len(ids)) for x in found], n))], names=["query_id", "vec_id", "score", "looked"])
-
-    near = pairs.select("dim", "ids", "vecs", "bits", "fit", "qids", "qvecs", "floors").mapInArrow(search, "query_id long, vec_id long, score double, looked double")
+
+    def found_by(shared):
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best: dict[int, list] = {}
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    if (dim := batch["dim"][row].as_py()) not in shared.value:
+                        continue
+                    of = lambda c, t: np.frombuffer(batch[c][row].as_buffer(), t)  # noqa: B023, E731
+                    ids, vecs, fit, norms = of("ids", np.int64), of("vecs", kind).reshape(-1, dim), of("fit", np.float32), of("norms", np.float64)
+                    bits, turn, unit = of("bits", np.uint8).reshape(len(ids), -1), rotation(dim), (vecs / norms[:, None]).astype(np.float32)
+                    qids, qvecs = shared.value[dim]
+                    (asked_, length), wide = units(qvecs), errors(fit, turn.shape[1])
+                    known = best.setdefault(dim, [(np.zeros(0, np.int64), np.zeros(0), 0, 0)] * len(qids))
+                    for at in range(0, len(qids), 64):
+                        guess = estimates(asked_[at : at + 64], turn, bits, fit)
+                        for q in range(at, min(at + 64, len(qids))):
+                            mine, scores, looked, seen = known[q]
+                            floor = scores[-1] if len(scores) == k else -np.inf
+                            near, more, n = best_in_block(qvecs[q], qids[q], guess[q - at] * norms * length[q], wide * norms * length[q], ids, vecs, unit, norms, k, floor)
+                            mine, scores = np.concatenate([mine, near]), np.concatenate([scores, more])
+                            order = np.lexsort((mine, -scores))[:k]
+                            known[q] = mine[order], scores[order], looked + n, seen + len(ids)
+            for dim, known in best.items():
+                qids = shared.value[dim][0]
+                for at in range(0, len(known), 1024):
+                    some = known[at : at + 1024]
+                    n = [len(x[0]) for x in some]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids[at : at + 1024], n)), pa.array(np.concatenate([x[0] for x in some])), pa.array(np.concatenate([x[1] for x in some])), pa.array(np.repeat([x[2] / max(1, x[3]) for x in some], n))], names=["query_id", "vec_id", "score", "looked"])
+
+        return search
+
+    found = []
+    for ask in range(asks):
+        some = vectors.where(is_query(F.col("vec_id")) & (numbered(asks) == ask)).toArrow()  # queries_block rows on average
+        dims = np.asarray(some["dim"])
+        questions = {int(d): (np.asarray(mine["vec_id"], np.int64), np.ascontiguousarray(_matrix(mine["vec"].combine_chunks()), kind)) for d in np.unique(dims) for mine in [some.filter(pa.array(dims == d))]}
+        shared = table.sparkSession.sparkContext.broadcast(questions)
+        found.append(written(blocks.mapInArrow(found_by(shared), "query_id long, vec_id long, score double, looked double"), "near", FEW_ROWS))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "looked")
+    return reduce(DataFrame.union, found).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "looked")

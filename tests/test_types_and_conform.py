@@ -116,3 +116,12 @@ def test_union_refuses_drift(spark):
     assert conform.merged(a, a).count() == 2
     with pytest.raises(SchemaError):
         conform.merged(a, a.select(F.col("x").cast("int")))
+
+
+def test_both_reports_agree(spark):
+    spec = TableSpec("r", (tag("a", "Int8"), field("b", "Bool"), field("c", "TimestampSecond"), field("missing", "String"), timestamp("ts")))
+    rows = spark.sql("select * from values (1L, 'x', '2024-01-01', 1L), (300L, null, 'no', 2L), (null, 'y', '2024-13-01', null), (-400L, 'z', null, 3L) as t(a, b, c, ts)")
+    for df in (rows, rows.limit(0)):
+        plain = conform.rejection_report(conform.judged(df, spec), "r")
+        assert sorted(map(tuple, conform.rejections(df, spec).collect())) == sorted(map(tuple, plain.collect()))
+    assert {(r["column_name"], r["reason"], r["rejected"], r["sample"]) for r in conform.rejections(rows, spec).collect()} == {("a", "range", 2, "-400"), ("b", "type:string", 3, "x"), ("c", "invalid_date", 2, "2024-13-01")}

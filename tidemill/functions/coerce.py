@@ -31,7 +31,15 @@ def _judged(x: Column, ok: Column, value: Column, reason: str) -> tuple[Column,
 
 
 def _refused(x: Column, target: ColumnType, source: S.DataType) -> tuple[Column, Column]:
-    return F.lit(None).cast(target.spark), F.when(x.isNotNull(), F.lit(f"type:{source.simpleString().partition('(')[0].partition('<')[0]}"))
+    return F.lit(None).cast(target.spark), F.when(x.isNotNull(), F.lit(type_reason(source)))
+
+
+def type_reason(source: S.DataType) -> str:
+    return f"type:{source.simpleString().partition('(')[0].partition('<')[0]}"
+
+
+#: Why a cell can be rejected, besides for its type.
+REASONS = ("range", "invalid_date")
 
 
 def integral(x: Column, source: S.DataType, low: int, high: int) -> Column | None:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DataType
 
-from ..functions.coerce import coerced
+from ..functions.coerce import REASONS, coerced, type_reason
 from ..functions.types import SchemaError
 from .spec import ColumnSpec, TableSpec
 
@@ -96,6 +96,18 @@ def rejection_report(judged_rows: DataFrame, table: str) -> DataFrame:
     return each.groupBy(F.lit(table).alias("table_name"), F.col("column").alias("column_name"), "reason").agg(F.count("*").alias("rejected"), F.min("raw").alias("sample"))
 
 
+def rejections(df: DataFrame, spec: TableSpec, by: str = "name", profile: str = "row") -> DataFrame:
+    """``rejection_report`` of rows that are not judged yet: counts and samples of each column and reason side by side, in one aggregation without a key."""
+    kept, cells = [], []
+    for (c, _, error, x), (_, name) in zip(_pairs(df, spec, by, profile), _sources(df, spec, by), strict=True):
+        for reason in (*REASONS, type_reason(df.schema[name].dataType)) if name is not None else ():
+            hit, at = F.coalesce(error == reason, F.lit(False)), len(kept)
+            cells += [F.count_if(hit).alias(f"n{at}"), F.min(F.when(hit, x.cast("string"))).alias(f"s{at}")]
+            kept.append((c.name, reason))
+    each = F.array(*(F.struct(F.lit(spec.name).alias("table_name"), F.lit(name).alias("column_name"), F.lit(reason).alias("reason"), F.col(f"n{k}").alias("rejected"), F.col(f"s{k}").alias("sample")) for k, (name, reason) in enumerate(kept)))
+    return df.agg(*cells).select(F.explode(each).alias("x")).select("x.*").where("rejected > 0")
+
+
 def merged(*batches: DataFrame) -> DataFrame:
     """Union of batches whose columns have the same names, order and types; drift is an error."""
     first = batches[0]

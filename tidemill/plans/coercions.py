@@ -188,7 +188,7 @@ SELECT 'priced' AS table_name, column_name, reason, count(*) AS rejected, min(ra
 ) GROUP BY ALL
 """)
 def rejection_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform.rejection_report(_priced(spark, sf_dir), "priced")
+    return conform.rejections(_priced_rows(spark, sf_dir), PRICED)
 
 
 @query("""

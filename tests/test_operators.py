@@ -22,10 +22,11 @@ def points(spark, n=10, **more):
 
 
 def test_acks(spark):
-    good = ['{"request_id":1,"affected_rows":5}', '{"request_id":1.0,"affected_rows":1e2}', '{"request_id":0,"affected_rows":9007199254740991,"x":[]}']
+    good = ['{"request_id":1,"affected_rows":5}', '{"request_id":1.0,"affected_rows":1e2}', '{"request_id":0,"affected_rows":9007199254740991,"x":[]}', '{"request_id":null,"affected_rows":3,"request_id":8}']
     bad = ["", "x", "[1]", "{}", '{"request_id":1}', '{"request_id":"1","affected_rows":5}', '{"request_id":1,"affected_rows":null}', '{"request_id":1,"affected_rows":1.5}', '{"request_id":-1,"affected_rows":5}', '{"request_id":1,"affected_rows":9007199254740992}', '{"request_id":true,"affected_rows":1}', None]
     df = spark.createDataFrame([(i, b) for i, b in enumerate(good + bad)], "seq long, body string")
-    assert [r["well_formed"] for r in ledger.read_acks(df).orderBy("seq").collect()] == [True] * 3 + [False] * len(bad)
+    assert ledger.read_acks(df).where("seq = 3").first()["request_id"] == 8
+    assert [r["well_formed"] for r in ledger.read_acks(df).orderBy("seq").collect()] == [True] * 4 + [False] * len(bad)
 
 
 def test_ledger_counts_and_verdicts(spark):

@@ -323,6 +323,23 @@ def test_requests_time_out_on_the_stream(spark, tmp_path):
     assert late == {r["request_id"] for r in batch.collect()}
 
 
+def test_the_earliest_row_survives(spark, tmp_path):
+    r = random.Random(8)
+    batches = [[(r.choice("abcd") if r.random() < 0.9 else None, 1000 * k + r.randrange(-300, 900), n) for n in range(60)] for k in range(4)]
+    frames = [spark.createDataFrame(b, "k string, s long, n long").withColumn("ts", F.timestamp_seconds("s")) for b in batches]
+    files = mixed_files(spark, tmp_path, frames)
+    got = jobs.earliest_stream(jobs.file_stream(spark, files, files_per_batch=1), "ts", ["k"], "700 seconds").collect()
+    want = []
+    for batch in batches:
+        first = {}
+        for k, s, n in sorted(batch, key=lambda x: (x[1], x[2])):
+            first.setdefault(k, (k, s, n))
+        want += [x for x in first.values() if not any(x[0] == k and x[1] <= s + 700 for k, s, _ in list(want))]
+    assert sorted(((x["k"], x["s"], x["n"]) for x in got), key=repr) == sorted(want, key=repr)
+    once = jobs.dedup_stream(jobs.file_stream(spark, files), "ts", ["k"], "2 hours")
+    assert sorted((x["k"] for x in once.collect()), key=repr) == sorted({k for b in batches for k, _, _ in b}, key=repr)
+
+
 def test_bytes_bound_a_micro_batch(spark, tmp_path):
     files = mixed_files(spark, tmp_path, [points(spark, 50)] * 3)
     rows, counted = jobs.append_stream(jobs.file_stream(spark, files, bytes_per_batch=1000), SPEC)

@@ -21,8 +21,17 @@ def _whole(body: Column, key: str) -> Column:
 
 
 def read_acks(acks: DataFrame, body: str = "body") -> DataFrame:
-    """``acks`` with ``request_id``, ``affected_rows`` and ``well_formed``; the two are null unless both are well formed."""
-    out = acks.withColumns({"__id": _whole(F.col(body), "request_id"), "__rows": _whole(F.col(body), "affected_rows")})
+    """``acks`` with ``request_id``, ``affected_rows`` and ``well_formed``; the two are null unless both are well formed.
+
+    Of a key that a body repeats the last value counts, as JSON parsers have it.
+    """
+    spark, repeats = acks.sparkSession, "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(repeats, None)
+    try:
+        spark.conf.set(repeats, "true")  # read when the expression is analysed, which is here
+        out = acks.withColumns({"__id": _whole(F.col(body), "request_id"), "__rows": _whole(F.col(body), "affected_rows")})
+    finally:
+        spark.conf.unset(repeats) if before is None else spark.conf.set(repeats, before)
     fine = F.col("__id").isNotNull() & F.col("__rows").isNotNull()
     return out.withColumns({"request_id": F.when(fine, F.col("__id")), "affected_rows": F.when(fine, F.col("__rows")), "well_formed": fine}).drop("__id", "__rows")
 

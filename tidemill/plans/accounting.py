@@ -87,23 +87,23 @@ def bulk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH bodies AS (SELECT o_orderkey AS seq, o_custkey, CASE o_orderkey % 11
+WITH bodies AS (SELECT o_orderkey AS seq, o_custkey, CASE o_orderkey % 12
   WHEN 0 THEN '{"request_id":' || o_orderkey || ',"affected_rows":' || o_custkey || '}'
   WHEN 1 THEN '{"request_id":' || o_orderkey || '.0,"affected_rows":1e2}'
   WHEN 2 THEN '{"request_id":"' || o_orderkey || '","affected_rows":1}' WHEN 3 THEN '{"request_id":' || o_orderkey || '}'
   WHEN 4 THEN '{"request_id":' || o_orderkey || ',"affected_rows":1.5}' WHEN 5 THEN '{"request_id":' || o_orderkey || ',"affected_rows":-1}'
   WHEN 6 THEN '[' || o_orderkey || ',1]' WHEN 7 THEN '' WHEN 8 THEN 'not json' WHEN 9 THEN '{"request_id":' || o_orderkey || ',"affected_rows":null}'
-  ELSE '{"request_id":' || o_orderkey || ',"affected_rows":9007199254740992}' END AS body FROM orders)
-SELECT seq, seq % 11 IN (0, 1) AS well_formed, CASE WHEN seq % 11 IN (0, 1) THEN seq END AS request_id, CASE seq % 11 WHEN 0 THEN o_custkey WHEN 1 THEN 100 END AS affected_rows FROM bodies
+  WHEN 10 THEN '{"request_id":' || o_orderkey || ',"affected_rows":9007199254740992}' ELSE '{"request_id":"x","affected_rows":7,"request_id":' || o_orderkey || '}' END AS body FROM orders)
+SELECT seq, seq % 12 IN (0, 1, 11) AS well_formed, CASE WHEN seq % 12 IN (0, 1, 11) THEN seq END AS request_id, CASE seq % 12 WHEN 0 THEN o_custkey WHEN 1 THEN 100 WHEN 11 THEN 7 END AS affected_rows FROM bodies
 """)
 def ack_wellformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = F.expr("""CASE o_orderkey % 11
+    body = F.expr("""CASE o_orderkey % 12
       WHEN 0 THEN '{"request_id":' || o_orderkey || ',"affected_rows":' || o_custkey || '}'
       WHEN 1 THEN '{"request_id":' || o_orderkey || '.0,"affected_rows":1e2}'
       WHEN 2 THEN '{"request_id":"' || o_orderkey || '","affected_rows":1}' WHEN 3 THEN '{"request_id":' || o_orderkey || '}'
       WHEN 4 THEN '{"request_id":' || o_orderkey || ',"affected_rows":1.5}' WHEN 5 THEN '{"request_id":' || o_orderkey || ',"affected_rows":-1}'
       WHEN 6 THEN '[' || o_orderkey || ',1]' WHEN 7 THEN '' WHEN 8 THEN 'not json' WHEN 9 THEN '{"request_id":' || o_orderkey || ',"affected_rows":null}'
-      ELSE '{"request_id":' || o_orderkey || ',"affected_rows":9007199254740992}' END""")
+      WHEN 10 THEN '{"request_id":' || o_orderkey || ',"affected_rows":9007199254740992}' ELSE '{"request_id":"x","affected_rows":7,"request_id":' || o_orderkey || '}' END""")
     acks = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("seq"), body.alias("body"))
     return ledger.read_acks(acks).select("seq", "well_formed", "request_id", "affected_rows")
 

@@ -31,10 +31,10 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("event_type", F.coalesce("accepted", F.lit(0)).cast("long").alias("accepted"), F.coalesce("dead", F.lit(0)).cast("long").alias("dead"))
 
 
-@query("SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events")
+@query("SELECT user_id, event_type, date_trunc('hour', ts) AS hour, min(ts) AS ts, arg_min(event_id, (ts, event_id)) AS event_id FROM events GROUP BY ALL")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stream(spark, sf_dir, "events", "ts").withColumn("hour", F.date_trunc("hour", "ts")).select("user_id", "event_type", "hour", "ts")
-    return jobs.dedup_stream(rows, "ts", ["user_id", "event_type", "hour"], "31 days").drop("ts")
+    rows = _stream(spark, sf_dir, "events", "ts").withColumn("hour", F.date_trunc("hour", "ts")).select("user_id", "event_type", "hour", "ts", "event_id")
+    return jobs.earliest_stream(rows, "ts", ["user_id", "event_type", "hour"], "31 days")
 
 
 @query("SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start, event_type, count(*) AS events, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY ALL")

@@ -8,6 +8,7 @@ failure replaces its own earlier output, which is filed under its number.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,34 @@ def dedup_stream(stream: DataFrame, ts: str, keys: list[str], late: str) -> Data
     return spark.read.schema(once.schema).parquet(f"{root}/data").select(*once.columns)
 
 
+def earliest_stream(stream: DataFrame, ts: str, keys: list[str], late: str) -> DataFrame:
+    """``dedup_stream`` with a defined survivor: of the rows of a key that a micro-batch has, the least by ``ts`` and then by the other columns.
+
+    A key is dropped if a micro-batch before has written it with a time not
+    more than ``late`` before. What is known of keys is the output itself, of
+    which a micro-batch reads the keys that are recent enough; null keys are
+    keys like others. Rows without a time are left out.
+    """
+    spark = stream.sparkSession
+    root = scratch_folder(spark, "earliest")
+    rest = [c for c in stream.columns if c not in (ts, *keys)]
+    spark.createDataFrame([], stream.schema).write.parquet(f"{root}/data/batch=-1")
+    stored = StructType([*stream.schema]).add("batch", LongType())
+
+    def one(rows: DataFrame, number: int) -> None:
+        low = rows.agg(F.min(ts)).first()[0]
+        first = rows.where(F.col(ts).isNotNull()).groupBy(*keys).agg(F.min(F.struct(ts, *rest)).alias("__row")).select(*keys, "__row.*").select(*stream.columns)
+        since = F.lit(low) - F.expr(f"interval {late}")
+        known = spark.read.schema(stored).parquet(f"{root}/data").where((F.col("batch") < number) & (F.col(ts) >= since))
+        known = known.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(ts).alias("__at"))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        fresh = first.join(known, same & (F.col(ts) <= F.col("__at") + F.expr(f"interval {late}")), "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{root}/data/batch={number}")
+
+    run(stream, one, f"{root}/checkpoint")
+    return spark.read.schema(stored).parquet(f"{root}/data").drop("batch")
+
+
 def flow(stream: DataFrame, ts: str, by: list[str], expire_after: str, window: str, slide: str | None, measures: dict[str, Column], every: str | None = None) -> DataFrame:
     """A continuous aggregate: ``measures`` per window and ``by``; the last version of each window, from updates filed by micro-batch.
 

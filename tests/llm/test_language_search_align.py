@@ -147,6 +147,12 @@ def test_search_against_brute_force(spark, monkeypatch):
     assert lexical.ranked(empty_docs(spark), asked).count() == 0 and lexical.ranked(docs, empty_docs(spark), item_key="doc_id").count() == 0
 
 
+def test_search_by_text_keys(spark):
+    docs = spark.createDataFrame([("b", "red fox"), ("a", "red fox"), ("c", "blue")], "doc_id string, text string").repartition(6)
+    items = spark.createDataFrame([("q", "fox")], "item_id string, text string")
+    assert [tuple(r)[:3] for r in lexical.ranked(docs, items).orderBy("rank").collect()] == [("q", 1, "a"), ("q", 2, "b")]
+
+
 def test_nra_stops_at_resolved_scores_and_keeps_ties():
     r = np.random.default_rng(1)
     for trial in range(60):

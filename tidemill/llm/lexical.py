@@ -186,8 +186,8 @@ def found_in(slices: DataFrame, kind: str, numbers: list[int], asked, n: int, to
                         own.sort(key=_order)
                         del own[k:]
         rows = [(number, doc, score) for number, own in zip(numbers, best, strict=True) for score, doc in own]
-        columns = [*zip(*rows, strict=True)] or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), key, pa.int64()), strict=True)], names=["number", "id", "score"])
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), key, pa.int64()), strict=True)], names=["number", "id", "score"])
 
     return slices.mapInArrow(search, f"number long, id {kind}, score long")
 

@@ -69,7 +69,7 @@ def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
     ties to the smaller leaf; ``top`` keeps the first ones, None all.
     """
     known = nodes.select(F.col("node").alias("parent")).distinct()
-    linked = nodes.where("parent is not null").join(known, "parent", "left_semi").select("node", "parent")
+    linked = written(nodes.where("parent is not null").join(known, "parent", "left_semi").select("node", "parent"), "links")
     state = nodes.select("node", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("total")).join(linked, "node", "left")
     state = written(state.select("node", F.col("parent").alias("far"), F.coalesce("parent", "node").alias("root"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"), "total"), "reach")
     columns, jumps, limit = state.columns, [], state.count()

@@ -9,7 +9,7 @@ from tests.conftest import SF
 from tidemill.functions.types import SchemaError
 from tidemill.operators import failures, ledger, mutate, nested, timeseries
 from tidemill.operators.spec import TableSpec, field, tag, timestamp
-from tidemill.plans import coercions, streams
+from tidemill.plans import coercions, reads, streams
 from tidemill.sources import catalog, generate
 from tidemill.sources.store import StateError, StreamWriter, TableStore, WriteError, scratch_folder
 from tidemill.streaming import jobs, timers
@@ -184,6 +184,19 @@ def test_nested(spark):
     assert tuple(nested.promoted(keys, "j", {"http.method": "string", "a b": "int", "it's": "int"}).drop("j").first()) == ("GET", 1, 2)
 
 
+def test_conform_nested_on_wide_numbers(spark, tmp_path):
+    keys = [0, 1, 699, 700, 6121, 6122, 9922, 9923, 9924, 14999]
+    spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    for r in reads.conform_nested(spark, str(tmp_path)).collect():
+        k, n = keys[r["o_orderkey"]], (keys[r["o_orderkey"]] - 700) * 10**15 * 2**64 + (r["o_orderkey"] - 1000) % 2**64
+        digits = f"{abs(n):039d}"
+        fits = k <= 9923  # what is beyond has no 128 bits
+        assert (r["wide"], r["scaled"]) == ((str(n), f"{'-' if n < 0 else ''}{digits[:35]}.{digits[35:]}") if fits else (None, None))
+    edges = [(-(2**63), 0), (-(2**63), -1), (2**63 - 1, -1), (-1, -1), (0, 0), (None, 1)]
+    rows = spark.createDataFrame(edges, "h long, l long").select(nested.decimal_text(F.col("h"), F.col("l"), 0)).collect()
+    assert [r[0] and int(r[0]) for r in rows] == [None if h is None else h * 2**64 + low % 2**64 for h, low in edges]
+
+
 def test_nested_conforming(spark):
     df = spark.sql("select array(1, 2) as good, array(1, 300) as bad, named_struct('a', 1.5D, 'b', array('x')) as s, '[1, {}]' as j, 'x' as nj, 12 as m, 5.25BD as d, array(1.0F, 2.0F) as v")
 

@@ -22,20 +22,27 @@ def dense(values: str, mask: str, size: str) -> Column:
     return F.expr(f"if({size} = 0, slice({values}, 1, 0), transform(array_sort(concat({held}, {gaps})), x -> x.v))")
 
 
-def decimal_of(high: Column, low: Column, scale: int, precision: int = 38) -> tuple[Column, Column]:
-    """((high 2^64 + unsigned low) / 10^scale as an exact decimal, reason): refused as ``range`` beyond ``precision`` digits."""
+def decimal_text(high: Column, low: Column, scale: int) -> Column:
+    """All 39 digits of (high 2^64 + unsigned low) / 10^scale as text, the point before the last ``scale``: exact for each number of 128 bits, also those beyond Spark's 38 digits."""
     low, step, limb = low.cast("decimal(20,0)"), F.expr("18446744073709551616BD"), 10**9
     unsigned = F.when(low < 0, low + step).otherwise(low)
     rest = F.pmod(high, F.lit(limb))
-    upper = F.call_function("div", high - rest, F.lit(limb)).cast("decimal(11,0)")
+    # Division truncates, so a high near the least long has no room for taking the rest away first.
+    whole = F.call_function("div", high, F.lit(limb))
+    upper = (whole - F.when(high < whole * limb, 1).otherwise(0)).cast("decimal(11,0)")
     # Spark rounds products to 34 digits, so the last nine are kept apart: upper 2^64 + first is the rest of the number.
     lower = F.lpad((rest.cast("decimal(9,0)") * step + unsigned).cast("decimal(30,0)").cast("string"), 39, "0")
     first, last = F.substr(lower, F.lit(1), F.lit(30)).cast("decimal(30,0)"), F.substr(lower, F.lit(31)).cast("long")
     most = (upper * step + first).cast("decimal(31,0)")
     borrow = (most < 0) & (last > 0)
     digits = F.concat(F.lpad(F.abs(most + borrow.cast("int")).cast("decimal(31,0)").cast("string"), 30, "0"), F.lpad(F.when(borrow, limb - last).otherwise(last).cast("string"), 9, "0"))
-    text = F.concat(F.when(most < 0, "-").otherwise(""), F.substr(digits, F.lit(1), F.lit(39 - scale)), F.lit("."), F.substr(digits, F.lit(40 - scale), F.lit(scale)))
-    value = text.try_cast(f"decimal({precision},{scale})")
+    sign = F.when(most < 0, "-").otherwise("")
+    return F.concat(sign, F.substr(digits, F.lit(1), F.lit(39 - scale)), F.lit("."), F.substr(digits, F.lit(40 - scale), F.lit(scale))) if scale else F.concat(sign, digits)
+
+
+def decimal_of(high: Column, low: Column, scale: int, precision: int = 38) -> tuple[Column, Column]:
+    """((high 2^64 + unsigned low) / 10^scale as an exact decimal, reason): refused as ``range`` beyond ``precision`` digits."""
+    value = decimal_text(high, low, scale).try_cast(f"decimal({precision},{scale})")
     return value, F.when(high.isNotNull() & low.isNotNull() & value.isNull(), F.lit("range"))
 
 

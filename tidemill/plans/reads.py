@@ -125,20 +125,20 @@ FROM (SELECT *, lpad(abs(wide)::VARCHAR, 39, '0') AS d FROM (
   SELECT *, (o_custkey - 700)::HUGEINT * 1000000000000000 * 18446744073709551616::HUGEINT + CASE WHEN low < 0 THEN low + 18446744073709551616::HUGEINT ELSE low END AS wide FROM (SELECT *, (o_orderkey - 1000)::HUGEINT AS low FROM orders)))
 """)
 def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of 128 bits, written in full; where the upper half leaves its 64 bits there is no such number, and the row has nulls for it."""
     rows = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey", "(o_custkey - 700) * 1000000000000000L as high", "o_orderkey - 1000 as low", "array(if(o_orderkey % 5 = 0, 300, o_orderkey % 5), null, 127) as small",
+        "o_orderkey", "try_multiply(o_custkey - 700, 1000000000000000L) as high", "o_orderkey - 1000 as low", "array(if(o_orderkey % 5 = 0, 300, o_orderkey % 5), null, 127) as small",
         "named_struct('months', o_orderkey % 12, 'days', if(o_custkey % 3 = 0, 5000000000, 3L)) as every", "o_custkey * 1000 as span",
     )
-    wide, _ = nested.decimal_of(F.col("high"), F.col("low"), 0)
-    scaled, _ = nested.decimal_of(F.col("high"), F.col("low"), 4)
+    wide = F.regexp_replace(nested.decimal_text(F.col("high"), F.col("low"), 0), r"^(-?)0+(?=\d)", "$1")
+    scaled = nested.decimal_text(F.col("high"), F.col("low"), 4)
     _, narrow = nested.decimal_of(F.when(F.col("o_orderkey") % 7 == 0, F.lit(5)).otherwise(F.lit(0)), F.lit(1), 0, 19)
     of = {n: rows.schema[n].dataType for n in ("small", "every", "span")}
     small, small_error = nested.coerced_nested(F.col("small"), of["small"], nested.ListOf("Int8"))
     every, every_error = nested.coerced_nested(F.col("every"), of["every"], nested.Interval("mixed"))
     span, _ = nested.coerced_nested(F.col("span"), of["span"], nested.Interval("micros"))
-    padded = F.lpad(F.regexp_replace(scaled.cast("string"), "^-", ""), 40, "0")
     return rows.select(
-        "o_orderkey", wide.cast("string").alias("wide"), F.concat(F.when(scaled < 0, "-").otherwise(""), padded).alias("scaled"), narrow.alias("too_wide"),
+        "o_orderkey", wide.alias("wide"), scaled.alias("scaled"), narrow.alias("too_wide"),
         F.concat(F.lit("["), F.array_join(small, ", ", "NULL"), F.lit("]")).alias("small"), small_error.alias("small_error"),
         F.coalesce(every["months"], F.col("every.months").cast("int")).cast("long").alias("months"), every_error.alias("every_error"), F.expr("0L").alias("x"), span.alias("span"),
     ).withColumn("span_us", F.expr("cast(extract(DAY from span) as bigint) * 86400000000 + cast(extract(HOUR from span) as bigint) * 3600000000 + cast(extract(MINUTE from span) as bigint) * 60000000 + cast(extract(SECOND from span) * 1000000 as bigint)")).drop("x", "span")

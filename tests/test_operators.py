@@ -149,6 +149,17 @@ def test_bulk_load(spark):
     assert store.read("metrics").columns == SPEC.names and store.read("metrics").count() == 100
 
 
+def test_reconciling_keeps_its_parts(spark):
+    requests = spark.range(100).selectExpr("id as request_id", "id div 7 as batch_id")
+    acks = spark.range(150).selectExpr("id as seq", "if(id % 10 = 0, null, id % 100) as request_id", "if(id % 3 = 0, null, id) as affected_rows", "id % 4 > 0 as ok")
+    found = ledger.reconciled(requests, acks)
+    got = {r["request_id"]: (r["acked_at"], r["affected_rows"], r["ok"]) for r in found.collect()}
+    assert got == {i: (i, None if i % 3 == 0 else i, i % 4 > 0) if i % 10 else (None, None, None) for i in range(100)}
+    big = ledger.reconciled(requests.hint("merge"), acks)
+    assert big.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))  # adaptive merging would leave one
+    assert "SortAggregate" not in big._jdf.queryExecution().toString()
+
+
 def test_mutations(spark):
     df = spark.createDataFrame([(1, None, 5), (2, "a", 6), (3, "b", 7)], "seq long, k string, v long").withColumn("ts", F.timestamp_seconds("seq"))
     assert [r["seq"] for r in mutate.without_keys(df, spark.createDataFrame([(None,), ("b",)], "k string")).collect()] == [2]

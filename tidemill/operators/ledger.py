@@ -36,9 +36,20 @@ def read_acks(acks: DataFrame, body: str = "body") -> DataFrame:
     return out.withColumns({"request_id": F.when(fine, F.col("__id")), "affected_rows": F.when(fine, F.col("__rows")), "well_formed": fine}).drop("__id", "__rows")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """``df`` by ``key`` in ``spark.sql.shuffle.partitions`` parts, which are not merged again.
+
+    For keys that hardly repeat: combining before the shuffle would hold all
+    keys of a file split, and adaptive merging those of a core's whole share.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def first_acks(acks: DataFrame) -> DataFrame:
     """Per request id the ack that arrived first (``seq``): later ones find nothing to resolve."""
-    return acks.where("request_id is not null").groupBy("request_id").agg(F.min_by(F.struct("affected_rows", "ok"), "seq").alias("a"), F.min("seq").alias("acked_at")).select("request_id", "acked_at", "a.*")
+    # By column, not by a struct, for which Spark would sort the rows on either side of the shuffle.
+    rows = dealt(acks.where("request_id is not null").select("request_id", "seq", "affected_rows", "ok"), "request_id")
+    return rows.groupBy("request_id").agg(F.min("seq").alias("acked_at"), *(F.min_by(c, "seq").alias(c) for c in ("affected_rows", "ok")))
 
 
 def reconciled(requests: DataFrame, acks: DataFrame) -> DataFrame:

@@ -28,13 +28,15 @@ rolled AS (
 
 def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey as batch_id", "l_orderkey * 8 + l_linenumber as request_id", "l_partkey as p")
-    return rows.groupBy("batch_id", "request_id").agg(F.min("p").alias("p"))
+    return ledger.dealt(rows, "request_id").groupBy("batch_id", "request_id").agg(F.min("p").alias("p"))
 
 
 def _acks(frames: DataFrame) -> DataFrame:
-    one = frames.where("request_id % 17 <> 0").selectExpr("request_id * 2 as seq", "request_id", "p % 50 as affected_rows", "p % 97 <> 0 as ok")
-    again = frames.where("request_id % 5 = 0").selectExpr("request_id * 2 + 1", "request_id", "1000L", "true")
-    return one.union(again).union(frames.where("request_id % 31 = 0").selectExpr("request_id * 2", "-request_id", "3L", "true"))
+    """Up to three acks of a frame, from one pass over the frames."""
+    return frames.selectExpr("""inline(array_compact(array(
+      if(request_id % 17 <> 0, named_struct('seq', request_id * 2, 'request_id', request_id, 'affected_rows', p % 50, 'ok', p % 97 <> 0), null),
+      if(request_id % 5 = 0, named_struct('seq', request_id * 2 + 1, 'request_id', request_id, 'affected_rows', 1000L, 'ok', true), null),
+      if(request_id % 31 = 0, named_struct('seq', request_id * 2, 'request_id', -request_id, 'affected_rows', 3L, 'ok', true), null))))""")
 
 
 def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:

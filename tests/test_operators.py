@@ -160,6 +160,14 @@ def test_reconciling_keeps_its_parts(spark):
     assert "SortAggregate" not in big._jdf.queryExecution().toString()
 
 
+def test_rollup_and_verdict_plans(spark):
+    found = spark.createDataFrame([(1, 10, None, None, None, 0), (2, None, 5, 1, False, 0), (3, 11, 6, 1, False, 1), (4, 11, 7, 2, False, 1), (5, 12, 8, 2, True, 1)], "request_id long, batch_id long, acked_at long, affected_rows long, ok boolean, load_id long")
+    per = ledger.verdict(found, by=("load_id",))
+    assert sorted(tuple(r) for r in per.collect()) == [(0, 1, 1, 0, 0, "pending", 1, "no ack"), (1, 2, 0, 0, 1, "failed", 11, "frame failed")]
+    assert "Expand" not in per._jdf.queryExecution().toString()
+    assert tuple(ledger.verdict(found.where("false")).first())[:5] == (0, 0, 0, 0, "complete")
+
+
 def test_mutations(spark):
     df = spark.createDataFrame([(1, None, 5), (2, "a", 6), (3, "b", 7)], "seq long, k string, v long").withColumn("ts", F.timestamp_seconds("seq"))
     assert [r["seq"] for r in mutate.without_keys(df, spark.createDataFrame([(None,), ("b",)], "k string")).collect()] == [2]

@@ -92,7 +92,9 @@ def verdict(reconciled_rows: DataFrame, rejected: DataFrame | None = None, by: t
     """
     unanswered = F.when(F.col("acked_at").isNull(), F.col("request_id"))
     bad = F.when(F.col("acked_at").isNotNull() & ~F.coalesce(F.col("ok"), F.lit(True)), F.col("batch_id"))
-    per = reconciled_rows.groupBy(*by).agg(F.count_distinct("batch_id").alias("batches"), F.count(unanswered).alias("pending"), F.min(unanswered).alias("__p"), F.count_distinct(bad).alias("failed"), F.min(bad).alias("__f"))
+    # Batch by batch first: two distinct counts at once would write each row three times.
+    batches = reconciled_rows.groupBy(*by, "batch_id").agg(F.count(unanswered).alias("__n"), F.min(unanswered).alias("__p"), F.min(bad).alias("__f"))
+    per = batches.groupBy(*by).agg(F.count("batch_id").alias("batches"), F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("pending"), F.min("__p").alias("__p"), F.count("__f").alias("failed"), F.min("__f").alias("__f"))
     if rejected is None:
         per = per.withColumns({"rejected": F.lit(0).cast("long"), "__r": F.lit(None).cast("struct<batch_id:bigint,error:string>")})
     else:

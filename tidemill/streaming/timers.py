@@ -53,57 +53,73 @@ def _run_until(out: DataFrame, root: str, ts: str, late: str, until: Column) ->
 
 
 class Answers(StatefulProcessor):
-    """One request: when it was sent, and the earliest acknowledgement; answered, or timed out at its deadline."""
+    """The requests of one slot: when each was sent, and its earliest acknowledgement; answered, or timed out at its deadline.
 
-    def __init__(self, timeout_us: int):
-        self.timeout_us = timeout_us
+    The state has what is open, in one value, and one timer, for the next of
+    it to fall due; what is answered by the micro-batch that it comes in never
+    gets there.
+    """
+
+    def __init__(self, timeout_us: int, kind: str):
+        self.timeout_us, self.kind = timeout_us, kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.sent = handle.getValueState("sent", "us long")
-        self.ack = handle.getValueState("ack", "us long")
+        self.open = handle.getValueState("open", f"request_id array<{self.kind}>, sent array<long>, ack array<long>, timer long")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        sent, ack = [], []
-        for row in rows:
-            if row["__us"] is not None:
-                (ack if row["__ack"] else sent).append(row["__us"])
-        if not (sent or ack) or key[0] is None:
-            return
-        sent += [self.sent.get()[0]] if self.sent.exists() else []
-        ack += [self.ack.get()[0]] if self.ack.exists() else []
-        if sent and ack and min(sent) <= min(x for x in ack) <= min(sent) + self.timeout_us:
-            self._forget()
-            yield Row(request_id=key[0], sent_us=min(sent), acked_us=min(ack), state="answered")
+        if key[0] is None:
             return
-        if sent:
-            self.sent.update((min(sent),))
-            self.handle.registerTimer((min(sent) + self.timeout_us) // 1000 + 1)
-        if ack:
-            self.ack.update((min(ack),))
-            if not sent:
-                self.handle.registerTimer(min(ack) // 1000 + 1)
+        held, timer = self._held()
+        for row in rows:
+            us, times = row["__us"], held.setdefault(row["request_id"], [None, None])
+            which = 1 if row["__ack"] else 0
+            if times[which] is None or us < times[which]:
+                times[which] = us
+        answered = [x for x, (sent, ack) in held.items() if sent is not None and ack is not None and sent <= ack <= sent + self.timeout_us]
+        done = [(x, *held.pop(x)) for x in answered]
+        self._keep(held, timer)
+        for x, sent, ack in done:
+            yield Row(request_id=x, sent_us=sent, acked_us=ack, state="answered")
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        if self.sent.exists():
-            sent = self.sent.get()[0]
-            if sent + self.timeout_us < now:
-                self._forget()
-                yield Row(request_id=key[0], sent_us=sent, acked_us=None, state="timed_out")
-        elif self.ack.exists() and self.ack.get()[0] < now:
-            self.ack.clear()  # of no request: one sent before it would be too late by now
-
-    def _forget(self) -> None:
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
-        self.sent.clear()
-        self.ack.clear()
+        held, timer = self._held()
+        clock = timerValues.getCurrentWatermarkInMs() * 1000
+        passed = [x for x, times in held.items() if self._due(*times) < clock]
+        gone = [(x, held.pop(x)[0]) for x in passed]
+        self._keep(held, None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer)
+        for x, sent in gone:
+            if sent is not None:  # else an acknowledgement of no request: one sent before it would be too late by now
+                yield Row(request_id=x, sent_us=sent, acked_us=None, state="timed_out")
+
+    def _due(self, sent: int | None, ack: int | None) -> int:
+        return ack if sent is None else sent + self.timeout_us
+
+    def _held(self) -> tuple[dict[Any, list[int | None]], int | None]:
+        if not self.open.exists():
+            return {}, None
+        ids, sent, ack, timer = self.open.get()
+        return {x: [s, a] for x, s, a in zip(ids, sent, ack, strict=True)}, timer
+
+    def _keep(self, held: dict[Any, list[int | None]], timer: int | None) -> None:
+        after = min(self._due(*times) for times in held.values()) // 1000 + 1 if held else None
+        if timer is not None and timer != after:
+            self.handle.deleteTimer(timer)
+        if after is None:
+            self.open.clear()
+            return
+        if timer != after:
+            self.handle.registerTimer(after)
+        self.open.update((list(held), [s for s, _ in held.values()], [a for _, a in held.values()], after))
 
     def close(self) -> None:
         pass
 
 
+#: Into so many slots requests are dealt; a slot's turn in a micro-batch costs as much as some thousand of its requests.
+SLOTS = 4096
+
+
 def answered_stream(requests: DataFrame, acks: DataFrame, timeout_us: int, late: str, until: Column) -> DataFrame:
     """``request_id, sent_us, acked_us, state`` of every request: ``answered`` by the first acknowledgement within ``timeout_us``, or ``timed_out``.
 
@@ -111,7 +127,10 @@ def answered_stream(requests: DataFrame, acks: DataFrame, timeout_us: int, late:
     acked_at``; ids are not used twice. Files may come in any order as far as
     ``late`` covers it. A request times out once the watermark has passed its
     deadline; those with a later deadline than ``until`` stay in the state,
-    and acknowledgements of unknown ids go when their time has passed.
+    and acknowledgements of unknown ids go when their time has passed. Requests are
+    dealt into ``SLOTS`` by their ids, and a slot takes all its rows of a
+    micro-batch at a time: a call into the state store costs more than all
+    else, and there is none by request.
     """
     spark = requests.sparkSession
     root = scratch_folder(spark, "answers")
@@ -119,7 +138,9 @@ def answered_stream(requests: DataFrame, acks: DataFrame, timeout_us: int, late:
     both = requests.select("request_id", F.col("sent_at").alias("at"), F.lit(False).alias("__ack")).union(acks.select("request_id", "acked_at", F.lit(True)))
     rows = _ticked(both, "at", late, f"{root}/ticks").withColumn("__us", F.when(~F.col("__tick"), F.unix_micros("at")))
     kind = rows.schema["request_id"].dataType.simpleString()
-    out = rows.groupBy("request_id").transformWithState(Answers(timeout_us), f"request_id {kind}, sent_us long, acked_us long, state string", "Append", "EventTime")
+    # Ticks, and rows without an id or a time, are a slot of their own that nothing is made of.
+    slot = F.when(F.col("request_id").isNotNull() & F.col("__us").isNotNull(), F.pmod(F.xxhash64("request_id"), F.lit(SLOTS)))
+    out = rows.withColumn("__slot", slot).groupBy("__slot").transformWithState(Answers(timeout_us, kind), f"request_id {kind}, sent_us long, acked_us long, state string", "Append", "EventTime")
     return _run_until(out, root, "at", late, until)
 
 

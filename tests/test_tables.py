@@ -323,6 +323,21 @@ def test_requests_time_out_on_the_stream(spark, tmp_path):
     assert late == {r["request_id"] for r in batch.collect()}
 
 
+def test_requests_are_settled_without_a_call_by_request(spark, tmp_path, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a stateful processor for each request")
+
+    monkeypatch.setattr("pyspark.sql.GroupedData.transformWithState", refuse)
+    big = 2**53
+    rows = [(big + 1, 10, False), (big + 2, 10, False), (big + 3, 40, False), (big + 1, 70, True), (big + 2, 71, True), (big + 9, 20, True)]
+    df = spark.createDataFrame(rows, "request_id long, s long, ack boolean").withColumn("at", F.timestamp_seconds("s"))
+    files = mixed_files(spark, tmp_path, [df.where("ack"), df.where("not ack")])  # answers come first
+    stream = lambda: jobs.file_stream(spark, files, files_per_batch=1)
+    got = timers.answered_stream(stream().where("not ack").select("request_id", F.col("at").alias("sent_at")), stream().where("ack").select("request_id", F.col("at").alias("acked_at")), 60 * 10**6, "1 hour", F.lit("1970-01-01 00:01:40"))
+    found = {r["request_id"] - big: (r["sent_us"], r["acked_us"], r["state"]) for r in got.collect()}
+    assert found == {1: (10 * 10**6, 70 * 10**6, "answered"), 2: (10 * 10**6, None, "timed_out")}  # 3 is due at 100 s, which is not past
+
+
 def test_the_earliest_row_survives(spark, tmp_path):
     r = random.Random(8)
     batches = [[(r.choice("abcd") if r.random() < 0.9 else None, 1000 * k + r.randrange(-300, 900), n) for n in range(60)] for k in range(4)]

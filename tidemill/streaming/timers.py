@@ -1,10 +1,11 @@
 """Jobs whose state waits for a time: requests that may go unanswered, and alerts.
 
-Both run on ``transformWithState`` with timers of event time. A job reads all
-its files first, whatever their order, as far as ``late`` allows. Then ticks
-move the clock on to ``until``, and what is due by then comes out; what is due
-later stays in the state store, and a run that goes on from the same
-checkpoint finds it there.
+A job reads all its files first, whatever their order, as far as ``late``
+allows. Then the clock moves on to ``until``, and what is due by then comes
+out; what is due later stays. Requests are settled by an aggregation a
+micro-batch. Alerts run on ``transformWithState`` with timers of event time;
+ticks move their clock, and a run that goes on from the same checkpoint finds
+what is open in the state store.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..operators.ledger import dealt
 from ..sources.store import scratch_folder
 from .jobs import Alert, run
 
@@ -52,96 +55,49 @@ def _run_until(out: DataFrame, root: str, ts: str, late: str, until: Column) ->
     return spark.read.schema(out.schema).parquet(f"{root}/data").select(*out.columns)
 
 
-class Answers(StatefulProcessor):
-    """The requests of one slot: when each was sent, and its earliest acknowledgement; answered, or timed out at its deadline.
-
-    The state has what is open, in one value, and one timer, for the next of
-    it to fall due; what is answered by the micro-batch that it comes in never
-    gets there.
-    """
-
-    def __init__(self, timeout_us: int, kind: str):
-        self.timeout_us, self.kind = timeout_us, kind
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", f"request_id array<{self.kind}>, sent array<long>, ack array<long>, timer long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        if key[0] is None:
-            return
-        held, timer = self._held()
-        for row in rows:
-            us, times = row["__us"], held.setdefault(row["request_id"], [None, None])
-            which = 1 if row["__ack"] else 0
-            if times[which] is None or us < times[which]:
-                times[which] = us
-        answered = [x for x, (sent, ack) in held.items() if sent is not None and ack is not None and sent <= ack <= sent + self.timeout_us]
-        done = [(x, *held.pop(x)) for x in answered]
-        self._keep(held, timer)
-        for x, sent, ack in done:
-            yield Row(request_id=x, sent_us=sent, acked_us=ack, state="answered")
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        held, timer = self._held()
-        clock = timerValues.getCurrentWatermarkInMs() * 1000
-        passed = [x for x, times in held.items() if self._due(*times) < clock]
-        gone = [(x, held.pop(x)[0]) for x in passed]
-        self._keep(held, None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer)
-        for x, sent in gone:
-            if sent is not None:  # else an acknowledgement of no request: one sent before it would be too late by now
-                yield Row(request_id=x, sent_us=sent, acked_us=None, state="timed_out")
-
-    def _due(self, sent: int | None, ack: int | None) -> int:
-        return ack if sent is None else sent + self.timeout_us
-
-    def _held(self) -> tuple[dict[Any, list[int | None]], int | None]:
-        if not self.open.exists():
-            return {}, None
-        ids, sent, ack, timer = self.open.get()
-        return {x: [s, a] for x, s, a in zip(ids, sent, ack, strict=True)}, timer
-
-    def _keep(self, held: dict[Any, list[int | None]], timer: int | None) -> None:
-        after = min(self._due(*times) for times in held.values()) // 1000 + 1 if held else None
-        if timer is not None and timer != after:
-            self.handle.deleteTimer(timer)
-        if after is None:
-            self.open.clear()
-            return
-        if timer != after:
-            self.handle.registerTimer(after)
-        self.open.update((list(held), [s for s, _ in held.values()], [a for _, a in held.values()], after))
-
-    def close(self) -> None:
-        pass
-
-
-#: Into so many slots requests are dealt; a slot's turn in a micro-batch costs as much as some thousand of its requests.
-SLOTS = 4096
-
-
 def answered_stream(requests: DataFrame, acks: DataFrame, timeout_us: int, late: str, until: Column) -> DataFrame:
     """``request_id, sent_us, acked_us, state`` of every request: ``answered`` by the first acknowledgement within ``timeout_us``, or ``timed_out``.
 
     ``requests`` has ``request_id, sent_at`` and ``acks`` has ``request_id,
     acked_at``; ids are not used twice. Files may come in any order as far as
-    ``late`` covers it. A request times out once the watermark has passed its
-    deadline; those with a later deadline than ``until`` stay in the state,
-    and acknowledgements of unknown ids go when their time has passed. Requests are
-    dealt into ``SLOTS`` by their ids, and a slot takes all its rows of a
-    micro-batch at a time: a call into the state store costs more than all
-    else, and there is none by request.
+    ``late`` covers it. A request times out once the clock, which is ``late``
+    behind the newest time of earlier micro-batches and goes to ``until`` in the
+    end, has passed its deadline; those with a later deadline than ``until``
+    stay open, and acknowledgements of unknown ids go when their time has
+    passed. A micro-batch is one aggregation with what its predecessor left
+    open: a timer and a call into a state store by request cost far more.
     """
     spark = requests.sparkSession
     root = scratch_folder(spark, "answers")
-    spark.createDataFrame([], "at timestamp").write.parquet(f"{root}/ticks")
-    both = requests.select("request_id", F.col("sent_at").alias("at"), F.lit(False).alias("__ack")).union(acks.select("request_id", "acked_at", F.lit(True)))
-    rows = _ticked(both, "at", late, f"{root}/ticks").withColumn("__us", F.when(~F.col("__tick"), F.unix_micros("at")))
-    kind = rows.schema["request_id"].dataType.simpleString()
-    # Ticks, and rows without an id or a time, are a slot of their own that nothing is made of.
-    slot = F.when(F.col("request_id").isNotNull() & F.col("__us").isNotNull(), F.pmod(F.xxhash64("request_id"), F.lit(SLOTS)))
-    out = rows.withColumn("__slot", slot).groupBy("__slot").transformWithState(Answers(timeout_us, kind), f"request_id {kind}, sent_us long, acked_us long, state string", "Append", "EventTime")
-    return _run_until(out, root, "at", late, until)
+    kind = requests.schema["request_id"].dataType
+    stored = StructType([StructField("request_id", kind), StructField("sent_us", LongType()), StructField("acked_us", LongType()), StructField("state", StringType()), StructField("batch", LongType())])
+    spark.range(1).select(F.lit(None).cast("long").alias("us")).write.parquet(f"{root}/clock/batch=-1")
+    both = requests.select("request_id", F.unix_micros("sent_at").alias("sent_us"), F.lit(None).cast("long").alias("acked_us")).union(acks.select("request_id", F.lit(None), F.unix_micros("acked_at")))
+    at, last = F.coalesce("sent_us", "acked_us"), [-1]
+
+    def settle(rows: DataFrame, number: int, clock: Column) -> None:
+        before = spark.read.schema(stored).option("basePath", f"{root}/data").parquet(f"{root}/data/batch={number - 1}") if number else spark.createDataFrame([], stored)
+        every = dealt(rows.unionByName(before.where("state = 'open'").select(*rows.columns)), "request_id")
+        each = every.groupBy("request_id").agg(F.min("sent_us").alias("sent_us"), F.min("acked_us").alias("acked_us"))
+        answered = F.col("acked_us").between(F.col("sent_us"), F.col("sent_us") + timeout_us)
+        passed = F.coalesce(F.col("sent_us") + timeout_us, "acked_us") < clock
+        state = F.when(answered, "answered").when(passed & F.col("sent_us").isNotNull(), "timed_out").when(passed, "unknown").otherwise("open")
+        acked = F.when((F.col("state") != "timed_out"), F.col("acked_us"))
+        each.withColumn("state", state).withColumn("acked_us", acked).write.mode("overwrite").partitionBy("state").parquet(f"{root}/data/batch={number}")
+
+    def one(rows: DataFrame, number: int) -> None:
+        clock = spark.read.schema("us long, batch long").parquet(f"{root}/clock").where(F.col("batch") < number).agg(F.max("us")).first()[0]
+        behind = F.lit(clock).cast("long") - F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"interval {late}"))
+        seen = Observation()
+        fine = rows.where(F.col("request_id").isNotNull() & at.isNotNull()).observe(seen, F.max(at).alias("us"))
+        settle(fine.where(F.coalesce(at >= behind, F.lit(True))), number, behind)
+        spark.range(1).select(F.lit(seen.get["us"]).cast("long").alias("us")).write.mode("overwrite").parquet(f"{root}/clock/batch={number}")
+        last[0] = number
+
+    run(both, one, f"{root}/checkpoint")
+    settle(spark.createDataFrame([], both.schema), last[0] + 1, F.unix_micros(until.cast("timestamp")))
+    done = spark.read.schema(stored).parquet(f"{root}/data").where(F.col("state").isin("answered", "timed_out"))
+    return done.select("request_id", "sent_us", "acked_us", "state")
 
 
 class Episodes(StatefulProcessor):

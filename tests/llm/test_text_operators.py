@@ -117,6 +117,20 @@ def test_common_tokens_lose_no_link(spark, monkeypatch):
     assert 1 < len(set(few.values())) < len(texts)
 
 
+def test_postings_in_rounds_equal_a_loop(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "ROUND_TOKENS", 50)
+    texts = [t for base in range(6) for t in near_copies(20, base, base + 1, 90)] + ["two words", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    join = ngram_join.Join(docs, "doc_id", "text", 4, 85)
+    sets = {(x["s1"], x["s2"]): x["prefix"] for x in join.rows.collect()}
+    kept = Counter(t for prefix in sets.values() for t in prefix)
+    expected = Counter({t: n for t, n in kept.items() if n > 1})
+    pieces = [[(x["token"], x["docs"]) for x in df.collect()] for df in join.postings()]
+    assert len(pieces) == 4 and all(0 < len(p) < expected.total() / 2 for p in pieces)
+    assert all(docs == expected[t] for p in pieces for t, docs in p)
+    assert sum((Counter(t for t, _ in p) for p in pieces), Counter()) == expected
+
+
 def test_near_copy_stage_equals_brute_force(spark):
     base = prose(200, 71).split()
     texts = [" ".join(base)] + [" ".join(base[:60] + [f"new{n}x{j}" for j in range(n)] + base[60:]) for n in (27, 38, 60)] + [" ".join(f"odd{i}" if i % 45 == 20 else w for i, w in enumerate(base))]

@@ -15,6 +15,7 @@ both, and only documents that agree in such a part meet.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ RANGES = 64
 SMALL_ROWS = 500_000
 #: Documents of a token, still apart, that may meet each other directly.
 FEW = 256
+#: Prefix tokens that are dealt by token at once, where ``ROUNDS`` rounds at most allow it.
+ROUND_TOKENS, ROUNDS = 4_000_000, 4
 
 
 def _distinct(found: T.Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,13 +225,23 @@ class Join:
         self.classes = written(classes, "classes")
         self.labels, self.tried = None, []
 
-    def postings(self) -> DataFrame:
-        """Prefix tokens that two classes or more have, with the place of each and the token's first pivot."""
-        mine = self.rows.join(self.classes.select("row"), "row", "left_semi")
-        every = mine.select("row", "n", F.posexplode("prefix").alias("at", "token"))
+    def postings(self) -> list[DataFrame]:
+        """Prefix tokens that two classes or more have, with the place of each and the token's first pivot, in tables by remainder of the token.
+
+        All prefix tokens have to be dealt by token, though few are shared;
+        rounds bound the disk that takes.
+        """
+        mine = written(self.rows.join(self.classes.select("row"), "row", "left_semi").select("row", "n", "prefix"), "prefixes")
+        total = mine.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+        rounds = min(ROUNDS, max(1, -(-total // ROUND_TOKENS)))
         pivot = F.min(F.struct("at", "n", "row")).alias("pivot")  # where it comes earliest, fewest rare tokens precede it: the row nearest to all others
-        shared = every.groupBy("token").agg(F.count("*").alias("docs"), pivot).where("docs > 1")
-        return every.join(shared, "token")
+        found = []
+        for k in range(rounds):
+            every = mine.select("row", "n", F.posexplode("prefix").alias("at", "token")).where(F.pmod("token", F.lit(rounds)) == k)
+            shared = every.groupBy("token").agg(F.count("*").alias("docs"), pivot).where("docs > 1")
+            found.append(written(every.join(shared, "token"), "postings"))
+        dropped(mine)
+        return found
 
     def again(self, wanted: DataFrame, make, columns: str) -> DataFrame:
         """``row`` and ``columns``, which ``make`` gives for the texts of the rows in ``wanted`` (row, id, s1, s2), read again."""
@@ -336,11 +349,12 @@ class Join:
 
     def link(self, pivots: int = 8) -> None:
         """Compare pairs until every two rows that link have one label."""
-        postings = written(self.postings(), "postings")
+        pieces = self.postings()
+        postings = reduce(DataFrame.union, pieces)
         fits = possible(("n", "pivot.n"), ("at", "pivot.at"), self.percent)
         self.compared(postings.where((F.col("row") != F.col("pivot.row")) & fits).select(F.col("row").alias("a"), F.col("pivot.row").alias("b")))
         left = self.apart(postings.where("docs > 2").select("token", "row", "n", "at"))
-        dropped(postings)
+        dropped(*pieces)
         if left.isEmpty():
             return
         several = left.groupBy("token", F.pmod(F.xxhash64("row"), F.lit(pivots)).alias("s")).agg(F.min(F.struct("at", "n", "row", "label")).alias("p")).select("token", "p")

@@ -465,6 +465,18 @@ def test_word_probabilities_equal_a_loop(spark):
         assert math.isclose(got[i], of(t), rel_tol=1e-4), (i, t)
 
 
+def test_words_of_several_parts_are_added_up_in_one_task(spark):
+    texts = [prose(60, i) for i in range(20)]
+    trusted = spark.createDataFrame([("=en", t, False) for t in texts], "name string, text string, held boolean")
+    got = quality.word_counts([quality.bigram_counts(trusted, shard, 2, 8, 1) for shard in range(2)], 8)
+    assert "Coalesce 2" in got._jdf.queryExecution().optimizedPlan().toString().replace("Repartition 2, false", "Coalesce 2")
+    rows = got.collect()
+    words = [SPACED.findall(t.translate(LOWER)) for t in texts]
+    assert len({r["w"] for r in rows}) == len(rows) == len({w for x in words for w in x}) + 1
+    assert sum(r["s_n"] for r in rows) == sum(r["s_t"] for r in rows) == sum(map(len, words))
+    assert sum(r["k_n"] for r in rows) == sum(r["a_n"] for r in rows) == len({p for x in words for p in zip([None, *x], x)})
+
+
 def test_thresholds_and_verdicts_equal_a_loop(spark):
     r = random.Random(9)
     words = {"en": "the cat sat on a mat and saw one dog run by".split(), "xx": "lo mi ra tu se".split()}

@@ -35,6 +35,8 @@ FOLDS = 5
 SLICE = 1 << 22
 #: Shards at most, and words for one; words of one part of a shard, and n-grams of texts that meet it in one task.
 SHARDS, SHARD_WORDS, PART_WORDS, TASK_PAIRS = 8, 8_000_000, 2_000_000, 4_000_000
+#: Parts whose words one task adds up before they are dealt: most words are in many parts.
+TALLIED = 8
 
 #: Symbol of each byte. Letters 0-25, capitals 26, digits 27, blank, line end, other controls, then marks; bytes of other characters fold to 50-63.
 SYMBOL = np.full(256, 30, np.uint8)
@@ -222,11 +224,12 @@ def bigram_counts(trusted: DataFrame, shard: int, shards: int, parts: int, salts
 _STATS = [f"{x}_{v}" for v in "nt" for x in ("s", "a", "f1", "f2", "f3", "f4", "k")]
 
 
-def word_counts(pieces: list[DataFrame]) -> DataFrame:
+def word_counts(pieces: list[DataFrame], parts: int) -> DataFrame:
     """Per word ``w`` of ``bigram_counts`` and v of n (all trusted text) and t (without held-out texts): what follows it and precedes it.
 
     ``s_v`` words follow it, ``a_v`` distinct ones, ``f1_v`` to ``f4_v`` of
-    these so many times; ``k_v`` distinct words precede it.
+    these so many times; ``k_v`` distinct words precede it. Each piece
+    has ``parts`` rows at most.
     """
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +249,8 @@ def word_counts(pieces: list[DataFrame]) -> DataFrame:
                     out += list(total)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["w", *_STATS])
 
-    every = reduce(DataFrame.union, pieces).drop("part").mapInArrow(tally, "w long, " + ", ".join(f"{c} long" for c in _STATS))
+    together = reduce(DataFrame.union, pieces).drop("part").coalesce(max(1, len(pieces) * parts // TALLIED))
+    every = together.mapInArrow(tally, "w long, " + ", ".join(f"{c} long" for c in _STATS))
     return every.groupBy("w").agg(*(F.sum(c).alias(c) for c in _STATS))
 
 
@@ -438,7 +442,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, shards: int | None = None)
     parts = max(1, -(-total // (shards * PART_WORDS)))
     salts = max(1, math.isqrt(total // 4_000_000) // 4)
     counted = [bigram_counts(trusted, shard, shards, parts, salts) for shard in range(shards)]
-    words = written(word_counts(counted).join(lexicon(trusted, letters), "w"), "lexicon")
+    words = written(word_counts(counted, parts).join(lexicon(trusted, letters), "w"), "lexicon")
     weights, cuts = word_model(words)
     dropped(words)
     found = []

@@ -16,6 +16,7 @@ import corpus_pipeline
 from tests.conftest import SF
 from tests.llm.data import DOCS, edge_docs, empty_docs, prose
 from tidemill.llm import ann, decontam, ngram_join, quality, queries, text, toxicity
+from tidemill.llm.store import written
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -535,3 +536,11 @@ def test_pipeline_stages(spark):
     assert hashlib.sha256("".join(sorted(str(r["doc_id"]) for r in before)).encode()).hexdigest() == hashlib.sha256("".join(sorted(str(r["doc_id"]) for r in after)).encode()).hexdigest()
     assert not any(re.search("[0-9a-f]{32}|AKIA[A-Z0-9]{12}", r["text"] or "") for r in after)
     assert seen[names[4]][1].groupBy("doc_id", "text", "copy").count().where("copy > 3").count() == 0
+
+
+def test_join_without_pairs_reads_no_text_again(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(ngram_join, "written", lambda df, name, *a: (names.append(name), written(df, name, *a))[1])
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(9))) for i in range(6)], "doc_id long, text string")
+    got = {(x["doc_id"], x["n_shingles"], x["component_id"]) for x in ngram_join.components(docs).collect()}
+    assert got == {(i, 6, i) for i in range(6)} and not {"wanted", "words", "links"} & set(names), names

@@ -279,6 +279,8 @@ class Join:
         near = pairs.join(of.toDF("a", "na", "ra"), "a").join(of.toDF("b", "nb", "rb"), "b")
         most = F.expr("aggregate(zip_with(ra, rb, (x, y) -> if(x = 32767S or y = 32767S, 1000000000, cast(least(x, y) as int))), 0L, (s, x) -> s + x)")
         near = written(near.where(F.lit(100 + self.percent) * most >= F.lit(self.percent) * (F.col("na") + F.col("nb"))).select("a", "b"), "near")
+        if near.isEmpty():
+            return near
         wanted = self.wanted(near.select(F.col("a").alias("row")).union(near.select("b")))
 
         def plain(found: T.Words, sizes: np.ndarray, tokens: np.ndarray) -> list[pa.Array]:
@@ -305,10 +307,14 @@ class Join:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         self.tried.append(pairs)
+        if self.labels is not None and pairs.isEmpty():
+            return
         links = self.verified(pairs)
         if self.labels is None:
             self.labels = written(connected(links), "labels")
             return
+        if links.isEmpty():
+            return
         old = self.labels
         merged = links.join(old.toDF("a", "la"), "a", "left").join(old.toDF("b", "lb"), "b", "left")
         merged = merged.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))

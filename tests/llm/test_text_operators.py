@@ -478,6 +478,22 @@ def test_words_of_several_parts_are_added_up_in_one_task(spark):
     assert sum(r["k_n"] for r in rows) == sum(r["a_n"] for r in rows) == len({p for x in words for p in zip([None, *x], x)})
 
 
+def test_shards_counted_together_and_words_given_packed(spark):
+    texts = [prose(60, i) for i in range(20)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    trusted = docs.where("doc_id < 10")
+    one, four = ({x["doc_id"]: x["perplexity"] for x in quality.classified(docs, trusted.select("doc_id"), shards=n).collect()} for n in (1, 4))
+    of = loop_perplexity(texts[:10], quality.letter_table(trusted).astype(float))
+    assert all(math.isclose(one[i], four[i], rel_tol=1e-9) and math.isclose(four[i], of(t), rel_tol=1e-4) for i, t in enumerate(texts))
+    named = trusted.selectExpr("'=en' as name", "text", "false as held")
+    apart = [quality.bigram_counts(named, k, 4, 3, 1) for k in range(4)]
+    together = quality.bigram_counts(named, 0, 1, 3, 1, 4)
+    rows = {3 * k + x["part"]: bytes(x["c"]) for k, df in enumerate(apart) for x in df.collect()}
+    assert rows == {x["part"]: bytes(x["c"]) for x in together.collect()} and len(rows) > 9
+    keys = np.sort(np.random.default_rng(5).integers(0, 2**64, 1000, np.uint64))
+    assert (quality._opened(pa.py_buffer(quality._closed(keys))) == keys).all()
+
+
 def test_thresholds_and_verdicts_equal_a_loop(spark):
     r = random.Random(9)
     words = {"en": "the cat sat on a mat and saw one dog run by".split(), "xx": "lo mi ra tu se".split()}

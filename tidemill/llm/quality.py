@@ -37,6 +37,10 @@ SLICE = 1 << 22
 SHARDS, SHARD_WORDS, PART_WORDS, TASK_PAIRS = 8, 8_000_000, 2_000_000, 4_000_000
 #: Parts whose words one task adds up before they are dealt: most words are in many parts.
 TALLIED = 8
+#: Shards of bigrams that are counted together: trusted text is cut once for them, and their sums are dealt at once.
+COUNTED = 4
+#: Parts for which there is one lot of words.
+LOT_PARTS = 8
 
 #: Symbol of each byte. Letters 0-25, capitals 26, digits 27, blank, line end, other controls, then marks; bytes of other characters fold to 50-63.
 SYMBOL = np.full(256, 30, np.uint8)
@@ -142,6 +146,17 @@ def _runs(keys: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
+def _pair_runs(texts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_runs`` of keys and numbers of texts, by two sorts of plain numbers."""
+    order = np.argsort(keys)
+    both = np.zeros(len(order), np.int64)
+    both[1:] = np.cumsum(keys[order][1:] != keys[order][:-1])
+    both = both << 32 | texts[order]
+    again = np.argsort(both)
+    both = both[again]
+    return order[again], np.flatnonzero(np.diff(both, prepend=-1))
+
+
 def _added(values: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values[order], first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
 
@@ -190,8 +205,8 @@ def _batch(rows: list[tuple]) -> dict[str, pa.Array]:
     return {c: pa.array([r[k] for r in rows], kinds[k]) for k, c in enumerate(("part", *_KINDS))}
 
 
-def bigram_counts(trusted: DataFrame, shard: int, shards: int, parts: int, salts: int) -> DataFrame:
-    """Bigrams of a shard of ``trusted`` (name, text, held), packed, a row per part of the shard: how often each occurs (``n``), and how often in texts not held out (``t``).
+def bigram_counts(trusted: DataFrame, shard: int, shards: int, parts: int, salts: int, within: int = 1) -> DataFrame:
+    """Bigrams of a shard, which ``within`` smaller ones make up, of ``trusted`` (name, text, held), packed, a row per part of each smaller shard, numbered through: how often each occurs (``n``), and how often in texts not held out (``t``).
 
     Tasks add up what ``SLICE`` bytes of text have, and parts are added up in
     two steps if slices are very many, since each may have the same bigrams.
@@ -203,8 +218,9 @@ def bigram_counts(trusted: DataFrame, shard: int, shards: int, parts: int, salts
             for at, data, bounds in T.chunks(batch["text"], SLICE):
                 size = len(bounds) - 1
                 of, key, b, c = bigrams(T.words(data, bounds, T.SPACES, True), every[at : at + size])
-                mine = np.flatnonzero(shard_of(key, shards) == T.U(shard))
-                part, free = part_of(key[mine], parts), 1 - held[at : at + size][of[mine]]
+                inner = shard_of(key, shards * within).astype(np.int64) - shard * within
+                mine = np.flatnonzero((inner >= 0) & (inner < within))
+                part, free = inner[mine] * parts + part_of(key[mine], parts), 1 - held[at : at + size][of[mine]]
                 rows = [_packed_counts(int(p), b[mine[x]], c[mine[x]], np.ones(len(x), np.int64), free[x]) for p in np.unique(part) for x in [np.flatnonzero(part == p)]]
                 if rows:
                     yield pa.RecordBatch.from_pydict(_batch(rows))
@@ -254,21 +270,6 @@ def word_counts(pieces: list[DataFrame], parts: int) -> DataFrame:
     return every.groupBy("w").agg(*(F.sum(c).alias(c) for c in _STATS))
 
 
-def bigram_rows(counted: DataFrame) -> DataFrame:
-    """``key, b, c, n, t`` per bigram of ``bigram_counts``."""
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                b, many, c, n, t = _raw({x: batch[x][k] for x in _KINDS}, _KINDS)
-                b = np.repeat(b, many)
-                key = T.mixed((b * T.U(0x9FB21C651E98DF25)) ^ c)
-                for at in range(0, len(key), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(x[at : at + (1 << 16)].view(np.int64)) for x in (key, b, c, n, t)], names=["key", "b", "c", "n", "t"])
-
-    return counted.drop("part").mapInArrow(spread, "key long, b long, c long, n long, t long")
-
-
 def _cuts(n: list[str], total: str, to: str) -> list[str]:
     """Modified Kneser-Ney discounts ``{to}1`` to ``{to}3`` from the columns of numbers of n-grams counted once to four times, or a half per count where those are 0."""
     n1, n2, n3, n4 = n
@@ -312,18 +313,118 @@ def word_model(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(rows.select("w", "name", "s_n", "s_t", *numbers), "weights"), cuts
 
 
-def bigram_gains(counts: DataFrame, weights: DataFrame, cuts: DataFrame) -> DataFrame:
-    """``key, d_n, d_t`` per known bigram."""
-    left = weights.select(F.col("w").alias("b"), "name", "g_n", "g_t", "s_n", "s_t")
-    rows = counts.join(left, "b").join(weights.select(F.col("w").alias("c"), "one_n", "one_t"), "c").join(small(cuts), "name")
-    gain = [F.expr(f"cast(if({v} > 0, log2({_less(v, 'p', v)} / s_{v} + pow(2D, g_{v} + one_{v})) - g_{v} - one_{v}, 0D) as float) as d_{v}") for v in "nt"]
-    return rows.select("key", *gain)
+def lot_of(keys: np.ndarray, lots: int) -> np.ndarray:
+    return ((keys >> T.U(16) & T.U(0xFFFFFFFF)) * T.U(lots) >> T.U(32)).astype(np.int64)
+
+
+_GIVEN = "part int, known binary, values binary, counts binary, langs binary, cuts binary"
+_GIVEN_KINDS = tuple(pa.binary() for _ in range(5))
+
+
+def lots_of_words(weights: DataFrame, cuts: DataFrame, lots: int) -> DataFrame:
+    """``weights`` packed, a row per lot of words: ``w`` in order, ``g`` and ``one``, numbers of words that follow, and each word's row of discounts in ``cuts``."""
+
+    def pack(key: tuple, group: pa.Table) -> pa.Table:
+        w = np.asarray(group["w"]).view(T.U)
+        order = np.argsort(w)
+        langs = group["name"].combine_chunks().dictionary_encode()
+        langs = langs.combine_chunks() if isinstance(langs, pa.ChunkedArray) else langs
+        of, one = np.unique(np.asarray(langs.indices), return_index=True)
+        discounts = np.zeros((len(of), 6))
+        discounts[of] = np.stack([np.asarray(group[f"p{k}_{v}"], np.float64)[one] for v in "nt" for k in (1, 2, 3)], axis=1)
+        values = np.stack([np.asarray(group[c], np.float32)[order] for c in ("g_n", "g_t", "one_n", "one_t")])
+        counts = np.stack([np.asarray(group[c], np.int64)[order] for c in ("s_n", "s_t")])
+        row = (w[order], values, counts, np.asarray(langs.indices, np.uint32)[order], discounts)
+        return pa.table({"lot": pa.array([key[0].as_py()], pa.int32())} | {c: [x.tobytes()] for c, x in zip(("known", "values", "counts", "langs", "cuts"), row, strict=True)})
+
+    rows = weights.join(small(cuts.select("name", *(f"p{k}_{v}" for v in "nt" for k in (1, 2, 3)))), "name")
+    rows = rows.withColumn("lot", F.expr(f"cast(shiftright((shiftrightunsigned(w, 16) & 4294967295L) * {lots}L, 32) as int)"))
+    return rows.groupBy("lot").applyInArrow(pack, "lot int, " + _GIVEN.partition(", ")[2])
+
+
+def bigram_gains(counted: DataFrame, words: DataFrame, own: DataFrame, lots: int) -> DataFrame:
+    """``part, known, values`` per part of ``bigram_counts``: keys of its bigrams, and of its ``own`` words, in order, with what each adds.
+
+    A part asks lots of ``words`` for the distinct words of its bigrams, and
+    what they give meets the bigrams in one task; both are packed, so no row
+    is made of each bigram.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                b, _, c, _, _ = _raw({x: batch[x][k] for x in _KINDS}, _KINDS)
+                w = np.unique(np.concatenate([b, c]))
+                lot = lot_of(w, lots)
+                order = np.argsort(lot, kind="stable")
+                for x in np.split(order, np.flatnonzero(np.diff(lot[order])) + 1):
+                    if len(x):
+                        yield pa.RecordBatch.from_arrays([pa.array([int(lot[x[0]])], pa.int32()), batch["part"].slice(k, 1), pa.array([w[x].tobytes()], pa.binary())], names=["lot", "part", "w"])
+
+    def give(asked_: pa.Table, lot: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if lot.num_rows:
+            known, values, counts, langs, discounts = (np.frombuffer(lot[c][0].as_buffer(), t) for c, t in (("known", T.U), ("values", np.float32), ("counts", np.int64), ("langs", np.uint32), ("cuts", np.float64)))
+            values, counts = values.reshape(4, -1), counts.reshape(2, -1)
+            for r in range(asked_.num_rows):
+                w = np.frombuffer(asked_["w"][r].as_buffer(), T.U)
+                at = np.minimum(np.searchsorted(known, w), len(known) - 1)
+                at = at[known[at] == w]
+                out.append((asked_["part"][r].as_py(), *(x.tobytes() for x in (known[at], values[:, at], counts[:, at], langs[at], discounts))))
+        return pa.table({c.split()[0]: pa.array([x[k] for x in out], t) for k, (c, t) in enumerate(zip(_GIVEN.split(", "), (pa.int32(), *_GIVEN_KINDS), strict=True))})
+
+    def gain(key: tuple, counted_: pa.Table, given: pa.Table) -> pa.Table:
+        keys, values, parts = [], [], []
+        for r in range(given.num_rows):
+            row = [np.frombuffer(given[c][r].as_buffer(), t) if given[c][r].is_valid else None for c, t in (("known", T.U), ("values", np.float32), ("counts", np.int64), ("langs", np.uint32), ("cuts", np.float64))]
+            if row[2] is None:
+                keys.append(row[0])
+                values.append(row[1].reshape(4, -1))
+            else:
+                cut = row[4].reshape(-1, 6)
+                parts.append((row[0], row[1].reshape(4, -1), row[2].reshape(2, -1), row[3] + sum(len(x[4]) for x in parts), cut))
+        if counted_.num_rows and parts:
+            w, (g_one, counts) = np.concatenate([x[0] for x in parts]), (np.concatenate([x[k] for x in parts], axis=1) for k in (1, 2))
+            langs, cuts = (np.concatenate([x[k] for x in parts]) for k in (3, 4))
+            order = np.argsort(w)
+            w, g_one, counts, langs = w[order], g_one[:, order], counts[:, order], langs[order]
+            for r in range(counted_.num_rows):
+                b, many, c, *ns = _raw({x: counted_[x][r] for x in _KINDS}, _KINDS)
+                left, right = np.repeat(np.searchsorted(w, b), many), np.searchsorted(w, c)
+                out = np.zeros((4, len(c)), np.float32)
+                for v, n in enumerate(ns):
+                    some = np.flatnonzero(n > 0)
+                    i, j, n = left[some], right[some], n[some].astype(np.int64)
+                    under = (g_one[v, i] + g_one[2 + v, j]).astype(np.float64)
+                    less = np.maximum(n - cuts[langs[i], 3 * v + np.minimum(n, 3) - 1], 0)
+                    out[v, some] = np.log2(less / counts[v, i] + np.exp2(under)) - under
+                keys.append(T.mixed((np.repeat(b, many) * T.U(0x9FB21C651E98DF25)) ^ c))
+                values.append(out)
+        if not keys:
+            return pa.table({"part": pa.array([], pa.int32()), "known": pa.array([], pa.binary()), "values": pa.array([], pa.binary())})
+        known = np.concatenate(keys)
+        order = np.argsort(known)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "known": [known[order].tobytes()], "values": [np.concatenate(values, axis=1)[:, order].tobytes()]})
+
+    wanted = counted.mapInArrow(ask, "lot int, part int, w binary")
+    given = wanted.groupBy("lot").cogroup(words.groupBy("lot")).applyInArrow(give, _GIVEN)
+    own = own.select("part", "known", "values", *(F.lit(None).cast("binary").alias(c) for c in ("counts", "langs", "cuts")))
+    return counted.groupBy("part").cogroup(given.union(own).groupBy("part")).applyInArrow(gain, "part int, known binary, values binary")
+
+
+def _closed(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, byte plane by byte plane: the upper planes hold zeros, which compress."""
+    return np.diff(keys, prepend=T.U(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _opened(raw: pa.Buffer) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(T.U).reshape(-1), dtype=T.U)
 
 
 def asked(docs: DataFrame, shard: int, shards: int, parts: int) -> DataFrame:
     """The distinct words and bigrams in a shard of ``docs`` (id, name, text), packed: a row per slice of text and part of the shard.
 
-    ``keys`` stand in order, ``rows`` says how many texts have each, ``place``
+    ``keys`` stand in order (as ``_closed`` packs them), ``rows`` says how many texts have each, ``place``
     which ones (numbers in ``ids``), ``m`` how often, and ``f`` how often a
     word comes before another; ``slice`` numbers the slices.
     """
@@ -338,7 +439,7 @@ def asked(docs: DataFrame, shard: int, shards: int, parts: int) -> DataFrame:
                 mine = [np.flatnonzero(shard_of(x, shards) == T.U(shard)) for x in (key, c, b)]
                 keys, texts = (np.concatenate([x[i] for x, i in zip(y, mine, strict=True)]) for y in ((key, c, b), (of, of, of)))
                 word = np.repeat([1, 1, 0], [len(i) for i in mine])
-                order, first = _runs((texts, keys))
+                order, first = _pair_runs(texts, keys)
                 m, f = _added(word, order, first), _added(1 - word, order, first)
                 keys, texts = keys[order[first]], texts[order[first]]
                 part = part_of(keys, parts)
@@ -351,7 +452,7 @@ def asked(docs: DataFrame, shard: int, shards: int, parts: int) -> DataFrame:
                         begins = np.flatnonzero(new[here])
                         known, place = np.unique(texts[here], return_inverse=True)
                         arrays = (keys[here][begins], np.diff(np.append(begins, len(here))).astype(np.uint16), ids[at : at + n][known], place.astype(np.uint16), m[here].astype(np.uint32), f[here].astype(np.uint32))
-                        out.append((number, p, len(here), *(x.tobytes() for x in arrays)))
+                        out.append((number, p, len(here), _closed(arrays[0]), *(x.tobytes() for x in arrays[1:])))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 6), strict=True)], names=["slice", "part", "pairs", "keys", "rows", "ids", "place", "m", "f"])
 
@@ -359,7 +460,7 @@ def asked(docs: DataFrame, shard: int, shards: int, parts: int) -> DataFrame:
 
 
 def packed(model: DataFrame, parts: int) -> DataFrame:
-    """``part, keys, values`` from ``model`` (key, d_n, d_t, g_n, g_t): keys in order, four numbers each."""
+    """``part, known, values`` from ``model`` (key, d_n, d_t, g_n, g_t): keys in order, four numbers each."""
 
     def pack(key: tuple, group: pa.Table) -> pa.Table:
         keys = np.asarray(group["key"]).view(T.U)
@@ -389,7 +490,8 @@ def joined_sums(questions: DataFrame, model: DataFrame) -> DataFrame:
             known = raw(model_["known"], 0, T.U)
             values = raw(model_["values"], 0, np.float32).reshape(4, -1)
             for r in range(asked_.num_rows):
-                keys, rows, name, place, m, f = (raw(asked_[c], r, k) for c, k in (("keys", T.U), ("rows", np.uint16), ("ids", np.int64), ("place", np.uint16), ("m", np.uint32), ("f", np.uint32)))
+                keys = _opened(asked_["keys"][r].as_buffer())
+                rows, name, place, m, f = (raw(asked_[c], r, k) for c, k in (("rows", np.uint16), ("ids", np.int64), ("place", np.uint16), ("m", np.uint32), ("f", np.uint32)))
                 at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                 hit = np.repeat(known[at] == keys, rows)
                 at, place, m, f = np.repeat(at, rows)[hit], place[hit], m[hit], f[hit]
@@ -441,18 +543,22 @@ def perplexities(docs: DataFrame, trusted: DataFrame, shards: int | None = None)
     shards = shards or min(SHARDS, max(1, -(-total // SHARD_WORDS)))
     parts = max(1, -(-total // (shards * PART_WORDS)))
     salts = max(1, math.isqrt(total // 4_000_000) // 4)
-    counted = [bigram_counts(trusted, shard, shards, parts, salts) for shard in range(shards)]
-    words = written(word_counts(counted, parts).join(lexicon(trusted, letters), "w"), "lexicon")
+    within = math.gcd(shards, COUNTED)
+    counted = [bigram_counts(trusted, k, shards // within, parts, salts, within) for k in range(shards // within)]
+    words = written(word_counts(counted, parts * within).join(lexicon(trusted, letters), "w"), "lexicon")
     weights, cuts = word_model(words)
     dropped(words)
+    lots = max(1, shards * parts // LOT_PARTS)
+    packed_words = written(lots_of_words(weights, cuts, lots), "lots")
     found = []
     for shard in range(shards):
-        gains = bigram_gains(bigram_rows(counted[shard]), weights, cuts)
-        none = F.lit(0).cast("float")
         mine = F.expr(f"shiftright(shiftrightunsigned(w, 48) * {shards}L, 16) = {shard}")
-        model = weights.where(mine).select(F.col("w").alias("key"), "d_n", "d_t", "g_n", "g_t").union(gains.select("key", "d_n", "d_t", none, none))
-        model = written(packed(model, parts), "model")
-        dropped(counted[shard])
+        own = packed(weights.where(mine).select(F.col("w").alias("key"), "d_n", "d_t", "g_n", "g_t"), parts)
+        begin = shard % within * parts
+        piece = counted[shard // within].where(F.col("part").between(begin, begin + parts - 1)).withColumn("part", F.col("part") - begin)
+        model = written(bigram_gains(piece, packed_words, own, lots), "model")
+        if (shard + 1) % within == 0:
+            dropped(counted[shard // within])
         questions = written(asked(docs, shard, shards, parts), "asked")
         parts_of = written(joined_sums(questions, model), "parts")
         dropped(model, questions)
@@ -461,7 +567,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, shards: int | None = None)
     sums = reduce(DataFrame.union, found).groupBy("id").agg(F.sum("sum_n").alias("sum_n"), F.sum("sum_t").alias("sum_t"))
     every = base.join(small(cuts.select("name", "z_n", "z_t")), "name", "left").join(sums, "id", "left")
     every = written(every.select("id", *(F.expr(f"pow(2D, -(bits + words * coalesce(z_{v}, 0D) + coalesce(sum_{v}, 0D)) / bytes) as p_{v}") for v in "nt")), "perplexities")
-    dropped(base, weights, cuts, *found)
+    dropped(base, weights, packed_words, cuts, *found)
     return every
 
 

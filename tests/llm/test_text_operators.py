@@ -494,6 +494,34 @@ def test_shards_counted_together_and_words_given_packed(spark):
     assert (quality._opened(pa.py_buffer(quality._closed(keys))) == keys).all()
 
 
+def test_questions_are_not_stored_and_meet_parts_in_several_tasks_and_batches(spark, monkeypatch):
+    texts = [prose(60, i) + " the" * (300 * (i == 3)) for i in range(20)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    trusted, names, keep = docs.where("doc_id < 10"), [], quality.written
+    monkeypatch.setattr(quality, "written", lambda df, name, conf=None: names.append(name) or keep(df, name, conf))
+    monkeypatch.setattr(quality, "TASK_PAIRS", 40)
+    monkeypatch.setattr(quality, "SLICE", 1000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        got = {x["doc_id"]: x["perplexity"] for x in quality.classified(docs, trusted.select("doc_id"), shards=2).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    of = loop_perplexity(texts[:10], quality.letter_table(trusted).astype(float))
+    assert all(math.isclose(got[i], of(t), rel_tol=1e-4) for i, t in enumerate(texts))
+    assert names.count("sums") == 2 and not {"asked", "parts", "tasks"} & set(names)
+
+
+def test_orders_marks_and_short_numbers():
+    r = np.random.default_rng(7)
+    many = r.integers(0, 2**64, 5000, np.uint64)
+    for keys in (many, many[r.integers(0, 90, 5000)], many >> np.uint64(60), many[:1], many[:0]):
+        assert (text.ordered(keys) == np.argsort(keys, kind="stable")).all()
+    for table in (text.SPACES, text.MARKS, np.ones(256, bool), np.zeros(256, bool)):
+        assert (text.among(np.arange(256, dtype=np.uint8), table) == table).all()
+    for numbers in ([], [0, 255], [1, 256], [70_000], [2**40]):
+        assert quality._long(pa.py_buffer(quality._short(np.array(numbers, np.int64)))).tolist() == numbers
+
+
 def test_thresholds_and_verdicts_equal_a_loop(spark):
     r = random.Random(9)
     words = {"en": "the cat sat on a mat and saw one dog run by".split(), "xx": "lo mi ra tu se".split()}

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .store import SMALL_ROWS, dropped, small, written
+from .store import ARROW_BYTES, SMALL_ROWS, dropped, small, written
 
 ORDER, SYMBOLS = 3, 64
 CELLS = SYMBOLS**ORDER
@@ -130,31 +130,20 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys & T.U(0xFFFFFFFF)) * T.U(parts) >> T.U(32)).astype(np.int64)
 
 
-def word_bits(found: T.Words, table: np.ndarray) -> np.ndarray:
-    """log2 of the probability of each word's letters, in lower case and apart from its neighbours."""
-    low = found.low[:-8]
-    bounds = np.concatenate([[0], np.cumsum(found.end - found.start)]).astype(np.int64)
-    sums = np.concatenate([[0], np.cumsum(table[codes(low[~T.SPACES[low]], bounds)], dtype=np.float64)])
+def word_bits(found: T.Words, table: np.ndarray, some: np.ndarray | None = None) -> np.ndarray:
+    """log2 of the probability of each word's letters, or of those numbered in ``some``, in lower case and apart from its neighbours."""
+    start, end = (found.start, found.end) if some is None else (found.start[some], found.end[some])
+    bounds = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
+    letters = found.low[:-8][~T.among(found.low[:-8], T.SPACES)] if some is None else found.low[np.repeat(start - bounds[:-1], end - start) + np.arange(bounds[-1])]
+    sums = np.concatenate([[0], np.cumsum(table[codes(letters, bounds)], dtype=np.float64)])
     return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
-def _runs(keys: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """(order of rows, where a run of equal ``keys`` begins in it)."""
-    order = np.lexsort(keys)
-    new = np.ones(len(order), bool)
-    new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
-    return order, np.flatnonzero(new)
-
-
-def _pair_runs(texts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``_runs`` of keys and numbers of texts, by two sorts of plain numbers."""
-    order = np.argsort(keys)
-    both = np.zeros(len(order), np.int64)
-    both[1:] = np.cumsum(keys[order][1:] != keys[order][:-1])
-    both = both << 32 | texts[order]
-    again = np.argsort(both)
-    both = both[again]
-    return order[again], np.flatnonzero(np.diff(both, prepend=-1))
+def _begins(keys: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """Which of the sorted ``keys`` differ from the one before, or do in one of ``more``."""
+    new = np.ones(len(keys), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in (keys, *more)])
+    return new
 
 
 def _added(values: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -171,11 +160,11 @@ def lexicon(trusted: DataFrame, letters) -> DataFrame:
                 found = T.words(data, bounds, T.SPACES, True)
                 names = every[at : at + len(bounds) - 1]
                 of, _, _, word = bigrams(found, names)
-                order, first = _runs((word,))
-                one = order[first]
+                order = T.ordered(word)
+                one = order[_begins(word[order])]
                 marks = sorted(set(names))
                 keys = np.concatenate([word[one], T.mixed(~_salts(marks))]).view(np.int64)
-                bits = np.concatenate([word_bits(found, letters.value)[one], np.zeros(len(marks))]).astype(np.float32)
+                bits = np.concatenate([word_bits(found, letters.value, one), np.zeros(len(marks))]).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([names[i] for i in of[one].tolist()] + marks, pa.string()), pa.array(bits)], names=["w", "name", "bits"])
 
     rows = trusted.select("name", "text").mapInArrow(listed, "w long, name string, bits float")
@@ -194,7 +183,9 @@ _KINDS = {"b": T.U, "many": np.uint32, "c": T.U, "n": np.uint64, "t": np.uint64}
 
 def _packed_counts(part: int, b: np.ndarray, c: np.ndarray, n: np.ndarray, t: np.ndarray) -> tuple:
     """Bigrams added up, in order: each word before once, with how many follow it, and those with their counts."""
-    order, first = _runs((c, b))
+    order = T.ordered(c)
+    order = order[T.ordered(b[order])]
+    first = np.flatnonzero(_begins(b[order], c[order]))
     n, t, one = _added(n, order, first), _added(t, order, first), order[first]
     before, many = np.unique(b[one], return_counts=True)
     return part, *(x.tobytes() for x in (before, many.astype(np.uint32), c[one], n.astype(np.uint64), t.astype(np.uint64)))
@@ -343,7 +334,7 @@ def lots_of_words(weights: DataFrame, cuts: DataFrame, lots: int) -> DataFrame:
 
 
 def bigram_gains(counted: DataFrame, words: DataFrame, own: DataFrame, lots: int) -> DataFrame:
-    """``part, known, values`` per part of ``bigram_counts``: keys of its bigrams, and of its ``own`` words, in order, with what each adds.
+    """``part, known, values, seen`` per part of ``bigram_counts``: keys of its bigrams, and of its ``own`` words, in order (as ``_closed`` packs them), with what each adds, and how many words and bigrams of trusted text they are.
 
     A part asks lots of ``words`` for the distinct words of its bigrams, and
     what they give meets the bigrams in one task; both are packed, so no row
@@ -374,24 +365,26 @@ def bigram_gains(counted: DataFrame, words: DataFrame, own: DataFrame, lots: int
         return pa.table({c.split()[0]: pa.array([x[k] for x in out], t) for k, (c, t) in enumerate(zip(_GIVEN.split(", "), (pa.int32(), *_GIVEN_KINDS), strict=True))})
 
     def gain(key: tuple, counted_: pa.Table, given: pa.Table) -> pa.Table:
-        keys, values, parts = [], [], []
+        keys, values, parts, seen = [], [], [], 0
         for r in range(given.num_rows):
             row = [np.frombuffer(given[c][r].as_buffer(), t) if given[c][r].is_valid else None for c, t in (("known", T.U), ("values", np.float32), ("counts", np.int64), ("langs", np.uint32), ("cuts", np.float64))]
             if row[2] is None:
                 keys.append(row[0])
                 values.append(row[1].reshape(4, -1))
+                seen += given["seen"][r].as_py()
             else:
                 cut = row[4].reshape(-1, 6)
                 parts.append((row[0], row[1].reshape(4, -1), row[2].reshape(2, -1), row[3] + sum(len(x[4]) for x in parts), cut))
         if counted_.num_rows and parts:
             w, (g_one, counts) = np.concatenate([x[0] for x in parts]), (np.concatenate([x[k] for x in parts], axis=1) for k in (1, 2))
             langs, cuts = (np.concatenate([x[k] for x in parts]) for k in (3, 4))
-            order = np.argsort(w)
+            order = T.ordered(w)
             w, g_one, counts, langs = w[order], g_one[:, order], counts[:, order], langs[order]
             for r in range(counted_.num_rows):
                 b, many, c, *ns = _raw({x: counted_[x][r] for x in _KINDS}, _KINDS)
                 left, right = np.repeat(np.searchsorted(w, b), many), np.searchsorted(w, c)
                 out = np.zeros((4, len(c)), np.float32)
+                seen += int(ns[0].sum())
                 for v, n in enumerate(ns):
                     some = np.flatnonzero(n > 0)
                     i, j, n = left[some], right[some], n[some].astype(np.int64)
@@ -401,15 +394,16 @@ def bigram_gains(counted: DataFrame, words: DataFrame, own: DataFrame, lots: int
                 keys.append(T.mixed((np.repeat(b, many) * T.U(0x9FB21C651E98DF25)) ^ c))
                 values.append(out)
         if not keys:
-            return pa.table({"part": pa.array([], pa.int32()), "known": pa.array([], pa.binary()), "values": pa.array([], pa.binary())})
+            return pa.table({c: pa.array([], t) for c, t in (("part", pa.int32()), ("known", pa.binary()), ("values", pa.binary()), ("seen", pa.int64()))})
         known = np.concatenate(keys)
-        order = np.argsort(known)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "known": [known[order].tobytes()], "values": [np.concatenate(values, axis=1)[:, order].tobytes()]})
+        order = T.ordered(known)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "known": [_closed(known[order])], "values": [np.concatenate(values, axis=1)[:, order].tobytes()], "seen": pa.array([seen], pa.int64())})
 
     wanted = counted.mapInArrow(ask, "lot int, part int, w binary")
     given = wanted.groupBy("lot").cogroup(words.groupBy("lot")).applyInArrow(give, _GIVEN)
-    own = own.select("part", "known", "values", *(F.lit(None).cast("binary").alias(c) for c in ("counts", "langs", "cuts")))
-    return counted.groupBy("part").cogroup(given.union(own).groupBy("part")).applyInArrow(gain, "part int, known binary, values binary")
+    own = own.select("part", "known", "values", *(F.lit(None).cast("binary").alias(c) for c in ("counts", "langs", "cuts")), "seen")
+    given = given.withColumn("seen", F.lit(None).cast("long"))
+    return counted.groupBy("part").cogroup(given.union(own).groupBy("part")).applyInArrow(gain, "part int, known binary, values binary, seen long")
 
 
 def _closed(keys: np.ndarray) -> bytes:
@@ -421,6 +415,17 @@ def _opened(raw: pa.Buffer) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(T.U).reshape(-1), dtype=T.U)
 
 
+def _short(x: np.ndarray) -> bytes:
+    """Numbers from 0 in as few bytes each as the largest takes, and that size before them."""
+    kind = np.min_scalar_type(int(x.max())) if len(x) else np.dtype(np.uint8)
+    return bytes([kind.itemsize]) + x.astype(kind).tobytes()
+
+
+def _long(raw: pa.Buffer) -> np.ndarray:
+    size = raw[0]
+    return np.frombuffer(raw, f"<u{size}", offset=1)
+
+
 def asked(docs: DataFrame, shard: int, shards: int, parts: int) -> DataFrame:
     """The distinct words and bigrams in a shard of ``docs`` (id, name, text), packed: a row per slice of text and part of the shard.
 
@@ -437,69 +442,82 @@ def asked(docs: DataFrame, shard: int, shards: int, parts: int) -> DataFrame:
                 n, number = len(bounds) - 1, next(slices)
                 of, key, b, c = bigrams(T.words(data, bounds, T.SPACES, True), every[at : at + n])
                 mine = [np.flatnonzero(shard_of(x, shards) == T.U(shard)) for x in (key, c, b)]
-                keys, texts = (np.concatenate([x[i] for x, i in zip(y, mine, strict=True)]) for y in ((key, c, b), (of, of, of)))
+                keys = np.concatenate([x[i] for x, i in zip((key, c, b), mine, strict=True)])
                 word = np.repeat([1, 1, 0], [len(i) for i in mine])
-                order, first = _pair_runs(texts, keys)
-                m, f = _added(word, order, first), _added(1 - word, order, first)
-                keys, texts = keys[order[first]], texts[order[first]]
-                part = part_of(keys, parts)
-                new = np.ones(len(keys), bool)
-                new[1:] = keys[1:] != keys[:-1]
-                out = []
+                texts = of[np.concatenate(mine)]
+                by_text = np.argsort(texts.astype(np.uint16), kind="stable")
+                order = by_text[T.ordered(keys[by_text])]
+                keys, texts, word = keys[order], texts[order], word[order]
+                first = np.flatnonzero(_begins(keys, texts))
+                m = np.add.reduceat(word, first) if len(first) else word
+                f = np.diff(np.append(first, len(keys))) - m
+                keys, texts = keys[first], texts[first]
+                part, new, out = part_of(keys, parts).astype(np.int32), _begins(keys), []
                 for p in range(parts) if parts < 1000 else np.unique(part).tolist():
                     here = np.flatnonzero(part == p)
                     if len(here):
                         begins = np.flatnonzero(new[here])
-                        known, place = np.unique(texts[here], return_inverse=True)
-                        arrays = (keys[here][begins], np.diff(np.append(begins, len(here))).astype(np.uint16), ids[at : at + n][known], place.astype(np.uint16), m[here].astype(np.uint32), f[here].astype(np.uint32))
-                        out.append((number, p, len(here), _closed(arrays[0]), *(x.tobytes() for x in arrays[1:])))
+                        held = np.zeros(n, bool)
+                        held[texts[here]] = True
+                        place = (np.cumsum(held) - 1)[texts[here]]
+                        arrays = (np.diff(np.append(begins, len(here))), place, m[here], f[here])
+                        out.append((number, p, _closed(keys[here][begins]), ids[at : at + n][held].tobytes(), *map(_short, arrays)))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 6), strict=True)], names=["slice", "part", "pairs", "keys", "rows", "ids", "place", "m", "f"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), *[pa.binary()] * 6), strict=True)], names=["slice", "part", "keys", "ids", "rows", "place", "m", "f"])
 
-    return docs.select("id", "name", "text").mapInArrow(ask, "slice long, part int, pairs long, keys binary, rows binary, ids binary, place binary, m binary, f binary")
+    return docs.select("id", "name", "text").mapInArrow(ask, "slice long, part int, keys binary, ids binary, rows binary, place binary, m binary, f binary")
 
 
 def packed(model: DataFrame, parts: int) -> DataFrame:
-    """``part, known, values`` from ``model`` (key, d_n, d_t, g_n, g_t): keys in order, four numbers each."""
+    """``part, known, values, seen`` from ``model`` (key, d_n, d_t, g_n, g_t, s_n): keys in order, four numbers each, and how many words they are in trusted text."""
 
     def pack(key: tuple, group: pa.Table) -> pa.Table:
         keys = np.asarray(group["key"]).view(T.U)
-        order = np.argsort(keys)
+        order = T.ordered(keys)
         values = np.stack([np.asarray(group[c], np.float32)[order] for c in ("d_n", "d_t", "g_n", "g_t")])
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "known": [keys[order].tobytes()], "values": [values.tobytes()]})
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "known": [keys[order].tobytes()], "values": [values.tobytes()], "seen": pa.array([int(np.asarray(group["s_n"]).sum())], pa.int64())})
 
     part = F.expr(f"cast(shiftright((key & 4294967295L) * {parts}L, 32) as int)")
-    return model.withColumn("part", part).groupBy("part").applyInArrow(pack, "part int, known binary, values binary")
+    return model.withColumn("part", part).groupBy("part").applyInArrow(pack, "part int, known binary, values binary, seen long")
 
 
-def joined_sums(questions: DataFrame, model: DataFrame) -> DataFrame:
+def joined_sums(questions: DataFrame, model: DataFrame, pairs: int) -> DataFrame:
     """``slice, ids, sums``: what the known words and bigrams of a part add to each text of a slice, packed.
 
-    A part of the model meets the questions to it in one task, or, if those
-    are many, a copy of the part in each of several tasks.
+    A part of the model stands before the questions to it in one task, which
+    holds that part and a batch of questions at a time, however many they are;
+    where many are likely, by how often trusted text has what is in the part,
+    a copy of the part stands in each of several tasks. ``pairs`` is how many
+    n-grams of texts the questions have at most.
     """
-    sizes = questions.groupBy("part").agg(F.sum("pairs").alias("pairs"))
-    tasks = written(sizes.select("part", F.ceil(F.col("pairs") / TASK_PAIRS).cast("int").alias("tasks")), "tasks")
-    left = questions.join(small(tasks), "part").withColumn("task", F.pmod(F.xxhash64("keys"), F.col("tasks")).cast("int")).drop("tasks", "pairs")
-    right = model.join(small(tasks), "part").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))).drop("tasks")
-
-    def look(asked_: pa.Table, model_: pa.Table) -> pa.Table:
-        found: list[tuple] = []
-        if model_.num_rows:
-            raw = lambda c, row, kind: np.frombuffer(c[row].as_buffer(), kind)
-            known = raw(model_["known"], 0, T.U)
-            values = raw(model_["values"], 0, np.float32).reshape(4, -1)
-            for r in range(asked_.num_rows):
-                keys = _opened(asked_["keys"][r].as_buffer())
-                rows, name, place, m, f = (raw(asked_[c], r, k) for c, k in (("rows", np.uint16), ("ids", np.int64), ("place", np.uint16), ("m", np.uint32), ("f", np.uint32)))
+    total = model.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
+    share = f"{pairs / max(1, total)!r}D / {TASK_PAIRS}"
+    tasks = small(model.select("part", F.expr(f"cast(greatest(1, ceil(seen * {share})) as int) as tasks")))
+    left = questions.join(tasks, "part").withColumn("task", F.pmod(F.xxhash64("keys"), F.col("tasks")).cast("int"))
+    left = left.selectExpr("part", "task", "1 as kind", "slice", "keys", "ids", "rows", "place", "m", "f")
+    right = model.join(tasks, "part").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
+    right = right.selectExpr("part", "task", "0 as kind", "0L as slice", "known as keys", "values as ids", *(f"cast(null as binary) as {c}" for c in ("rows", "place", "m", "f")))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = values = None
+        for batch in batches:
+            found: list[tuple] = []
+            for r in range(batch.num_rows):
+                raw = {c: batch[c][r].as_buffer() for c in ("keys", "ids", "rows", "place", "m", "f") if batch[c][r].is_valid}
+                keys = _opened(raw["keys"])
+                if not batch["kind"][r].as_py():
+                    known, values = keys, np.array(np.frombuffer(raw["ids"], np.float32).reshape(4, -1))
+                    continue
+                ids, rows, place, m, f = np.frombuffer(raw["ids"], np.int64), *(_long(raw[c]) for c in ("rows", "place", "m", "f"))
                 at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                 hit = np.repeat(known[at] == keys, rows)
                 at, place, m, f = np.repeat(at, rows)[hit], place[hit], m[hit], f[hit]
-                sums = np.stack([np.bincount(place, m * values[v, at].astype(np.float64) + f * values[v + 2, at].astype(np.float64), len(name)) for v in (0, 1)])
-                found.append((asked_["slice"][r].as_py(), name.tobytes(), sums.tobytes()))
-        return pa.table({c: pa.array([x[k] for x in found], t) for k, (c, t) in enumerate((("slice", pa.int64()), ("ids", pa.binary()), ("sums", pa.binary())))})
+                sums = np.stack([np.bincount(place, m * values[v, at].astype(np.float64) + f * values[v + 2, at].astype(np.float64), len(ids)) for v in (0, 1)])
+                found.append((batch["slice"][r].as_py(), ids.tobytes(), sums.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["slice", "ids", "sums"])
 
-    return left.groupBy("part", "task").cogroup(right.groupBy("part", "task")).applyInArrow(look, "slice long, ids binary, sums binary")
+    dealt = right.union(left).repartition("part", "task").sortWithinPartitions("part", "task", "kind")
+    return dealt.mapInArrow(look, "slice long, ids binary, sums binary")
 
 
 def added_sums(sums: DataFrame) -> DataFrame:
@@ -524,8 +542,9 @@ def spelling(docs: DataFrame, letters) -> DataFrame:
                 n, table = len(bounds) - 1, letters.value
                 found = T.words(data, bounds, T.SPACES, True)
                 of = np.repeat(np.arange(n), np.diff(found.first))
-                blank, where = T.SPACES[data], np.repeat(np.arange(n), np.diff(bounds))
-                bits = np.bincount(of, word_bits(found, table), minlength=n) + np.bincount(where[blank], table[codes(data, bounds)[blank]], minlength=n)
+                blank = np.flatnonzero(T.among(data, T.SPACES))
+                where = np.repeat(np.arange(n), np.diff(np.searchsorted(blank, bounds)))
+                bits = np.bincount(of, word_bits(found, table), minlength=n) + np.bincount(where, table[codes(data, bounds)[blank]], minlength=n)
                 yield pa.RecordBatch.from_arrays([batch["id"].slice(at, n), batch["name"].slice(at, n), pa.array(np.diff(bounds)), pa.array(np.diff(found.first)), pa.array(bits)], names=["id", "name", "bytes", "words", "bits"])
 
     return docs.select("id", "name", "text").mapInArrow(spell, "id long, name string, bytes long, words long, bits double")
@@ -553,17 +572,15 @@ def perplexities(docs: DataFrame, trusted: DataFrame, shards: int | None = None)
     found = []
     for shard in range(shards):
         mine = F.expr(f"shiftright(shiftrightunsigned(w, 48) * {shards}L, 16) = {shard}")
-        own = packed(weights.where(mine).select(F.col("w").alias("key"), "d_n", "d_t", "g_n", "g_t"), parts)
+        own = packed(weights.where(mine).select(F.col("w").alias("key"), "d_n", "d_t", "g_n", "g_t", "s_n"), parts)
         begin = shard % within * parts
         piece = counted[shard // within].where(F.col("part").between(begin, begin + parts - 1)).withColumn("part", F.col("part") - begin)
         model = written(bigram_gains(piece, packed_words, own, lots), "model")
         if (shard + 1) % within == 0:
             dropped(counted[shard // within])
-        questions = written(asked(docs, shard, shards, parts), "asked")
-        parts_of = written(joined_sums(questions, model), "parts")
-        dropped(model, questions)
-        found.append(written(added_sums(parts_of), "sums"))
-        dropped(parts_of)
+        sums = joined_sums(asked(docs, shard, shards, parts), model, 2 * total // shards)
+        found.append(written(added_sums(sums), "sums", {ARROW_BYTES: str(1 << 25)}))
+        dropped(model)
     sums = reduce(DataFrame.union, found).groupBy("id").agg(F.sum("sum_n").alias("sum_n"), F.sum("sum_t").alias("sum_t"))
     every = base.join(small(cuts.select("name", "z_n", "z_t")), "name", "left").join(sums, "id", "left")
     every = written(every.select("id", *(F.expr(f"pow(2D, -(bits + words * coalesce(z_{v}, 0D) + coalesce(sum_{v}, 0D)) / bytes) as p_{v}") for v in "nt")), "perplexities")

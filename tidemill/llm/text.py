@@ -21,6 +21,7 @@ CHUNK_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+CAPITALS = LOWER != np.arange(256)
 #: Bytes between words. SPACES: 20, 09-0D. MARKS: all ASCII but digits and lower-case letters.
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -35,11 +36,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def ordered(keys: np.ndarray) -> np.ndarray:
+    """Order of 64-bit ``keys``, places ascending among equal ones: their upper bits, with their places below, are sorted as plain numbers, which is several times faster than ``argsort``."""
+    bits = U(len(keys).bit_length())
+    low = (U(1) << bits) - U(1)
+    order = (np.sort(keys & ~low | np.arange(len(keys), dtype=U)) & low).astype(np.int64)
+    found = keys[order]
+    return np.argsort(keys, kind="stable") if (found[1:] < found[:-1]).any() else order
+
+
 _LENGTHS, _BLOCKS = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
 #: By length, which bytes of a block of eight belong to a word.
 _INSIDE = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
 #: Longer words, in bytes, are hashed one by one.
 _LONG = 256
+#: By length, what a word's hash begins with.
+_SEEDS = mixed(np.arange(_LONG + 1).astype(U) * _LENGTHS)
+#: Words hashed at once, so that what is worked on stays in a CPU's cache.
+_AT_ONCE = 1 << 14
 
 
 def _blocks(low: np.ndarray) -> np.ndarray:
@@ -49,16 +63,25 @@ def _blocks(low: np.ndarray) -> np.ndarray:
 
 def word_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of each word: its length, then its blocks of eight bytes in turn, each mixed in before the next."""
-    size, blocks = end - start, _blocks(low)
-    out = mixed(size.astype(U) * _LENGTHS)
-    some = np.arange(len(size)) if (size <= _LONG).all() else np.flatnonzero(size <= _LONG)
-    at = 0
-    while len(some):
-        left = size[some] - at
+    out, blocks = np.empty(len(start), U), _blocks(low)
+    for k in range(0, len(out), _AT_ONCE):
+        here = slice(k, k + _AT_ONCE)
+        out[here] = _hashed(low, blocks, start[here], end[here])
+    return out
+
+
+def _hashed(low: np.ndarray, blocks: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    size = end - start
+    long = np.flatnonzero(size > _LONG)
+    out = _SEEDS[np.minimum(size, _LONG)]
+    some = np.flatnonzero((size > 0) & (size <= _LONG)) if len(long) or not size.all() else slice(None)
+    at, left = 0, size[some]
+    while len(left):
         out[some] = mixed(out[some] ^ ((blocks[start[some] + at] & _INSIDE[np.minimum(left, 8)]) * _BLOCKS))
         at += 8
-        some = some[left > 8]
-    for k in np.flatnonzero(size > _LONG):
+        some = np.arange(len(size))[some][left > 8]
+        left = size[some] - at
+    for k in long:
         out[k] = int.from_bytes(blake2b(low[start[k] : end[k]].tobytes(), digest_size=8).digest(), "little")
     return out
 
@@ -106,6 +129,15 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.
         at = to
 
 
+def among(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``table[data]`` of bytes, by comparing them with the first and last of each run that ``table`` marks."""
+    edges = np.flatnonzero(np.diff(table.astype(np.int8), prepend=0, append=0))
+    out = np.zeros(len(data), bool)
+    for first, last in zip(edges[::2].astype(np.uint8), (edges[1::2] - 1).astype(np.uint8), strict=True):
+        out |= data - first <= last - first
+    return out
+
+
 #: Scripts that put no blanks between words, by the first and last two bytes of their characters, and how many bytes those have.
 UNSPACED = (
     (0xE0B8, 0xE0BF, 3),  # Thai, Lao, Tibetan
@@ -122,8 +154,8 @@ def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray, characters:
     """Words are runs of bytes not in ``between``; A-Z count as a-z. With ``characters``, each one of ``UNSPACED`` is a word."""
     n = len(data)
     low = np.zeros(n + 8, np.uint8)
-    low[:n] = LOWER[data]
-    inside = ~between[low[:n]]
+    np.bitwise_or(data, among(data, CAPITALS).view(np.uint8) << 5, out=low[:n])
+    inside = ~among(low[:n], between)
     edge = np.zeros(n + 1, bool)
     edge[bounds] = True
     begins, ends = inside.copy(), inside.copy()

@@ -522,6 +522,18 @@ def test_orders_marks_and_short_numbers():
         assert quality._long(pa.py_buffer(quality._short(np.array(numbers, np.int64)))).tolist() == numbers
 
 
+def test_each_distinct_word_is_spelled_once(monkeypatch):
+    table, spelled, keep = np.random.default_rng(3).random(quality.CELLS).astype(np.float32), [], quality.codes
+    _, data, bounds = next(text.chunks(pa.array(["ab ab c AB", "", " c é漢ab", "ab"])))
+    found = text.words(data, bounds, text.SPACES, True)
+    monkeypatch.setattr(quality, "codes", lambda d, b: spelled.append(len(b) - 1) or keep(d, b))
+    got = quality.every_word_bits(found, table)
+    assert spelled == [4] and len(got) == 9
+    for bits, b, e in zip(got, found.start, found.end, strict=True):
+        letters = found.low[b:e]
+        assert math.isclose(bits, table[keep(letters, np.array([0, len(letters)]))].astype(float).sum(), rel_tol=1e-6)
+
+
 def test_thresholds_and_verdicts_equal_a_loop(spark):
     r = random.Random(9)
     words = {"en": "the cat sat on a mat and saw one dog run by".split(), "xx": "lo mi ra tu se".split()}

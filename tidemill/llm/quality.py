@@ -56,15 +56,13 @@ SYMBOL[192:] = 60 + np.arange(64) % 4
 
 def codes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Number of the trigram that ends at each byte; a text begins after line ends."""
-    s = SYMBOL[data].astype(np.int32)
+    s, size = SYMBOL.astype(np.int32)[data], np.diff(bounds)
     out = s.copy()
     for back in range(1, ORDER):
-        before = np.full(len(s), 29, np.int32)
-        before[back:] = s[:-back] if back < len(s) else s[:0]
-        for k in range(back):
-            begin = bounds[:-1][np.diff(bounds) > k] + k
-            before[begin] = 29
-        out += before * SYMBOLS**back
+        out[back:] += s[:-back] * SYMBOLS**back
+    for k in range(ORDER - 1):
+        at = bounds[:-1][size > k] + k
+        out[at] = sum((s[at - back] if back <= k else 29) * SYMBOLS**back for back in range(ORDER))
     return out
 
 
@@ -130,15 +128,23 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys & T.U(0xFFFFFFFF)) * T.U(parts) >> T.U(32)).astype(np.int64)
 
 
-def word_bits(found: T.Words, table: np.ndarray, some: np.ndarray | None = None) -> np.ndarray:
-    """log2 of the probability of each word's letters, or of those numbered in ``some``, in lower case and apart from its neighbours."""
-    start, end = (found.start, found.end) if some is None else (found.start[some], found.end[some])
+def word_bits(found: T.Words, table: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """log2 of the probability of the letters of each word numbered in ``some``, in lower case and apart from its neighbours."""
+    start, end = found.start[some], found.end[some]
     bounds = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
-    letters = found.low[:-8][~T.among(found.low[:-8], T.SPACES)] if some is None else found.low[np.repeat(start - bounds[:-1], end - start) + np.arange(bounds[-1])]
+    letters = found.low[np.repeat(start - bounds[:-1], end - start) + np.arange(bounds[-1])]
     sums = np.concatenate([[0], np.cumsum(table[codes(letters, bounds)], dtype=np.float64)])
     return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
+def every_word_bits(found: T.Words, table: np.ndarray) -> np.ndarray:
+    """``word_bits`` of all words, each distinct one spelled once."""
+    order, out = T.ordered(found.hash), np.empty(len(found.hash))
+    new = _begins(found.hash[order])
+    out[order] = word_bits(found, table, order[new])[np.cumsum(new) - 1]
+    return out
+
+
 def _begins(keys: np.ndarray, *more: np.ndarray) -> np.ndarray:
     """Which of the sorted ``keys`` differ from the one before, or do in one of ``more``."""
     new = np.ones(len(keys), bool)
@@ -544,7 +550,7 @@ def spelling(docs: DataFrame, letters) -> DataFrame:
                 of = np.repeat(np.arange(n), np.diff(found.first))
                 blank = np.flatnonzero(T.among(data, T.SPACES))
                 where = np.repeat(np.arange(n), np.diff(np.searchsorted(blank, bounds)))
-                bits = np.bincount(of, word_bits(found, table), minlength=n) + np.bincount(where, table[codes(data, bounds)[blank]], minlength=n)
+                bits = np.bincount(of, every_word_bits(found, table), minlength=n) + np.bincount(where, table[codes(data, bounds)[blank]], minlength=n)
                 yield pa.RecordBatch.from_arrays([batch["id"].slice(at, n), batch["name"].slice(at, n), pa.array(np.diff(bounds)), pa.array(np.diff(found.first)), pa.array(bits)], names=["id", "name", "bytes", "words", "bits"])
 
     return docs.select("id", "name", "text").mapInArrow(spell, "id long, name string, bytes long, words long, bits double")
